@@ -76,10 +76,12 @@ def slot_series(feed: DataFrame, as_of: date | None = None, lookback_days: int =
     The anchor and its day arrive as scalar subqueries, so they prune the scan like literals; rows
     of the other 95 slots are dropped before the shuffle.
     """
-    anchor = _anchor_time(feed)
     if as_of is not None:
+        # Everything below, the search for the newest bucket included, needs these days only.
         start = _midnight(as_of - timedelta(days=lookback_days - 1))
-    else:
+        feed = feed.filter(F.col("time") >= start)
+    anchor = _anchor_time(feed)
+    if as_of is None:
         day = day_of("anchor")
         start = anchor.select(
             F.date_sub(day, lookback_days - 1).cast("timestamp_ntz").alias("start")

@@ -50,9 +50,11 @@ def elapsed_seconds(start: Column | str, end: Column | str) -> Column:
 
 
 def timestamp_to_epoch(time: Column | str) -> Column:
-    """Seconds since 1970, rounded down."""
-    micros = F.timestamp_diff("MICROSECOND", F.expr(EPOCH), as_column(time))
-    return F.floor(micros / 1_000_000)
+    """Seconds since 1970, rounded down. Built from the calendar fields, for the timestamp
+    difference of Spark goes through the session time zone."""
+    time = as_column(time)
+    of_day = F.hour(time) * 3600 + F.minute(time) * 60 + F.second(time)
+    return F.unix_date(F.to_date(time)).cast("long") * DAY_SECONDS + of_day
 
 
 def epoch_to_timestamp(seconds: Column | str) -> Column:
@@ -78,7 +80,7 @@ def month_of(time: Column | str) -> Column:
 
 def year_month_text(time: Column | str, separator: str = "-") -> Column:
     """Cohort label such as ``2020-01``."""
-    text = F.date_format(as_column(time), "yyyy-MM")
+    text = F.substring(F.to_date(as_column(time)).cast("string"), 1, 7)
     return text if separator == "-" else F.replace(text, F.lit("-"), F.lit(separator))
 
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# More keys than this cannot each hold more than this fraction of all rows.
+from ..session import cut_lineage
+
+# No more keys than this can each hold more than one part in this many of all rows.
 MAX_HOT_KEYS = 10_000
 MIN_HOT_ROWS = 1_000_000
 
@@ -20,13 +22,17 @@ def join_per_key(
     """Inner join of ``facts`` with ``per_key`` (unique on ``key``).
 
     ``per_key`` carries in ``rows`` the number of facts of the key. Keys with more than
-    1/10,000 of all facts number at most 10,000, whatever the data, so their side is broadcast and
-    their facts are not shuffled. All other keys join by shuffle.
+    1/10,000 of all facts number less than 10,000, whatever the data, so their side is broadcast
+    and their facts are not shuffled. All other keys join by shuffle. Without such a key, which a
+    count per key tells beforehand, this is a plain join.
     """
-    total = per_key.agg(F.sum(rows)).scalar()
-    is_hot = (F.col(rows) * MAX_HOT_KEYS > total) & (F.col(rows) > min_hot_rows)
-    hot = per_key.filter(is_hot).drop(rows)
-    cold = per_key.filter(~is_hot).drop(rows)
+    total, largest = per_key.agg(F.sum(rows), F.max(rows)).first()
+    hot_from = max(min_hot_rows, (total or 0) // MAX_HOT_KEYS)
+    if (largest or 0) <= hot_from:
+        return facts.join(per_key.drop(rows), key)
+    per_key = cut_lineage(per_key)
+    hot = per_key.filter(F.col(rows) > hot_from).drop(rows)
+    cold = per_key.filter(F.col(rows) <= hot_from).drop(rows)
     hot_facts = facts.join(F.broadcast(hot), key)
     cold_facts = facts.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
     return hot_facts.unionByName(cold_facts)

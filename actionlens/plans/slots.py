@@ -174,7 +174,7 @@ def alert_records(verdicts: DataFrame, lookback_days: int = LOOKBACK_DAYS) -> Da
         + str(lookback_days)
         + " days by: %s\nvalue now: %.2f\nmean: %.2f",
         "metric",
-        F.date_format("time", "yyyy-MM-dd HH:mm:ss"),
+        F.col("time").cast("string"),
         F.when(F.col("status") == "high", "above").otherwise("below"),
         F.coalesce(percent_text("deviation"), F.lit("n/a")),
         "value",

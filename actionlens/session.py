@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,21 +22,31 @@ def local_session(cores: int | str = 8, app: str = "actionlens") -> SparkSession
     )
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the checkpoint folder and continue from there.
-
-    Used where one intermediate result feeds several later steps: every step then sees the same
-    rows, and a lost executor re-reads files instead of recomputing them. The folder is the
-    cluster's ``spark.checkpoint.dir``; only a local session without one gets its own.
-    """
-    spark = df.sparkSession
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+def shared_folder(spark: SparkSession) -> str:
+    """The checkpoint folder of the session: the cluster's ``spark.checkpoint.dir``; only a local
+    session without one gets its own."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
         if configured:
             context.setCheckpointDir(configured)
         elif context.master.startswith("local"):
             context.setCheckpointDir(tempfile.mkdtemp(prefix="checkpoint-"))
         else:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return context.getCheckpointDir()
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder name under the shared folder."""
+    return f"{shared_folder(spark)}/{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the checkpoint folder and continue from there.
+
+    Used where one intermediate result feeds several later steps: every step then sees the same
+    rows, and a lost executor re-reads files instead of recomputing them.
+    """
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import timestamp_to_epoch
+from ..operators.hot_keys import join_per_key
 
 # Schemas of the test tables, stated so that opening a table starts no job.
 EVENTS = T.StructType(
@@ -79,15 +80,17 @@ def event_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def experiment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts have two decimals and are summed as such, so that the sum does not depend on the
+    order of rows."""
     paid = F.when(
         (F.col("event_type") == "purchase") & (F.col("ts") >= F.expr("timestamp_ntz'2024-01-28 00:00:00'")),
-        F.col("value"),
+        F.col("value").cast("decimal(18,2)"),
     )
     group = F.when(F.col("user_id") % 2 == 0, "a").otherwise("b")
     return (
         events(spark, sf_dir)
         .groupBy("user_id")
-        .agg(F.coalesce(F.sum(paid), F.lit(0.0)).alias("revenue"))
+        .agg(F.coalesce(F.sum(paid).cast("double"), F.lit(0.0)).alias("revenue"))
         .select("user_id", group.alias("testgroup"), "revenue")
     )
 
@@ -99,8 +102,10 @@ def unit_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     one unit in one task.
     """
     reports = orders(spark, sf_dir)
-    hired = reports.groupBy("o_custkey").agg(F.min("o_orderdate").alias("first_order"))
-    return reports.join(hired, "o_custkey").select(
+    hired = reports.groupBy("o_custkey").agg(
+        F.min("o_orderdate").alias("first_order"), F.count("*").alias("n_reports")
+    )
+    return join_per_key(reports, hired, "o_custkey", "n_reports").select(
         F.col("o_custkey").alias("dwarf_id"),
         F.to_date("first_order").alias("hired_date"),
         F.to_date("o_orderdate").alias("reported_date"),

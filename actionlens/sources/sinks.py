@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_partitions(df: DataFrame, path: str, by: str) -> None:
+def write_partitions(df: DataFrame, path: str, *by: str) -> None:
     """Replace the partitions of ``path`` that occur in ``df``; others stay."""
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(by)
+        .partitionBy(*by)
         .parquet(path)
     )
 

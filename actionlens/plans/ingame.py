@@ -52,10 +52,18 @@ def exposed_users(actions: DataFrame, exposure: Column, first_step: Column | Non
     return per_user.select("user_id", "exposed_at", segment.alias("segment"))
 
 
-def reachable(actions: DataFrame, first_exposure: date, last_exposure: date, horizon: int) -> DataFrame:
-    """Actions that can fall within ``horizon`` days of an exposure between the two days. The range
-    reaches the scan, so a metric of a short event does not read the whole log."""
-    return actions.filter(in_days("time", first_exposure, last_exposure + timedelta(days=horizon + 1)))
+def reachable(
+    actions: DataFrame,
+    first_exposure: date,
+    last_exposure: date,
+    horizon: int,
+    session_gap: int = SESSION_GAP_SECONDS,
+) -> DataFrame:
+    """Actions that matter within ``horizon`` days of an exposure between the two days: those on
+    the days themselves, and those that end a pause begun there. The range reaches the scan, so a
+    metric of a short event does not read the whole log."""
+    last = last_exposure + timedelta(days=horizon + 1) + timedelta(days=-(-session_gap // DAY_SECONDS))
+    return actions.filter(in_days("time", first_exposure, last))
 
 
 def _per_segment_and_day(exposed: DataFrame, days: tuple[int, ...]) -> DataFrame:

@@ -60,7 +60,7 @@ def tenure_curve(reports: DataFrame, cohorts: tuple[Cohort, ...] = STUDY_COHORTS
         cohort_reports(reports, cohorts)
         .filter(F.col("tenure_days").isNotNull())
         .groupBy("cohort", "tenure_days")
-        .agg(F.avg("gold_mined").alias("mean_gold"))
+        .agg(ratio(F.sum("gold_mined"), F.count("gold_mined")).alias("mean_gold"))
     )
 
 
@@ -80,7 +80,7 @@ def unit_rates(
     return (
         counted.groupBy("cohort", "dwarf_id")
         .agg(
-            F.coalesce(F.sum("gold_mined"), F.lit(0.0)).alias("gold"),
+            F.coalesce(F.sum("gold_mined").cast("double"), F.lit(0.0)).alias("gold"),
             F.max("tenure_days").alias("tenure"),
         )
         .withColumn("rate", ratio("gold", "tenure"))

@@ -99,7 +99,7 @@ def unit_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as unit reports: the customer is the unit, hired on the day of the first order.
 
     The hire date is an aggregate joined back, not a window: a window would sort all reports of
-    one unit in one task.
+    one unit in one task. Amounts are decimal, so that sums do not depend on the order of rows.
     """
     reports = orders(spark, sf_dir)
     hired = reports.groupBy("o_custkey").agg(
@@ -109,6 +109,6 @@ def unit_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("dwarf_id"),
         F.to_date("first_order").alias("hired_date"),
         F.to_date("o_orderdate").alias("reported_date"),
-        F.col("o_totalprice").alias("gold_mined"),
+        F.col("o_totalprice").cast("decimal(18,2)").alias("gold_mined"),
         F.when(F.col("o_custkey") % 2 == 0, "2014-01-01").otherwise("2015-01-01").alias("hammer_date"),
     )

@@ -294,7 +294,7 @@ def _units(spark, sf_dir):
 
 @register
 def tenure_curve(spark, sf_dir):
-    return rounded(units.tenure_curve(_units(spark, sf_dir), COHORTS), "mean_gold")
+    return units.tenure_curve(_units(spark, sf_dir), COHORTS)
 
 
 @register
@@ -304,7 +304,7 @@ def tenure_curve_head(spark, sf_dir):
 
 @register
 def unit_rates(spark, sf_dir):
-    return rounded(units.unit_rates(_units(spark, sf_dir), COHORTS), "gold", "rate")
+    return units.unit_rates(_units(spark, sf_dir), COHORTS)
 
 
 @register
@@ -315,8 +315,7 @@ def unit_rate_by_cohort(spark, sf_dir):
 
 @register
 def unit_rates_early(spark, sf_dir):
-    rates = units.unit_rates(_units(spark, sf_dir), COHORTS, units.EARLY_TENURE_DAYS)
-    return rounded(rates, "gold", "rate")
+    return units.unit_rates(_units(spark, sf_dir), COHORTS, units.EARLY_TENURE_DAYS)
 
 
 @register
@@ -551,8 +550,7 @@ def _first_step() -> Column:
 
 def _exposed(spark, sf_dir, with_step=True):
     step = _first_step() if with_step else None
-    actions = ingame.reachable(_event_actions(spark, sf_dir), *EVENT_DAYS, horizon=0)
-    return ingame.exposed_users(actions, _saw_event(), step)
+    return ingame.exposed_users(_event_actions(spark, sf_dir), _saw_event(), step)
 
 
 @register
@@ -561,9 +559,10 @@ def event_exposed(spark, sf_dir):
 
 
 def _activity(spark, sf_dir, with_step):
-    actions = ingame.reachable(_event_actions(spark, sf_dir), *EVENT_DAYS, horizon=max(ingame.ACTIVITY_DAYS))
-    # Long pauses, for the test users act rarely.
-    return ingame.event_activity_by_day(actions, _exposed(spark, sf_dir, with_step), session_gap=4 * 3600)
+    gap = 4 * 3600  # long, for the test users act rarely
+    actions = _event_actions(spark, sf_dir)
+    in_reach = ingame.reachable(actions, *EVENT_DAYS, horizon=max(ingame.ACTIVITY_DAYS), session_gap=gap)
+    return ingame.event_activity_by_day(in_reach, _exposed(spark, sf_dir, with_step), session_gap=gap)
 
 
 @register

@@ -32,7 +32,7 @@ reports AS (
   SELECT o_custkey AS dwarf_id,
          CAST(min(o_orderdate) OVER (PARTITION BY o_custkey) AS DATE) AS hired_date,
          CAST(o_orderdate AS DATE) AS reported_date,
-         o_totalprice AS gold_mined,
+         CAST(o_totalprice AS DECIMAL(18,2)) AS gold_mined,
          CASE WHEN o_custkey % 2 = 0 THEN '2014-01-01' ELSE '2015-01-01' END AS hammer_date
   FROM orders),
 counted AS (
@@ -325,8 +325,8 @@ FROM events JOIN firsts USING (user_id) GROUP BY 1, 2
 
 def _rates(condition: str = "true") -> str:
     return f"""
-SELECT cohort, dwarf_id, coalesce(sum(gold_mined), 0) AS gold, max(tenure_days) AS tenure,
-       coalesce(sum(gold_mined), 0) / nullif(max(tenure_days), 0) AS rate
+SELECT cohort, dwarf_id, coalesce(CAST(sum(gold_mined) AS DOUBLE), 0) AS gold, max(tenure_days) AS tenure,
+       coalesce(CAST(sum(gold_mined) AS DOUBLE), 0) / nullif(max(tenure_days), 0) AS rate
 FROM counted WHERE {condition} GROUP BY cohort, dwarf_id
 """
 
@@ -334,7 +334,7 @@ FROM counted WHERE {condition} GROUP BY cohort, dwarf_id
 def _rounded_rates(condition: str = "true") -> str:
     return f"""
 WITH {UNITS_CTE}
-SELECT cohort, dwarf_id, round(gold, 6) AS gold, tenure, round(rate, 6) AS rate FROM ({_rates(condition)})
+SELECT cohort, dwarf_id, gold, tenure, rate FROM ({_rates(condition)})
 """
 
 
@@ -364,10 +364,10 @@ FROM binned GROUP BY g, bin, lo, width
 
 UNITS = {
     "tenure_curve": f"""
-WITH {UNITS_CTE} SELECT cohort, tenure_days, round(avg(gold_mined), 6) AS mean_gold FROM counted GROUP BY 1, 2
+WITH {UNITS_CTE} SELECT cohort, tenure_days, CAST(sum(gold_mined) AS DOUBLE) / count(gold_mined) AS mean_gold FROM counted GROUP BY 1, 2
 """,
     "tenure_curve_head": f"""
-WITH {UNITS_CTE} SELECT cohort, tenure_days, round(avg(gold_mined), 6) AS mean_gold FROM counted GROUP BY 1, 2
+WITH {UNITS_CTE} SELECT cohort, tenure_days, CAST(sum(gold_mined) AS DOUBLE) / count(gold_mined) AS mean_gold FROM counted GROUP BY 1, 2
 ORDER BY 1, 2 LIMIT 5
 """,
     "unit_rates": _rounded_rates(),

@@ -53,11 +53,16 @@ def histogram(df: DataFrame, group: str, labels: tuple[str, ...], value: str, bi
         .groupBy(group)
         .agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     )
+    # A constant gets a range of one around itself.
+    flat = F.col("lo") == F.col("hi")
+    limits = limits.withColumn("half", F.when(flat, 0.5).otherwise(0.0)).select(
+        group, (F.col("lo") - F.col("half")).alias("lo"), (F.col("hi") + F.col("half")).alias("hi")
+    )
     width = (F.col("hi") - F.col("lo")) / bins
-    position = F.floor(F.try_divide(F.col("value") - F.col("lo"), width)) + 1
+    position = F.floor((F.col("value") - F.col("lo")) / width) + 1
     return (
         counts.join(F.broadcast(limits), group)
-        .withColumn("bin", F.coalesce(F.least(F.lit(bins), position), F.lit(1)).cast("long"))
+        .withColumn("bin", F.least(F.lit(bins), position).cast("long"))
         .groupBy(group, "bin", "lo", "hi")
         .agg(F.sum("n").alias("n"))
         .select(

@@ -106,15 +106,15 @@ def add_bands(long: DataFrame, series_keys: list[str], z: float = Z, rows: int =
     """Rolling mean, band and series mean for ``(*series_keys, time, value)``.
 
     One series is one metric at one slot of day: a row per day, so the windows are small whatever
-    the volume of actions. The rolling mean includes the current row and needs ``rows`` values.
+    the volume of actions. The rolling mean includes the current row and needs ``rows`` values; of
+    equal values it is that value, so that rounding does not move a flat series off its own band.
     """
     series = Window.partitionBy(*series_keys)
     rolling = series.orderBy("time").rowsBetween(1 - rows, 0)
+    flat = F.min("value").over(rolling) == F.max("value").over(rolling)
+    mean = F.when(flat, F.col("value")).otherwise(F.avg("value").over(rolling))
     return (
-        long.withColumn(
-            "rolling_mean",
-            F.when(F.count("value").over(rolling) == rows, F.avg("value").over(rolling)),
-        )
+        long.withColumn("rolling_mean", F.when(F.count("value").over(rolling) == rows, mean))
         .withColumn("residual", F.col("rolling_mean") - F.col("value"))
         .withColumn("sigma", F.stddev_pop("residual").over(series))
         .withColumn("mean", F.avg("value").over(series))

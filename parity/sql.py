@@ -181,7 +181,8 @@ def _bands(series: str, keys: str, partition: str, z: str) -> str:
     return f"""
 long AS ({metrics}),
 rolled AS (
-  SELECT *, CASE WHEN count(value) OVER w = 3 THEN avg(value) OVER w END AS rolling_mean
+  SELECT *, CASE WHEN count(value) OVER w < 3 THEN NULL
+                 WHEN min(value) OVER w = max(value) OVER w THEN value ELSE avg(value) OVER w END AS rolling_mean
   FROM long WINDOW w AS (PARTITION BY {partition} ORDER BY time ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)),
 residuals AS (SELECT *, rolling_mean - value AS residual FROM rolled),
 spread AS (
@@ -350,11 +351,13 @@ def _histogram(table: str, group: str, value: str, bins: int, scale: int) -> str
     """Body of a histogram query; ``table`` is a CTE with the group and the value."""
     return f"""
 limits AS (
-  SELECT {group} AS g, min({value}) AS lo, (max({value}) - min({value})) / {bins} AS width
-  FROM {table} WHERE {value} IS NOT NULL GROUP BY 1),
+  SELECT g, CASE WHEN lo = hi THEN lo - 0.5 ELSE lo END AS lo,
+         CASE WHEN lo = hi THEN 1.0 ELSE hi - lo END / {bins} AS width
+  FROM (SELECT {group} AS g, min({value}) AS lo, max({value}) AS hi
+        FROM {table} WHERE {value} IS NOT NULL GROUP BY 1)),
 binned AS (
   SELECT g, lo, width,
-         CAST(coalesce(least({bins}, floor(({value} - lo) / nullif(width, 0)) + 1), 1) AS BIGINT) AS bin
+         CAST(least({bins}, floor(({value} - lo) / width) + 1) AS BIGINT) AS bin
   FROM {table} JOIN limits ON {group} = g WHERE {value} IS NOT NULL)
 SELECT g AS {group}, bin, round(lo + width * (bin - 1), {scale}) AS low, round(lo + width * bin, {scale}) AS high,
        count(*) AS n

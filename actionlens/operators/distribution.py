@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranks import VALUES_PER_TASK, quantiles
+from .ranks import VALUES_PER_TASK, quantiles, quantiles_of_counts, stored_value_counts, value_counts
 
 
 def describe(df: DataFrame, group: str, value: str, max_in_task: int = VALUES_PER_TASK) -> DataFrame:
@@ -32,27 +32,16 @@ def describe(df: DataFrame, group: str, value: str, max_in_task: int = VALUES_PE
     )
 
 
-def _of_labels(df: DataFrame, group: str, labels: tuple[str, ...], value: str) -> DataFrame:
-    """``(group, value, n)`` for the named groups. Equal values meet on the map side."""
-    kept = df.filter(F.col(group).isin(*labels)).select(group, F.col(value).cast("double").alias("value"))
-    return kept.dropna().groupBy(group, "value").agg(F.count("*").alias("n"))
-
-
 def histogram(df: DataFrame, group: str, labels: tuple[str, ...], value: str, bins: int) -> DataFrame:
     """Equal-width bins between the smallest and the largest value of each named group:
     ``(group, bin, low, high, n)``. Bins count from 1, the last one is closed on both sides, empty
     ones are left out.
 
-    The limits are one row per label, so their size is known and they are broadcast.
+    Values and limits come from the same value counts, so the data are read once. The limits are
+    one row per label: their size is known and they are broadcast.
     """
-    counts = _of_labels(df, group, labels, value)
-    limits = (
-        df.filter(F.col(group).isin(*labels))
-        .select(group, F.col(value).cast("double").alias("value"))
-        .dropna()
-        .groupBy(group)
-        .agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    )
+    counts = value_counts(df.filter(F.col(group).isin(*labels)), [group], value)
+    limits = counts.groupBy(group).agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     # A constant gets a range of one around itself.
     flat = F.col("lo") == F.col("hi")
     limits = limits.withColumn("half", F.when(flat, 0.5).otherwise(0.0)).select(
@@ -85,10 +74,10 @@ def box_summary(
     """Quartiles, whiskers (last values within 1.5 interquartile ranges) and number of outliers of
     each named group.
 
-    The quartiles are one row per label; they are broadcast to the collapsed values.
+    The quartiles are one row per label; they are broadcast to the value counts.
     """
-    named = df.filter(F.col(group).isin(*labels))
-    quartiles = quantiles(named, [group], value, [0.25, 0.5, 0.75], max_in_task).select(
+    counts = stored_value_counts(df.filter(F.col(group).isin(*labels)), [group], value)
+    quartiles = quantiles_of_counts(counts, [group], [0.25, 0.5, 0.75], max_in_task).select(
         group,
         F.col("quantiles")[0].alias("q25"),
         F.col("quantiles")[1].alias("q50"),
@@ -97,8 +86,7 @@ def box_summary(
     reach = (F.col("q75") - F.col("q25")) * 1.5
     inside = F.col("value").between(F.col("q25") - reach, F.col("q75") + reach)
     return (
-        _of_labels(df, group, labels, value)
-        .join(F.broadcast(quartiles), group)
+        counts.join(F.broadcast(quartiles), group)
         .groupBy(group, "q25", "q50", "q75")
         .agg(
             F.min(F.when(inside, F.col("value"))).alias("whisker_low"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .hot_keys import join_per_key
+
 
 def first_seen(actions: DataFrame) -> DataFrame:
     """``(user_id, first_time)`` over all rows given. Combines on the map side, so a user with very
@@ -16,6 +18,17 @@ def first_seen(actions: DataFrame) -> DataFrame:
     )
 
 
+def with_first_seen(actions: DataFrame) -> DataFrame:
+    """Every action with the user's ``first_time`` (NULL without a user). Users with very many
+    actions are joined without a shuffle of those."""
+    users = (
+        actions.filter(F.col("user_id").isNotNull())
+        .groupBy("user_id")
+        .agg(F.min("time").alias("first_time"), F.count("*").alias("n_actions"))
+    )
+    return join_per_key(actions, users, "user_id", "n_actions")
+
+
 def merge_first_seen(known: DataFrame, new_actions: DataFrame) -> DataFrame:
     """Next state of the maintained table: the known rows and one more batch of actions.
 

@@ -19,20 +19,24 @@ def join_per_key(
     rows: str,
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
-    """Inner join of ``facts`` with ``per_key`` (unique on ``key``).
+    """Left join of ``facts`` with ``per_key`` (unique on ``key``).
 
     ``per_key`` carries in ``rows`` the number of facts of the key. Keys with more than
     1/10,000 of all facts number less than 10,000, whatever the data, so their side is broadcast
-    and their facts are not shuffled. All other keys join by shuffle. Without such a key, which a
-    count per key tells beforehand, this is a plain join.
+    and their facts are not shuffled. All other keys join by shuffle; facts without a key, which
+    match nothing, stay out of it. Without a hot key, which a count per key tells beforehand, this
+    is a plain join.
     """
     total, largest = per_key.agg(F.sum(rows), F.max(rows)).first()
     hot_from = max(min_hot_rows, (total or 0) // MAX_HOT_KEYS)
+    added = per_key.drop(key, rows).dtypes
+    keyless = facts.filter(F.col(key).isNull()).select("*", *[F.lit(None).cast(t).alias(c) for c, t in added])
+    keyed = facts.filter(F.col(key).isNotNull())
     if (largest or 0) <= hot_from:
-        return facts.join(per_key.drop(rows), key)
+        return keyed.join(per_key.drop(rows), key, "left").unionByName(keyless)
     per_key = cut_lineage(per_key)
     hot = per_key.filter(F.col(rows) > hot_from).drop(rows)
     cold = per_key.filter(F.col(rows) <= hot_from).drop(rows)
-    hot_facts = facts.join(F.broadcast(hot), key)
-    cold_facts = facts.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key)
-    return hot_facts.unionByName(cold_facts)
+    hot_facts = keyed.join(F.broadcast(hot), key)
+    cold_facts = keyed.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key, "left")
+    return hot_facts.unionByName(cold_facts).unionByName(keyless)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.significance import normal_two_sided_p
+from ..session import cut_lineage
 from .ranks import VALUES_PER_TASK, with_ranges, with_rows_before
 
 
@@ -22,7 +23,7 @@ def mann_whitney(
     approximation with tie and continuity correction. Ranks come from running totals over distinct
     values, so rows are never sorted.
     """
-    counts = (
+    counts = cut_lineage(
         df.filter(F.col(group).isin(*labels))
         .select(group, F.col(value).cast("double").alias("value"))
         .dropna()

@@ -26,15 +26,15 @@ def value_counts(df: DataFrame, groups: list[str], value: str) -> DataFrame:
     return kept.groupBy(*groups, "value").agg(F.count("*").alias("n"))
 
 
-def distinct_estimate(df: DataFrame, value: str) -> int:
-    """Estimated number of distinct values: one pass over one column, no shuffle of rows."""
-    return df.agg(F.approx_count_distinct(value)).first()[0]
+def stored_value_counts(df: DataFrame, groups: list[str], value: str) -> DataFrame:
+    """``value_counts`` written to the checkpoint folder: the data are read once, and what follows
+    reads the collapsed rows as often as it needs."""
+    return cut_lineage(value_counts(df, groups, value))
 
 
 def with_ranges(counts: DataFrame, values_per_task: int = VALUES_PER_TASK) -> DataFrame:
     """Add ``value_range``, an integer that grows with ``value``, with a bounded number of rows of
-    ``counts`` per range. ``counts`` is written to the checkpoint folder, for it is read repeatedly."""
-    counts = cut_lineage(counts)
+    ``counts`` per range. ``counts`` should be stored, for it is read repeatedly."""
     rows = counts.count()
     ranges = min(MAX_RANGES, -(-rows // values_per_task))
     if ranges < 2:
@@ -86,17 +86,23 @@ def quantiles(
     max_in_task: int = VALUES_PER_TASK,
 ) -> DataFrame:
     """Exact linear-interpolation quantiles: ``(*groups, quantiles)``, an array in the order of
-    ``probabilities``.
+    ``probabilities``."""
+    return quantiles_of_counts(stored_value_counts(df, groups, value), groups, probabilities, max_in_task)
 
-    With at most ``max_in_task`` distinct values the built-in exact percentile is used: its state
-    holds distinct values with counts. Beyond that the ranks are found range by range.
+
+def quantiles_of_counts(
+    counts: DataFrame, groups: list[str], probabilities: list[float], max_in_task: int = VALUES_PER_TASK
+) -> DataFrame:
+    """Quantiles from stored value counts.
+
+    With at most ``max_in_task`` of them the built-in exact percentile is used: its state holds
+    distinct values with their counts. Beyond that the ranks are found range by range.
     """
-    if distinct_estimate(df, value) <= max_in_task:
-        counts = value_counts(df, groups, value)
+    if counts.count() <= max_in_task:
         wanted = F.array(*[F.lit(p) for p in probabilities])
         return counts.groupBy(*groups).agg(F.percentile("value", wanted, F.col("n")).alias("quantiles"))
-    ranged = with_ranges(value_counts(df, groups, value), max_in_task)
-    return _quantiles_by_rank(with_rows_before(ranged, groups), groups, probabilities)
+    ranked = with_rows_before(with_ranges(counts, max_in_task), groups)
+    return _quantiles_by_rank(ranked, groups, probabilities)
 
 
 def _quantiles_by_rank(ranked: DataFrame, groups: list[str], probabilities: list[float]) -> DataFrame:

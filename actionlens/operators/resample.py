@@ -26,8 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.significance import normal_two_sided_p
-from ..session import cut_lineage
-from .ranks import VALUES_PER_TASK, quantiles, value_counts, with_ranges, with_rows_before
+from .ranks import VALUES_PER_TASK, quantiles, stored_value_counts, with_ranges, with_rows_before
 
 METHODS = ("resample", "poisson", "paired")
 
@@ -138,7 +137,7 @@ def _poisson_replicas(df, group, value, labels, replicas, sizes, drawn, seed, ke
 
 
 def _resample_replicas(df, group, value, labels, replicas, sizes, drawn, seed) -> DataFrame:
-    counts = cut_lineage(value_counts(df, [group], value))
+    counts = stored_value_counts(df, [group], value)
     n_parts = max(1, -(-counts.count() // VALUES_PER_PART))
     parted = counts.withColumn("part", F.pmod(F.xxhash64("value"), F.lit(n_parts)))
 
@@ -195,7 +194,7 @@ def value_positions(df: DataFrame, group: str, value: str) -> DataFrame:
     A value that occurs very often is cut into chunks of positions, which are spread over tasks
     before they are written out.
     """
-    ranked = with_rows_before(with_ranges(value_counts(df, [group], value)), [group])
+    ranked = with_rows_before(with_ranges(stored_value_counts(df, [group], value)), [group])
     chunk = F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / POSITIONS_PER_CHUNK)))
     first = F.col("chunk") * POSITIONS_PER_CHUNK
     last = F.least(first + POSITIONS_PER_CHUNK, F.col("n")) - 1

@@ -19,7 +19,7 @@ from ..functions.columns import (
     floor2,
     ratio,
 )
-from ..operators.first_seen import first_seen
+from ..operators.first_seen import first_seen, with_first_seen
 
 
 def _midnight(day: date) -> Column:
@@ -104,11 +104,9 @@ def label_new(actions: DataFrame) -> DataFrame:
     Row-level form of the new-user rule, for drill-down and as the definition that ``app_series``
     is tested against.
     """
-    users = first_seen(actions)
-    distance = elapsed_seconds("first_time", "time")
     return (
-        actions.join(users, "user_id", "left")
-        .withColumn("distance", distance)
+        with_first_seen(actions)
+        .withColumn("distance", elapsed_seconds("first_time", "time"))
         .withColumn("category", F.when(F.col("distance") == 0, "new").otherwise("old"))
         .select("user_id", "time", "action", "distance", "category")
     )

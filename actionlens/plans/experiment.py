@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import percent_text, ratio
 from ..operators.distribution import describe
-from ..operators.ranks import VALUES_PER_TASK, quantiles
+from ..operators.ranks import VALUES_PER_TASK, quantiles_of_counts, stored_value_counts
 
 # Group labels, control first, and the revenue from which a user is an outlier.
 GROUPS = ("a", "b")
@@ -64,7 +64,8 @@ def outlier_sensitivity(
     """``(testgroup, variant, users, payers, conversion, arpu, q25, q50, q75)`` with all users
     (``all``) and with revenue below ``cut`` (``cut``); quartiles are those of payers.
 
-    Both variants come from the same pass as conditional aggregates; rows are not doubled.
+    Both variants come from the same pass as conditional aggregates, and both quartiles from the
+    same value counts; rows are not doubled.
     """
     known = experiment.filter(F.col("testgroup").isNotNull())
     below = F.col("revenue") < cut
@@ -93,14 +94,13 @@ def outlier_sensitivity(
         ),
     )
     probabilities = [0.25, 0.5, 0.75]
-    payers = known.filter(_payer())
-    quartiles = quantiles(payers, ["testgroup"], "revenue", probabilities, max_in_task).withColumn(
-        "variant", F.lit("all")
-    )
-    quartiles_cut = quantiles(payers.filter(below), ["testgroup"], "revenue", probabilities, max_in_task).withColumn(
-        "variant", F.lit("cut")
-    )
-    return variants.join(quartiles.unionByName(quartiles_cut), ["testgroup", "variant"], "left").select(
+    paid = stored_value_counts(known.filter(_payer()), ["testgroup"], "revenue")
+    kept = {"all": paid, "cut": paid.filter(F.col("value") < cut)}
+    quartiles = [
+        quantiles_of_counts(counts, ["testgroup"], probabilities, max_in_task).withColumn("variant", F.lit(v))
+        for v, counts in kept.items()
+    ]
+    return variants.join(quartiles[0].unionByName(quartiles[1]), ["testgroup", "variant"], "left").select(
         "testgroup",
         "variant",
         "users",

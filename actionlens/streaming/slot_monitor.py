@@ -135,12 +135,9 @@ def run_monitor(
 
 
 def feed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feed of the test tables as a file stream."""
-    stream = (
-        spark.readStream.schema(fixtures.EVENTS)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-    )
+    """The feed of the test tables as a file stream. The pattern lets the table be one file or a
+    folder of files."""
+    stream = spark.readStream.schema(fixtures.EVENTS).parquet(f"{sf_dir}/events*.parquet")
     action = F.when(F.col("event_type") == "click", "like").otherwise(F.col("event_type"))
     return stream.filter(F.col("event_type") != "purchase").select(
         "user_id", F.col("ts").alias("time"), action.alias("action")

@@ -265,11 +265,10 @@ def retention_range_inclusive(spark, sf_dir):
 @register
 def whole_days_since_registration(spark, sf_dir):
     actions = fixtures.events(spark, sf_dir).select("user_id", F.col("ts").alias("time"))
-    users = first_seen.first_seen(actions)
     # Backwards too: a negative part of a day must round down.
     forward, backward = whole_days("first_time", "time"), whole_days("time", "first_time")
     return (
-        actions.join(users, "user_id")
+        first_seen.with_first_seen(actions)
         .groupBy(forward.alias("days"), backward.alias("days_back"))
         .agg(F.count("*").alias("n"))
     )

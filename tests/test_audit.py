@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 from actionlens.operators import audit
 from actionlens.operators.hot_keys import join_per_key
 
@@ -22,10 +24,12 @@ def test_audit_of_nothing(spark):
 
 
 def test_hot_key_join_equals_plain_join(spark):
-    facts = spark.range(3_000).selectExpr("IF(id % 3 = 0, 7, id % 500) AS k", "id AS v")
-    per_key = facts.groupBy("k").agg({"v": "min", "*": "count"}).toDF("k", "first", "n")
+    facts = spark.range(3_000).selectExpr("IF(id % 3 = 0, 7, IF(id % 500 = 1, NULL, id % 500)) AS k", "id AS v")
+    known = facts.filter("k IS NOT NULL AND k <> 8")
+    per_key = known.groupBy("k").agg(F.min("v").alias("first"), F.count("*").alias("n"))
+    plain = rows_of(facts.join(per_key.drop("n"), "k", "left"))
+    assert len(plain) == 3_000
     hot = join_per_key(facts, per_key, "k", "n", min_hot_rows=100)
-    plain = facts.join(per_key.drop("n"), "k")
-    assert rows_of(hot) == rows_of(plain.select(hot.columns))
-    assert "Union" in plan_of(hot)
-    assert "Union" not in plan_of(join_per_key(facts, per_key, "k", "n"))
+    assert rows_of(hot) == plain and "LeftAnti" in plan_of(hot)
+    cold = join_per_key(facts, per_key, "k", "n")
+    assert rows_of(cold) == plain and "LeftAnti" not in plan_of(cold)

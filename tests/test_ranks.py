@@ -42,7 +42,7 @@ def test_quantiles_of_one_row(spark):
 
 def test_rows_before_with_many_ranges(spark):
     rows = sample(3)
-    ranged = ranks.with_ranges(ranks.value_counts(frame(spark, rows), ["g"], "v"), 15)
+    ranged = ranks.with_ranges(ranks.stored_value_counts(frame(spark, rows), ["g"], "v"), 15)
     assert ranged.select("value_range").distinct().count() > 5
     for r in ranks.with_rows_before(ranged, ["g"]).collect():
         same = [v for g, v in rows if g == r["g"]]
@@ -52,7 +52,7 @@ def test_rows_before_with_many_ranges(spark):
 
 def test_no_range_holds_much_more_than_its_share(spark):
     df = spark.range(20_000).selectExpr("'a' AS g", "pow(id, 3) AS v")
-    ranged = ranks.with_ranges(ranks.value_counts(df, ["g"], "v"), 1_000)
+    ranged = ranks.with_ranges(ranks.stored_value_counts(df, ["g"], "v"), 1_000)
     assert ranged.groupBy("value_range").count().agg({"count": "max"}).first()[0] <= 1_600
 
 

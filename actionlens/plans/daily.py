@@ -5,7 +5,7 @@ The one-day report and the trailing series are the same plan over a different sp
 
 from __future__ import annotations
 
-from datetime import date, datetime, time, timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,14 +22,15 @@ from ..functions.columns import (
 from ..operators.first_seen import first_seen, with_first_seen
 
 
-def _midnight(day: date) -> Column:
-    return F.lit(datetime.combine(day, time())).cast("timestamp_ntz")
+def midnight(day: date) -> Column:
+    """Start of a day as a constant that no time zone touches."""
+    return F.lit(day).cast("timestamp_ntz")
 
 
 def in_days(column: str, first: date, last: date) -> Column:
     """``first <= day(column) <= last`` as a range on the raw timestamp, which reaches the Parquet
     scan; a condition on the derived day would not."""
-    return (F.col(column) >= _midnight(first)) & (F.col(column) < _midnight(last + timedelta(days=1)))
+    return (F.col(column) >= midnight(first)) & (F.col(column) < midnight(last + timedelta(days=1)))
 
 
 def report_span(as_of: date, days: int) -> tuple[date, date]:

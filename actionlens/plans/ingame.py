@@ -255,13 +255,14 @@ def event_funnel(actions: DataFrame, steps: list[tuple[str, Column]]) -> DataFra
 
 def choice_share(choices: DataFrame, column: str) -> DataFrame:
     """``(choice, n, share)`` of a chosen prize."""
-    known = choices.filter(F.col(column).isNotNull())
-    total = known.agg(F.count("*")).scalar()
-    return (
-        known.groupBy(F.col(column).alias("choice"))
+    counts = (
+        choices.filter(F.col(column).isNotNull())
+        .groupBy(F.col(column).alias("choice"))
         .agg(F.count("*").alias("n"))
-        .select("choice", "n", ratio(F.col("n"), total).alias("share"))
     )
+    # The total comes from the same counts: one scan feeds both.
+    total = counts.agg(F.sum("n")).scalar()
+    return counts.select("choice", "n", ratio(F.col("n"), total).alias("share"))
 
 
 def event_churn(

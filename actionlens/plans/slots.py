@@ -18,7 +18,7 @@ from ..functions.columns import (
     slot_seconds_of,
     slot_start,
 )
-from .daily import _midnight
+from .daily import midnight
 
 # Metrics that get a verdict, look-back, rolling window and band width.
 CHECKED_METRICS = ("activ_users", "views", "likes", "ctr")
@@ -78,7 +78,7 @@ def slot_series(feed: DataFrame, as_of: date | None = None, lookback_days: int =
     """
     if as_of is not None:
         # Everything below, the search for the newest bucket included, needs these days only.
-        start = _midnight(as_of - timedelta(days=lookback_days - 1))
+        start = midnight(as_of - timedelta(days=lookback_days - 1))
         feed = feed.filter(F.col("time") >= start)
     anchor = _anchor_time(feed)
     if as_of is None:

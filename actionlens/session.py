@@ -18,6 +18,7 @@ def local_session(cores: int | str = 8, app: str = "actionlens") -> SparkSession
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 

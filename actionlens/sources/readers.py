@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +37,13 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return _conform(spark.read.parquet(path), schema)
 
 
+def read_days(spark: SparkSession, path: str, schema: T.StructType, first: date, last: date) -> DataFrame:
+    """The days ``first`` to ``last`` of an action table laid out by ``write_actions``. Other days
+    are not listed as input, let alone opened."""
+    table = spark.read.parquet(path)
+    return _conform(table.filter(F.col("day").between(F.lit(first), F.lit(last))), schema)
+
+
 def read_table(spark: SparkSession, name: str, schema: T.StructType) -> DataFrame:
     """A catalog table (any catalog the session has configured)."""
     return _conform(spark.table(name), schema)

@@ -6,6 +6,8 @@ day (or the same micro-batch) leaves the same table behind.
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +22,16 @@ def write_partitions(df: DataFrame, path: str, *by: str) -> None:
     )
 
 
+def write_report(report: DataFrame, path: str, as_of: date) -> None:
+    """Reports and their text by the day they were made for; a rerun replaces that day."""
+    write_partitions(report.withColumn("as_of", F.lit(as_of)), path, "as_of")
+
+
+def write_alerts(alerts: DataFrame, path: str) -> None:
+    """Alert records by day."""
+    write_partitions(alerts.withColumn("day", F.to_date("time")), path, "day")
+
+
 def write_actions(df: DataFrame, path: str) -> None:
     """Action tables are laid out by day, which the reports prune on.
 

@@ -13,7 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.columns import ACTION_LIKE, ACTION_VIEW, day_of, ratio
+from ..functions.columns import (
+    ACTION_LIKE,
+    ACTION_VIEW,
+    day_of,
+    epoch_to_timestamp,
+    ratio,
+    timestamp_to_epoch,
+)
 from ..plans.slots import CHECKED_METRICS, LOOKBACK_DAYS, Z, _long_form, add_bands, add_verdict, alert_records
 from ..session import scratch_folder
 from ..sources import fixtures
@@ -28,12 +35,12 @@ def live_buckets(feed: DataFrame, lateness: str = LATENESS) -> DataFrame:
 
     ``feed`` is a stream of ``(user_id, time, action)``. Exact distinct users take two chained
     aggregates: the first keeps a row per open bucket and user, the second a row per open bucket,
-    so the state holds the users active within about two buckets. The watermark needs a zoned
-    timestamp; the session zone must be UTC.
+    so the state holds the users active within about two buckets. The watermark needs an instant,
+    so times pass through it as seconds since 1970; buckets begin and end on whole seconds.
     """
     known = F.col("user_id").isNotNull()
     per_user = (
-        feed.withColumn("time", F.col("time").cast("timestamp"))
+        feed.withColumn("time", F.timestamp_seconds(timestamp_to_epoch("time")))
         .withWatermark("time", lateness)
         .groupBy(F.window("time", BUCKET).alias("bucket"), "user_id")
         .agg(
@@ -53,7 +60,7 @@ def live_buckets(feed: DataFrame, lateness: str = LATENESS) -> DataFrame:
         )
     )
     return per_bucket.select(
-        F.col("bucket.start").cast("timestamp_ntz").alias("time"),
+        epoch_to_timestamp(F.unix_seconds("bucket.start")).alias("time"),
         "activ_users",
         "actions",
         "views",

@@ -3,9 +3,10 @@ from datetime import date
 import pytest
 from pyspark.errors import PySparkException
 
+from actionlens.plans import daily, slots
 from actionlens.sources import readers, schemas, sinks
 
-from .conftest import at, rows_of
+from .conftest import at, plan_of, rows_of
 
 
 def test_delimited_files(spark, tmp_path):
@@ -60,3 +61,26 @@ def test_writes_replace_only_their_partitions(spark, tmp_path, actions):
         sinks.write_actions(again, path)
     got = rows_of(spark.read.parquet(path).select("user_id", "day"))
     assert got == [(1, date(2024, 1, 1)), (3, date(2024, 1, 2))]
+
+
+def test_reports_and_alerts(spark, tmp_path, actions):
+    log = actions((1, "2024-01-01 10:00:00", "view"), (1, "2024-01-02 10:00:00", "view"))
+    for as_of in (date(2024, 1, 2), date(2024, 1, 3), date(2024, 1, 3)):
+        report = daily.feed_report(log, as_of)
+        sinks.write_report(report, f"{tmp_path}/report", as_of)
+        sinks.write_report(daily.feed_report_text(report), f"{tmp_path}/text", as_of)
+    got = rows_of(spark.read.parquet(f"{tmp_path}/report").select("as_of", "date", "dau"))
+    assert got == [(date(2024, 1, 2), date(2024, 1, 1), 1), (date(2024, 1, 3), date(2024, 1, 2), 1)]
+    assert spark.read.parquet(f"{tmp_path}/text").count() == 2
+
+    log = actions(*[(u, f"2024-01-{d:02d} 12:00:00", "view") for d in range(1, 5) for u in range(d)], (0, "2024-01-04 12:15:00", "view"))
+    sinks.write_alerts(slots.alert_records(slots.slot_anomalies(log)), f"{tmp_path}/alerts")
+    assert spark.read.parquet(f"{tmp_path}/alerts").filter("day = '2024-01-04'").count() == 4
+
+
+def test_days_are_pruned(spark, tmp_path, actions):
+    log = actions(*[(d, f"2024-01-{d:02d} 10:00:00", "view") for d in range(1, 11)])
+    sinks.write_actions(log, f"{tmp_path}/feed")
+    days = readers.read_days(spark, f"{tmp_path}/feed", schemas.FEED_ACTIONS, date(2024, 1, 3), date(2024, 1, 9))
+    assert rows_of(daily.feed_series(days, date(2024, 1, 10))) == rows_of(daily.feed_series(log, date(2024, 1, 10)))
+    assert "PartitionFilters: [isnotnull(day" in plan_of(days)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranks import VALUES_PER_TASK, quantiles, quantiles_of_counts, stored_value_counts, value_counts
+from .ranks import VALUES_PER_TASK, quantiles, quantiles_of_counts, stored_value_counts
 
 
 def describe(df: DataFrame, group: str, value: str, max_in_task: int = VALUES_PER_TASK) -> DataFrame:
@@ -37,10 +37,10 @@ def histogram(df: DataFrame, group: str, labels: tuple[str, ...], value: str, bi
     ``(group, bin, low, high, n)``. Bins count from 1, the last one is closed on both sides, empty
     ones are left out.
 
-    Values and limits come from the same value counts, so the data are read once. The limits are
-    one row per label: their size is known and they are broadcast.
+    Values and limits come from the same stored value counts, so the data are read once. The limits
+    are one row per label: their size is known and they are broadcast.
     """
-    counts = value_counts(df.filter(F.col(group).isin(*labels)), [group], value)
+    counts = stored_value_counts(df.filter(F.col(group).isin(*labels)), [group], value)
     limits = counts.groupBy(group).agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     # A constant gets a range of one around itself.
     flat = F.col("lo") == F.col("hi")

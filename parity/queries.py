@@ -574,18 +574,25 @@ def event_split_activity(spark, sf_dir):
     return _activity(spark, sf_dir, True)
 
 
+def _event_retention(spark, sf_dir, with_step):
+    actions = _event_actions(spark, sf_dir)
+    in_reach = ingame.reachable(actions, *EVENT_DAYS, horizon=max(ingame.RETENTION_DAYS))
+    return ingame.event_retention(in_reach, _exposed(spark, sf_dir, with_step))
+
+
 @register
 def event_retention(spark, sf_dir):
-    return ingame.event_retention(_event_actions(spark, sf_dir), _exposed(spark, sf_dir, False))
+    return _event_retention(spark, sf_dir, False)
 
 
 @register
 def event_split_retention(spark, sf_dir):
-    return ingame.event_retention(_event_actions(spark, sf_dir), _exposed(spark, sf_dir))
+    return _event_retention(spark, sf_dir, True)
 
 
 def _payments(spark, sf_dir):
-    return _event_actions(spark, sf_dir).filter(F.col("event_type") == "purchase")
+    paid = _event_actions(spark, sf_dir).filter(F.col("event_type") == "purchase")
+    return ingame.reachable(paid, *EVENT_DAYS, horizon=30)
 
 
 @register

@@ -94,3 +94,15 @@ def test_raw_sessions_do_not_meet_the_join(spark):
     regs, auths = fixtures.registrations(spark, "/root/testdata/sf0.01"), fixtures.sessions(spark, "/root/testdata/sf0.01")
     plan = plan_of(r.retention_range(regs, auths, 14, date(1995, 3, 1), date(1995, 10, 1)))
     assert "CartesianProduct" not in plan and "partial_min" in plan
+
+
+def test_ranges_reach_the_scan(spark, tmp_path):
+    regs, auths = frames(spark, [(0, JAN)], [(0, JAN)])
+    regs.write.parquet(f"{tmp_path}/regs")
+    auths.write.parquet(f"{tmp_path}/auths")
+    stored = spark.read.parquet(f"{tmp_path}/regs"), spark.read.parquet(f"{tmp_path}/auths")
+    ranged = r.retention_range(*stored, 14, date(2020, 1, 1), date(2020, 2, 1))
+    plan = plan_of(ranged)
+    assert f"GreaterThanOrEqual(reg_ts,{JAN}), LessThan(reg_ts,{FEB})" in plan
+    assert f"GreaterThanOrEqual(auth_ts,{JAN}), LessThanOrEqual(auth_ts,{FEB + 15 * DAY})" in plan
+    assert rows_of(ranged) == [("2020-01", 0, 1, 1.0)]

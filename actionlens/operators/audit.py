@@ -51,8 +51,8 @@ def key_uniqueness(df: DataFrame, key: str) -> DataFrame:
 def unmatched_rows(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Rows of ``left`` whose key is missing on the right.
 
-    Left rows are counted per key before the join; the join then sees each key once.
+    Both sides are brought to one row per key first, so a key with very many rows is no hot spot.
     """
     keys = left.groupBy(key).agg(F.count("*").alias("n"))
-    missing = keys.join(right.select(key), key, "left_anti")
+    missing = keys.join(right.select(key).distinct(), key, "left_anti")
     return missing.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("unmatched"))

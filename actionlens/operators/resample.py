@@ -184,7 +184,8 @@ def _resample_replicas(df, group, value, labels, replicas, sizes, drawn, seed) -
         .applyInPandas(draw_values, f"{group} string, replica long, part long, total double")
     )
     n_draws = F.when(F.col(group) == labels[0], float(drawn[labels[0]])).otherwise(float(drawn[labels[1]]))
-    means = totals.groupBy("replica", group).agg((F.sum("total") / F.first(n_draws)).alias("mean"))
+    sums = totals.groupBy("replica", group).agg(F.sum("total").alias("total"))
+    means = sums.select("replica", group, F.try_divide("total", n_draws).alias("mean"))
     return _difference(means, group, labels)
 
 

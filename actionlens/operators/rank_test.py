@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.significance import normal_two_sided_p
 from ..session import cut_lineage
-from .ranks import VALUES_PER_TASK, with_ranges, with_rows_before
+from .ranks import VALUES_PER_TASK, range_offsets, with_ranges, with_rows_before
 
 
 def mann_whitney(
@@ -33,7 +33,8 @@ def mann_whitney(
             F.count_if(F.col(group) == labels[0]).alias("n_a"),
         )
     )
-    ranked = with_rows_before(with_ranges(counts, values_per_task), [])
+    ranged = with_ranges(counts, values_per_task)
+    ranked = with_rows_before(ranged, range_offsets(ranged, []), [])
     mid_rank = F.col("rows_before") + (F.col("n") + 1) / 2
     n = F.col("n").cast("double")
     sums = ranked.agg(

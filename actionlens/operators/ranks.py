@@ -9,7 +9,7 @@ the ranges, also after a lost executor, sees the same cut.
 from __future__ import annotations
 
 from pyspark.ml.feature import QuantileDiscretizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -19,6 +19,9 @@ from ..session import cut_lineage
 VALUES_PER_TASK = 1_000_000
 MAX_RANGES = 10_000
 
+# Counted rows up to which a side of a join is broadcast.
+MAX_BROADCAST_ROWS = 100_000
+
 
 def value_counts(df: DataFrame, groups: list[str], value: str) -> DataFrame:
     """``(*groups, value, n)``; null groups and null values are left out, as in a group-by mean."""
@@ -49,32 +52,38 @@ def with_ranges(counts: DataFrame, values_per_task: int = VALUES_PER_TASK) -> Da
     return cutter.transform(counts).withColumn("value_range", F.col("value_range").cast("long"))
 
 
-def with_rows_before(ranged: DataFrame, groups: list[str], count: str = "n") -> DataFrame:
-    """Add ``rows_before`` (rows of the group with a smaller value) and ``rows_total``.
-
-    Ranges are summed first; their running total has one row per range. The running total inside
-    a range touches that range only.
-    """
+def range_offsets(ranged: DataFrame, groups: list[str], count: str = "n") -> DataFrame:
+    """``(*groups, value_range, in_range, range_before, rows_total)``: rows in the range, in earlier
+    ranges of the group, and in the whole group. One row per group and range; stored, for the
+    following steps look at it more than once."""
     whole = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(0))
     earlier = whole.orderBy("value_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
+    return cut_lineage(
         ranged.groupBy(*groups, "value_range")
         .agg(F.sum(count).alias("in_range"))
         .withColumn("range_before", F.coalesce(F.sum("in_range").over(earlier), F.lit(0)))
         .withColumn("rows_total", F.sum("in_range").over(whole))
-        .drop("in_range")
     )
+
+
+def with_rows_before(ranged: DataFrame, offsets: DataFrame, groups: list[str], count: str = "n") -> DataFrame:
+    """Add ``rows_before`` (rows of the group with a smaller value) and ``rows_total`` to the rows
+    whose range is in ``offsets``. The running total inside a range touches that range only.
+
+    Offsets are broadcast if they were counted to be few.
+    """
+    few = offsets.count() <= MAX_BROADCAST_ROWS
     inside = (
         Window.partitionBy(*groups, "value_range")
         .orderBy("value")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     return (
-        ranged.withColumn("inside_before", F.coalesce(F.sum(count).over(inside), F.lit(0)))
-        .join(offsets, [*groups, "value_range"])
+        ranged.join(F.broadcast(offsets) if few else offsets, [*groups, "value_range"])
+        .withColumn("inside_before", F.coalesce(F.sum(count).over(inside), F.lit(0)))
         .withColumn("rows_before", (F.col("range_before") + F.col("inside_before")).cast("long"))
         .withColumn("rows_total", F.col("rows_total").cast("long"))
-        .drop("value_range", "inside_before", "range_before")
+        .drop("value_range", "in_range", "range_before", "inside_before")
     )
 
 
@@ -101,29 +110,14 @@ def quantiles_of_counts(
     if counts.count() <= max_in_task:
         wanted = F.array(*[F.lit(p) for p in probabilities])
         return counts.groupBy(*groups).agg(F.percentile("value", wanted, F.col("n")).alias("quantiles"))
-    ranked = with_rows_before(with_ranges(counts, max_in_task), groups)
-    return _quantiles_by_rank(ranked, groups, probabilities)
-
-
-def _quantiles_by_rank(ranked: DataFrame, groups: list[str], probabilities: list[float]) -> DataFrame:
-    """Pick the values at the wanted positions. Each collapsed row covers the positions
-    ``rows_before .. rows_before + n - 1``; only rows that cover a wanted one survive."""
-    last = F.col("rows_total") - 1
-    parts = []
-    for i, p in enumerate(probabilities):
-        position = last * F.lit(float(p))
-        for rank in (F.floor(position), F.ceil(position)):
-            parts.append(
-                F.struct(
-                    F.lit(i).alias("i"), rank.cast("long").alias("rank"), (position - F.floor(position)).alias("part")
-                )
-            )
-    covers = lambda w: (w["rank"] >= F.col("rows_before")) & (w["rank"] < F.col("rows_before") + F.col("n"))
-    hits = (
-        ranked.withColumn("wanted", F.filter(F.array(*parts), covers))
-        .filter(F.size("wanted") > 0)
-        .select(*groups, "value", F.explode("wanted").alias("w"))
-    )
+    ranged = with_ranges(counts, max_in_task)
+    offsets = range_offsets(ranged, groups)
+    start, size = F.col("range_before"), F.col("in_range")
+    needed = offsets.filter(F.size(_wanted_ranks(probabilities, start, size)) > 0)
+    # Only ranges that hold a wanted rank are sorted; the others were needed for their size alone.
+    ranked = with_rows_before(ranged, needed, groups)
+    wanted = _wanted_ranks(probabilities, F.col("rows_before"), F.col("n"))
+    hits = ranked.select(*groups, "value", F.explode(wanted).alias("w"))
     # Two picked values per probability and group: the neighbours of the position.
     per_probability = hits.groupBy(*groups, F.col("w.i").alias("i")).agg(
         F.min("value").alias("low"), F.max("value").alias("high"), F.first("w.part").alias("part")
@@ -131,3 +125,15 @@ def _quantiles_by_rank(ranked: DataFrame, groups: list[str], probabilities: list
     quantile = F.col("low") + (F.col("high") - F.col("low")) * F.col("part")
     ordered = F.array_sort(F.collect_list(F.struct("i", quantile.alias("q"))))
     return per_probability.groupBy(*groups).agg(F.transform(ordered, lambda s: s["q"]).alias("quantiles"))
+
+
+def _wanted_ranks(probabilities: list[float], first: Column, rows: Column) -> Column:
+    """Of the ranks next to the wanted positions, those within ``first .. first + rows - 1``: an
+    array of ``(i, rank, part)``, probability number, rank, and way from it to the next one."""
+    wanted = []
+    for i, p in enumerate(probabilities):
+        position = (F.col("rows_total") - 1) * F.lit(float(p))
+        for rank in (F.floor(position), F.ceil(position)):
+            part = position - F.floor(position)
+            wanted.append(F.struct(F.lit(i).alias("i"), rank.cast("long").alias("rank"), part.alias("part")))
+    return F.filter(F.array(*wanted), lambda w: (w["rank"] >= first) & (w["rank"] < first + rows))

@@ -26,7 +26,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.significance import normal_two_sided_p
-from .ranks import VALUES_PER_TASK, quantiles, stored_value_counts, with_ranges, with_rows_before
+from .ranks import (
+    VALUES_PER_TASK,
+    quantiles,
+    range_offsets,
+    stored_value_counts,
+    with_ranges,
+    with_rows_before,
+)
 
 METHODS = ("resample", "poisson", "paired")
 
@@ -195,7 +202,8 @@ def value_positions(df: DataFrame, group: str, value: str) -> DataFrame:
     A value that occurs very often is cut into chunks of positions, which are spread over tasks
     before they are written out.
     """
-    ranked = with_rows_before(with_ranges(stored_value_counts(df, [group], value)), [group])
+    ranged = with_ranges(stored_value_counts(df, [group], value))
+    ranked = with_rows_before(ranged, range_offsets(ranged, [group]), [group])
     chunk = F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / POSITIONS_PER_CHUNK)))
     first = F.col("chunk") * POSITIONS_PER_CHUNK
     last = F.least(first + POSITIONS_PER_CHUNK, F.col("n")) - 1

@@ -44,7 +44,8 @@ def test_rows_before_with_many_ranges(spark):
     rows = sample(3)
     ranged = ranks.with_ranges(ranks.stored_value_counts(frame(spark, rows), ["g"], "v"), 15)
     assert ranged.select("value_range").distinct().count() > 5
-    for r in ranks.with_rows_before(ranged, ["g"]).collect():
+    offsets = ranks.range_offsets(ranged, ["g"])
+    for r in ranks.with_rows_before(ranged, offsets, ["g"]).collect():
         same = [v for g, v in rows if g == r["g"]]
         assert r["rows_before"] == sum(v < r["value"] for v in same)
         assert r["rows_total"] == len(same) and r["n"] == same.count(r["value"])

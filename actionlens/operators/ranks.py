@@ -39,9 +39,9 @@ def with_ranges(counts: DataFrame, values_per_task: int = VALUES_PER_TASK) -> Da
     """Add ``value_range``, an integer that grows with ``value``, with a bounded number of rows of
     ``counts`` per range. ``counts`` should be stored, for it is read repeatedly."""
     rows = counts.count()
-    ranges = min(MAX_RANGES, -(-rows // values_per_task))
-    if ranges < 2:
+    if rows < 2:
         return counts.withColumn("value_range", F.lit(0).cast("long"))
+    ranges = min(MAX_RANGES, max(2, -(-rows // values_per_task)))
     cutter = QuantileDiscretizer(
         numBuckets=ranges,
         inputCol="value",

@@ -159,7 +159,8 @@ def event_revenue(
     """Revenue per exposed user within ``horizons`` days from the exposure.
 
     Payments ``(user_id, time, amount)`` are summed per user and second before the join, so the
-    rows of one user are bounded by time, not by the number of payments.
+    rows of one user are bounded by time, not by the number of payments. Users who paid nothing
+    stay in the join and make up the denominator.
     """
     paid = (
         payments.filter(F.col("user_id").isNotNull())
@@ -169,12 +170,12 @@ def event_revenue(
     since = F.col("second") - F.col("exposed_at")
     within = [(since >= 0) & (since < d * DAY_SECONDS) for d in horizons]
     per_user = (
-        paid.join(exposed, "user_id")
-        .filter((since >= 0) & (since < max(horizons) * DAY_SECONDS))
+        exposed.join(paid, "user_id", "left")
         .groupBy("segment", "user_id")
         .agg(*[F.sum(F.when(w, F.col("amount"))).alias(f"revenue_{d}") for d, w in zip(horizons, within)])
     )
     totals = per_user.groupBy("segment").agg(
+        F.count("user_id").alias("exposed"),
         *[F.sum(f"revenue_{d}").alias(f"revenue_{d}") for d in horizons],
         *[F.count(f"revenue_{d}").alias(f"payers_{d}") for d in horizons],
     )
@@ -182,18 +183,13 @@ def event_revenue(
         *[
             F.struct(
                 F.lit(d).cast("long").alias("horizon"),
-                F.coalesce(F.col(f"payers_{d}"), F.lit(0)).cast("long").alias("payers"),
+                F.col(f"payers_{d}").alias("payers"),
                 F.coalesce(F.col(f"revenue_{d}").cast("double"), F.lit(0.0)).alias("revenue"),
             )
             for d in horizons
         ]
     )
-    sizes = exposed.groupBy("segment").agg(F.count("user_id").alias("exposed"))
-    return (
-        sizes.join(totals, "segment", "left")
-        .select("segment", "exposed", F.inline(rows))
-        .withColumn("ltv", ratio("revenue", "exposed"))
-    )
+    return totals.select("segment", "exposed", F.inline(rows)).withColumn("ltv", ratio("revenue", "exposed"))
 
 
 def reactivated_users(actions: DataFrame, gap_days: int) -> DataFrame:

@@ -32,6 +32,17 @@ ORDERS = T.StructType(
 )
 
 
+CUSTOMER = T.StructType(
+    [
+        T.StructField("c_custkey", T.LongType()),
+        T.StructField("c_name", T.StringType()),
+        T.StructField("c_nationkey", T.IntegerType()),
+        T.StructField("c_acctbal", T.DoubleType()),
+        T.StructField("c_mktsegment", T.StringType()),
+    ]
+)
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
@@ -40,6 +51,10 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(ORDERS).parquet(f"{sf_dir}/orders.parquet")
 
 
+def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(CUSTOMER).parquet(f"{sf_dir}/customer.parquet")
+
+
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     action = F.when(F.col("event_type") == "click", "like").otherwise(F.col("event_type"))
     return (

@@ -11,6 +11,8 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import slot_seconds_of
+
 
 def write_partitions(df: DataFrame, path: str, *by: str) -> None:
     """Replace the partitions of ``path`` that occur in ``df``; others stay."""
@@ -28,8 +30,9 @@ def write_report(report: DataFrame, path: str, as_of: date) -> None:
 
 
 def write_alerts(alerts: DataFrame, path: str) -> None:
-    """Alert records by day."""
-    write_partitions(alerts.withColumn("day", F.to_date("time")), path, "day")
+    """Alert records by day and slot, so that the runs of one day do not replace each other."""
+    keyed = alerts.withColumns({"day": F.to_date("time"), "slot": slot_seconds_of("time")})
+    write_partitions(keyed, path, "day", "slot")
 
 
 def write_actions(df: DataFrame, path: str) -> None:

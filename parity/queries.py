@@ -17,7 +17,6 @@ from actionlens.functions import (
     month_of,
     slot_seconds_of,
     slot_start,
-    timestamp_to_epoch,
     whole_days,
     year_month_text,
 )
@@ -520,11 +519,12 @@ def audit_key_unique(spark, sf_dir):
 
 @register
 def audit_unmatched(spark, sf_dir):
-    """Sessions of users that registered before the orders' first half year."""
-    sessions = fixtures.sessions(spark, sf_dir)
-    border = timestamp_to_epoch(F.expr("timestamp_ntz'1995-07-01 00:00:00'"))
-    early = fixtures.registrations(spark, sf_dir).filter(F.col("reg_ts") < border)
-    return audit.unmatched_rows(sessions, early, "uid")
+    """Sessions without a registration, and customers that never ordered."""
+    sessions, registrations = fixtures.sessions(spark, sf_dir), fixtures.registrations(spark, sf_dir)
+    customers = fixtures.customers(spark, sf_dir).select(F.col("c_custkey").alias("uid"))
+    checks = {"sessions": sessions, "customers": customers}
+    counted = [audit.unmatched_rows(df, registrations, "uid").withColumn("input", F.lit(n)) for n, df in checks.items()]
+    return counted[0].unionByName(counted[1])
 
 
 # In-game event

@@ -574,9 +574,10 @@ SELECT count(*), count(DISTINCT uid), count(*) = count(DISTINCT uid), 'sessions'
 """,
     "audit_unmatched": f"""
 WITH {ORDERS_CTE}
-SELECT count(*) FILTER (r.reg_ts IS NULL) AS unmatched
-FROM auths a
-LEFT JOIN (SELECT * FROM regs WHERE reg_ts < epoch(TIMESTAMP '1995-07-01')) r ON a.uid = r.uid
+SELECT count(*) FILTER (r.reg_ts IS NULL) AS unmatched, 'sessions' AS input
+FROM auths a LEFT JOIN regs r ON a.uid = r.uid
+UNION ALL
+SELECT count(*) FILTER (r.reg_ts IS NULL), 'customers' FROM customer c LEFT JOIN regs r ON c.c_custkey = r.uid
 """,
 }
 

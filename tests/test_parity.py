@@ -7,6 +7,8 @@ from parity.check import mismatch, open_tables
 from parity.queries import QUERIES
 from parity.sql import SQL
 
+from .conftest import plan_of
+
 SF = "/root/testdata/sf0.001"
 
 # Random draws whose sampler has no SQL form; checked against the drawing scheme in test_resample.
@@ -33,6 +35,12 @@ def test_gives_rows(spark, name):
     assert QUERIES[name](spark, SF).count() > 0
 
 
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"live_slot_buckets", "live_slot_alerts"}))
+def test_no_pairwise_join(spark, name):
+    plan = plan_of(QUERIES[name](spark, SF))
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
 def test_entry(spark):
     df = entry_point.entry(spark)
     assert df.count() == 7 and df.columns[:3] == ["date", "dau", "new_users"]

@@ -119,3 +119,14 @@ def test_same_answer_from_both_ways(spark):
     ranged = rows_of(ranks.quantiles(df, ["g"], "v", [0.1, 0.9], 5).selectExpr("g", "quantiles[0]", "quantiles[1]"))
     for s, r in zip(small, ranged):
         assert s[0] == r[0] and s[1:] == pytest.approx(r[1:])
+
+
+def test_few_rows(spark):
+    empty = frame(spark, [])
+    assert ranks.quantiles(empty, ["g"], "v", [0.5], 0).count() == 0
+    assert rank_test.mann_whitney(empty, "g", "v", ("a", "b")).first()["p_value"] is None
+    assert rank_test.mann_whitney(frame(spark, [("a", 1.0)]), "g", "v", ("a", "b")).first()["p_value"] is None
+    same = rank_test.mann_whitney(frame(spark, [("a", 1.0), ("b", 1.0)]), "g", "v", ("a", "b")).first()
+    assert (same["u"], same["mean_u"], same["sigma_u"], same["p_value"]) == (0.5, 0.5, 0.0, None)
+    assert distribution.histogram(empty, "g", ("a",), "v", 3).count() == 0
+    assert distribution.box_summary(empty, "g", ("a",), "v").count() == 0

@@ -404,7 +404,7 @@ def mann_whitney_ab(spark, sf_dir):
 
 def _rounded_test(replicas: DataFrame) -> DataFrame:
     test = resample.summarise_replicas(replicas)
-    return rounded(test, "mean", "sigma", "ci_low", "ci_high", "z", scale=5)
+    return rounded(test, "mean", "sigma", "ci_low", "ci_high", "z", scale=8)
 
 
 @register

@@ -520,9 +520,9 @@ replicas AS (
 
 
 TEST_ROW = """
-SELECT count(*) AS replicas, round(avg(stat), 5) AS mean, round(stddev_pop(stat), 5) AS sigma,
-       round(quantile_cont(stat, 0.025), 5) AS ci_low, round(quantile_cont(stat, 0.975), 5) AS ci_high,
-       round(avg(stat) / nullif(stddev_pop(stat), 0), 5) AS z
+SELECT count(*) AS replicas, round(avg(stat), 8) AS mean, round(stddev_pop(stat), 8) AS sigma,
+       round(quantile_cont(stat, 0.025), 8) AS ci_low, round(quantile_cont(stat, 0.975), 8) AS ci_high,
+       round(avg(stat) / nullif(stddev_pop(stat), 0), 8) AS z
 FROM replicas
 """
 

@@ -28,6 +28,7 @@ from ..sources.sinks import write_partitions
 
 BUCKET = "15 minutes"
 LATENESS = "15 minutes"
+STATE_PARTITIONS = "spark.sql.shuffle.partitions"
 
 
 def live_buckets(feed: DataFrame, lateness: str = LATENESS) -> DataFrame:
@@ -123,22 +124,34 @@ def run_monitor(
     checkpoint: str,
     lookback_days: int = LOOKBACK_DAYS,
     z: float = Z,
+    state_partitions: int | None = None,
     **trigger,
 ) -> StreamingQuery:
     """Start the monitor; ``trigger`` as for ``DataStreamWriter.trigger``, every 15 minutes by
-    default."""
+    default.
+
+    The number of state partitions is fixed with the first start on a checkpoint. By default it is
+    the session's number of shuffle partitions; ``state_partitions`` sets it for this stream alone.
+    """
 
     def store(closed: DataFrame, batch_id: int) -> None:
         store_batch(closed, batch_id, buckets_path, alerts_path, lookback_days, z)
 
-    return (
+    writer = (
         live_buckets(feed)
         .writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(store)
         .trigger(**(trigger or {"processingTime": BUCKET}))
-        .start()
     )
+    settings = feed.sparkSession.conf
+    of_session = settings.get(STATE_PARTITIONS)
+    try:
+        # A stream copies the settings of its session when it starts.
+        settings.set(STATE_PARTITIONS, str(state_partitions or of_session))
+        return writer.start()
+    finally:
+        settings.set(STATE_PARTITIONS, of_session)
 
 
 def feed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,7 +169,12 @@ def replay(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     folder = scratch_folder(spark)
     buckets, alerts = f"{folder}/buckets", f"{folder}/alerts"
     stream = run_monitor(
-        feed_stream(spark, sf_dir), buckets, alerts, f"{folder}/stream", availableNow=True
+        feed_stream(spark, sf_dir),
+        buckets,
+        alerts,
+        f"{folder}/stream",
+        state_partitions=spark.sparkContext.defaultParallelism,
+        availableNow=True,
     )
     stream.awaitTermination()
     return buckets, alerts

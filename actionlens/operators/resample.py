@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from ..functions.significance import normal_two_sided_p
 from .ranks import (
+    MAX_BROADCAST_ROWS,
     VALUES_PER_TASK,
     quantiles,
     range_offsets,
@@ -40,7 +41,10 @@ METHODS = ("resample", "poisson", "paired")
 # Distinct values per task of the multinomial draw, and drawn counts held at a time.
 VALUES_PER_PART = 10_000
 DRAWN_AT_ONCE = 2_000_000
+
+# Replicas that one task shares out over the value parts, and shares held at a time.
 REPLICAS_PER_BLOCK = 250
+SHARES_AT_ONCE = 20_000_000
 
 # Rows written by one step of turning a repeated value into positions.
 POSITIONS_PER_CHUNK = 8_192
@@ -71,9 +75,9 @@ def poisson_thresholds(rate: float) -> list[float]:
     return out
 
 
-def _group_sizes(df: DataFrame, group: str, value: str, labels: tuple[str, str]) -> dict[str, int]:
-    """Rows with a value in each of the two groups; two rows come to the driver."""
-    counted = df.filter(F.col(group).isin(*labels)).groupBy(group).agg(F.count(value).alias("n")).collect()
+def _group_sizes(known: DataFrame, group: str, labels: tuple[str, str]) -> dict[str, int]:
+    """Rows of each of the two groups; two rows come to the driver."""
+    counted = known.groupBy(group).agg(F.count("*").alias("n")).collect()
     return {label: 0 for label in labels} | {r[0]: r[1] for r in counted}
 
 
@@ -99,15 +103,16 @@ def bootstrap_replicas(
 
     ``draws='max'`` draws as many values from each group as the larger one has; ``'own'`` draws
     the size of the group (not for ``paired``). ``poisson`` needs ``key``, a unique row key.
-    A callable ``statistic`` builds an aggregate column from the column of differences.
+    A callable ``statistic`` builds an aggregate column from the column of differences. Rows without
+    a value (NULL or NaN) are left out.
     """
     if method not in METHODS:
         raise ValueError(f"method is one of {METHODS}")
     if method != "paired" and statistic != "mean":
         raise ValueError("only method='paired' takes a statistic other than the mean")
-    sizes = _group_sizes(df, group, value, labels)
+    known = df.filter(F.col(group).isin(*labels)).dropna(subset=[value])
+    sizes = _group_sizes(known, group, labels)
     drawn = _draw_counts(sizes, draws)
-    known = df.filter(F.col(group).isin(*labels) & F.col(value).isNotNull())
     if method == "poisson":
         if key is None:
             raise ValueError("method='poisson' needs the key of a row")
@@ -148,7 +153,8 @@ def _resample_replicas(df, group, value, labels, replicas, sizes, drawn, seed) -
     n_parts = max(1, -(-counts.count() // VALUES_PER_PART))
     parted = counts.withColumn("part", F.pmod(F.xxhash64("value"), F.lit(n_parts)))
 
-    n_blocks = -(-replicas // REPLICAS_PER_BLOCK)
+    per_block = max(1, min(REPLICAS_PER_BLOCK, SHARES_AT_ONCE // n_parts))
+    n_blocks = -(-replicas // per_block)
     part_sizes = (
         parted.groupBy(group, "part")
         .agg(F.sum("n").alias("n"))
@@ -159,7 +165,7 @@ def _resample_replicas(df, group, value, labels, replicas, sizes, drawn, seed) -
         """How many draws of each replica of one block fall into each part."""
         pdf = pdf.sort_values("part")
         label, block = pdf[group].iloc[0], int(pdf["block"].iloc[0])
-        size = min(REPLICAS_PER_BLOCK, replicas - block * REPLICAS_PER_BLOCK)
+        size = min(per_block, replicas - block * per_block)
         rng = np.random.default_rng([seed, labels.index(label), block])
         share = pdf["n"].to_numpy() / pdf["n"].sum()
         out = rng.multinomial(drawn[label], share, size=size)
@@ -210,7 +216,8 @@ def value_positions(df: DataFrame, group: str, value: str) -> DataFrame:
     return (
         ranked.select(group, "value", "rows_before", "n", chunk.alias("chunk"))
         .repartition(group, "value", "chunk")
-        .select(group, "value", F.explode(F.sequence(F.col("rows_before") + first, F.col("rows_before") + last)).alias("position"))
+        .withColumn("position", F.explode(F.sequence(F.col("rows_before") + first, F.col("rows_before") + last)))
+        .select(group, "position", "value")
     )
 
 
@@ -226,6 +233,8 @@ def _paired_replicas(df, group, value, labels, replicas, sizes, drawn, seed, sta
         u = uniform(seed, label, F.col("replica"), F.col("i"))
         at = F.least(F.floor(u * sizes[label]), F.lit(sizes[label] - 1)).alias("position")
         values = positions.filter(F.col(group) == label).select("position", F.col("value").alias(f"x_{label}"))
+        # A small group has few positions, each drawn very often: it is broadcast, never shuffled to.
+        values = F.broadcast(values) if sizes[label] <= MAX_BROADCAST_ROWS else values
         grid = grid.select("*", at).join(values, "position").drop("position")
     pairs = grid.select("replica", (F.col(f"x_{labels[0]}") - F.col(f"x_{labels[1]}")).alias("diff"))
     if statistic == "mean":
@@ -261,7 +270,9 @@ def summarise_replicas(replicas: DataFrame, level: float = 0.95) -> DataFrame:
     )
 
 
-def bootstrap_test(df: DataFrame, group: str, value: str, labels: tuple[str, str], level: float = 0.95, **options) -> DataFrame:
+def bootstrap_test(
+    df: DataFrame, group: str, value: str, labels: tuple[str, str], level: float = 0.95, **options
+) -> DataFrame:
     """Interval and p-value of the difference between two groups; options as for
     ``bootstrap_replicas``."""
     return summarise_replicas(bootstrap_replicas(df, group, value, labels, **options), level)

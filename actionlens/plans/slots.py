@@ -97,7 +97,7 @@ def slot_series(feed: DataFrame, as_of: date | None = None, lookback_days: int =
     return bucket_metrics(in_slot).drop("day", "slot")
 
 
-def _long_form(series: DataFrame, keys: list[str], metrics: tuple[str, ...]) -> DataFrame:
+def long_form(series: DataFrame, keys: list[str], metrics: tuple[str, ...]) -> DataFrame:
     as_double = [F.col(m).cast("double").alias(m) for m in metrics]
     return series.select(*keys, *as_double).unpivot(keys, list(metrics), "metric", "value")
 
@@ -144,7 +144,7 @@ def slot_bands(
 ) -> DataFrame:
     """Bands and verdicts for every day of the slot series, all metrics in one job."""
     series = slot_series(feed, as_of, lookback_days)
-    banded = add_bands(_long_form(series, ["time"], CHECKED_METRICS), ["metric"], z)
+    banded = add_bands(long_form(series, ["time"], CHECKED_METRICS), ["metric"], z)
     return add_verdict(banded)
 
 
@@ -163,7 +163,7 @@ def slot_anomalies(
 
 def all_slot_bands(feed: DataFrame, z: float = Z) -> DataFrame:
     """Bands and verdicts for all 96 slots of the day at once, over all days in ``feed``."""
-    long = _long_form(bucket_metrics(feed), ["slot", "time"], CHECKED_METRICS)
+    long = long_form(bucket_metrics(feed), ["slot", "time"], CHECKED_METRICS)
     return add_verdict(add_bands(long, ["metric", "slot"], z))
 
 

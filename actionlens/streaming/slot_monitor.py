@@ -21,7 +21,7 @@ from ..functions.columns import (
     ratio,
     timestamp_to_epoch,
 )
-from ..plans.slots import CHECKED_METRICS, LOOKBACK_DAYS, Z, _long_form, add_bands, add_verdict, alert_records
+from ..plans.slots import CHECKED_METRICS, LOOKBACK_DAYS, Z, long_form, add_bands, add_verdict, alert_records
 from ..session import scratch_folder
 from ..sources import fixtures
 from ..sources.sinks import write_partitions
@@ -81,7 +81,7 @@ def verdicts_for(buckets: DataFrame, closed: DataFrame, lookback_days: int = LOO
         "closed_at", F.timestamp_add("DAY", -F.col("back"), "closed_at").alias("time")
     )
     series = buckets.join(wanted, "time")
-    long = _long_form(series, ["closed_at", "time"], CHECKED_METRICS)
+    long = long_form(series, ["closed_at", "time"], CHECKED_METRICS)
     banded = add_bands(long, ["closed_at", "metric"], z)
     return add_verdict(banded).filter(F.col("time") == F.col("closed_at")).drop("closed_at")
 

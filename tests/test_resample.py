@@ -142,3 +142,27 @@ def test_poisson_thresholds():
 def test_wrong_options_are_refused(table, options):
     with pytest.raises(ValueError):
         resample.bootstrap_replicas(table, "g", "v", LABELS, **options)
+
+
+@pytest.mark.parametrize("method", resample.METHODS)
+def test_missing_values_are_left_out(spark, table, method):
+    holes = spark.createDataFrame([(9001, "a", None), (9002, "b", float("nan"))], "id long, g string, v double")
+    options = {"replicas": 30, "method": method, "key": "id"}
+    with_holes = stats(resample.bootstrap_replicas(table.unionByName(holes), "g", "v", LABELS, **options))
+    assert with_holes == pytest.approx(stats(resample.bootstrap_replicas(table, "g", "v", LABELS, **options)))
+
+
+def test_pairs_without_broadcast(table, monkeypatch):
+    options = {"replicas": 30, "method": "paired"}
+    joined = stats(resample.bootstrap_replicas(table, "g", "v", LABELS, **options))
+    monkeypatch.setattr(resample, "MAX_BROADCAST_ROWS", 0)
+    shuffled = stats(resample.bootstrap_replicas(table, "g", "v", LABELS, **options))
+    assert joined == pytest.approx(shuffled)
+
+
+def test_few_replicas_per_block(table, groups, monkeypatch):
+    monkeypatch.setattr(resample, "VALUES_PER_PART", 20)
+    monkeypatch.setattr(resample, "SHARES_AT_ONCE", 100)
+    got = stats(resample.bootstrap_replicas(table, "g", "v", LABELS, replicas=600))
+    want = reference(*groups, 4000)
+    assert len(got) == 600 and abs(got.mean() - want.mean()) < 5 * want.std() / np.sqrt(600)

@@ -46,6 +46,10 @@ DRAWN_AT_ONCE = 2_000_000
 REPLICAS_PER_BLOCK = 250
 SHARES_AT_ONCE = 20_000_000
 
+# Draws per task, and the most tasks that a stage is cut into.
+DRAWS_PER_TASK = 1_000_000
+MAX_TASKS = 10_000
+
 # Rows written by one step of turning a repeated value into positions.
 POSITIONS_PER_CHUNK = 8_192
 
@@ -137,9 +141,12 @@ def _poisson_replicas(df, group, value, labels, replicas, sizes, drawn, seed, ke
         rate = drawn[label] / sizes[label] if sizes[label] else 1.0
         steps = [F.when(F.col("u") >= t, 1).otherwise(0) for t in poisson_thresholds(rate)]
         weight = F.when(F.col(group) == label, reduce(lambda a, b: a + b, steps)).otherwise(weight)
+    n_tasks = min(MAX_TASKS, -(-replicas * sum(sizes.values()) // DRAWS_PER_TASK))
+    rows = df.select(group, F.col(value).cast("double").alias("x"), key)
+    if n_tasks > 1:
+        rows = rows.repartition(n_tasks, key)
     means = (
-        df.select(group, F.col(value).cast("double").alias("x"), key)
-        .withColumn("replica", F.explode(F.sequence(F.lit(0), F.lit(replicas - 1))))
+        rows.withColumn("replica", F.explode(F.sequence(F.lit(0), F.lit(replicas - 1))))
         .withColumn("u", draw)
         .withColumn("w", weight.cast("long"))
         .groupBy("replica", group)
@@ -152,6 +159,9 @@ def _resample_replicas(df, group, value, labels, replicas, sizes, drawn, seed) -
     counts = stored_value_counts(df, [group], value)
     n_parts = max(1, -(-counts.count() // VALUES_PER_PART))
     parted = counts.withColumn("part", F.pmod(F.xxhash64("value"), F.lit(n_parts)))
+    # Few bytes but much arithmetic: a stated number of tasks keeps adaptive execution from merging
+    # them by size.
+    draw_tasks = min(MAX_TASKS, len(labels) * n_parts)
 
     per_block = max(1, min(REPLICAS_PER_BLOCK, SHARES_AT_ONCE // n_parts))
     n_blocks = -(-replicas // per_block)
@@ -171,8 +181,10 @@ def _resample_replicas(df, group, value, labels, replicas, sizes, drawn, seed) -
         out = rng.multinomial(drawn[label], share, size=size)
         return pdf[[group, "part", "block"]].assign(draws=list(out.T))
 
-    shared = part_sizes.groupBy(group, "block").applyInPandas(
-        share_out, f"{group} string, part long, block long, draws array<long>"
+    shared = (
+        part_sizes.repartition(min(MAX_TASKS, len(labels) * n_blocks), group, "block")
+        .groupBy(group, "block")
+        .applyInPandas(share_out, f"{group} string, part long, block long, draws array<long>")
     )
 
     def draw_values(values: pd.DataFrame, blocks: pd.DataFrame) -> pd.DataFrame:
@@ -192,8 +204,9 @@ def _resample_replicas(df, group, value, labels, replicas, sizes, drawn, seed) -
         )
 
     totals = (
-        parted.groupBy(group, "part")
-        .cogroup(shared.groupBy(group, "part"))
+        parted.repartition(draw_tasks, group, "part")
+        .groupBy(group, "part")
+        .cogroup(shared.repartition(draw_tasks, group, "part").groupBy(group, "part"))
         .applyInPandas(draw_values, f"{group} string, replica long, part long, total double")
     )
     n_draws = F.when(F.col(group) == labels[0], float(drawn[labels[0]])).otherwise(float(drawn[labels[1]]))
@@ -226,7 +239,7 @@ def _paired_replicas(df, group, value, labels, replicas, sizes, drawn, seed, sta
     positions = value_positions(df, group, value)
     spark = df.sparkSession
     rows = replicas * n_pairs
-    grid = spark.range(0, rows, 1, max(spark.sparkContext.defaultParallelism, -(-rows // 5_000_000))).select(
+    grid = spark.range(0, rows, 1, min(MAX_TASKS, max(1, -(-rows // DRAWS_PER_TASK)))).select(
         F.floor(F.col("id") / max(n_pairs, 1)).alias("replica"), (F.col("id") % max(n_pairs, 1)).alias("i")
     )
     for label in labels:

@@ -38,7 +38,8 @@ def write_alerts(alerts: DataFrame, path: str) -> None:
 def write_actions(df: DataFrame, path: str) -> None:
     """Action tables are laid out by day, which the reports prune on.
 
-    Rows of one day are spread over the writing tasks as they arrive; a day is never sent to a
-    single task.
+    Rows are brought together by day, so that a backfill of many days does not leave a file per task
+    and day; adaptive execution splits a day that is larger than its target size.
     """
-    write_partitions(df.withColumn("day", F.to_date("time")), path, "day")
+    by_day = df.withColumn("day", F.to_date("time")).hint("rebalance", F.col("day"))
+    write_partitions(by_day, path, "day")

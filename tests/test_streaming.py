@@ -6,7 +6,7 @@ from actionlens.plans import slots
 from actionlens.sources import fixtures
 from actionlens.streaming import slot_monitor
 
-from .conftest import rows_of
+from .conftest import at, rows_of
 
 SF = "/root/testdata/sf0.01"
 
@@ -53,3 +53,50 @@ def test_lookback_leaves_older_days_out(spark, tmp_path):
     closed = old.filter("time = timestamp_ntz'2024-01-14 12:00:00'")
     got = slot_monitor.verdicts_for(old, closed).filter("metric = 'views'").first()
     assert (got["mean"], got["sigma"]) == (5.0, 0.0)
+
+
+def feed_files(spark, folder):
+    """A file stream over ``folder``, one file per batch."""
+    return (
+        spark.readStream.schema("user_id long, time timestamp_ntz, action string")
+        .option("maxFilesPerTrigger", 1)
+        .parquet(folder)
+    )
+
+
+def add_file(spark, folder, *rows):
+    data = [(u, at(f"2024-01-01 {t}"), "view") for u, t in rows]
+    spark.createDataFrame(data, "user_id long, time timestamp_ntz, action string").coalesce(1).write.mode(
+        "append"
+    ).parquet(folder)
+
+
+def run_to_end(spark, tmp_path):
+    stream = slot_monitor.run_monitor(
+        feed_files(spark, f"{tmp_path}/in"),
+        f"{tmp_path}/buckets",
+        f"{tmp_path}/alerts",
+        f"{tmp_path}/state",
+        state_partitions=2,
+        availableNow=True,
+    )
+    stream.awaitTermination()
+    stored = spark.read.parquet(f"{tmp_path}/buckets")
+    return [(r["time"], r["activ_users"], r["actions"]) for r in stored.orderBy("time").collect()]
+
+
+def test_restart_and_late_rows(spark, tmp_path):
+    folder = f"{tmp_path}/in"
+    add_file(spark, folder, (1, "12:01:00"), (2, "12:02:00"), (1, "12:16:00"), (3, "12:31:00"))
+    # The watermark is 12:16: only the bucket that ends at 12:15 is closed.
+    assert run_to_end(spark, tmp_path) == [(at("2024-01-01 12:00:00"), 2, 2)]
+    # After a restart: one row that is late but within the open bucket, one behind the watermark.
+    add_file(spark, folder, (9, "12:03:00"), (4, "12:17:00"), (1, "12:18:00"), (5, "13:00:00"))
+    assert run_to_end(spark, tmp_path) == [
+        (at("2024-01-01 12:00:00"), 2, 2),
+        (at("2024-01-01 12:15:00"), 2, 3),
+        (at("2024-01-01 12:30:00"), 1, 1),
+    ]
+    # Nothing new: nothing changes.
+    assert len(run_to_end(spark, tmp_path)) == 3
+    assert spark.conf.get(slot_monitor.STATE_PARTITIONS) == "4"

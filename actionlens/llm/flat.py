@@ -73,7 +73,7 @@ class Substrings:
     def __init__(self, data: np.ndarray):
         n = len(data)
         if len(Substrings._powers) <= n:
-            size = max(n + 1, 2 * len(Substrings._powers))
+            size = n + 1 + n // 4
             for name, base in (("_powers", _BASE), ("_inverses", _BASE_INVERSE)):
                 grown = np.full(size, base, np.uint64)
                 grown[0] = 1

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, mixing
+from . import line_dedup, mixing, near_dedup, pieces, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,3 +30,25 @@ def op1_line_dedup(spark, sf_dir):
 @register
 def op2_mixing(spark, sf_dir):
     return mixing.mix_documents(_table(spark, sf_dir, "documents")).drop("text_hash")
+
+
+@register
+def op7_quality_rules(spark, sf_dir):
+    return quality_rules.judge_documents(_table(spark, sf_dir, "documents"))
+
+
+def piece_model() -> str:
+    """Path of the public piece model, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@register
+def op10_pieces(spark, sf_dir):
+    return pieces.piece_digests(_table(spark, sf_dir, "documents"), piece_model())
+
+
+@register
+def op8_near_dedup(spark, sf_dir):
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))

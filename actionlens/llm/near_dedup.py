@@ -5,13 +5,12 @@ star-shaped candidate edges.
    set is hashed once, each of ``BINS`` ranges of the hash keeps its smallest value, and an empty
    range borrows from ranges picked by a hash that all documents share. Documents with equal sets
    collapse to one representative.
-2. Bands of the signature are sorted by value. In a bucket of equal bands the smallest document is
-   the centre, and candidates are the edges from the centre, not all pairs. Buckets that go over the
-   end of a partition have a centre in each part, linked by a further edge.
+2. Bands of the signature are sorted by value. Candidates are the edges from the centre of each bucket
+   of equal bands to its other documents, not all pairs. The centre is the document with the most
+   bucket neighbours, so that the original of many edited copies meets them all.
 3. Candidates are confirmed on full sets.
-4. Where a bucket still holds several components, its pairs across components are confirmed too, so
-   no link that a bucket shows is lost. Large groups of copies are one component by then, so few pairs
-   are left; they are made in blocks of ``BLOCK`` rows.
+4. Documents of buckets that still hold several components may have links to each other that no centre
+   shows. An exact search over the rarest shingles of just these documents finds them.
 """
 
 from __future__ import annotations
@@ -154,54 +153,33 @@ def document_sets(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(extract, "doc_id long, shingle_set array<long>")
 
 
-_BUCKETS = "band long, centre long, doc long, at_end boolean"
-
-
-def star_buckets(bands: DataFrame) -> DataFrame:
-    """``(band, centre, doc)`` for every row of a bucket that two documents share; the centre has a
-    row too. ``bands(band, doc)`` is sorted by band and document over ranges and streamed; ``at_end``
-    marks rows of buckets that may go on in another partition, which can be of one document."""
+def shared_buckets(bands: DataFrame) -> DataFrame:
+    """The rows of ``bands(band, doc)`` whose bucket has several documents. They are sorted by band and
+    document over ranges, and streamed. A row whose neighbour is in another partition is given too;
+    it can be alone in its bucket."""
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = (np.empty(0, np.int64), np.empty(0, np.int64))
-        centre, first_bucket = None, True
-
-        def give(band: np.ndarray, doc: np.ndarray, last: bool) -> pa.RecordBatch | None:
-            """All rows are given but for the last one, whose successor is not known."""
-            nonlocal centre, first_bucket, held
-            # held[0] continues a bucket if centre is set.
-            new = np.append(centre is None, band[1:] != band[:-1])
-            start = np.maximum.accumulate(np.where(new, np.arange(len(band)), -1))
-            centres = np.where(start >= 0, doc[np.maximum(start, 0)], 0 if centre is None else centre)
-            follows = np.append(band[1:] == band[:-1], False)
-            bucket = np.cumsum(new) - new[0]
-            at_end = (bucket == 0) & first_bucket | ((bucket == bucket[-1]) & last)
-            shared = ~new | follows | at_end
-            cut = len(band) if last else len(band) - 1
-            if not last:
-                same_bucket = not new[-1]
-                centre = int(centres[-1]) if same_bucket else None
-                first_bucket = first_bucket and bucket[-1] == 0
-                held = (band[-1:], doc[-1:])
-            pick = np.flatnonzero(shared[:cut])
-            return pa.RecordBatch.from_arrays(
-                [pa.array(band[pick]), pa.array(centres[pick]), pa.array(doc[pick]), pa.array(at_end[pick])],
-                names=["band", "centre", "doc", "at_end"],
-            )
+        before, band, doc = None, np.empty(0, np.int64), np.empty(0, np.int64)
+
+        def rows(after: int | None) -> pa.RecordBatch:
+            """Rows equal to a neighbour; an unknown neighbour counts as equal."""
+            up = np.append(True if before is None else band[0] == before, band[1:] == band[:-1])
+            down = np.append(band[1:] == band[:-1], True if after is None else band[-1] == after)
+            pick = up | down
+            return pa.RecordBatch.from_arrays([pa.array(band[pick]), pa.array(doc[pick])], names=["band", "doc"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            band = np.concatenate([held[0], batch.column("band").to_numpy()])
-            doc = np.concatenate([held[1], batch.column("doc").to_numpy()])
-            if len(band) > 1:
-                yield give(band, doc, False)
-            else:
-                held = (band, doc)
-        if len(held[0]):
-            yield give(*held, True)
+            following = batch.column("band").to_numpy()
+            if len(band):
+                yield rows(following[0])
+                before = band[-1]
+            band, doc = following, batch.column("doc").to_numpy()
+        if len(band):
+            yield rows(None)
 
-    return bands.repartitionByRange("band", "doc").sortWithinPartitions("band", "doc").mapInArrow(stream, _BUCKETS)
+    return bands.repartitionByRange("band", "doc").sortWithinPartitions("band", "doc").mapInArrow(stream, "band long, doc long")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -218,17 +196,62 @@ def _possible(a: str, b: str, percent: int) -> str:
     return f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})"
 
 
-def _pairs_across(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components in a bucket; ``members(band, doc, n_shingles, component)``."""
-    mixed = members.groupBy("band").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("rows")).where("least < most")
+def _central_stars(buckets: DataFrame) -> DataFrame:
+    """Edges ``(a, b)`` from the centre of every bucket to its other rows. The centre is the document
+    that shares the most bucket places with others: the original of edited copies is in larger buckets
+    than a copy, and nearer to them."""
+    shared = cut_lineage(
+        buckets.join(buckets.groupBy("band").agg(F.count("*").alias("places")).where("places > 1"), "band")
+    )
+    central = shared.groupBy("doc").agg(F.sum("places").alias("score"))
+    centres = (
+        shared.join(central, "doc")
+        .groupBy("band")
+        .agg(F.max_by("doc", F.struct("score", -F.col("doc"))).alias("centre"))
+    )
+    edges = shared.join(centres, "band").where("doc <> centre")
+    return edges.select(F.col("centre").alias("a"), F.col("doc").alias("b")).distinct()
+
+
+def _in_mixed_buckets(members: DataFrame) -> DataFrame:
+    """Documents of buckets with several components; ``members(band, doc, component)``."""
+    mixed = members.groupBy("band").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most")
+    return members.join(mixed.select("band"), "band", "left_semi").select("doc", "component").distinct()
+
+
+def _pairs_across(sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` of different components that can be similar enough;
+    ``sets(doc, component, shingle_set)``.
+
+    With all shingles in one order, the rarest first, two sets that are similar enough share one of
+    their first ``n - percent * n / 100 + 1`` shingles. Shingles that no other set has never pair, so
+    an edited copy with many words of its own pairs with few others. At the first shingle that two sets
+    share, what is left of the smaller rest must be enough for the whole overlap; other pairs are left
+    out. A shingle's rows are paired in blocks.
+    """
+    whole = sets.select("doc", "component", F.size("shingle_set").cast("long").alias("n"), F.xxhash64("shingle_set").alias("text"), "shingle_set")
+    each = whole.select("doc", "component", "n", "text", F.explode("shingle_set").alias("shingle"))
+    often = cut_lineage(each.groupBy("shingle").agg(F.count("*").alias("often")).where("often > 1"))
+    first = F.expr(f"n - (({percent} * n + 99) div 100) + 1 - (n - size(common))")
+    prefixes = cut_lineage(
+        each.join(often, "shingle")
+        .groupBy("doc", "component", "n", "text")
+        .agg(F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("common"))
+        .select("doc", "component", "n", (F.col("n") - F.size("common")).alias("own"), F.posexplode(F.slice("common", F.lit(1), F.greatest(F.lit(0), first.cast("int")))).alias("at", "rare"))
+        # Shingles from this one on: at most so many can be shared with a set that shares none before it.
+        .select("doc", "component", "n", F.col("rare.shingle").alias("shingle"), (F.col("n") - F.col("own") - F.col("at")).alias("rest"))
+    )
+    mixed = prefixes.groupBy("shingle").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("rows")).where("least < most")
     placed = (
-        members.join(mixed.select("band", "rows"), "band")
-        .withColumn("block", F.expr(f"(row_number() OVER (PARTITION BY band ORDER BY doc) - 1) div {BLOCK}"))
+        prefixes.join(mixed.select("shingle", "rows"), "shingle")
+        .withColumn("block", F.expr(f"(row_number() OVER (PARTITION BY shingle ORDER BY doc, n) - 1) div {BLOCK}"))
         .withColumn("last", F.expr(f"(rows - 1) div {BLOCK}"))
     )
-    left = placed.select("band", F.col("doc").alias("a"), F.col("n_shingles").alias("n_a"), F.col("component").alias("c_a"), F.col("block").alias("i"), F.explode(F.expr("sequence(block, last)")).alias("j"))
-    right = placed.select("band", F.col("doc").alias("b"), F.col("n_shingles").alias("n_b"), F.col("component").alias("c_b"), F.explode(F.expr("sequence(bigint(0), block)")).alias("i"), F.col("block").alias("j"))
-    return left.join(right, ["band", "i", "j"]).where("a < b AND c_a <> c_b AND " + _possible("n_a", "n_b", percent)).select("a", "b").distinct()
+    left = placed.select("shingle", F.col("doc").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"), F.col("rest").alias("r_a"), F.col("block").alias("i"), F.explode(F.expr("sequence(block, last)")).alias("j"))
+    right = placed.select("shingle", F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"), F.col("rest").alias("r_b"), F.explode(F.expr("sequence(bigint(0), block)")).alias("i"), F.col("block").alias("j"))
+    enough = f"(100 + {percent}) * least(r_a, r_b) >= {percent} * (n_a + n_b)"
+    paired = left.join(right, ["shingle", "i", "j"]).where(f"c_a <> c_b AND (i < j OR a < b) AND {enough}")
+    return paired.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(documents: DataFrame, percent: int = SIMILAR_PERCENT) -> DataFrame:
@@ -244,13 +267,8 @@ def near_duplicates(documents: DataFrame, percent: int = SIMILAR_PERCENT) -> Dat
         .agg(F.min("doc_id").alias("doc"), F.count("*").alias("rows"), F.min("bands").alias("bands"))
     )
     bands = classes.select(F.explode("bands").alias("band"), "doc")
-    buckets = cut_lineage(star_buckets(bands))
-    # At most two parts for each partition of the stream.
-    spread = (
-        buckets.where("at_end").groupBy("band").agg(F.min("centre").alias("least"), F.max("centre").alias("most")).where("least < most")
-    )
-    between = buckets.where("at_end").select("band", "centre").distinct().join(F.broadcast(spread), "band").select(F.col("least").alias("a"), F.col("centre").alias("b"))
-    stars = buckets.select(F.col("centre").alias("a"), F.col("doc").alias("b")).unionByName(between).where("a <> b").distinct()
+    buckets = cut_lineage(shared_buckets(bands))
+    stars = _central_stars(buckets)
     sizes = classes.groupBy("doc").agg(F.min("n_shingles").alias("least_n"), F.max("n_shingles").alias("n_shingles"))
     # Sizes rule pairs out before any set is read; an id with several texts is not ruled out.
     sized = (
@@ -265,13 +283,11 @@ def near_duplicates(documents: DataFrame, percent: int = SIMILAR_PERCENT) -> Dat
     sets = cut_lineage(document_sets(representatives))
     near = cut_lineage(_confirmed(candidates, sets, percent))
     first = cut_lineage(components(near))
-    members = (
-        buckets.select("band", "doc")
-        .join(sizes.select("doc", "n_shingles"), "doc")
-        .join(first.select(F.col("node").alias("doc"), "component"), "doc", "left")
-        .withColumn("component", F.coalesce("component", "doc"))
+    members = buckets.join(first.select(F.col("node").alias("doc"), "component"), "doc", "left").select(
+        "band", "doc", F.coalesce("component", "doc").alias("component")
     )
-    across = cut_lineage(_pairs_across(members, percent))
+    open_sets = sets.withColumnRenamed("doc_id", "doc").join(_in_mixed_buckets(members), "doc")
+    across = cut_lineage(_pairs_across(cut_lineage(open_sets), percent))
     more = _confirmed(across, sets, percent)
     named = first.select(F.col("node").alias("doc"), "component")
     # Back to all rows: class, then component. An id with several texts links their classes.

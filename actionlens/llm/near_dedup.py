@@ -244,8 +244,8 @@ def _pairs_across(sets: DataFrame, percent: int) -> DataFrame:
     mixed = prefixes.groupBy("shingle").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("rows")).where("least < most")
     placed = (
         prefixes.join(mixed.select("shingle", "rows"), "shingle")
-        .withColumn("block", F.expr(f"(row_number() OVER (PARTITION BY shingle ORDER BY doc, n) - 1) div {BLOCK}"))
         .withColumn("last", F.expr(f"(rows - 1) div {BLOCK}"))
+        .withColumn("block", F.expr("pmod(xxhash64(doc, n), last + 1)"))
     )
     left = placed.select("shingle", F.col("doc").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"), F.col("rest").alias("r_a"), F.col("block").alias("i"), F.explode(F.expr("sequence(block, last)")).alias("j"))
     right = placed.select("shingle", F.col("doc").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b"), F.col("rest").alias("r_b"), F.explode(F.expr("sequence(bigint(0), block)")).alias("i"), F.col("block").alias("j"))

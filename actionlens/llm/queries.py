@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, mixing, near_dedup, pieces, quality_rules
+from . import line_dedup, mixing, near_dedup, pieces, quality_rules, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,3 +52,9 @@ def op10_pieces(spark, sf_dir):
 @register
 def op8_near_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+@register
+def op4_suffix_dedup(spark, sf_dir):
+    documents = _table(spark, sf_dir, "documents")
+    return suffixes.repeat_digests(documents, suffixes.repeated_ranges(documents))

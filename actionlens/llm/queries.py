@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, mixing, near_dedup, pieces, quality_rules, suffixes
+from . import line_dedup, mixing, near_dedup, pieces, quality_rules, secrets, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -58,3 +58,8 @@ def op8_near_dedup(spark, sf_dir):
 def op4_suffix_dedup(spark, sf_dir):
     documents = _table(spark, sf_dir, "documents")
     return suffixes.repeat_digests(documents, suffixes.repeated_ranges(documents))
+
+
+@register
+def op5_secrets(spark, sf_dir):
+    return secrets.find_secrets(_table(spark, sf_dir, "documents"))

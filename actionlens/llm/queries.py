@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, mixing, near_dedup, pieces, quality_rules, secrets, suffixes
+from . import byte_network, language, line_dedup, mixing, near_dedup, neighbours, pieces, quality_rules, secrets, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -63,3 +63,18 @@ def op4_suffix_dedup(spark, sf_dir):
 @register
 def op5_secrets(spark, sf_dir):
     return secrets.find_secrets(_table(spark, sf_dir, "documents"))
+
+
+@register
+def op3_quality_classifier(spark, sf_dir):
+    return byte_network.held_out_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+@register
+def op9_language(spark, sf_dir):
+    return language.held_out_languages(_table(spark, sf_dir, "documents"))
+
+
+@register
+def op6_neighbours(spark, sf_dir):
+    return neighbours.search_table(_table(spark, sf_dir, "embeddings"))

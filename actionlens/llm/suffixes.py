@@ -19,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +33,11 @@ MAX_WINDOWS = 2048
 # Bytes of strings in one shard.
 SHARD_BYTES = 2 << 20
 
+# Text cut into segments at a time; a dozen arrays of eight bytes a byte are held.
+STEP_BYTES = 1 << 20
+# Texts unpacked at a time.
+ROWS = 500
+
 _PLACE_BITS = 26
 _SWAPPED = np.random.default_rng(400).permutation(256).astype(np.uint8)
 
@@ -83,7 +89,7 @@ def segments(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram:
 
 def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes of ``text`` (non-negative integers) in the order of their first ``depth`` symbols at
-    least, and their ranks.
+    least, and which of them differ from the one before within so many. Equal ones stand by place.
 
     Larsson-Sadakane: suffixes sorted by ``h`` symbols fall into groups; each group that is not yet
     single is sorted by the group of the suffix ``h`` further, which doubles ``h``.
@@ -94,7 +100,7 @@ def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
     padded = np.concatenate([text.astype(np.int64) + 1, np.zeros(7, np.int64)])
     for k in range(7):
         packed = (packed << 9) | padded[k : k + n]
-    order = np.argsort(packed, kind="stable")
+    order = np.argsort(packed)
     new = np.append(True, packed[order][1:] != packed[order][:-1])
     heads = np.maximum.accumulate(np.where(new, np.arange(n), 0))
     rank = np.empty(n + 1, np.int64)
@@ -108,7 +114,7 @@ def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         suffixes = order[open_at]
         further = rank[np.minimum(suffixes + h, n)]
         group = heads[open_at]
-        arranged = np.argsort(group * (n + 1) + further + 1, kind="stable")
+        arranged = np.argsort(group * (n + 1) + further + 1)
         suffixes, further = suffixes[arranged], further[arranged]
         order[open_at] = suffixes
         split = np.append(True, (group[1:] != group[:-1]) | (further[1:] != further[:-1]))
@@ -116,37 +122,41 @@ def suffix_array(text: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
         heads[open_at] = np.maximum.accumulate(np.where(split, open_at, 0))
         rank[suffixes] = heads[open_at]
         h *= 2
-    return order, rank[:n]
+    order = order[np.argsort(heads * n + order)]
+    return order, new
 
 
 # Places that one lane of Kasai's method goes through.
 LANE = 512
 
 
-def common_prefixes(text: np.ndarray, order: np.ndarray, limit: int) -> np.ndarray:
+def common_prefixes(text: np.ndarray, order: np.ndarray, new: np.ndarray, limit: int) -> np.ndarray:
     """Common prefix of each suffix with the one before it in ``order``, up to ``limit``.
 
-    Kasai: from one place of the text to the next the common prefix shrinks by one symbol at most,
-    so each comparison goes on where the last one ended. The text is cut into lanes that all walk in
-    lockstep; a lane starts with nothing known.
+    Suffixes that are not ``new`` share ``limit`` symbols or more. For the others Kasai's method: from one
+    place of the text to the next the common prefix shrinks by one symbol at most, so each comparison
+    goes on where the last one ended; after a suffix that was not new nothing is known. The text
+    is cut into lanes that all walk in lockstep.
     """
     n = len(order)
     before = np.full(n, -1, np.int64)
     before[order[1:]] = order[:-1]
-    by_place = np.zeros(n, np.int64)
+    new_at = np.empty(n, bool)
+    new_at[order] = new
+    by_place = np.where(new_at, 0, limit)
     padded = np.append(text.astype(np.int32), [-1])
     at = np.arange(0, n, LANE)
     stop = np.minimum(at + LANE, n)
     have = np.zeros(len(at), np.int64)
     while len(at):
-        other = before[at]
+        other, compared = before[at], new_at[at]
         mine, theirs = np.minimum(at + have, n), np.minimum(other + have, n)
-        more = (other >= 0) & (have < limit) & (mine < n) & (theirs < n)
+        more = compared & (other >= 0) & (have < limit) & (mine < n) & (theirs < n)
         more &= padded[mine] == padded[theirs]
-        done = ~more
+        done = compared & ~more
         by_place[at[done]] = have[done]
-        have = np.where(more, have + 1, np.maximum(have - 1, 0))
-        at = at + done
+        have = np.where(more, have + 1, np.where(compared, np.maximum(have - 1, 0), 0))
+        at = at + ~more
         going = at < stop
         if not going.all():
             at, stop, have = at[going], stop[going], have[going]
@@ -170,8 +180,8 @@ class Shard:
         self.string_of = np.repeat(np.arange(len(strings)), sizes + 1)
         counts = np.arange(len(text)) - self.starts[self.string_of]
         self.is_window = counts < windows[self.string_of]
-        order, _ = suffix_array(text, length)
-        prefixes = common_prefixes(text, order, length)
+        order, new = suffix_array(text, length)
+        prefixes = common_prefixes(text, order, new, length)
         kept = self.is_window[order]
         # Other suffixes may stand between two windows; equal windows stay neighbours all the same,
         # for whatever stands between them has their first bytes too.
@@ -243,7 +253,7 @@ def document_segments(documents: DataFrame, length: int = LENGTH, gram: int = GR
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low, high, data, offsets in steps(batch.column("text")):
+            for low, _, data, offsets in steps(batch.column("text"), STEP_BYTES):
                 found = segments(data, offsets, length, gram)
                 rows = pa.array(found["row"] + low)
                 yield pa.RecordBatch.from_arrays(
@@ -263,6 +273,20 @@ def _keyed(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
 
 
+def _packed(documents: DataFrame) -> DataFrame:
+    """Texts compressed, to be shuffled: ``(doc_id, text_hash, packed)``."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3, write_checksum=False)
+        for batch in batches:
+            for low, high, data, offsets in steps(batch.column("text")):
+                packed = pa.array([press.compress(t) for t in texts_of(data, offsets)], pa.binary())
+                rest = [batch.column(c).slice(low, high - low) for c in ("doc_id", "text_hash")]
+                yield pa.RecordBatch.from_arrays([*rest, packed], names=["doc_id", "text_hash", "packed"])
+
+    return _keyed(documents).mapInArrow(pack, "doc_id long, text_hash long, packed binary")
+
+
 _SAME_TEXT = "d.doc_id <=> p.doc_id AND d.text_hash = p.text_hash"
 
 
@@ -274,11 +298,12 @@ def _strings(documents: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     schema = "key long, d1 long, d2 long, n long, windows long, shard long, pieces long, string binary"
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
         for batch in batches:
-            texts, plan = batch.column("text"), batch.column("plan")
+            texts, plan = batch.column("packed"), batch.column("plan")
             for i in range(batch.num_rows):
                 parts = plan[i].values
-                text = texts[i].as_buffer().to_pybytes()
+                text = unpack.decompress(texts[i].as_py())
                 starts, windows = (parts.field(n).to_pylist() for n in ("start", "windows"))
                 cuts = [text[a : a + w + length - 1] for a, w in zip(starts, windows)]
                 yield pa.RecordBatch.from_arrays(
@@ -286,8 +311,8 @@ def _strings(documents: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                     names=["key", "d1", "d2", "n", "windows", "shard", "pieces", "string"],
                 )
 
-    joined = _keyed(documents).alias("d").join(plans.alias("p"), F.expr(_SAME_TEXT))
-    return joined.select("d.text", "p.plan").mapInArrow(cut, schema)
+    joined = _packed(documents).alias("d").join(plans.alias("p"), F.expr(_SAME_TEXT))
+    return joined.select("d.packed", "p.plan").mapInArrow(cut, schema)
 
 
 _RANGES = "key long, d1 long, d2 long, first long, end long"
@@ -329,23 +354,55 @@ def _search(length: int):
     return search
 
 
+def shared_segments(found: DataFrame) -> DataFrame:
+    """The rows of ``found`` whose key another segment has too, or that may hold a window twice.
+
+    Rows are sorted by key over ranges and streamed; a key with very many rows goes over several
+    partitions. A row whose neighbour is in another partition is given too: it can be alone with its key.
+    """
+
+    def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before, held = None, None
+
+        def rows(after: int | None) -> pa.RecordBatch:
+            keys = held.column("key").to_numpy()
+            up = np.append(True if before is None else keys[0] == before, keys[1:] == keys[:-1])
+            down = np.append(keys[1:] == keys[:-1], True if after is None else keys[-1] == after)
+            again = held.column("again").to_numpy(zero_copy_only=False)
+            return held.filter(pa.array(up | down | again))
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if held is not None:
+                yield rows(batch.column("key")[0].as_py())
+                before = held.column("key")[-1].as_py()
+            held = batch
+        if held is not None:
+            yield rows(None)
+
+    # Ranges by digest too, so that many rows of a key can be split.
+    order = ["key", "d1", "d2", "doc_id", "start"]
+    return found.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(stream, found.schema)
+
+
 def repeated_ranges(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """``(doc_id, text_hash, ranges)``: for every text that shares a string of ``length`` bytes with
     itself or another, the byte ranges ``array<struct<a, b>>`` that such strings cover, overlapping
     and in no order. Runs jobs; segments and shared strings are stored."""
-    found = _stored(document_segments(documents, length, gram))
-    strings = found.groupBy("key", "d1", "d2").agg(
-        F.count("*").alias("n"),
-        F.max("again").alias("again"),
-        F.min(F.struct("doc_id", "text_hash", "start", "windows")).alias("at"),
-    )
+    found = cut_lineage(shared_segments(_stored(document_segments(documents, length, gram))))
     size = F.col("at.windows") + length - 1
-    strings = cut_lineage(strings.withColumn("size", size).drop("again").join(_shared_keys(strings, size), "key"))
+    strings = cut_lineage(
+        found.groupBy("key", "d1", "d2")
+        .agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "text_hash", "start", "windows")).alias("at"))
+        .withColumn("size", size)
+    )
     total = strings.agg(F.sum("size")).first()[0] or 0
     shards = max(1, -(-total // shard_bytes))
-    # A key with more text than a shard may hold has shards of its own, numbered below zero.
-    pieces = F.ceil(F.col("key_size") / shard_bytes).cast("long")
-    wanted = strings.select("key", "d1", "d2", "n", "at.*", pieces.alias("pieces")).withColumn(
+    # A key with more text than a shard may hold has shards of its own, apart from the numbered ones.
+    large = strings.groupBy("key").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > shard_bytes)
+    pieces = F.coalesce(F.ceil(F.col("bytes") / shard_bytes), F.lit(1)).cast("long")
+    wanted = strings.join(large, "key", "left").select("key", "d1", "d2", "n", "at.*", pieces.alias("pieces")).withColumn(
         "shard", F.when(F.col("pieces") > 1, F.col("key")).otherwise(F.pmod("key", F.lit(shards)))
     )
     cut = _strings(documents, wanted, length).withColumn("piece", F.pmod(F.col("d1"), F.col("pieces")))
@@ -353,9 +410,10 @@ def repeated_ranges(documents: DataFrame, length: int = LENGTH, gram: int = GRAM
         "transform(sequence(bigint(0), pieces - 1), x -> struct(least(piece, x) AS piece_a, greatest(piece, x) AS piece_b))"
     )
     dealt = cut.withColumn("pair", F.explode(pairs)).select("*", "pair.*").drop("pair")
-    schema = _RANGES
-    marked = cut_lineage(dealt.groupBy("shard", (F.col("pieces") > 1).alias("own"), "piece_a", "piece_b").applyInArrow(_search(length), schema))
-    spans = found.join(marked, ["key", "d1", "d2"]).select(
+    own = (F.col("pieces") > 1).alias("own")
+    marked = cut_lineage(dealt.groupBy("shard", own, "piece_a", "piece_b").applyInArrow(_search(length), _RANGES))
+    # A string's digest names it; its key is a function of it.
+    spans = found.select("doc_id", "text_hash", "start", "d1", "d2").join(marked.drop("key"), ["d1", "d2"]).select(
         "doc_id",
         "text_hash",
         F.struct((F.col("start") + F.col("first")).alias("a"), (F.col("start") + F.col("end") - 1 + length).alias("b")).alias("span"),
@@ -363,16 +421,6 @@ def repeated_ranges(documents: DataFrame, length: int = LENGTH, gram: int = GRAM
     return spans.groupBy("doc_id", "text_hash").agg(F.collect_list("span").alias("ranges"))
 
 
-def _shared_keys(strings: DataFrame, size) -> DataFrame:
-    """``(key, key_size)`` of the keys that can hold a repeated window."""
-    return (
-        strings.groupBy("key")
-        .agg(F.sum("n").alias("times"), F.max("again").alias("again"), F.sum(size).alias("key_size"))
-        .where("times > 1 OR again")
-        .select("key", "key_size")
-    )
-
-
 def _remove(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[int, int, bytes]:
     """Removed bytes, maximal removed runs, and what is left."""
     order = np.argsort(starts)
@@ -394,29 +442,29 @@ def repeat_digests(documents: DataFrame, ranges: DataFrame) -> DataFrame:
     """
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
         for batch in batches:
-            lists = batch.column("ranges")
-            for low, high, data, offsets in steps(batch.column("text")):
-                out = []
-                for i, text in enumerate(texts_of(data, offsets)):
-                    spans = lists[low + i]
+            packed, lists = batch.column("packed"), batch.column("ranges")
+            for low in range(0, batch.num_rows, ROWS):
+                high, out = min(low + ROWS, batch.num_rows), []
+                for i in range(low, high):
+                    text, spans = unpack.decompress(packed[i].as_py()), lists[i]
                     if not spans.is_valid:
-                        out.append((0, 0, text))
+                        out.append((len(text), 0, 0, text))
                         continue
                     a, b = (spans.values.field(k).to_numpy() for k in ("a", "b"))
-                    out.append(_remove(text, a, b))
+                    out.append((len(text), *_remove(text, a, b)))
+                out = [(n, removed, runs, hashlib.sha256(kept).hexdigest()) for n, removed, runs, kept in out]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(low, high - low),
-                        pa.array(np.diff(offsets)),
-                        pa.array([x[0] for x in out], pa.int64()),
-                        pa.array([x[1] for x in out], pa.int64()),
-                        pa.array([hashlib.sha256(x[2]).hexdigest() for x in out]),
+                        *(pa.array([x[k] for x in out], pa.int64()) for k in range(3)),
+                        pa.array([x[3] for x in out]),
                     ],
                     names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
                 )
 
-    joined = _keyed(documents).alias("d").join(ranges.alias("p"), F.expr(_SAME_TEXT), "left")
-    return joined.select("d.doc_id", "d.text", "p.ranges").mapInArrow(
+    joined = _packed(documents).alias("d").join(ranges.alias("p"), F.expr(_SAME_TEXT), "left")
+    return joined.select("d.doc_id", "d.packed", "p.ranges").mapInArrow(
         digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     )

@@ -33,7 +33,9 @@ RECALL, TRIALS = 0.97, 500
 LIST_BLOCK, QUERY_BLOCK = 4096, 512
 COLUMN_BLOCK = 16
 # Standard deviations beyond which a candidate is given up.
-CONFIDENCE = 2.5
+CONFIDENCE = 2.0
+# Share of candidates left above which blocks are added up for all.
+DENSE = 0.05
 _SEED = 6
 
 
@@ -136,16 +138,22 @@ def scan(queries: np.ndarray, query_ids: np.ndarray, candidates: np.ndarray, ids
     exact[np.take_along_axis(own, look, 1)] = np.inf
     bound = exact.max(1)
     seen = first
-    row, col = np.nonzero(partial <= _limit(bound, seen, size)[:, None])
-    keep = ~own[row, col]
-    row, col = row[keep], col[keep]
+    stays = (partial <= _limit(bound, seen, size)[:, None]) & ~own
+    # While many candidates are left, a block is one matrix product; then pairs are taken one by one.
+    while seen < size and stays.mean() > DENSE:
+        end = min(seen + COLUMN_BLOCK, size)
+        a, b = q[:, seen:end], c[:, seen:end]
+        partial += (a**2).sum(1)[:, None] + (b**2).sum(1)[None] - 2 * a @ b.T
+        seen = end
+        stays &= partial <= _limit(bound, seen, size)[:, None]
+    row, col = np.nonzero(stays)
     so_far = partial[row, col]
     while seen < size and len(row):
         end = min(seen + COLUMN_BLOCK, size)
         so_far = so_far + ((q[row, seen:end] - c[col, seen:end]) ** 2).sum(1)
         seen = end
-        stays = so_far <= _limit(bound, seen, size)[row]
-        row, col, so_far = row[stays], col[stays], so_far[stays]
+        near = so_far <= _limit(bound, seen, size)[row]
+        row, col, so_far = row[near], col[near], so_far[near]
     cosine = np.empty(len(row))
     for at in range(0, len(row), 1 << 16):
         part = slice(at, at + (1 << 16))

@@ -237,11 +237,12 @@ class Encoded:
         running = np.concatenate([[0], np.cumsum(np.diff(self.unit_offsets)[self.sequence])])
         return np.diff(running[self.text_offsets])
 
-    def ids(self) -> Iterator[np.ndarray]:
-        """The ids of each text."""
-        parts = np.split(self.unit_ids, self.unit_offsets[1:-1]) if len(self.unit_offsets) > 1 else []
-        for a, b in zip(self.text_offsets[:-1].tolist(), self.text_offsets[1:].tolist()):
-            yield np.concatenate([parts[u] for u in self.sequence[a:b].tolist()]) if b > a else np.empty(0, np.int64)
+    def flat_ids(self) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in one array, and the offsets of each text's part."""
+        sizes = np.diff(self.unit_offsets)[self.sequence]
+        ends = np.cumsum(sizes)
+        places = np.repeat(self.unit_offsets[self.sequence] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+        return self.unit_ids[places], np.concatenate([[0], ends])[self.text_offsets]
 
     def per_text(self, of_unit: list, join) -> Iterator:
         sequence = self.sequence.tolist()
@@ -271,10 +272,8 @@ def encode_documents(documents: DataFrame, model_path: str) -> DataFrame:
         model = load_model(model_path)
         for batch in batches:
             for low, high, data, offsets in steps(batch.column("text"), STEP_BYTES):
-                step = Encoded(model, data, offsets)
-                ids = list(step.ids())
-                ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                flat = pa.array(np.concatenate([*ids, np.empty(0, np.int64)]).astype(np.int32))
+                ids, ends = Encoded(model, data, offsets).flat_ids()
+                flat, ends = pa.array(ids.astype(np.int32)), ends.astype(np.int32)
                 rest = [batch.column(c).slice(low, high - low) for c in others]
                 yield pa.RecordBatch.from_arrays([*rest, pa.ListArray.from_arrays(pa.array(ends), flat)], names=[*others, "ids"])
 

@@ -27,6 +27,8 @@ WORDS_PER_LANGUAGE = 20_000
 GRAMS_PER_LANGUAGE = 10_000
 LONGEST_GRAM = 4
 SMOOTHING = 0.5
+# Parts that a language's counts are ranked in first.
+SHARES = 64
 # Words that a task remembers the scores of.
 REMEMBERED = 400_000
 _EDGE = "_"
@@ -73,8 +75,13 @@ def gram_counts(words: DataFrame, longest: int = LONGEST_GRAM) -> DataFrame:
 
 
 def _most(counts: DataFrame, by: list[str], name: str, limit: int) -> DataFrame:
-    order = Window.partitionBy(*by).orderBy(F.col("n").desc(), name)
-    return counts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= limit).drop("place")
+    """The ``limit`` most frequent of each group: of each of ``SHARES`` shares of a group first, so that a
+    language is not one task."""
+    for keys in ([*by, "share"], by):
+        order = Window.partitionBy(*keys).orderBy(F.col("n").desc(), name)
+        counts = counts.withColumn("share", F.pmod(F.xxhash64(name), F.lit(SHARES)))
+        counts = counts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= limit).drop("place", "share")
+    return counts
 
 
 class LanguageModel:

@@ -25,6 +25,8 @@ MARK = "▁"
 _NEVER = np.iinfo(np.int32).max
 # Larger steps share more units, and take more memory.
 STEP_BYTES = 8 << 20
+# Where the ids themselves are given, not only digests.
+SMALL_STEP_BYTES = 2 << 20
 
 
 class PieceModel:
@@ -293,6 +295,33 @@ def decode_documents(encoded: DataFrame, model_path: str) -> DataFrame:
     return encoded.withColumn("text", decode("ids")).drop("ids")
 
 
+def encode_and_decode(documents: DataFrame, model_path: str) -> DataFrame:
+    """Every row of ``documents`` with ``text`` as its ids decode to, ``token_ids`` and ``n_tokens``; all
+    other columns stay, but for ones of these names. A null text becomes an empty one."""
+    others = [c for c in documents.columns if c not in ("text", "token_ids", "n_tokens")]
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = load_model(model_path)
+        for batch in batches:
+            for low, high, data, offsets in steps(batch.column("text"), SMALL_STEP_BYTES):
+                step = Encoded(model, data, offsets)
+                ids, ends = step.flat_ids()
+                spelled = [decode_bytes(model, x) for x in step.unit_lists()]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(batch.column(c).slice(low, high - low) for c in others),
+                        pa.array([decode_text(x) for x in step.per_text(spelled, b"".join)], pa.string()),
+                        pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids.astype(np.int32))),
+                        pa.array(np.diff(ends)),
+                    ],
+                    names=[*others, "text", "token_ids", "n_tokens"],
+                )
+
+    kept = documents.select(*others, "text")
+    schema = kept.select("*", F.lit(None).cast("array<int>").alias("token_ids"), F.lit(None).cast("long").alias("n_tokens")).schema
+    return kept.mapInArrow(code, schema)
+
+
 def piece_digests(documents: DataFrame, model_path: str) -> DataFrame:
     """``(doc_id, n_tokens, ids_sha256, decoded_sha256)`` of every row; a null text counts as empty.
 

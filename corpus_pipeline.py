@@ -38,9 +38,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row with its piece ids, their number, and the text that the ids decode to."""
-    encoded = pieces.encode_documents(docs, piece_model()).withColumn("token_ids", F.col("ids"))
-    decoded = pieces.decode_documents(encoded, piece_model()).withColumn("n_tokens", F.size("token_ids").cast("long"))
-    return decoded.select(*docs.columns, "token_ids", "n_tokens")
+    coded = pieces.encode_and_decode(docs, piece_model())
+    return coded.select(*docs.columns, "token_ids", "n_tokens")
 
 
 STAGES = [

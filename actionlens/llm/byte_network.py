@@ -56,13 +56,16 @@ class ByteNetwork:
         self.weights = (random.standard_normal(2 * FILTERS) * 0.3).astype(np.float32)
         self.bias = np.zeros(1, np.float32)
 
-    def _blocks(self, padded: np.ndarray) -> np.ndarray:
-        """Outputs of all places by block: (blocks, BLOCK, FILTERS)."""
+    def _blocks(self, padded: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+        """Outputs of all places by block: (blocks, BLOCK, FILTERS). The last places of a text are padding,
+        from which taps would reach into the next text; their output is that of zeros."""
         n = len(padded) - TAPS
         out = np.take(self.filters[0], padded[:n], axis=0)
         for k in range(1, TAPS):
             out += np.take(self.filters[k], padded[k : k + n], axis=0)
-        return out.reshape(-1, BLOCK, FILTERS)
+        out = out.reshape(-1, BLOCK, FILTERS)
+        out[firsts[1:] - 1, BLOCK - TAPS + 1 :] = 0
+        return out
 
     def _pooled(self, tops: np.ndarray, firsts: np.ndarray):
         first, end, texts = _chunks(firsts)
@@ -77,13 +80,13 @@ class ByteNetwork:
 
     def probabilities(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         padded, firsts = _padded(data, offsets)
-        *_, mean, most = self._pooled(self._blocks(padded).max(1), firsts)
+        *_, mean, most = self._pooled(self._blocks(padded, firsts).max(1), firsts)
         logit = np.concatenate([mean, most], 1).astype(float) @ self.weights.astype(float) + float(self.bias[0])
         return 1 / (1 + np.exp(-np.clip(logit, -30, 30)))
 
     def _gradients(self, data, offsets, labels):
         padded, firsts = _padded(data, offsets)
-        outputs = self._blocks(padded)
+        outputs = self._blocks(padded, firsts)
         places = outputs.argmax(1)
         tops = np.take_along_axis(outputs, places[:, None], 1)[:, 0]
         first, end, texts, active, mean, most = self._pooled(tops, firsts)
@@ -93,7 +96,9 @@ class ByteNetwork:
         back = error[:, None] * self.weights
         sizes = np.diff(texts)
         owner = np.repeat(np.arange(len(sizes)), sizes)
-        flow = back[owner, :FILTERS] / sizes[owner, None] + back[owner, FILTERS:] * (active == most[owner])
+        top = (active == most[owner]).astype(np.float32)
+        ties = np.add.reduceat(top, texts[:-1], axis=0)
+        flow = back[owner, :FILTERS] / sizes[owner, None] + back[owner, FILTERS:] * top / ties[owner]
         flow *= active > 0
         # The block and place of every chunk's largest output.
         best = np.repeat(first[:, None], FILTERS, 1)

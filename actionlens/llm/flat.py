@@ -110,3 +110,11 @@ def rows_at(offsets: np.ndarray, positions: np.ndarray) -> np.ndarray:
 def per_row(values: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
     """Sum of integer ``values`` by row."""
     return np.bincount(rows, weights=values, minlength=n).astype(np.int64)
+
+
+def free_name(taken: list[str], name: str) -> str:
+    """``name``, with underscores added until no column is called so."""
+    lowered = {c.lower() for c in taken}
+    while name.lower() in lowered:
+        name += "_"
+    return name

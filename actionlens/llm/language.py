@@ -164,7 +164,7 @@ def predict_languages(documents: DataFrame, model: LanguageModel) -> DataFrame:
                     memory = _Remembered(learned)
                 found = [list(map(memory.__getitem__, words_of(t))) for t in texts_of(data, offsets)]
                 best, score = np.full(high - low, len(names) - 1), np.zeros(high - low)
-                table = np.array(memory.rows, float).reshape(len(memory.rows), -1)
+                table = np.array(memory.rows, float).reshape(len(memory.rows), len(learned.languages))
                 for i, rows in enumerate(found):
                     if rows and learned.languages:
                         total = table[rows].sum(0)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .flat import steps, texts_of
+from .flat import free_name, steps, texts_of
 
 BLANK = b" \t\n\x0b\x0c\r"
 MIN_CHARS = 20
@@ -176,10 +176,8 @@ def _kept(text: bytes, keep: bytes | None) -> tuple[int, int, bytes]:
 
 def with_bitmaps(documents: DataFrame, bitmaps: DataFrame) -> DataFrame:
     """``documents`` and the bitmap of each row, null where nothing is dropped."""
-    keyed = documents.withColumn("text_hash", F.xxhash64("text"))
-    return keyed.alias("d").join(
-        bitmaps.alias("b"), F.expr("CAST(d.doc_id AS LONG) <=> b.doc_id AND d.text_hash = b.text_hash"), "left"
-    )
+    same = F.expr("CAST(d.doc_id AS LONG) <=> b.doc_id AND xxhash64(d.text) = b.text_hash")
+    return documents.alias("d").join(bitmaps.alias("b"), same, "left")
 
 
 def line_digests(documents: DataFrame, bitmaps: DataFrame) -> DataFrame:
@@ -211,6 +209,7 @@ def apply_bitmaps(documents: DataFrame, bitmaps: DataFrame) -> DataFrame:
     def kept(texts, keeps):
         return texts.combine(keeps, lambda t, k: t if t is None or k is None else _kept(t.encode(), k)[2].decode())
 
-    joined = with_bitmaps(documents, bitmaps).select(*(F.col(f"d.{c}") for c in documents.columns), F.col("b.keep").alias("_keep"))
-    text = F.when(F.col("_keep").isNull(), F.col("text")).otherwise(kept("text", "_keep"))
+    name = free_name(documents.columns, "keep")
+    joined = with_bitmaps(documents, bitmaps).select(*(F.col(f"d.`{c}`") for c in documents.columns), F.col("b.keep").alias(name))
+    text = F.when(F.col(name).isNull(), F.col("text")).otherwise(kept("text", name))
     return joined.withColumn("text", text).select(*documents.columns)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import cut_lineage
+from .flat import free_name
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -201,11 +202,11 @@ def apply_mix(documents: DataFrame, mix: DataFrame) -> DataFrame:
     counted = mix.groupBy("doc_id", "text_hash").agg(
         F.sum(F.floor(F.col("taken") / F.greatest(F.col("size"), F.lit(1)) + 0.5)).alias("passes"), F.count("*").alias("rows")
     )
-    keyed = documents.withColumn("text_hash", F.xxhash64("text"))
+    name = free_name(documents.columns, "pass")
     copies = F.expr("CAST(m.passes div m.rows AS INT)")
     return (
-        keyed.alias("d")
-        .join(counted.where("passes >= rows").alias("m"), F.expr("d.doc_id <=> m.doc_id AND d.text_hash = m.text_hash"))
-        .select("d.*", F.explode(F.array_repeat(F.lit(0), copies)))
-        .select(*documents.columns)
+        documents.alias("d")
+        .join(counted.where("passes >= rows").alias("m"), F.expr("d.doc_id <=> m.doc_id AND xxhash64(d.text) = m.text_hash"))
+        .select("d.*", F.explode(F.array_repeat(F.lit(0), copies)).alias(name))
+        .drop(name)
     )

@@ -39,7 +39,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row with its piece ids, their number, and the text that the ids decode to."""
     coded = pieces.encode_and_decode(docs, piece_model())
-    return coded.select(*docs.columns, "token_ids", "n_tokens")
+    added = ["token_ids", "n_tokens"]
+    return coded.select(*(c for c in docs.columns if c not in added), *added)
 
 
 STAGES = [

@@ -13,8 +13,11 @@ def _per_column(df: DataFrame, value, names: list[str], value_name: str) -> Data
 
 
 def null_counts(df: DataFrame) -> DataFrame:
-    """``(column_name, nulls)`` for every column, in one pass without a shuffle of rows."""
-    return _per_column(df, lambda c: F.count_if(F.col(c).isNull()), df.columns, "nulls")
+    """``(column_name, nulls)`` for every column, in one pass without a shuffle of rows. NaN counts as
+    missing too."""
+    floats = {name for name, kind in df.dtypes if kind in ("double", "float")}
+    missing = lambda c: F.col(c).isNull() | F.isnan(c) if c in floats else F.col(c).isNull()
+    return _per_column(df, lambda c: F.count_if(missing(c)), df.columns, "nulls")
 
 
 def column_types(df: DataFrame) -> DataFrame:

@@ -9,8 +9,10 @@ from .ranks import VALUES_PER_TASK, quantiles, quantiles_of_counts, stored_value
 
 
 def describe(df: DataFrame, group: str, value: str, max_in_task: int = VALUES_PER_TASK) -> DataFrame:
-    """Count, mean, sample deviation, minimum, quartiles and maximum per group."""
-    known = df.filter(F.col(group).isNotNull())
+    """Count, mean, sample deviation, minimum, quartiles and maximum per group. NaN counts as
+    missing."""
+    number = F.col(value).cast("double")
+    known = df.filter(F.col(group).isNotNull()).select(group, F.when(~F.isnan(number), number).alias(value))
     moments = known.groupBy(group).agg(
         F.count(value).alias("n"),
         F.avg(value).alias("mean"),

@@ -18,7 +18,7 @@ OUTLIER_CUT = 30_000.0
 
 
 def _payer() -> Column:
-    return F.col("revenue") > 0
+    return (F.col("revenue") > 0) & ~F.isnan("revenue")
 
 
 def ab_summary(experiment: DataFrame) -> DataFrame:
@@ -31,7 +31,7 @@ def ab_summary(experiment: DataFrame) -> DataFrame:
             F.count("*").alias("users"),
             F.count_if(_payer()).alias("payers"),
             F.avg(F.when(_payer(), F.col("revenue"))).alias("arppu"),
-            F.avg("revenue").alias("arpu"),
+            F.avg(F.when(~F.isnan("revenue"), F.col("revenue"))).alias("arpu"),
         )
         .select("testgroup", "users", "payers", ratio("payers", "users").alias("conversion"), "arppu", "arpu")
     )

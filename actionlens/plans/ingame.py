@@ -222,17 +222,21 @@ def event_participation(exposed: DataFrame) -> DataFrame:
 def event_funnel(actions: DataFrame, steps: list[tuple[str, Column]]) -> DataFrame:
     """``(step_number, step, users, share_of_first, drop_off)`` for ordered steps.
 
-    A user passes step k when the first times of steps 1..k exist and do not go back in time.
-    One aggregate per user holds the first time of every step.
+    A user passes step k with the first row of that step at or after the second in which the user passed
+    step k-1; what else happened in between does not matter. Rows collapse to the seconds in which a
+    user took any step. One window per step then looks for its first fitting second, all over the
+    same users in the same order: one shuffle and one sort.
     """
-    firsts = actions.filter(F.col("user_id").isNotNull()).groupBy("user_id").agg(
-        *[F.min(F.when(condition, F.col("time"))).alias(f"t{i}") for i, (_, condition) in enumerate(steps)]
-    )
-    passed, flags = F.lit(True), []
+    at = timestamp_to_epoch("time")
+    taken = [F.bool_or(F.coalesce(condition, F.lit(False))).alias(f"is{i}") for i, (_, condition) in enumerate(steps)]
+    seconds = actions.filter(F.col("user_id").isNotNull()).groupBy("user_id", at.alias("second")).agg(*taken)
+    whole = Window.partitionBy("user_id").orderBy("second").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    passed = seconds.filter(" OR ".join(f"is{i}" for i in range(len(steps))))
     for i in range(len(steps)):
-        in_order = F.col(f"t{i}") >= F.col(f"t{i - 1}") if i else F.col("t0").isNotNull()
-        passed = passed & F.coalesce(in_order, F.lit(False))
-        flags.append(F.count_if(passed).alias(f"n{i}"))
+        fits = F.col(f"is{i}") & (F.col("second") >= F.col(f"t{i - 1}")) if i else F.col("is0")
+        passed = passed.withColumn(f"t{i}", F.min(F.when(fits, F.col("second"))).over(whole))
+    firsts = passed.groupBy("user_id").agg(*[F.first(f"t{i}").alias(f"t{i}") for i in range(len(steps))])
+    flags = [F.count(f"t{i}").alias(f"n{i}") for i in range(len(steps))]
     counted = firsts.agg(*flags)
     rows = F.array(
         *[
@@ -263,28 +267,32 @@ def choice_share(choices: DataFrame, column: str) -> DataFrame:
 
 def event_churn(
     actions: DataFrame,
+    participation: Column,
     earlier: tuple[date, date],
     current: tuple[date, date],
     following: tuple[date, date],
 ) -> DataFrame:
-    """Users of the ``current`` period who were not seen in the ``following`` one, veterans (active
-    in the ``earlier`` period) and newcomers apart. Periods are first and last day, inclusive.
+    """Participants of the ``current`` event who were not seen in the ``following`` period, those who
+    took part in the ``earlier`` event (``veteran``) and the others (``newcomer``) apart.
 
-    One aggregate per user with a flag per period; nothing is joined.
+    Taking part is a row that meets ``participation`` within the event's days; being seen is any row.
+    Periods are first and last day, inclusive. One aggregate per user; nothing is joined.
     """
-    in_period = {
-        name: in_days("time", *span)
-        for name, span in {"earlier": earlier, "current": current, "following": following}.items()
+    took_part = F.coalesce(participation, F.lit(False))
+    flags = {
+        "earlier": in_days("time", *earlier) & took_part,
+        "current": in_days("time", *current) & took_part,
+        "following": in_days("time", *following),
     }
-    flags = (
-        actions.filter(in_period["earlier"] | in_period["current"] | in_period["following"])
-        .filter(F.col("user_id").isNotNull())
+    needed = in_days("time", *earlier) | in_days("time", *current) | in_days("time", *following)
+    per_user = (
+        actions.filter(needed & F.col("user_id").isNotNull())
         .groupBy("user_id")
-        .agg(*[F.bool_or(condition).alias(name) for name, condition in in_period.items()])
+        .agg(*[F.bool_or(condition).alias(name) for name, condition in flags.items()])
         .filter("current")
     )
     return (
-        flags.groupBy(F.when(F.col("earlier"), "veteran").otherwise("newcomer").alias("segment"))
+        per_user.groupBy(F.when(F.col("earlier"), "veteran").otherwise("newcomer").alias("segment"))
         .agg(F.count("*").alias("users"), F.count_if(~F.col("following")).alias("churned"))
         .withColumn("churn", ratio("churned", "users"))
     )

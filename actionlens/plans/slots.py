@@ -79,7 +79,7 @@ def slot_series(feed: DataFrame, as_of: date | None = None, lookback_days: int =
     if as_of is not None:
         # Everything below, the search for the newest bucket included, needs these days only.
         start = midnight(as_of - timedelta(days=lookback_days - 1))
-        feed = feed.filter(F.col("time") >= start)
+        feed = feed.filter((F.col("time") >= start) & (F.col("time") < midnight(as_of + timedelta(days=1))))
     anchor = _anchor_time(feed)
     if as_of is None:
         day = day_of("anchor")
@@ -176,7 +176,7 @@ def alert_records(verdicts: DataFrame, lookback_days: int = LOOKBACK_DAYS) -> Da
         "metric",
         F.col("time").cast("string"),
         F.when(F.col("status") == "high", "above").otherwise("below"),
-        F.coalesce(percent_text("deviation"), F.lit("n/a")),
+        F.when(F.col("deviation").isNull(), "n/a").otherwise(percent_text("deviation")),
         "value",
         "mean",
     )

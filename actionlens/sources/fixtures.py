@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,6 +45,9 @@ CUSTOMER = T.StructType(
 )
 
 
+EXPERIMENT_FIRST = date(2024, 1, 28)
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
@@ -94,13 +99,17 @@ def event_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def experiment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Amounts have two decimals and are summed as such, so that the sum does not depend on the
-    order of rows."""
-    paid = F.when(
-        (F.col("event_type") == "purchase") & (F.col("ts") >= F.expr("timestamp_ntz'2024-01-28 00:00:00'")),
-        F.col("value").cast("decimal(18,2)"),
-    )
+def experiment(spark: SparkSession, sf_dir: str, first: date | None = EXPERIMENT_FIRST, last: date | None = None) -> DataFrame:
+    """Purchases of the experiment's period, both days inclusive; ``None`` leaves that end open.
+
+    By default the last days of the log, in which not everyone buys. Amounts have two decimals and are
+    summed as such, so that the sum does not depend on the order of rows.
+    """
+    day = F.to_date("ts")
+    counts = F.col("event_type") == "purchase"
+    counts = counts & (day >= F.lit(first)) if first else counts
+    counts = counts & (day <= F.lit(last)) if last else counts
+    paid = F.when(counts, F.col("value").cast("decimal(18,2)"))
     group = F.when(F.col("user_id") % 2 == 0, "a").otherwise("b")
     return (
         events(spark, sf_dir)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,9 +12,15 @@ from ..functions.columns import ACTION_MESSAGE
 from . import schemas
 
 
+def _known(name: str, kind: T.DataType) -> Column:
+    """A column without NaN: from here on, a missing number is NULL."""
+    value = F.col(name).cast(kind)
+    return F.when(~F.isnan(value), value) if isinstance(kind, (T.DoubleType, T.FloatType)) else value
+
+
 def _conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select and cast the declared columns; a missing column fails at analysis."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    """Select and cast the declared columns; a missing column fails at analysis. NaN becomes NULL."""
+    return df.select(*[_known(f.name, f.dataType).alias(f.name) for f in schema.fields])
 
 
 def feed_actions(df: DataFrame) -> DataFrame:
@@ -58,8 +64,9 @@ def read_query(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType, sep: str = ";", date_format: str = "yyyy-MM-dd"
 ) -> DataFrame:
-    """Delimited text with a header. A row that does not fit the schema fails the read."""
-    return (
+    """Delimited text with a header. A row that does not fit the schema fails the read; NaN becomes
+    NULL."""
+    rows = (
         spark.read.schema(schema)
         .option("header", True)
         .option("enforceSchema", False)
@@ -68,6 +75,7 @@ def read_csv(
         .option("dateFormat", date_format)
         .csv(path)
     )
+    return _conform(rows, schema)
 
 
 def read_registrations_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -6,7 +6,7 @@ day (or the same micro-batch) leaves the same table behind.
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,14 +25,23 @@ def write_partitions(df: DataFrame, path: str, *by: str) -> None:
 
 
 def write_report(report: DataFrame, path: str, as_of: date) -> None:
-    """Reports and their text by the day they were made for; a rerun replaces that day."""
-    write_partitions(report.withColumn("as_of", F.lit(as_of)), path, "as_of")
+    """Reports and their text by the day they were made for. A rerun replaces that day's folder, also when
+    it has no rows any more."""
+    report.write.mode("overwrite").parquet(f"{path}/as_of={as_of.isoformat()}")
 
 
-def write_alerts(alerts: DataFrame, path: str) -> None:
-    """Alert records by day and slot, so that the runs of one day do not replace each other."""
-    keyed = alerts.withColumns({"day": F.to_date("time"), "slot": slot_seconds_of("time")})
-    write_partitions(keyed, path, "day", "slot")
+def write_alerts(alerts: DataFrame, path: str, run: datetime | None = None) -> None:
+    """Alert records by day and slot, so that the runs of one day do not replace each other.
+
+    With ``run``, the start of the slot the alerts are about, that slot's folder is replaced, also when
+    there are no alerts any more.
+    """
+    if run is None:
+        keyed = alerts.withColumns({"day": F.to_date("time"), "slot": slot_seconds_of("time")})
+        write_partitions(keyed, path, "day", "slot")
+        return
+    slot = run.hour * 3600 + run.minute // 15 * 900
+    alerts.write.mode("overwrite").parquet(f"{path}/day={run.date().isoformat()}/slot={slot}")
 
 
 def write_actions(df: DataFrame, path: str) -> None:

@@ -7,7 +7,7 @@ detector reads the stored buckets of its slot.
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,14 +21,27 @@ from ..functions.columns import (
     ratio,
     timestamp_to_epoch,
 )
-from ..plans.slots import CHECKED_METRICS, LOOKBACK_DAYS, Z, long_form, add_bands, add_verdict, alert_records
-from ..session import scratch_folder
+from ..plans.daily import in_days
+from ..plans.slots import (
+    CHECKED_METRICS,
+    LOOKBACK_DAYS,
+    Z,
+    add_bands,
+    add_verdict,
+    alert_records,
+    bucket_metrics,
+    long_form,
+)
+from ..session import cut_lineage, scratch_folder
 from ..sources import fixtures
 from ..sources.sinks import write_partitions
 
 BUCKET = "15 minutes"
 LATENESS = "15 minutes"
 STATE_PARTITIONS = "spark.sql.shuffle.partitions"
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+# Keeps the users of open buckets off the heap.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def live_buckets(feed: DataFrame, lateness: str = LATENESS) -> DataFrame:
@@ -86,37 +99,56 @@ def verdicts_for(buckets: DataFrame, closed: DataFrame, lookback_days: int = LOO
     return add_verdict(banded).filter(F.col("time") == F.col("closed_at")).drop("closed_at")
 
 
-def store_batch(
-    closed: DataFrame,
-    batch_id: int,
-    buckets_path: str,
-    alerts_path: str,
-    lookback_days: int = LOOKBACK_DAYS,
-    z: float = Z,
+def _merge(rows: DataFrame, path: str, keys: list[str], first: date, last: date) -> DataFrame:
+    """Put ``rows`` of the days ``first`` to ``last`` in place of stored rows with the same ``keys``; returns
+    the stored table. Only these days, at most 96 buckets each, are read and written again."""
+    keyed = rows.withColumn("day", day_of("time"))
+    keyed.limit(0).write.mode("append").partitionBy("day").parquet(path)  # makes the table if there is none
+    stored = rows.sparkSession.read.schema(keyed.schema).parquet(path)
+    others = stored.filter(F.col("day").between(first, last)).join(keyed.select(*keys), keys, "left_anti")
+    write_partitions(cut_lineage(others.unionByName(keyed)).coalesce(1), path, "day")
+    return rows.sparkSession.read.schema(keyed.schema).parquet(path)
+
+
+def store_buckets(
+    closed: DataFrame, buckets_path: str, alerts_path: str, lookback_days: int = LOOKBACK_DAYS, z: float = Z
 ) -> None:
-    """Store one micro-batch of closed buckets and the alerts on them.
+    """Store closed buckets and the alerts on them.
 
-    Both tables are partitioned by day and batch. A batch that is repeated after a failure
-    overwrites its own partitions and nothing else; buckets of later batches are not looked at.
+    The start of a bucket is its key, in tables laid out by day: a bucket that is stored again, by a
+    repeated batch, after a new start of the stream or by ``repair_days``, replaces itself and nothing
+    else. A bucket looks back by time only, at the same slot of earlier days.
     """
     closed = closed.persist()
     try:
         first, last = closed.agg(F.min("time"), F.max("time")).first()
         if first is None:
             return
-        keyed = {"day": day_of("time"), "batch_id": F.lit(batch_id).cast("long")}
-        write_partitions(closed.withColumns(keyed), buckets_path, "day", "batch_id")
-        oldest = first.date() - timedelta(days=lookback_days)
-        stored = closed.sparkSession.read.parquet(buckets_path).filter(
-            F.col("day").between(oldest, last.date()) & (F.col("batch_id") <= batch_id)
-        )
-        verdicts = verdicts_for(stored.drop("day", "batch_id"), closed, lookback_days, z)
-        alerts = alert_records(verdicts, lookback_days).withColumns(keyed)
-        write_partitions(alerts, alerts_path, "day", "batch_id")
+        days = first.date(), last.date()
+        stored = _merge(closed, buckets_path, ["time"], *days)
+        oldest = days[0] - timedelta(days=lookback_days)
+        recent = stored.filter(F.col("day").between(oldest, days[1])).drop("day")
+        alerts = alert_records(verdicts_for(recent, closed, lookback_days, z), lookback_days)
+        _merge(alerts, alerts_path, ["metric", "time"], *days)
     finally:
         closed.unpersist()
 
 
+def repair_days(
+    feed: DataFrame,
+    first: date,
+    last: date,
+    buckets_path: str,
+    alerts_path: str,
+    lookback_days: int = LOOKBACK_DAYS,
+    z: float = Z,
+) -> None:
+    """The daily repair: count the buckets of the days ``first`` to ``last`` again from the whole
+    ``feed``, rows that came too late for the stream included, and store them and their alerts."""
+    whole = bucket_metrics(feed.filter(in_days("time", first, last))).drop("day", "slot")
+    store_buckets(whole, buckets_path, alerts_path, lookback_days, z)
+
+
 def run_monitor(
     feed: DataFrame,
     buckets_path: str,
@@ -135,7 +167,7 @@ def run_monitor(
     """
 
     def store(closed: DataFrame, batch_id: int) -> None:
-        store_batch(closed, batch_id, buckets_path, alerts_path, lookback_days, z)
+        store_buckets(closed, buckets_path, alerts_path, lookback_days, z)
 
     writer = (
         live_buckets(feed)
@@ -145,13 +177,16 @@ def run_monitor(
         .trigger(**(trigger or {"processingTime": BUCKET}))
     )
     settings = feed.sparkSession.conf
-    of_session = settings.get(STATE_PARTITIONS)
+    wanted = {STATE_PARTITIONS: state_partitions or settings.get(STATE_PARTITIONS), STATE_STORE: ROCKSDB}
+    of_session = {name: settings.get(name) for name in wanted}
     try:
         # A stream copies the settings of its session when it starts.
-        settings.set(STATE_PARTITIONS, str(state_partitions or of_session))
+        for name, value in wanted.items():
+            settings.set(name, str(value))
         return writer.start()
     finally:
-        settings.set(STATE_PARTITIONS, of_session)
+        for name, value in of_session.items():
+            settings.set(name, value)
 
 
 def feed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

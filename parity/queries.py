@@ -21,6 +21,7 @@ from actionlens.functions import (
     year_month_text,
 )
 from actionlens.operators import audit, distribution, first_seen, rank_test, resample
+from actionlens.session import scratch_folder
 from actionlens.plans import daily, experiment, ingame, retention, slots, units
 from actionlens.sources import fixtures, readers
 from actionlens.streaming import slot_monitor
@@ -198,18 +199,30 @@ def slot_bands_all_slots(spark, sf_dir):
     return _rounded_bands(slots.all_slot_bands(_feed(spark, sf_dir), z=1.1))
 
 
+@register
+def slot_alerts_all(spark, sf_dir):
+    """Records of all slots with a narrow band, so that alarms and their text occur."""
+    return rounded(slots.alert_records(slots.all_slot_bands(_feed(spark, sf_dir), z=1.1)), "value", "mean", "deviation")
+
+
 @register
 def live_slot_buckets(spark, sf_dir):
     """Closed buckets of the streaming monitor after it has read the whole table."""
     buckets, _ = slot_monitor.replay(spark, sf_dir)
-    return spark.read.parquet(buckets).drop("day", "batch_id")
+    return spark.read.parquet(buckets).drop("day")
+
+
+@register
+def slot_series_past_day(spark, sf_dir):
+    """A day inside the log: later days are not looked at."""
+    return slots.slot_series(_feed(spark, sf_dir), date(2024, 1, 20))
 
 
 @register
 def live_slot_alerts(spark, sf_dir):
     """Alerts of the streaming monitor on every closed bucket."""
     _, alerts = slot_monitor.replay(spark, sf_dir)
-    return rounded(spark.read.parquet(alerts).drop("day", "batch_id", "message"), "value", "mean", "deviation")
+    return rounded(spark.read.parquet(alerts).drop("day"), "value", "mean", "deviation")
 
 
 # Retention
@@ -396,36 +409,80 @@ def box_payers_cut(spark, sf_dir):
 @register
 def mann_whitney_ab(spark, sf_dir):
     test = rank_test.mann_whitney(_experiment(spark, sf_dir), "testgroup", "revenue", GROUPS)
-    return rounded(test, "sigma_u", "z").drop("p_value")
+    return rounded(rounded(test, "sigma_u", "z"), "p_value", scale=8)
 
 
 # Bootstrap
 
 
-def _rounded_test(replicas: DataFrame) -> DataFrame:
+# The study's numbers of replicas.
+AB_REPLICAS, UNIT_REPLICAS = 10_000, 2_000
+
+
+def _rounded_test(replicas: DataFrame, scale: int = 8) -> DataFrame:
     test = resample.summarise_replicas(replicas)
-    return rounded(test, "mean", "sigma", "ci_low", "ci_high", "z", scale=8)
+    return rounded(test, "mean", "sigma", "ci_low", "ci_high", "z", "p_value", scale=scale)
+
+
+def _ab_pairs(spark, sf_dir, table: DataFrame | None = None, **options) -> DataFrame:
+    table = _experiment(spark, sf_dir) if table is None else table
+    options = {"replicas": AB_REPLICAS, "method": "paired", "seed": 7} | options
+    return resample.bootstrap_replicas(table, "testgroup", "revenue", GROUPS, **options)
 
 
 @register
 def bootstrap_ab(spark, sf_dir):
-    """Draws by distinct value; 1,000 replicas, all users."""
-    return resample.bootstrap_test(_experiment(spark, sf_dir), "testgroup", "revenue", GROUPS, replicas=1000)
+    """Pairs of drawn positions, mean of the differences, all users."""
+    return _rounded_test(_ab_pairs(spark, sf_dir))
 
 
 @register
 def bootstrap_ab_cut(spark, sf_dir):
-    table = experiment.without_outliers(_experiment(spark, sf_dir), OUTLIER_CUT)
-    return resample.bootstrap_test(table, "testgroup", "revenue", GROUPS, replicas=1000)
+    return _rounded_test(_ab_pairs(spark, sf_dir, experiment.without_outliers(_experiment(spark, sf_dir), OUTLIER_CUT)))
 
 
 @register
 def bootstrap_ab_paired(spark, sf_dir):
-    """Pairs of drawn positions, mean of the differences."""
-    replicas = resample.bootstrap_replicas(
-        _experiment(spark, sf_dir), "testgroup", "revenue", GROUPS, replicas=50, method="paired", seed=7
+    """Few replicas, for the methods' sake."""
+    return _rounded_test(_ab_pairs(spark, sf_dir, replicas=50))
+
+
+def _beside_closed_form(replicas: DataFrame, table: DataFrame, group: str, value: str, labels) -> DataFrame:
+    """Mean and sigma of drawn replicas beside what the draws must give: the difference of means, and
+    the root of the summed population variances over the number of draws. ``*_fits`` tells whether they
+    are within five standard errors."""
+    of = lambda f, label: f(F.when(F.col(group) == label, F.col(value)))
+    a, b = labels
+    draws = F.greatest(of(F.count, a), of(F.count, b))
+    expected = table.agg(
+        (of(F.avg, a) - of(F.avg, b)).alias("expected_mean"),
+        F.sqrt((of(F.var_pop, a) + of(F.var_pop, b)) / draws).alias("expected_sigma"),
+    )
+    drawn = replicas.agg(F.count("stat").alias("replicas"), F.avg("stat").alias("mean"), F.stddev_pop("stat").alias("sigma"))
+    # Both are one row; they become one by an aggregate over their union.
+    both = drawn.unionByName(expected, allowMissingColumns=True)
+    names = ("replicas", "mean", "sigma", "expected_mean", "expected_sigma")
+    row = both.agg(*[F.max(c).alias(c) for c in names])
+    error = F.col("expected_sigma") / F.sqrt("replicas")
+    return rounded(
+        row.select(
+            "replicas",
+            "expected_mean",
+            "expected_sigma",
+            (F.abs(F.col("mean") - F.col("expected_mean")) <= 5 * error).alias("mean_fits"),
+            (F.abs(F.col("sigma") - F.col("expected_sigma")) <= 5 * error).alias("sigma_fits"),
+        ),
+        "expected_mean",
+        "expected_sigma",
     )
-    return _rounded_test(replicas).drop("p_value")
+
+
+@register
+def bootstrap_ab_multinomial(spark, sf_dir):
+    """Draws by distinct value."""
+    table = _experiment(spark, sf_dir)
+    replicas = resample.bootstrap_replicas(table, "testgroup", "revenue", GROUPS, replicas=AB_REPLICAS)
+    return _beside_closed_form(replicas, table, "testgroup", "revenue", GROUPS)
 
 
 @register
@@ -445,18 +502,7 @@ def bootstrap_ab_median(spark, sf_dir):
 
 @register
 def bootstrap_ab_poisson(spark, sf_dir):
-    replicas = resample.bootstrap_replicas(
-        _experiment(spark, sf_dir),
-        "testgroup",
-        "revenue",
-        GROUPS,
-        replicas=50,
-        method="poisson",
-        draws="own",
-        key="user_id",
-        seed=7,
-    )
-    return _rounded_test(replicas).drop("p_value")
+    return _rounded_test(_ab_pairs(spark, sf_dir, replicas=50, method="poisson", draws="own", key="user_id"))
 
 
 def _unit_test(spark, sf_dir, max_tenure, **options):
@@ -466,12 +512,21 @@ def _unit_test(spark, sf_dir, max_tenure, **options):
 
 @register
 def bootstrap_unit_rates(spark, sf_dir):
-    return resample.summarise_replicas(_unit_test(spark, sf_dir, None, replicas=500))
+    return _rounded_test(_unit_test(spark, sf_dir, None, replicas=UNIT_REPLICAS, method="paired", seed=7), 5)
 
 
 @register
 def bootstrap_unit_rates_early(spark, sf_dir):
-    return resample.summarise_replicas(_unit_test(spark, sf_dir, units.EARLY_TENURE_DAYS, replicas=500))
+    early = _unit_test(spark, sf_dir, units.EARLY_TENURE_DAYS, replicas=UNIT_REPLICAS, method="paired", seed=7)
+    return _rounded_test(early, 5)
+
+
+@register
+def bootstrap_unit_rates_multinomial(spark, sf_dir):
+    """Draws by distinct value."""
+    rates = units.unit_rates(_units(spark, sf_dir), COHORTS)
+    replicas = resample.bootstrap_replicas(rates, "cohort", "rate", GENERATIONS, replicas=UNIT_REPLICAS)
+    return _beside_closed_form(replicas, rates, "cohort", "rate", GENERATIONS)
 
 
 @register
@@ -483,10 +538,50 @@ def bootstrap_unit_rates_poisson(spark, sf_dir):
 @register
 def bootstrap_histogram(spark, sf_dir):
     """The replicas in 50 bins, as the study draws them."""
-    replicas = resample.bootstrap_replicas(
-        _experiment(spark, sf_dir), "testgroup", "revenue", GROUPS, replicas=1000
-    )
-    return distribution.histogram(replicas.withColumn("all", F.lit("all")), "all", ("all",), "stat", 50)
+    replicas = rounded(_ab_pairs(spark, sf_dir), "stat", scale=8)
+    bins = distribution.histogram(replicas.withColumn("all", F.lit("all")), "all", ("all",), "stat", 50)
+    return rounded(bins, "low", "high", scale=8)
+
+
+@register
+def ab_summary_all_days(spark, sf_dir):
+    """An experiment that lasts as long as the log."""
+    whole = fixtures.experiment(spark, sf_dir, first=None)
+    return rounded(experiment.ab_summary(whole), "conversion", "arppu", "arpu")
+
+
+# Landed files: written as delimited text to the shared folder and read back
+
+
+def _landed(df: DataFrame, sep: str) -> str:
+    path = scratch_folder(df.sparkSession)
+    df.write.option("header", True).option("sep", sep).option("dateFormat", "yyyy-MM-dd").csv(path)
+    return path
+
+
+@register
+def csv_registrations(spark, sf_dir):
+    path = _landed(fixtures.registrations(spark, sf_dir).select("reg_ts", "uid"), ";")
+    return readers.read_registrations_csv(spark, path)
+
+
+@register
+def csv_sessions(spark, sf_dir):
+    path = _landed(fixtures.sessions(spark, sf_dir).select("auth_ts", "uid"), ";")
+    return readers.read_sessions_csv(spark, path)
+
+
+@register
+def csv_experiment(spark, sf_dir):
+    path = _landed(fixtures.experiment(spark, sf_dir).select("user_id", "revenue", "testgroup"), ";")
+    return readers.read_experiment_csv(spark, path)
+
+
+@register
+def csv_unit_reports(spark, sf_dir):
+    columns = ("dwarf_id", "hired_date", "reported_date", "gold_mined", "hammer_date")
+    path = _landed(fixtures.unit_reports(spark, sf_dir).select(*columns), ",")
+    return readers.read_unit_reports_csv(spark, path)
 
 
 # Input checks
@@ -628,5 +723,6 @@ def choice_share(spark, sf_dir):
 
 @register
 def event_churn(spark, sf_dir):
-    spans = [(date(2024, 1, a), date(2024, 1, b)) for a, b in ((3, 3), (10, 10), (11, 12))]
-    return ingame.event_churn(_event_actions(spark, sf_dir), *spans)
+    """Two events of a day each, taken part in by a purchase, and the day after the second."""
+    spans = [(date(2024, 1, a), date(2024, 1, b)) for a, b in ((9, 9), (10, 10), (11, 11))]
+    return ingame.event_churn(_event_actions(spark, sf_dir), F.col("event_type") == "purchase", *spans)

@@ -51,6 +51,13 @@ experiment AS (
 """
 
 
+def _two_sided_p(z: str) -> str:
+    """Complementary error function of |z| over the root of two, by the series of the error function."""
+    x = f"least(abs({z}) / sqrt(2), 6)"
+    term = f"exp(k * ln(2 * {x} * {x} + 1e-300) - lgamma(2 * k + 2) + k * ln(2) + lgamma(k + 1))"
+    return f"1 - 2 / sqrt(pi()) * exp(-{x} * {x}) * {x} * list_sum(list_transform(range(0, 300), lambda k: {term}))"
+
+
 # Daily reports
 
 
@@ -206,6 +213,15 @@ round(upper, 6) AS upper, round(lower, 6) AS lower, status, round(deviation, 6)
 ALERT_COLUMNS = """metric, time, status, round(value, 6) AS value, round(mean, 6) AS mean,
 round(deviation, 6) AS deviation"""
 
+PAST_EVENTS = "FROM (SELECT * FROM events WHERE ts < TIMESTAMP '2024-01-21 00:00:00')"
+
+ALERT_MESSAGE = """CASE WHEN status = 'none' THEN printf('metric %s: no anomaly', metric)
+            ELSE printf('Anomaly found\nMetric: %s at %s\n%s the mean of the last 14 days by: %s\n'
+                        || 'value now: %.2f\nmean: %.2f',
+                        metric, strftime(time, '%Y-%m-%d %H:%M:%S'),
+                        CASE status WHEN 'high' THEN 'above' ELSE 'below' END,
+                        coalesce(printf('%.2f%%', round(deviation * 100, 2)), 'n/a'), round(value, 2), round(mean, 2)) END AS message"""
+
 SLOT_BANDS = _bands("series", "time", "metric", "2.576")
 LATEST = "time = (SELECT max(time) FROM series)"
 
@@ -219,21 +235,21 @@ SELECT time_bucket(INTERVAL '15 minutes', time) AS time,
 FROM feed GROUP BY 1, 2
 """,
     "slot_series": f"WITH {_slot_series(DEFAULT_FIRST_DAY)} SELECT * FROM series",
+    "slot_series_past_day": f"WITH {_slot_series("DATE '2024-01-20' - 13").replace("FROM events", PAST_EVENTS)} SELECT * FROM series",
     "slot_series_as_of": f"WITH {_slot_series("DATE '2024-01-30' - 13")} SELECT * FROM series",
     "slot_bands": f"WITH {_slot_series(DEFAULT_FIRST_DAY)}, {SLOT_BANDS} SELECT {BAND_COLUMNS} FROM verdicts",
     "slot_anomalies": f"""
 WITH {_slot_series(DEFAULT_FIRST_DAY)}, {SLOT_BANDS} SELECT {BAND_COLUMNS} FROM verdicts WHERE {LATEST}
 """,
     "slot_alerts": f"""
-WITH {_slot_series(DEFAULT_FIRST_DAY)}, {SLOT_BANDS}
-SELECT {ALERT_COLUMNS},
-       CASE WHEN status = 'none' THEN printf('metric %s: no anomaly', metric)
-            ELSE printf('Anomaly found\nMetric: %s at %s\n%s the mean of the last 14 days by: %s\n'
-                        || 'value now: %.2f\nmean: %.2f',
-                        metric, strftime(time, '%Y-%m-%d %H:%M:%S'),
-                        CASE status WHEN 'high' THEN 'above' ELSE 'below' END,
-                        coalesce(printf('%.2f%%', deviation * 100), 'n/a'), value, mean) END AS message
-FROM verdicts WHERE {LATEST}
+WITH {_slot_series(DEFAULT_FIRST_DAY)}, {SLOT_BANDS} SELECT {ALERT_COLUMNS}, {ALERT_MESSAGE} FROM verdicts WHERE {LATEST}
+""",
+    "slot_alerts_all": f"""
+WITH {ACTIONS_CTE}, {BUCKETS_CTE},
+series AS (
+  SELECT *, CAST(epoch(time) - epoch(CAST(CAST(time AS DATE) AS TIMESTAMP)) AS BIGINT) AS slot FROM buckets),
+{_bands("series", "slot, time", "slot, metric", "1.1")}
+SELECT {ALERT_COLUMNS}, {ALERT_MESSAGE} FROM verdicts
 """,
     "slot_bands_all_slots": f"""
 WITH {ACTIONS_CTE}, {BUCKETS_CTE},
@@ -258,7 +274,7 @@ series AS (
     ON b.time <= c.time AND b.time > c.time - INTERVAL '14 days'
    AND CAST(b.time AS TIME) = CAST(c.time AS TIME)),
 {_bands("series", "closed_at, time", "closed_at, metric", "2.576")}
-SELECT {ALERT_COLUMNS} FROM verdicts WHERE time = closed_at
+SELECT {ALERT_COLUMNS}, {ALERT_MESSAGE} FROM verdicts WHERE time = closed_at
 """,
 }
 
@@ -434,6 +450,11 @@ EXPERIMENT = {
     "ab_summary": f"""
 WITH {EXPERIMENT_CTE}
 SELECT testgroup, users, payers, conversion, round(arppu, 6) AS arppu, round(arpu, 6) AS arpu FROM ({AB_SUMMARY})
+""",
+    "ab_summary_all_days": f"""
+WITH {EXPERIMENT_CTE.replace(" AND ts >= TIMESTAMP '2024-01-28 00:00:00'", "")}
+SELECT testgroup, users, payers, round(conversion, 6) AS conversion, round(arppu, 6) AS arppu, round(arpu, 6) AS arpu
+FROM ({AB_SUMMARY})
 """,
     "ab_summary_text": f"""
 WITH {EXPERIMENT_CTE}
@@ -467,7 +488,8 @@ stat AS (
          sqrt(n1 * n2 / 12 * (n1 + n2 + 1 - ties / ((n1 + n2) * (n1 + n2 - 1)))) AS sigma_u
   FROM sums)
 SELECT CAST(n1 AS BIGINT) AS n_first, CAST(n2 AS BIGINT) AS n_second, rank_sum, u, mean_u,
-       round(sigma_u, 6) AS sigma_u, round(greatest(abs(u - mean_u) - 0.5, 0) / sigma_u, 6) AS z
+       round(sigma_u, 6) AS sigma_u, round(greatest(abs(u - mean_u) - 0.5, 0) / sigma_u, 6) AS z,
+       round({_two_sided_p('(greatest(abs(u - mean_u) - 0.5, 0) / sigma_u)')}, 8) AS p_value
 FROM stat
 """,
 }
@@ -495,7 +517,8 @@ replicas AS (
 """
 
 
-def _paired_replicas(replicas: int, seed: int, statistic: str) -> str:
+def _paired_replicas(replicas: int, seed: int, statistic: str, labels: tuple[str, str] = ("a", "b")) -> str:
+    first, second = labels
     sizes = "(SELECT count(*) FROM experiment WHERE testgroup = '{}')"
 
     def position(label: str) -> str:
@@ -508,25 +531,73 @@ ordered AS (
   FROM experiment),
 grid AS (
   SELECT CAST(r.range AS BIGINT) AS replica, CAST(p.range AS BIGINT) AS i
-  FROM range({replicas}) r, range(greatest({sizes.format('a')}, {sizes.format('b')})) p),
-picked AS (SELECT replica, {position('a')} AS pa, {position('b')} AS pb FROM grid),
+  FROM range({replicas}) r, range(greatest({sizes.format(first)}, {sizes.format(second)})) p),
+picked AS (SELECT replica, {position(first)} AS pa, {position(second)} AS pb FROM grid),
 replicas AS (
   SELECT replica, {statistic}(a.revenue - b.revenue) AS stat
   FROM picked
-  JOIN ordered a ON a.testgroup = 'a' AND a.position = pa
-  JOIN ordered b ON b.testgroup = 'b' AND b.position = pb
+  JOIN ordered a ON a.testgroup = '{first}' AND a.position = pa
+  JOIN ordered b ON b.testgroup = '{second}' AND b.position = pb
   GROUP BY replica)
 """
 
 
-TEST_ROW = """
-SELECT count(*) AS replicas, round(avg(stat), 8) AS mean, round(stddev_pop(stat), 8) AS sigma,
-       round(quantile_cont(stat, 0.025), 8) AS ci_low, round(quantile_cont(stat, 0.975), 8) AS ci_high,
-       round(avg(stat) / nullif(stddev_pop(stat), 0), 8) AS z
-FROM replicas
+def _test_row(scale: int) -> str:
+    z = "avg(stat) / nullif(stddev_pop(stat), 0)"
+    return f""", test AS (
+  SELECT count(*) AS replicas, avg(stat) AS mean, stddev_pop(stat) AS sigma, quantile_cont(stat, 0.025) AS ci_low,
+         quantile_cont(stat, 0.975) AS ci_high, {z} AS z FROM replicas)
+SELECT replicas, round(mean, {scale}) AS mean, round(sigma, {scale}) AS sigma, round(ci_low, {scale}) AS ci_low,
+       round(ci_high, {scale}) AS ci_high, round(z, {scale}) AS z, round({_two_sided_p('z')}, {scale}) AS p_value
+FROM test
+"""
+
+
+TEST_ROW = _test_row(8)
+
+
+def _closed_form(replicas: int, table: str, group: str, value: str, labels: tuple[str, str]) -> str:
+    """What drawn replicas must give."""
+    of = lambda f, label: f"{f}({value}) FILTER ({group} = '{label}')"
+    a, b = labels
+    return f"""
+SELECT CAST({replicas} AS BIGINT) AS replicas, round({of('avg', a)} - {of('avg', b)}, 6) AS expected_mean,
+       round(sqrt(({of('var_pop', a)} + {of('var_pop', b)}) / greatest({of('count', a)}, {of('count', b)})), 6) AS expected_sigma,
+       true AS mean_fits, true AS sigma_fits
+FROM {table}
 """
 
+
+GENERATIONS = ("2014-01-01", "2015-01-01")
+
+
+def _unit_pairs(condition: str = "") -> str:
+    rates = _rates(condition) if condition else _rates()
+    return f"""
+WITH {UNITS_CTE}, rates AS ({rates}),
+experiment AS (SELECT cohort AS testgroup, rate AS revenue FROM rates WHERE rate IS NOT NULL),
+{_paired_replicas(2000, 7, 'avg', GENERATIONS)} {_test_row(5)}
+"""
+
+
+AB_REPLICAS = f"WITH {EXPERIMENT_CTE}, {_paired_replicas(10_000, 7, 'avg')}"
+
 BOOTSTRAP = {
+    "bootstrap_ab": f"{AB_REPLICAS} {TEST_ROW}",
+    "bootstrap_ab_cut": f"""
+WITH {EXPERIMENT_CTE.replace("experiment AS", "everyone AS")}, experiment AS (SELECT * FROM everyone WHERE revenue < 200),
+{_paired_replicas(10_000, 7, 'avg')} {TEST_ROW}
+""",
+    "bootstrap_ab_multinomial": f"WITH {EXPERIMENT_CTE} {_closed_form(10_000, 'experiment', 'testgroup', 'revenue', ('a', 'b'))}",
+    "bootstrap_unit_rates": _unit_pairs(),
+    "bootstrap_unit_rates_early": _unit_pairs("tenure_days <= 30"),
+    "bootstrap_unit_rates_multinomial": f"""
+WITH {UNITS_CTE}, rates AS ({_rates()}) {_closed_form(2000, 'rates', 'cohort', 'rate', GENERATIONS)}
+""",
+    "bootstrap_histogram": f"""
+{AB_REPLICAS}, drawn AS (SELECT 'all' AS "all", round(stat, 8) AS stat FROM replicas),
+{_histogram('drawn', '"all"', 'stat', 50, 8)}
+""",
     "bootstrap_ab_paired": f"WITH {EXPERIMENT_CTE}, {_paired_replicas(50, 7, 'avg')} {TEST_ROW}",
     "bootstrap_ab_median": f"""
 WITH {EXPERIMENT_CTE}, {_paired_replicas(50, 7, 'median')} SELECT replica, round(stat, 5) AS stat FROM replicas
@@ -541,6 +612,17 @@ SELECT replica, round(stat, 6) AS stat FROM replicas
 """,
 }
 
+# Landed files
+
+CSV = {
+    "csv_registrations": f"WITH {ORDERS_CTE} SELECT reg_ts, uid FROM regs",
+    "csv_sessions": f"WITH {ORDERS_CTE} SELECT auth_ts, uid FROM auths",
+    "csv_experiment": f"WITH {EXPERIMENT_CTE} SELECT user_id, revenue, testgroup FROM experiment",
+    "csv_unit_reports": f"""
+WITH {UNITS_CTE} SELECT dwarf_id, hired_date, reported_date, CAST(gold_mined AS DOUBLE) AS gold_mined, hammer_date FROM reports
+""",
+}
+
 # Input checks
 
 EVENT_TYPES = {
@@ -675,12 +757,16 @@ SELECT count(*) AS exposed, count(*) FILTER (segment = 'participant') AS partici
        CAST(count(*) FILTER (segment = 'participant') AS DOUBLE) / nullif(count(*), 0) AS share
 FROM exposed
 """,
-    "event_funnel": f"""
-WITH firsts AS (
-  SELECT user_id, min(ts) FILTER (event_type = 'view') AS t0, min(ts) FILTER (event_type = 'click') AS t1,
-         min(ts) FILTER (event_type = 'purchase') AS t2
-  FROM events GROUP BY user_id),
-n AS (SELECT {_step_count(1)} AS n0, {_step_count(2)} AS n1, {_step_count(3)} AS n2 FROM firsts)
+    "event_funnel": """
+WITH log AS (SELECT user_id, date_trunc('second', ts) AS sec, event_type FROM events),
+viewed AS (SELECT user_id, min(sec) AS sec FROM log WHERE event_type = 'view' GROUP BY user_id),
+clicked AS (
+  SELECT v.user_id, min(l.sec) AS sec FROM viewed v JOIN log l ON l.user_id = v.user_id AND l.sec >= v.sec
+  WHERE l.event_type = 'click' GROUP BY v.user_id),
+bought AS (
+  SELECT c.user_id, min(l.sec) AS sec FROM clicked c JOIN log l ON l.user_id = c.user_id AND l.sec >= c.sec
+  WHERE l.event_type = 'purchase' GROUP BY c.user_id),
+n AS (SELECT (SELECT count(*) FROM viewed) AS n0, (SELECT count(*) FROM clicked) AS n1, (SELECT count(*) FROM bought) AS n2)
 SELECT 1::BIGINT AS step_number, 'view' AS step, n0 AS users, CAST(n0 AS DOUBLE) / n0 AS share_of_first, 0::BIGINT AS drop_off FROM n
 UNION ALL SELECT 2, 'click', n1, CAST(n1 AS DOUBLE) / n0, n0 - n1 FROM n
 UNION ALL SELECT 3, 'purchase', n2, CAST(n2 AS DOUBLE) / n0, n1 - n2 FROM n
@@ -690,20 +776,21 @@ SELECT event_type AS choice, count(*) AS n, CAST(count(*) AS DOUBLE) / (SELECT c
 FROM events GROUP BY event_type
 """,
     "event_churn": """
-WITH flags AS (
-  SELECT user_id,
-         bool_or(CAST(ts AS DATE) = DATE '2024-01-03') AS earlier,
-         bool_or(CAST(ts AS DATE) = DATE '2024-01-10') AS present,
-         bool_or(CAST(ts AS DATE) BETWEEN DATE '2024-01-11' AND DATE '2024-01-12') AS later
-  FROM events GROUP BY user_id)
-SELECT CASE WHEN earlier THEN 'veteran' ELSE 'newcomer' END AS segment, count(*) AS users,
-       count(*) FILTER (NOT later) AS churned, CAST(count(*) FILTER (NOT later) AS DOUBLE) / count(*) AS churn
-FROM flags WHERE present GROUP BY 1
+WITH took_part AS (
+  SELECT DISTINCT user_id FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-10' AND event_type = 'purchase'),
+labelled AS (
+  SELECT p.user_id,
+         p.user_id IN (SELECT user_id FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-09' AND event_type = 'purchase') AS veteran,
+         p.user_id IN (SELECT user_id FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-11') AS seen
+  FROM took_part p)
+SELECT CASE WHEN veteran THEN 'veteran' ELSE 'newcomer' END AS segment, count(*) AS users,
+       count(*) FILTER (NOT seen) AS churned, CAST(count(*) FILTER (NOT seen) AS DOUBLE) / count(*) AS churn
+FROM labelled GROUP BY 1
 """,
 }
 
 SQL: dict[str, str] = {
     name: text.strip()
-    for part in (DAILY, SLOTS, RETENTION, UNITS, EXPERIMENT, BOOTSTRAP, AUDIT, INGAME)
+    for part in (DAILY, SLOTS, RETENTION, UNITS, EXPERIMENT, BOOTSTRAP, CSV, AUDIT, INGAME)
     for name, text in part.items()
 }

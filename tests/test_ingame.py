@@ -131,6 +131,16 @@ def test_funnel(actions):
     assert got == [(1, "s1", 3, 1.0, 0), (2, "s2", 2, pytest.approx(2 / 3), 1), (3, "s3", 1, pytest.approx(1 / 3), 1)]
 
 
+def test_funnel_with_a_step_taken_twice(actions):
+    """A click before the view does not hide the one after it."""
+    log = actions(
+        (1, "2024-01-01 10:00:00", "click"), (1, "2024-01-01 10:01:00", "view"), (1, "2024-01-01 10:02:00", "click"),
+        (2, "2024-01-01 10:00:00", "view"), (2, "2024-01-01 10:00:00", "click"), (3, "2024-01-01 10:00:00", None),
+    )
+    steps = [(s, F.col("action") == s) for s in ("view", "click")]
+    assert rows_of(g.event_funnel(log, steps), "step_number") == [(1, "view", 2, 1.0, 0), (2, "click", 2, 1.0, 0)]
+
+
 def test_choice_share(actions):
     log = actions(*[(i, "2024-01-01 10:00:00", a) for i, a in enumerate(["hat", "hat", "hat", "coin", None])])
     assert rows_of(g.choice_share(log, "action")) == [("coin", 1, 0.25), ("hat", 3, 0.75)]
@@ -138,10 +148,11 @@ def test_choice_share(actions):
 
 def test_churn(actions):
     log = actions(
-        (1, "2024-01-01 10:00:00", "x"), (1, "2024-01-10 10:00:00", "x"), (1, "2024-01-20 10:00:00", "x"),
+        (1, "2024-01-01 10:00:00", "x"), (1, "2024-01-10 10:00:00", "x"), (1, "2024-01-20 10:00:00", "y"),
         (2, "2024-01-01 10:00:00", "x"), (2, "2024-01-10 10:00:00", "x"),
-        (3, "2024-01-10 10:00:00", "x"),
-        (4, "2024-01-20 10:00:00", "x"),
+        (3, "2024-01-01 10:00:00", "y"), (3, "2024-01-10 10:00:00", "x"),
+        (4, "2024-01-20 10:00:00", "x"), (5, "2024-01-10 10:00:00", "y"), (6, "2024-01-10 10:00:00", None),
     )
     days = [(date(2024, 1, d), date(2024, 1, d)) for d in (1, 10, 20)]
-    assert rows_of(g.event_churn(log, *days)) == [("newcomer", 1, 1, 1.0), ("veteran", 2, 1, 0.5)]
+    got = rows_of(g.event_churn(log, F.col("action") == "x", *days))
+    assert got == [("newcomer", 1, 1, 1.0), ("veteran", 2, 1, 0.5)]

@@ -14,7 +14,7 @@ SF = "/root/testdata/sf0.01"
 def test_closed_buckets_and_alerts_equal_batch(spark):
     buckets_path, alerts_path = slot_monitor.replay(spark, SF)
     feed = fixtures.feed(spark, SF)
-    live = spark.read.parquet(buckets_path).drop("day", "batch_id")
+    live = spark.read.parquet(buckets_path).drop("day")
     batch = slots.bucket_metrics(feed).drop("day", "slot")
     newest = feed.agg(F.max("time")).first()[0]
     closed = batch.filter(F.col("time") + F.expr("interval 30 minutes") <= F.lit(newest).cast("timestamp_ntz"))
@@ -37,15 +37,43 @@ def bucket_rows(spark, first, n, value=5):
 
 def test_repeated_batch_changes_nothing(spark, tmp_path):
     buckets, alerts = f"{tmp_path}/buckets", f"{tmp_path}/alerts"
-    slot_monitor.store_batch(bucket_rows(spark, "2024-01-01 12:00:00", 0), 0, buckets, alerts)  # nothing closed
-    slot_monitor.store_batch(bucket_rows(spark, "2024-01-01 12:00:00", 13), 1, buckets, alerts)
+    slot_monitor.store_buckets(bucket_rows(spark, "2024-01-01 12:00:00", 0), buckets, alerts)  # nothing closed
+    slot_monitor.store_buckets(bucket_rows(spark, "2024-01-01 12:00:00", 13), buckets, alerts)
     spike = bucket_rows(spark, "2024-01-14 12:00:00", 1, 90)
-    slot_monitor.store_batch(spike, 2, buckets, alerts)
+    slot_monitor.store_buckets(spike, buckets, alerts)
     before = rows_of(spark.read.parquet(alerts)), rows_of(spark.read.parquet(buckets))
-    slot_monitor.store_batch(spike, 2, buckets, alerts)
+    slot_monitor.store_buckets(spike, buckets, alerts)
+    # Another slot of a stored day leaves the day's buckets alone.
     assert (rows_of(spark.read.parquet(alerts)), rows_of(spark.read.parquet(buckets))) == before
-    got = {r["metric"]: r["status"] for r in spark.read.parquet(alerts).filter("batch_id = 2").collect()}
-    assert got == {"activ_users": "high", "views": "high", "likes": "none", "ctr": "none"}
+    slot_monitor.store_buckets(bucket_rows(spark, "2024-01-14 13:00:00", 1), buckets, alerts)
+    assert spark.read.parquet(buckets).count() == 15
+    last = spark.read.parquet(alerts).filter("time = timestamp_ntz'2024-01-14 12:00:00'")
+    assert {r["metric"]: r["status"] for r in last.collect()} == {"activ_users": "high", "views": "high", "likes": "none", "ctr": "none"}
+
+
+def test_a_new_checkpoint_keeps_stored_buckets(spark, tmp_path):
+    """Batch numbers start again with a new checkpoint; 13 stored days stay in sight."""
+    buckets = f"{tmp_path}/buckets"
+    slot_monitor.store_buckets(bucket_rows(spark, "2023-12-19 12:00:00", 13), buckets, f"{tmp_path}/alerts")
+    add_file(spark, f"{tmp_path}/in", *[(u, "12:01:00") for u in range(90)], (1, "12:40:00"))
+    stored = run_to_end(spark, tmp_path)
+    assert len(stored) == 14 and stored[-1] == (at("2024-01-01 12:00:00"), 90, 90)
+    alert = spark.read.parquet(f"{tmp_path}/alerts").filter("metric = 'activ_users' AND time >= timestamp_ntz'2024-01-01 00:00:00'")
+    assert [(r["status"], round(r["mean"], 2)) for r in alert.collect()] == [("high", 11.07)]
+
+
+def test_repair_counts_late_rows(spark, tmp_path):
+    folder = f"{tmp_path}/in"
+    add_file(spark, folder, (1, "12:01:00"), (3, "12:31:00"))
+    run_to_end(spark, tmp_path)
+    add_file(spark, folder, (9, "12:03:00"), (5, "13:00:00"))  # behind the watermark
+    stored = run_to_end(spark, tmp_path)
+    assert stored[0] == (at("2024-01-01 12:00:00"), 1, 1)
+    feed = spark.read.schema("user_id long, time timestamp_ntz, action string").parquet(folder)
+    day = at("2024-01-01 00:00:00").date()
+    slot_monitor.repair_days(feed, day, day, f"{tmp_path}/buckets", f"{tmp_path}/alerts")
+    repaired = spark.read.parquet(f"{tmp_path}/buckets").orderBy("time").collect()
+    assert [(r["time"], r["activ_users"]) for r in repaired][:2] == [(at("2024-01-01 12:00:00"), 2), (at("2024-01-01 12:30:00"), 1)]
 
 
 def test_lookback_leaves_older_days_out(spark, tmp_path):

@@ -10,16 +10,45 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.first_seen import first_seen, merge_first_seen
 from ..session import cut_lineage
 from ..sources import sinks
 from . import daily, slots
 
 
+def publish_first_seen(actions: DataFrame, as_of: date, folder: str, previous: date | None = None) -> DataFrame:
+    """Store first-seen of all users before ``as_of`` as the version ``as_of`` of ``folder`` and return it.
+
+    With ``previous``, the day of an earlier version, only the actions since then are read and merged into
+    that version; without, the whole history. A version is a folder of its own, so the earlier one stays as
+    it is until the new one is complete, and a rerun writes the same version again.
+    """
+    before = actions.filter(F.col("time") < daily.midnight(as_of))
+    if previous is None:
+        users = first_seen(before)
+    else:
+        known = actions.sparkSession.read.parquet(f"{folder}/as_of={previous.isoformat()}")
+        users = merge_first_seen(known, before.filter(F.col("time") >= daily.midnight(previous)))
+    path = f"{folder}/as_of={as_of.isoformat()}"
+    users.write.mode("overwrite").parquet(path)
+    return actions.sparkSession.read.parquet(path)
+
+
 def publish_app_report(
-    actions: DataFrame, as_of: date, folder: str, known_first_seen: DataFrame | None = None
+    actions: DataFrame,
+    as_of: date,
+    folder: str,
+    known_first_seen: DataFrame | None = None,
+    previous: date | None = None,
 ) -> None:
     """App KPIs of the last seven days to ``<folder>/app_series``, yesterday's text to
-    ``<folder>/app_text``."""
+    ``<folder>/app_text``.
+
+    New users come from the table that ``publish_first_seen`` keeps in ``<folder>/first_seen``, brought up to
+    ``as_of`` from its version ``previous``, unless ``known_first_seen`` is given.
+    """
+    if known_first_seen is None:
+        known_first_seen = publish_first_seen(actions, as_of, f"{folder}/first_seen", previous)
     series = cut_lineage(daily.app_series(actions, as_of, known_first_seen=known_first_seen))
     yesterday = series.filter(F.col("date") == F.lit(as_of - timedelta(days=1)))
     sinks.write_report(series, f"{folder}/app_series", as_of)
@@ -35,9 +64,9 @@ def publish_feed_report(feed: DataFrame, as_of: date, folder: str) -> None:
     sinks.write_report(daily.feed_report_text(yesterday), f"{folder}/feed_text", as_of)
 
 
-def publish_alerts(feed: DataFrame, path: str, as_of: date | None = None) -> DataFrame:
-    """Verdicts for the slot that was completed last, stored by day and slot start; returns the
-    stored records."""
+def publish_alerts(feed: DataFrame, path: str, as_of: date) -> DataFrame:
+    """Verdicts for the slot that was completed last on ``as_of``, stored by day and slot start; returns
+    the stored records. The day bounds what is read, which is two weeks of the log."""
     alerts = cut_lineage(slots.alert_records(slots.slot_anomalies(feed, as_of)))
     sinks.write_alerts(alerts, path)
     return alerts

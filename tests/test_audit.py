@@ -33,3 +33,8 @@ def test_hot_key_join_equals_plain_join(spark):
     assert rows_of(hot) == plain and "LeftAnti" in plan_of(hot)
     cold = join_per_key(facts, per_key, "k", "n")
     assert rows_of(cold) == plain and "LeftAnti" not in plan_of(cold)
+
+
+def test_nan_is_missing(spark):
+    df = spark.createDataFrame([(1, 1.0), (2, float("nan")), (3, None)], "id long, x double")
+    assert {r["column_name"]: r["nulls"] for r in audit.null_counts(df).collect()} == {"id": 0, "x": 2}

@@ -44,3 +44,14 @@ def test_sensitivity(table):
 def test_text(table):
     got = {r["testgroup"]: r["message"] for r in ex.ab_summary_text(ex.ab_summary(table)).collect()}
     assert got["b"] == "Conversion of group b: 50.00%, revenue per payer: 20.00, revenue per user: 10.00"
+
+
+def test_nan_is_no_payer(spark):
+    from actionlens.plans import experiment
+
+    rows = [(1, "a", 5.0), (2, "a", float("nan")), (3, "a", 0.0)]
+    table = spark.createDataFrame(rows, "user_id long, testgroup string, revenue double")
+    row = experiment.ab_summary(table).first()
+    assert (row["users"], row["payers"], row["arppu"], row["arpu"]) == (3, 1, 5.0, 2.5)
+    described = experiment.describe_payers(table).first()
+    assert (described["n"], described["mean"]) == (1, 5.0)

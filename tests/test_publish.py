@@ -1,10 +1,10 @@
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
 from actionlens.operators.first_seen import first_seen
 from actionlens.plans import daily, publish, slots
-from actionlens.sources import fixtures, readers
+from actionlens.sources import fixtures, readers, sinks
 
 from .conftest import rows_of
 
@@ -31,9 +31,38 @@ def test_alerts_of_one_day_stay_apart(spark, tmp_path):
     feed = fixtures.feed(spark, "/root/testdata/sf0.1")
     path = f"{tmp_path}/alerts"
     border = F.expr("timestamp_ntz'2024-01-30 12:00:00'")
-    publish.publish_alerts(feed.filter(F.col("time") < border), path)
+    publish.publish_alerts(feed.filter(F.col("time") < border), path, date(2024, 1, 30))
     for _ in range(2):
-        alerts = publish.publish_alerts(feed, path)
+        alerts = publish.publish_alerts(feed, path, date(2024, 1, 30))
     assert rows_of(alerts) == rows_of(slots.alert_records(slots.slot_anomalies(feed)))
     stored = spark.read.parquet(path)
     assert stored.count() == 8 and stored.select("slot").distinct().count() == 2
+
+
+def test_a_rerun_without_rows_clears_its_day(spark, tmp_path):
+    report = spark.createDataFrame([(1,)], "x long")
+    for path, write in (
+        (f"{tmp_path}/r", lambda df: sinks.write_report(df, f"{tmp_path}/r", AS_OF)),
+        (f"{tmp_path}/a", lambda df: sinks.write_alerts(df, f"{tmp_path}/a", datetime(2024, 1, 31, 10, 20))),
+    ):
+        write(report)
+        assert spark.read.parquet(path).count() == 1
+        write(report.limit(0))
+        assert spark.read.schema("x long").parquet(path).count() == 0
+
+
+def test_first_seen_is_kept(spark, tmp_path):
+    actions = readers.all_actions(fixtures.feed(spark, SF), fixtures.messages(spark, SF))
+    days = [date(2024, 1, d) for d in (2, 3, 5)]
+    for previous, day in zip([None, *days], days):
+        kept = publish.publish_first_seen(actions, day, f"{tmp_path}/first_seen", previous)
+    before = actions.filter(F.col("time") < daily.midnight(days[-1]))
+    assert rows_of(kept) == rows_of(first_seen(before))
+    publish.publish_app_report(actions, date(2024, 1, 6), str(tmp_path), previous=days[-1])
+    stored = spark.read.parquet(f"{tmp_path}/app_series").drop("as_of")
+    assert rows_of(stored) == rows_of(daily.app_series(actions, date(2024, 1, 6)))
+
+
+def test_series_ends_with_its_day(spark):
+    series = slots.slot_series(fixtures.feed(spark, SF), date(2024, 1, 20))
+    assert series.count() > 0 and series.agg(F.max("time")).first()[0].date() <= date(2024, 1, 20)

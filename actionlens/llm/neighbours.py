@@ -95,19 +95,23 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy().reshape(len(column), -1)
 
 
-def _assigned(vectors: DataFrame, centroids, probes: int) -> DataFrame:
-    """``vectors`` once for each of the ``probes`` nearest lists."""
+def _assigned(vectors: DataFrame, centroids, probes: int, held: np.ndarray | None = None, least: int = 0) -> DataFrame:
+    """``vectors`` once for each of the ``probes`` nearest lists, and for as many more as it takes to hold
+    ``least`` rows; ``held`` has the rows of every list."""
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             similar = _unit(_matrix(batch.column("vector"))) @ centroids.value.T
-            count = min(probes, similar.shape[1])
-            nearest = np.argsort(-similar, 1, kind="stable")[:, :count]
-            rows = pa.array(np.repeat(np.arange(batch.num_rows), count))
+            nearest = np.argsort(-similar, 1, kind="stable")
+            count = np.full(batch.num_rows, probes)
+            if held is not None:
+                count = np.maximum(count, 1 + (np.cumsum(held[nearest], 1) < least).sum(1))
+            wanted = np.arange(nearest.shape[1]) < count[:, None]
+            rows, nearest = pa.array(np.nonzero(wanted)[0]), nearest[wanted]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("vec_id").take(rows), batch.column("vector").take(rows), pa.array(nearest.ravel())], names=["vec_id", "vector", "list"]
+                [batch.column("vec_id").take(rows), batch.column("vector").take(rows), pa.array(nearest)], names=["vec_id", "vector", "list"]
             )
 
     return vectors.mapInArrow(assign, "vec_id long, vector array<double>, list long")
@@ -123,7 +127,8 @@ def scan(queries: np.ndarray, query_ids: np.ndarray, candidates: np.ndarray, ids
     """The ``nearest`` candidates of each query, as ``(query row, candidate row, cosine)`` arrays.
 
     On unit vectors a small squared distance is a large cosine. The candidates that look nearest after
-    the first column block give each query its bound; a candidate stays as long as its partial distance,
+    the first column block give each query its bound and are never abandoned, so every query finds
+    ``nearest`` candidates where there are so many; another one stays as long as its partial distance,
     scaled to all dimensions, is within the bound and a margin that narrows as more is seen.
     """
     size = queries.shape[1]
@@ -137,22 +142,24 @@ def scan(queries: np.ndarray, query_ids: np.ndarray, candidates: np.ndarray, ids
     exact = ((q[:, None] - c[look]) ** 2).sum(2)
     exact[np.take_along_axis(own, look, 1)] = np.inf
     bound = exact.max(1)
+    looked = np.zeros(own.shape, bool)
+    np.put_along_axis(looked, look, True, 1)
     seen = first
-    stays = (partial <= _limit(bound, seen, size)[:, None]) & ~own
+    stays = ((partial <= _limit(bound, seen, size)[:, None]) | looked) & ~own
     # While many candidates are left, a block is one matrix product; then pairs are taken one by one.
     while seen < size and stays.mean() > DENSE:
         end = min(seen + COLUMN_BLOCK, size)
         a, b = q[:, seen:end], c[:, seen:end]
         partial += (a**2).sum(1)[:, None] + (b**2).sum(1)[None] - 2 * a @ b.T
         seen = end
-        stays &= partial <= _limit(bound, seen, size)[:, None]
+        stays &= (partial <= _limit(bound, seen, size)[:, None]) | looked
     row, col = np.nonzero(stays)
     so_far = partial[row, col]
     while seen < size and len(row):
         end = min(seen + COLUMN_BLOCK, size)
         so_far = so_far + ((q[row, seen:end] - c[col, seen:end]) ** 2).sum(1)
         seen = end
-        near = so_far <= _limit(bound, seen, size)[row]
+        near = (so_far <= _limit(bound, seen, size)[row]) | looked[row, col]
         row, col, so_far = row[near], col[near], so_far[near]
     cosine = np.empty(len(row))
     for at in range(0, len(row), 1 << 16):
@@ -184,7 +191,8 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, nearest: int = NE
     """``(query_id, rank, vec_id, score)``: for every row of ``queries`` the nearest rows of
     ``vectors`` found, both ``(vec_id, vector)``, not counting rows with its own id.
 
-    Repeated ids stay separate candidates. A table of few vectors is one list and is searched whole.
+    A query probes so many lists that they hold ``nearest`` rows besides its own. Repeated ids stay
+    separate candidates. A table of few vectors is one list and is searched whole.
     Runs jobs: the sample is clustered on the driver, and lists are stored.
     """
     spark = vectors.sparkSession
@@ -200,7 +208,11 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, nearest: int = NE
     turn = spark.sparkContext.broadcast(rotation(sample.shape[1]))
     # A table of a few hundred vectors has a single list.
     listed = cut_lineage(_assigned(vectors, centroids, 1))
-    probing = cut_lineage(_assigned(queries, centroids, probes))
+    # One number for each of at most MOST_LISTS lists.
+    held = np.zeros(len(middles), np.int64)
+    for r in listed.groupBy("list").agg(F.count("*").alias("rows")).collect():
+        held[r["list"]] = r["rows"]
+    probing = cut_lineage(_assigned(queries, centroids, probes, held, nearest + 1))
     sizes = listed.groupBy("list").agg(F.count("*").alias("rows")).join(
         probing.groupBy("list").agg(F.count("*").alias("asked")), "list"
     ).select("list", _block("rows", LIST_BLOCK).alias("parts"), _block("asked", QUERY_BLOCK).alias("query_parts"))

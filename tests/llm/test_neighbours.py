@@ -44,3 +44,21 @@ def test_odd_vectors(spark):
     got = {(r["query_id"], r["rank"]): r["vec_id"] for r in neighbours.search_table(table(spark, rows)).collect()}
     assert got == {(0, 1): 1, (0, 2): 50, (50, 1): 0, (50, 2): 1}
     assert neighbours.search_table(table(spark, rows[2:4])).count() == 0
+
+
+def test_every_query_finds_five(spark):
+    # Two vectors far from one large group: the list that they are in holds fewer rows than are wanted.
+    random = np.random.default_rng(3)
+    vectors = np.concatenate([[[0.0, 0.0, 0.0, 9.0], [0.1, 0.0, 0.0, 9.0]], random.standard_normal((998, 4)) * 0.1 + [5, 0, 0, 0]])
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, vector array<double>")
+    got = neighbours.nearest_neighbours(frame, frame.where("vec_id % 50 = 0"), vectors_per_list=50).groupBy("query_id").count().collect()
+    assert {r["query_id"]: r["count"] for r in got} == dict.fromkeys(range(0, 1000, 50), 5)
+
+
+def test_the_first_nearest_stay():
+    # Near in the first column block, far in the second: the test would abandon every candidate.
+    random = np.random.default_rng(4)
+    candidates = np.concatenate([np.ones((6, 16)), random.standard_normal((6, 16)) * 3], 1)
+    question = np.concatenate([np.ones((1, 16)), random.standard_normal((1, 16)) * 3], 1)
+    row, col, _ = neighbours.scan(question, np.array([100]), candidates, np.arange(6), np.eye(32))
+    assert len(row) == 5 and len(set(col.tolist())) == 5

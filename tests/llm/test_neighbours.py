@@ -56,9 +56,8 @@ def test_every_query_finds_five(spark):
 
 
 def test_the_first_nearest_stay():
-    # Near in the first column block, far in the second: the test would abandon every candidate.
+    # Apart in the second of eight column blocks alone: the test would abandon most candidates there.
     random = np.random.default_rng(4)
-    candidates = np.concatenate([np.ones((6, 16)), random.standard_normal((6, 16)) * 3], 1)
-    question = np.concatenate([np.ones((1, 16)), random.standard_normal((1, 16)) * 3], 1)
-    row, col, _ = neighbours.scan(question, np.array([100]), candidates, np.arange(6), np.eye(32))
+    apart = lambda n: np.concatenate([np.ones((n, 16)), random.standard_normal((n, 16)) * 3, np.ones((n, 96))], 1)
+    row, col, _ = neighbours.scan(apart(1), np.array([100]), apart(6), np.arange(6), np.eye(128))
     assert len(row) == 5 and len(set(col.tolist())) == 5

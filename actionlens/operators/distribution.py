@@ -5,23 +5,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ranks import VALUES_PER_TASK, quantiles, quantiles_of_counts, stored_value_counts
+from .ranks import MAX_BROADCAST_ROWS, VALUES_PER_TASK, quantiles_of_counts, stored_counts_with_missing, stored_value_counts
 
 
 def describe(df: DataFrame, group: str, value: str, max_in_task: int = VALUES_PER_TASK) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum per group. NaN counts as
-    missing."""
-    number = F.col(value).cast("double")
-    known = df.filter(F.col(group).isNotNull()).select(group, F.when(~F.isnan(number), number).alias(value))
-    moments = known.groupBy(group).agg(
-        F.count(value).alias("n"),
-        F.avg(value).alias("mean"),
-        F.stddev_samp(value).alias("std"),
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
+    missing.
+
+    Everything follows from value counts, so ``df`` is read once. Runs jobs: the counts are stored.
+    The means go back to them for the deviation, by broadcast if the groups were counted to be few.
+    """
+    counted = stored_counts_with_missing(df, group, value)
+    counts = counted.filter(F.col("value").isNotNull())
+    weight = F.when(F.col("value").isNotNull(), F.col("n"))
+    moments = counted.groupBy(group).agg(
+        F.coalesce(F.sum(weight), F.lit(0)).alias("n"),
+        (F.sum(F.col("value") * F.col("n")) / F.sum(weight)).alias("mean"),
+        F.min("value").alias("min"),
+        F.max("value").alias("max"),
+    )
+    means = moments.select(group, "mean")
+    few = means.count() <= MAX_BROADCAST_ROWS
+    away = F.col("value") - F.col("mean")
+    squares = (
+        counts.join(F.broadcast(means) if few else means, group)
+        .groupBy(group)
+        .agg(F.sum(away * away * F.col("n")).alias("squares"))
     )
-    quartiles = quantiles(known, [group], value, [0.25, 0.5, 0.75], max_in_task)
-    return moments.join(quartiles, group, "left").select(
+    quartiles = quantiles_of_counts(counts, [group], [0.25, 0.5, 0.75], max_in_task)
+    described = moments.join(squares, group, "left").join(quartiles, group, "left")
+    return described.withColumn("std", F.sqrt(F.try_divide("squares", F.col("n") - 1))).select(
         group,
         "n",
         "mean",

@@ -35,12 +35,13 @@ def mann_whitney(
     )
     ranged = with_ranges(counts, values_per_task)
     ranked = with_rows_before(ranged, range_offsets(ranged, []), [])
-    mid_rank = F.col("rows_before") + (F.col("n") + 1) / 2
+    # Twice the mean rank, times the rows: exact integers beyond the range of a long.
+    twice = F.expr("CAST(2 * rows_before + n + 1 AS DECIMAL(19,0)) * CAST(n_a AS DECIMAL(18,0))")
     n = F.col("n").cast("double")
     sums = ranked.agg(
         F.sum("n_a").alias("n_first"),
         F.sum(F.col("n") - F.col("n_a")).alias("n_second"),
-        F.sum(mid_rank * F.col("n_a")).alias("rank_sum"),
+        (F.sum(twice) / 2).cast("double").alias("rank_sum"),
         F.sum(n * n * n - n).alias("ties"),
     )
     n1, n2 = F.col("n_first").cast("double"), F.col("n_second").cast("double")

@@ -17,6 +17,7 @@ from ..session import cut_lineage
 
 # Distinct values that one task may hold.
 VALUES_PER_TASK = 1_000_000
+# Split points are literals of the plan. Beyond 10**10 distinct values ranges get larger, not more.
 MAX_RANGES = 10_000
 
 # Counted rows up to which a side of a join is broadcast.
@@ -35,6 +36,14 @@ def stored_value_counts(df: DataFrame, groups: list[str], value: str) -> DataFra
     return cut_lineage(value_counts(df, groups, value))
 
 
+def stored_counts_with_missing(df: DataFrame, group: str, value: str) -> DataFrame:
+    """``(group, value, n)`` of the rows with a group, stored. NULL and NaN are one value, NULL, so a
+    group without any known value is still there."""
+    number = F.col(value).cast("double")
+    kept = df.filter(F.col(group).isNotNull()).select(group, F.when(~F.isnan(number), number).alias("value"))
+    return cut_lineage(kept.groupBy(group, "value").agg(F.count("*").alias("n")))
+
+
 def with_ranges(counts: DataFrame, values_per_task: int = VALUES_PER_TASK) -> DataFrame:
     """Add ``value_range``, an integer that grows with ``value``, with a bounded number of rows of
     ``counts`` per range. ``counts`` should be stored, for it is read repeatedly."""
@@ -122,7 +131,9 @@ def quantiles_of_counts(
     per_probability = hits.groupBy(*groups, F.col("w.i").alias("i")).agg(
         F.min("value").alias("low"), F.max("value").alias("high"), F.first("w.part").alias("part")
     )
-    quantile = F.col("low") + (F.col("high") - F.col("low")) * F.col("part")
+    # The arithmetic of the built-in percentile, so that size does not show in the last digits.
+    between = (1 - F.col("part")) * F.col("low") + F.col("part") * F.col("high")
+    quantile = F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(between)
     ordered = F.array_sort(F.collect_list(F.struct("i", quantile.alias("q"))))
     return per_probability.groupBy(*groups).agg(F.transform(ordered, lambda s: s["q"]).alias("quantiles"))
 

@@ -8,7 +8,8 @@ position and applies a statistic to the differences. Three ways to get there:
               one, but the work grows with distinct values, and zero revenue is one of them.
 ``poisson``   mean only. An independent Poisson weight per row and replica; native expressions,
               one shuffle of ``replicas x 2`` rows per task. An approximation whose number of
-              draws varies around the wanted one.
+              draws varies around the wanted one. Groups that differ by more than 20 times in size are
+              drawn as by ``resample``, which has no such approximation.
 ``paired``    any statistic. Draws row positions and joins them to the sorted values.
 
 All randomness is a function of the seed and the data, never of the partitioning.
@@ -53,7 +54,7 @@ MAX_TASKS = 10_000
 # Rows written by one step of turning a repeated value into positions.
 POSITIONS_PER_CHUNK = 8_192
 
-# Above this many draws per row a weight takes too many comparisons; use ``resample``.
+# Above this many draws per row a weight takes too many comparisons; such groups go through ``resample``.
 MAX_POISSON_RATE = 20.0
 
 _UNIFORM_BITS = 52
@@ -120,6 +121,8 @@ def bootstrap_replicas(
     if method == "poisson":
         if key is None:
             raise ValueError("method='poisson' needs the key of a row")
+        if any(drawn[label] > MAX_POISSON_RATE * sizes[label] > 0 for label in labels):
+            return _resample_replicas(known, group, value, labels, replicas, sizes, drawn, seed)
         return _poisson_replicas(known, group, value, labels, replicas, sizes, drawn, seed, key)
     if method == "paired":
         if draws != "max":

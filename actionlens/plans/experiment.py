@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import percent_text, ratio
 from ..operators.distribution import describe
-from ..operators.ranks import VALUES_PER_TASK, quantiles_of_counts, stored_value_counts
+from ..operators.ranks import VALUES_PER_TASK, quantiles_of_counts, stored_counts_with_missing
 
 # Group labels, control first, and the revenue from which a user is an outlier.
 GROUPS = ("a", "b")
@@ -64,18 +64,21 @@ def outlier_sensitivity(
     """``(testgroup, variant, users, payers, conversion, arpu, q25, q50, q75)`` with all users
     (``all``) and with revenue below ``cut`` (``cut``); quartiles are those of payers.
 
-    Both variants come from the same pass as conditional aggregates, and both quartiles from the
-    same value counts; rows are not doubled.
+    Both variants and both quartiles come from the same stored value counts, so the data are read
+    once. Runs a job.
     """
-    known = experiment.filter(F.col("testgroup").isNotNull())
-    below = F.col("revenue") < cut
-    counts = known.groupBy("testgroup").agg(
-        F.count("*").alias("users_all"),
-        F.count_if(_payer()).alias("payers_all"),
-        F.avg("revenue").alias("arpu_all"),
-        F.count_if(below).alias("users_cut"),
-        F.count_if(below & _payer()).alias("payers_cut"),
-        F.avg(F.when(below, F.col("revenue"))).alias("arpu_cut"),
+    counted = stored_counts_with_missing(experiment, "testgroup", "revenue")
+    value, n = F.col("value"), F.col("n")
+    users = lambda which: F.coalesce(F.sum(F.when(which, n)), F.lit(0))
+    mean = lambda which: F.try_divide(F.sum(F.when(which, value * n)), F.sum(F.when(which, n)))
+    below = value < cut
+    counts = counted.groupBy("testgroup").agg(
+        F.sum("n").alias("users_all"),
+        users(value > 0).alias("payers_all"),
+        mean(value.isNotNull()).alias("arpu_all"),
+        users(below).alias("users_cut"),
+        users(below & (value > 0)).alias("payers_cut"),
+        mean(below).alias("arpu_cut"),
     )
     variants = counts.select(
         "testgroup",
@@ -94,7 +97,7 @@ def outlier_sensitivity(
         ),
     )
     probabilities = [0.25, 0.5, 0.75]
-    paid = stored_value_counts(known.filter(_payer()), ["testgroup"], "revenue")
+    paid = counted.filter(value > 0)
     kept = {"all": paid, "cut": paid.filter(F.col("value") < cut)}
     quartiles = [
         quantiles_of_counts(counts, ["testgroup"], probabilities, max_in_task).withColumn("variant", F.lit(v))

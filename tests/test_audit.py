@@ -35,6 +35,14 @@ def test_hot_key_join_equals_plain_join(spark):
     assert rows_of(cold) == plain and "LeftAnti" not in plan_of(cold)
 
 
+def test_join_per_key_reads_facts_once_more(spark):
+    facts = spark.range(3_000).selectExpr("IF(id % 5 = 0, NULL, id % 50) AS k", "id AS v")
+    per_key = facts.filter("k IS NOT NULL").groupBy("k").agg(F.max("v").alias("last"), F.count("*").alias("n"))
+    joined = join_per_key(facts, per_key, "k", "n")
+    assert plan_of(joined).count(") Range\n") == 1
+    assert rows_of(joined) == rows_of(facts.join(per_key.drop("n"), "k", "left"))
+
+
 def test_nan_is_missing(spark):
     df = spark.createDataFrame([(1, 1.0), (2, float("nan")), (3, None)], "id long, x double")
     assert {r["column_name"]: r["nulls"] for r in audit.null_counts(df).collect()} == {"id": 0, "x": 2}

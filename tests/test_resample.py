@@ -135,6 +135,15 @@ def test_poisson_thresholds():
         resample.poisson_thresholds(500.0)
 
 
+def test_poisson_of_groups_of_very_different_size(spark):
+    rows = [(i, "a", float(i % 7)) for i in range(900)] + [(1000 + i, "b", 1.0) for i in range(9)]
+    df = spark.createDataFrame(rows, "id long, g string, v double")
+    options = {"replicas": 200, "seed": 3}
+    poisson = resample.bootstrap_replicas(df, "g", "v", LABELS, method="poisson", key="id", **options)
+    exact = resample.bootstrap_replicas(df, "g", "v", LABELS, method="resample", **options)
+    assert sorted(map(tuple, poisson.collect())) == sorted(map(tuple, exact.collect()))
+
+
 @pytest.mark.parametrize(
     "options",
     [{"method": "jackknife"}, {"statistic": "median"}, {"draws": "half"}, {"method": "poisson"}, {"method": "paired", "draws": "own"}],

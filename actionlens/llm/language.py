@@ -1,9 +1,11 @@
 """Language of a text by words first and character n-grams for unseen words.
 
-Counting covers the words of all training documents. The model keeps the most frequent words of
-each language and the most frequent n-grams of each language and length, so its size is bounded by its
-parameters, like a vocabulary. A word of the model counts with its log frequency in each
-language. Any other word falls back to its n-grams: the longest length of which the model knows one.
+The model holds every word of the training documents and every n-gram of these words, as tables that
+stay in Spark. A word of the model counts with its log frequency in each language. Any other word falls
+back to its n-grams: the longest length of which the model knows one. Scores of the most frequent words
+of each language are at hand in every task; a document's other words are joined to the tables, each
+distinct word once, and added up by document. Scores are whole numbers of ``1 / UNIT``, so that a sum
+does not depend on the order of rows.
 """
 
 from __future__ import annotations
@@ -17,20 +19,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..session import cut_lineage
 from .flat import steps, texts_of
 
 UNKNOWN = "und"
+# Words of a language whose scores every task has at hand; all others are joined.
 WORDS_PER_LANGUAGE = 20_000
-GRAMS_PER_LANGUAGE = 10_000
 LONGEST_GRAM = 4
 SMOOTHING = 0.5
-# Parts that a language's counts are ranked in first.
-SHARES = 64
-# Words that a task remembers the scores of.
-REMEMBERED = 400_000
+# Scores are whole numbers of this part of one; 10^8 words do not overflow.
+UNIT = 1 << 30
 _EDGE = "_"
 
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -66,116 +65,157 @@ def word_counts(documents: DataFrame) -> DataFrame:
     return counted.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
+def _grams(words: DataFrame, size: Column | int) -> DataFrame:
+    """A row with ``gram`` for each n-gram of the words with their edges marked; shorter words have none."""
+    marked = words.withColumn("marked", F.concat(F.lit(_EDGE), "word", F.lit(_EDGE))).withColumn("size", F.lit(size))
+    at = "transform(sequence(1, length(marked) - size + 1), i -> substring(marked, i, size))"
+    return marked.where("length(marked) >= size").withColumn("gram", F.explode(F.expr(at))).drop("marked")
+
+
 def gram_counts(words: DataFrame, longest: int = LONGEST_GRAM) -> DataFrame:
     """``(lang, size, gram, n)`` of the words with their edges marked."""
-    marked = words.withColumn("marked", F.concat(F.lit(_EDGE), "word", F.lit(_EDGE)))
-    sizes = marked.withColumn("size", F.explode(F.array(*map(F.lit, range(1, longest + 1))))).where("length(marked) >= size")
-    grams = sizes.select("lang", "size", "n", F.explode(F.expr("transform(sequence(1, length(marked) - size + 1), i -> substring(marked, i, size))")).alias("gram"))
+    grams = _grams(words, F.explode(F.array(*map(F.lit, range(1, longest + 1)))))
     return grams.groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))
 
 
-def _most(counts: DataFrame, by: list[str], name: str, limit: int) -> DataFrame:
-    """The ``limit`` most frequent of each group: of each of ``SHARES`` shares of a group first, so that a
-    language is not one task."""
-    for keys in ([*by, "share"], by):
-        order = Window.partitionBy(*keys).orderBy(F.col("n").desc(), name)
-        counts = counts.withColumn("share", F.pmod(F.xxhash64(name), F.lit(SHARES)))
-        counts = counts.withColumn("place", F.row_number().over(order)).where(F.col("place") <= limit).drop("place", "share")
-    return counts
-
+def _wide(counts: DataFrame, name: str, languages: list[str]) -> DataFrame:
+    """``(name, n)`` with the counts in each of ``languages`` as an array; stored."""
+    n = [F.coalesce(F.sum(F.when(F.col("lang") == lang, F.col("n"))), F.lit(0)) for lang in languages]
+    return cut_lineage(counts.groupBy(name).agg(F.array(*n).cast("array<long>").alias("n")))
 
-class LanguageModel:
-    """Log frequencies by language: a row for each word and n-gram of the model."""
 
-    def __init__(self, languages: list[str], words: dict[str, dict[str, int]], grams: dict[int, dict[str, dict[str, int]]], totals, smoothing: float):
-        """``words`` and ``grams`` map a language to its counts; ``totals`` has the counts of the
-        whole corpus by ``(size, language)``, with size 0 for words."""
-        self.languages = languages
-        self.words = self._table(words, 0, totals, smoothing)
-        self.grams = {size: self._table(of_size, size, totals, smoothing) for size, of_size in sorted(grams.items(), reverse=True)}
+def _scored(wide: DataFrame, totals: list[int], smoothing: float) -> DataFrame:
+    """``wide`` with ``scores``: the log frequency of each word or n-gram in each language."""
+    names = max(wide.count(), 1)
+    logs = [F.round((F.log(F.col("n")[i] + smoothing) - math.log(total + smoothing * names)) * UNIT).cast("long") for i, total in enumerate(totals)]
+    return wide.withColumn("scores", F.array(*logs).cast("array<long>"))
 
-    def _table(self, counts, size, totals, smoothing) -> dict[str, tuple[float, ...]]:
-        names = sorted(set().union(*counts.values())) if counts else []
-        bottom = [math.log(totals.get((size, lang), 0) + smoothing * max(len(names), 1)) for lang in self.languages]
-        of = [counts.get(lang, {}) for lang in self.languages]
-        return {name: tuple(math.log(c.get(name, 0) + smoothing) - b for c, b in zip(of, bottom)) for name in names}
 
-    def score(self, word: str) -> tuple[float, ...]:
-        known = self.words.get(word)
-        if known is not None:
-            return known
-        marked = f"{_EDGE}{word}{_EDGE}"
-        for size, table in self.grams.items():
-            found = [table[g] for g in (marked[i : i + size] for i in range(len(marked) - size + 1)) if g in table]
-            if found:
-                return tuple(sum(x) / len(found) for x in zip(*found))
-        return (0.0,) * len(self.languages)
+def _frequent(wide: DataFrame, language: int, most: int) -> Column:
+    """Whether a word is among the ``most`` most frequent of a language, without those that tie with the
+    first one left out. Runs a job that counts the words of each frequency."""
+    n = F.col("n")[language]
+    least, taken = 0, 0
+    for r in sorted(wide.where(n > 0).groupBy(n.alias("times")).count().collect(), reverse=True):
+        taken += r["count"]
+        if taken > most:
+            least = r["times"]
+            break
+    return n > least
 
 
-class _Remembered(dict):
-    """Row numbers of words; a new word is scored and gets the next row."""
-
-    def __init__(self, model: LanguageModel):
-        super().__init__()
-        self.model, self.rows = model, []
+class LanguageModel:
+    """Log frequencies by language: a row for each word and n-gram of the training documents."""
+
+    def __init__(self, languages: list[str], words: DataFrame, grams: dict[int, DataFrame], at_hand: dict[str, list[int]]):
+        """``words`` and ``grams``, by length, are ``(word, scores)`` and ``(gram, scores)``; ``at_hand``
+        has the scores of the most frequent words."""
+        self.languages, self.words, self.at_hand = languages, words, at_hand
+        self.grams = dict(sorted(grams.items(), reverse=True))
+
+    def score_words(self, words: DataFrame) -> DataFrame:
+        """``(word, scores)`` of distinct ``words(word)``; zeros where the model knows no n-gram of the
+        word either. Runs a job for the words and one for each length of n-grams that is needed."""
+        looked_up = cut_lineage(words.join(self.words, "word", "left"))
+        scored, rest = looked_up.where("scores IS NOT NULL"), looked_up.where("scores IS NULL").select("word")
+        for size, table in self.grams.items():
+            if rest.isEmpty():
+                return scored
+            mean = [F.round(F.avg(F.col("scores")[i])).cast("long") for i in range(len(self.languages))]
+            found = _grams(rest, size).join(table, "gram").groupBy("word").agg(F.array(*mean).alias("scores"))
+            looked_up = cut_lineage(rest.join(found, "word", "left"))
+            scored, rest = scored.union(looked_up.where("scores IS NOT NULL")), looked_up.where("scores IS NULL").select("word")
+        return scored.union(rest.withColumn("scores", F.array_repeat(F.lit(0).cast("long"), len(self.languages))))
 
-    def __missing__(self, word: str) -> int:
-        self.rows.append(self.model.score(word))
-        self[word] = row = len(self.rows) - 1
-        return row
+    def score(self, word: str) -> tuple[float, ...]:
+        """Scores of one word. May run jobs."""
+        known = self.at_hand.get(word)
+        if known is None:
+            known = self.score_words(self.words.sparkSession.createDataFrame([(word,)], "word string")).first()["scores"]
+        return tuple(x / UNIT for x in known)
 
 
-def fit_languages(
-    documents: DataFrame, words: int = WORDS_PER_LANGUAGE, grams: int = GRAMS_PER_LANGUAGE, smoothing: float = SMOOTHING
-) -> LanguageModel:
+def fit_languages(documents: DataFrame, words: int = WORDS_PER_LANGUAGE, smoothing: float = SMOOTHING) -> LanguageModel:
     """Learn from all rows of ``documents(lang, text)`` with a language and a text.
 
-    At most ``words`` words and, for each length, ``grams`` n-grams of a language come to the driver.
-    Runs jobs; word counts are stored.
+    The scores of the ``words`` most frequent words of each language come to the driver, those of all
+    words and n-grams stay in Spark. Runs jobs; counts and scores are stored.
     """
     counts = cut_lineage(word_counts(documents))
+    totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    languages = sorted(totals)
+    wide = _wide(counts, "word", languages)
+    scores = _scored(wide, [totals[x] for x in languages], smoothing)
+    grams = {}
     of_grams = cut_lineage(gram_counts(counts))
-    totals = {(0, r["lang"]): r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    totals |= {(r["size"], r["lang"]): r["n"] for r in of_grams.groupBy("size", "lang").agg(F.sum("n").alias("n")).collect()}
-    of_words: dict = {}
-    for r in _most(counts, ["lang"], "word", words).collect():
-        of_words.setdefault(r["lang"], {})[r["word"]] = r["n"]
-    by_size: dict = {}
-    for r in _most(of_grams, ["lang", "size"], "gram", grams).collect():
-        by_size.setdefault(r["size"], {}).setdefault(r["lang"], {})[r["gram"]] = r["n"]
-    return LanguageModel(sorted(of_words), of_words, by_size, totals, smoothing)
+    by_size: dict[int, dict[str, int]] = {}
+    for r in of_grams.groupBy("size", "lang").agg(F.sum("n").alias("n")).collect():
+        by_size.setdefault(r["size"], {})[r["lang"]] = r["n"]
+    for size, of_size in by_size.items():
+        table = _wide(of_grams.where(F.col("size") == size), "gram", languages)
+        grams[size] = _scored(table, [of_size.get(x, 0) for x in languages], smoothing).drop("n")
+    of_any = [_frequent(wide, i, words) for i in range(len(languages))]
+    at_hand = {r["word"]: r["scores"] for r in scores.where(F.greatest(F.lit(False), F.lit(False), *of_any)).select("word", "scores").collect()}
+    return LanguageModel(languages, scores.drop("n"), grams, at_hand)
+
+
+def _counted(documents: DataFrame, model: LanguageModel) -> DataFrame:
+    """``(row, doc_id, base, rare, times)``: the summed scores of the words at hand, null if the text has no
+    word at all, and the other words with how often each occurs, separated by spaces."""
+    width = len(model.languages)
+    names = list(model.at_hand)
+    table = np.array([model.at_hand[w] for w in names], np.int64).reshape(len(names), width)
+    shared = documents.sparkSession.sparkContext.broadcast((names, table))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, table = shared.value
+        place = {word: i for i, word in enumerate(names)}
+        for batch in batches:
+            for low, high, data, offsets in steps(batch.column("text")):
+                base, rare, times = [], [], []
+                for text in texts_of(data, offsets):
+                    counts = Counter(words_of(text))
+                    at = np.fromiter((place.get(w, -1) for w in counts), np.int64, len(counts))
+                    n = np.fromiter(counts.values(), np.int64, len(counts))
+                    base.append(n[at >= 0] @ table[at[at >= 0]] if counts else None)
+                    others = [w for w, i in zip(counts, at.tolist()) if i < 0]
+                    rare.append(" ".join(others))
+                    times.append(" ".join(str(counts[w]) for w in others))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(batch.column(c).slice(low, high - low) for c in ("row", "doc_id")),
+                        pa.array(base, pa.list_(pa.int64())), pa.array(rare, pa.string()), pa.array(times, pa.string()),
+                    ],
+                    names=["row", "doc_id", "base", "rare", "times"],
+                )
+
+    numbered = documents.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return numbered.mapInArrow(count, "row long, doc_id long, base array<long>, rare string, times string")
 
 
 def predict_languages(documents: DataFrame, model: LanguageModel) -> DataFrame:
     """``(doc_id, lang_pred, score)`` for every row of ``documents``; the text alone decides.
 
     A null text, a text without letters, and any text if nothing was learned, is ``und`` with score 0.
-    The score is the share of the best language's likelihood; equal ones go to the first by name.
+    The score is the share of the best language's likelihood; equal ones go to the first by name. Runs
+    jobs: row numbers, sums and words to be joined are stored, so that row numbers stay as they are.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(model)
-
-    def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        learned = shared.value
-        names = [*learned.languages, UNKNOWN]
-        memory = _Remembered(learned)
-        for batch in batches:
-            for low, high, data, offsets in steps(batch.column("text")):
-                if len(memory) > REMEMBERED:
-                    memory = _Remembered(learned)
-                found = [list(map(memory.__getitem__, words_of(t))) for t in texts_of(data, offsets)]
-                best, score = np.full(high - low, len(names) - 1), np.zeros(high - low)
-                table = np.array(memory.rows, float).reshape(len(memory.rows), len(learned.languages))
-                for i, rows in enumerate(found):
-                    if rows and learned.languages:
-                        total = table[rows].sum(0)
-                        best[i] = total.argmax()
-                        score[i] = 1 / np.exp(total - total.max()).sum()
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(low, high - low), pa.array([names[b] for b in best]), pa.array(score)],
-                    names=["doc_id", "lang_pred", "score"],
-                )
-
-    return documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(predict, "doc_id long, lang_pred string, score double")
+    if not model.languages:
+        return documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+    width = range(len(model.languages))
+    counted = cut_lineage(_counted(documents, model))
+    pairs = F.arrays_zip(F.split("rare", " ").alias("word"), F.split("times", " ").alias("n"))
+    rare = counted.where("rare <> ''").select("row", F.inline(pairs)).withColumn("n", F.col("n").cast("long"))
+    scores = model.score_words(rare.select("word").distinct())
+    added = rare.join(scores, "word").groupBy("row").agg(*(F.sum(F.col("n") * F.col("scores")[i]).alias(f"s{i}") for i in width))
+    total = counted.drop("rare", "times").join(added, "row", "left")
+    total = total.select("doc_id", *((F.col("base")[i] + F.coalesce(f"s{i}", F.lit(0))).alias(f"s{i}") for i in width))
+    best = F.array_max(F.array(*(f"s{i}" for i in width)))
+    lang = F.lit(UNKNOWN)
+    for i in reversed(width):
+        lang = F.when(F.col(f"s{i}") == F.col("best"), F.lit(model.languages[i])).otherwise(lang)
+    share = 1 / sum((F.exp((F.col(f"s{i}") - F.col("best")) / UNIT) for i in width), F.lit(0.0))
+    return total.withColumn("best", best).select("doc_id", lang.alias("lang_pred"), F.coalesce(share, F.lit(0.0)).alias("score"))
 
 
 def held_out_languages(documents: DataFrame, parts: int = 4, part: int = 2) -> DataFrame:

@@ -1,4 +1,6 @@
+import math
 import random
+from collections import Counter
 
 import numpy as np
 
@@ -80,3 +82,34 @@ def test_language_odd_rows(odd, no_documents):
     assert {x["lang_pred"] for x in rows if x["doc_id"] in (1, 2, 7)} == {"und"}
     assert language.held_out_languages(no_documents).count() == 0
     assert language.predict_languages(odd, language.fit_languages(no_documents)).where("lang_pred <> 'und'").count() == 0
+
+
+def test_every_training_word_and_gram_counts(documents):
+    """However few words are at hand in the tasks: equal to a model of all words and n-grams."""
+    r = random.Random(6)
+    langs = [r.choice(list(WORDS)) for _ in range(60)]
+    rare = ["".join(r.choice("abcdeé") for _ in range(r.randint(1, 7))) for _ in range(150)]
+    texts = [" ".join(r.choice(WORDS[x].split() + rare[i % 3 * 50 :][:50] * (i % 2)) for _ in range(6)) for i, x in enumerate(langs)]
+    df = documents(texts).drop("lang").join(documents(["x"]).sparkSession.createDataFrame(list(enumerate(langs)), "doc_id long, lang string"), "doc_id")
+    grams = lambda w, k: [f"_{w}_"[i : i + k] for i in range(len(w) + 3 - k)]
+    names = sorted(set(langs[:40]))
+    words = {x: Counter(w for t, y in zip(texts[:40], langs) if x == y for w in t.split()) for x in names}
+    tables = {0: words} | {k: {x: sum((Counter({g: c * n for g, c in Counter(grams(w, k)).items()}) for w, n in words[x].items()), Counter()) for x in names} for k in range(1, 5)}
+    size = {k: len(set().union(*t.values())) for k, t in tables.items()}
+    log = lambda k, name: [math.log((tables[k][x][name] + 0.5) / (tables[k][x].total() + 0.5 * size[k])) for x in names]
+
+    def score(w):
+        if any(w in words[x] for x in names):
+            return log(0, w)
+        for k in (4, 3, 2, 1):
+            if found := [log(k, g) for g in grams(w, k) if any(g in tables[k][x] for x in names)]:
+                return list(np.mean(found, 0))
+        return [0.0] * len(names)
+
+    model = language.fit_languages(df.where("doc_id < 40"), words=1)
+    got = {x["doc_id"]: x for x in language.predict_languages(df, model).collect()}
+    assert len(model.at_hand) <= 3 and len(got) == 60
+    for i, text in enumerate(texts):
+        total = np.sum([score(w) for w in text.split()], 0)
+        assert got[i]["lang_pred"] == names[total.argmax()]
+        assert abs(got[i]["score"] - 1 / np.exp(total - total.max()).sum()) < 1e-6

@@ -25,7 +25,7 @@ MIN_WORDS = 20
 REPEAT_WINDOW = 8
 REPEAT_PERCENT = 30
 
-# Frequent function words of the languages at hand.
+# Frequent function words of four languages. Their absence says nothing about a text in any other.
 FUNCTION_WORDS = (
     "the of and to in is that for it with as was on be at by this are from or an "
     "de la le et les des en un une du que qui pour dans par sur "
@@ -39,6 +39,9 @@ _UPPER = np.zeros(256, bool)
 _UPPER[65:91] = True
 _LETTER = _UPPER.copy()
 _LETTER[97:123] = True
+# Ends of sentences outside ASCII, as their last three or two bytes.
+_LONG_ENDS = [int.from_bytes(c.encode(), "big") for c in "।॥。！？…።။។"]
+_SHORT_ENDS = [int.from_bytes(c.encode(), "big") for c in "؟۔։"]
 
 COUNTS = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -108,8 +111,10 @@ def text_counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     keys = mix(plain.hashes(line_starts, line_ends) ^ mix(line_rows.astype(np.uint64) + np.uint64(1)))
     _, firsts = np.unique(keys, return_index=True)
     counts["n_dup_lines"] = counts["n_lines"] - count(line_rows[firsts])
-    final = data[ends[np.searchsorted(ends, line_ends, "right") - 1] - 1] if len(line_ends) else np.empty(0, np.uint8)
-    counts["n_ended_lines"] = per_row(np.isin(final, list(b".!?:")), line_rows, n)
+    last = ends[np.searchsorted(ends, line_ends, "right") - 1] - 1 if len(line_ends) else np.empty(0, np.int64)
+    one, two, three = (data[np.maximum(last - k, 0)].astype(np.int64) << 8 * k for k in range(3))
+    ended = np.isin(one, list(b".!?:")) | np.isin(one + two, _SHORT_ENDS) | np.isin(one + two + three, _LONG_ENDS)
+    counts["n_ended_lines"] = per_row(ended, line_rows, n)
     return {name: counts[name].astype(np.int64) for name in COUNTS}
 
 
@@ -142,7 +147,7 @@ def votes() -> dict[str, Column]:
     function_words = F.when(F.col("n_words") >= MIN_WORDS, F.col("n_function_words") / words)
     ended = F.when(F.col("n_words") >= MIN_WORDS, F.col("n_ended_lines") / lines)
     length = F.col("word_chars") / words
-    return {
+    of_junk = {
         "symbols": _bad((F.col("n_symbols") - F.col("n_bars")) / words > 0.3),
         "bars": _bad(F.col("n_bars") / words > 0.2),
         "bangs": _bad(F.col("n_bangs") / words > 0.3),
@@ -150,9 +155,12 @@ def votes() -> dict[str, Column]:
         "word_length": _bad(~length.between(2, 20)),
         "repeated_words": _bad(F.col("n_repeat_words") / words > 0.2),
         "repeated_lines": _bad((F.col("n_dup_lines") >= 3) & (F.col("n_dup_lines") / lines > 0.3)),
-        "function_words": F.when(function_words > 0.1, GOOD).when(function_words < 0.01, BAD).otherwise(ABSTAIN),
         "ended_lines": _bad(ended < 0.1),
     }
+    # A text without function words may be in a language that is not listed: that is no evidence by itself,
+    # and only backs a rule that has found junk.
+    backed = (function_words < 0.01) & (F.least(*of_junk.values()) == BAD)
+    return of_junk | {"function_words": F.when(function_words > 0.1, GOOD).when(backed, BAD).otherwise(ABSTAIN)}
 
 
 @dataclass(frozen=True)

@@ -48,6 +48,27 @@ def test_verdicts(documents):
     assert all(0 <= x["posterior"] <= 1 for x in rows)
 
 
+FOREIGN = (
+    "Дом короля стоит у реки, и люди строили его много лет. Вода в реке была холодной, но дети любили там играть летом.",
+    "Το σπίτι του βασιλιά είναι δίπλα στο ποτάμι και οι άνθρωποι το έχτιζαν πολλά χρόνια. Το νερό ήταν κρύο αλλά τα παιδιά έπαιζαν εκεί.",
+    "राजा का घर नदी के पास है और लोगों ने इसे कई साल तक बनाया। नदी का पानी ठंडा था लेकिन बच्चे वहाँ खेलते थे।",
+    "يقع بيت الملك قرب النهر وقد بناه الناس في سنوات كثيرة. كان الماء باردا لكن الأطفال أحبوا اللعب هناك في الصيف، أليس ذلك جميلا؟",
+    "왕의 집은 강 옆에 있고 사람들은 그것을 여러 해 동안 지었다. 강물은 차가웠지만 아이들은 여름에 거기서 노는 것을 아주 많이 좋아했다.",
+    "Rumah raja berdiri dekat sungai, lalu banyak orang membangunnya selama bertahun-tahun. Airnya dingin, tetapi anak-anak senang bermain di sana setiap musim panas.",
+)
+
+
+def test_prose_of_unlisted_languages_is_kept(documents):
+    r = random.Random(5)
+    clean = [" ".join(r.sample(CLEAN.split() * 3, 30)) + "." for _ in range(200)]
+    junk = ["".join(r.choice(kind.split(" ")[:-1]) + " " for _ in range(40)) for kind in JUNK for _ in range(10)]
+    df = documents([*FOREIGN, *clean, *junk])
+    rows = quality_rules.judge_documents(df).orderBy("doc_id").collect()
+    assert all(x["n_words"] >= quality_rules.MIN_WORDS and x["n_ended_lines"] == 1 for x in rows[: len(FOREIGN)])
+    assert all(x["kept"] for x in rows[:206]) and not any(x["kept"] for x in rows[206:])
+    assert quality_rules.keep_good(df).count() == 206
+
+
 def test_odd_rows(odd, no_documents):
     rows = quality_rules.judge_documents(odd).collect()
     assert len(rows) == odd.count() and all(x["base_failed"] and not x["kept"] for x in rows if x["n_words"] < 20)

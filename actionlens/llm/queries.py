@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_network, language, line_dedup, merkle, mixing, near_dedup, neighbours, pieces, quality_rules, secrets, suffixes
+from . import byte_network, hard_negatives, language, line_dedup, merkle, mixing, near_dedup, neighbours, pieces, quality_rules, secrets, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -83,3 +83,8 @@ def op6_neighbours(spark, sf_dir):
 @register
 def op11_manifest(spark, sf_dir):
     return merkle.verified_manifest(_table(spark, sf_dir, "documents"))
+
+
+@register
+def op13_hard_negatives(spark, sf_dir):
+    return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings"))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import byte_network, hard_negatives, language, line_dedup, merkle, mixing, near_dedup, neighbours, pieces, quality_rules, secrets, suffixes
+from . import byte_network, byte_pairs, hard_negatives, language, line_dedup, merkle, mixing, near_dedup, neighbours, pieces, quality_rules, secrets, suffixes
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -88,3 +88,15 @@ def op11_manifest(spark, sf_dir):
 @register
 def op13_hard_negatives(spark, sf_dir):
     return hard_negatives.hard_negatives(_table(spark, sf_dir, "embeddings"))
+
+
+def pair_model() -> str:
+    """Path of the public byte-level vocabulary, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@register
+def op12_byte_pairs(spark, sf_dir):
+    return byte_pairs.pair_digests(_table(spark, sf_dir, "documents"), pair_model())

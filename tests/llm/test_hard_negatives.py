@@ -92,7 +92,7 @@ def test_large_components(spark):
     rows = [(i, [(-1.0) ** i * 1e5 * (i + 1) + 0.123, 1e6 / (i + 1), 3.0 * i], i % 3) for i in range(40)]
     assert got(hard_negatives.hard_negatives(table(spark, rows, "double"), 20)) == brute_force(rows, 20)
     # Products that 64 bits do not hold are the largest number that they do.
-    huge = [(0, [1e200], 1), (1, [1e308], 1), (2, [1e300], 2), (3, [-1e300], 2)]
+    huge = [(0, [1e200], 0), (1, [1e308], 1), (2, [1e300], 2), (3, [-1e300], 2)]
     most = (1 << 63) - 1
     assert got(hard_negatives.hard_negatives(table(spark, huge, "double"), 20, 50)) == [(0, 1, 1, 2, most, most)]
 

@@ -1,10 +1,11 @@
 """Language of a text by words first and character n-grams for unseen words.
 
 The model holds every word of the training documents and every n-gram of these words, as tables that
-stay in Spark. A word of the model counts with its log frequency in each language. Any other word falls
-back to its n-grams: the longest length of which the model knows one. Scores of the most frequent words
-of each language are at hand in every task; a document's other words are joined to the tables, each
-distinct word once, and added up by document. Scores are whole numbers of ``1 / UNIT``, so that a sum
+stay in Spark. A word of the model counts with its log frequency in each language, mixed with a share of its mean
+frequency in all of them, so that what a language lacks costs it the same whatever its size. Any other
+word falls back to its n-grams: the longest length of which the model knows one. Scores of the most
+frequent words of each language are at hand in every task; a document's other words are joined to the
+tables, each distinct word once, and added up by document. Scores are whole numbers of ``1 / UNIT``, so that a sum
 does not depend on the order of rows.
 """
 
@@ -20,14 +21,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.hot_keys import join_per_key
 from ..session import cut_lineage
 from .flat import steps, texts_of
 
 UNKNOWN = "und"
-# Words of a language whose scores every task has at hand; all others are joined.
-WORDS_PER_LANGUAGE = 20_000
+# Words whose scores every task has at hand, the same number for each language; all others are joined.
+WORDS_AT_HAND = 160_000
 LONGEST_GRAM = 4
-SMOOTHING = 0.5
+# Weight of the mean frequency in all languages beside a language's own.
+SMOOTHING = 0.1
 # Scores are whole numbers of this part of one; 10^8 words do not overflow.
 UNIT = 1 << 30
 _EDGE = "_"
@@ -36,8 +39,11 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: bytes) -> list[str]:
-    """Runs of letters, in lower case."""
-    return _LETTERS.findall(text.decode("utf-8", "replace").lower())
+    """Runs of letters, in lower case. Fractions, superscripts and other signs for numbers are no letters."""
+    found = _LETTERS.findall(text.decode("utf-8", "replace").lower())
+    if not found or "".join(found).isalpha():
+        return found
+    return [w for x in found for w in ([x] if x.isalpha() else "".join(c if c.isalpha() else " " for c in x).split())]
 
 
 def in_part(doc_id: str, parts: int, part: int) -> Column:
@@ -45,8 +51,9 @@ def in_part(doc_id: str, parts: int, part: int) -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % parts == part, F.lit(False))
 
 
-def word_counts(documents: DataFrame) -> DataFrame:
-    """``(lang, word, n)`` of ``documents(lang, text)``; words are added up in each batch first."""
+def word_counts(documents: DataFrame, languages: list[str]) -> DataFrame:
+    """``(word, n)`` of ``documents(lang, text)``: how often each word occurs in each of ``languages``, as an
+    array; words are added up in each batch first."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -62,69 +69,67 @@ def word_counts(documents: DataFrame) -> DataFrame:
                     )
 
     counted = documents.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text")
-    return counted.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    of = [F.coalesce(F.sum(F.when(F.col("lang") == lang, F.col("n"))), F.lit(0)) for lang in languages]
+    return counted.mapInArrow(count, "lang string, word string, n long").groupBy("word").agg(F.array(*of).cast("array<long>").alias("n"))
 
 
 def _grams(words: DataFrame, size: Column | int) -> DataFrame:
     """A row with ``gram`` for each n-gram of the words with their edges marked; shorter words have none."""
     marked = words.withColumn("marked", F.concat(F.lit(_EDGE), "word", F.lit(_EDGE))).withColumn("size", F.lit(size))
     at = "transform(sequence(1, length(marked) - size + 1), i -> substring(marked, i, size))"
-    return marked.where("length(marked) >= size").withColumn("gram", F.explode(F.expr(at))).drop("marked")
+    return marked.where("length(marked) >= size").withColumn("gram", F.explode(F.expr(at))).drop("marked", "word")
 
 
-def gram_counts(words: DataFrame, longest: int = LONGEST_GRAM) -> DataFrame:
-    """``(lang, size, gram, n)`` of the words with their edges marked."""
+def gram_counts(words: DataFrame, languages: int, longest: int = LONGEST_GRAM) -> DataFrame:
+    """``(size, gram, n)`` of ``words(word, n)`` with their edges marked."""
     grams = _grams(words, F.explode(F.array(*map(F.lit, range(1, longest + 1)))))
-    return grams.groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))
+    return grams.groupBy("size", "gram").agg(F.array(*(F.sum(F.col("n")[i]) for i in range(languages))).alias("n"))
 
 
-def _wide(counts: DataFrame, name: str, languages: list[str]) -> DataFrame:
-    """``(name, n)`` with the counts in each of ``languages`` as an array; stored."""
-    n = [F.coalesce(F.sum(F.when(F.col("lang") == lang, F.col("n"))), F.lit(0)) for lang in languages]
-    return cut_lineage(counts.groupBy(name).agg(F.array(*n).cast("array<long>").alias("n")))
+def _scores(n: Column, totals: list[Column | int], smoothing: float) -> Column:
+    """Log frequency in each language, from the counts ``n`` and all counts of each language."""
+    shares = [F.coalesce(F.try_divide(n[i].cast("double"), F.lit(total)), F.lit(0.0)) for i, total in enumerate(totals)]
+    mean = sum(shares[1:], shares[0]) * (smoothing / len(shares))
+    return F.array(*(F.round((F.log(x + mean) - math.log(1 + smoothing)) * UNIT).cast("long") for x in shares))
 
 
-def _scored(wide: DataFrame, totals: list[int], smoothing: float) -> DataFrame:
-    """``wide`` with ``scores``: the log frequency of each word or n-gram in each language."""
-    names = max(wide.count(), 1)
-    logs = [F.round((F.log(F.col("n")[i] + smoothing) - math.log(total + smoothing * names)) * UNIT).cast("long") for i, total in enumerate(totals)]
-    return wide.withColumn("scores", F.array(*logs).cast("array<long>"))
-
-
-def _frequent(wide: DataFrame, language: int, most: int) -> Column:
-    """Whether a word is among the ``most`` most frequent of a language, without those that tie with the
+def _frequent(wide: DataFrame, most: int, languages: int) -> Column:
+    """Whether a word is among the ``most`` most frequent of some language, without those that tie with the
     first one left out. Runs a job that counts the words of each frequency."""
-    n = F.col("n")[language]
-    least, taken = 0, 0
-    for r in sorted(wide.where(n > 0).groupBy(n.alias("times")).count().collect(), reverse=True):
-        taken += r["count"]
-        if taken > most:
-            least = r["times"]
-            break
-    return n > least
+    counted = wide.select(F.posexplode("n").alias("language", "times")).where("times > 0").groupBy("language", "times").count().collect()
+    least = [0] * languages
+    for language in range(languages):
+        taken = 0
+        for times, words in sorted(((r["times"], r["count"]) for r in counted if r["language"] == language), reverse=True):
+            taken += words
+            if taken > most:
+                least[language] = times
+                break
+    return F.greatest(F.lit(False), F.lit(False), *(F.col("n")[i] > x for i, x in enumerate(least)))
 
 
 class LanguageModel:
     """Log frequencies by language: a row for each word and n-gram of the training documents."""
 
-    def __init__(self, languages: list[str], words: DataFrame, grams: dict[int, DataFrame], at_hand: dict[str, list[int]]):
-        """``words`` and ``grams``, by length, are ``(word, scores)`` and ``(gram, scores)``; ``at_hand``
-        has the scores of the most frequent words."""
-        self.languages, self.words, self.at_hand = languages, words, at_hand
-        self.grams = dict(sorted(grams.items(), reverse=True))
+    def __init__(self, languages: list[str], words: DataFrame, grams: DataFrame, sizes: list[int], at_hand: dict[str, list[int]]):
+        """``words`` is ``(word, scores)``, ``grams`` is ``(size, gram, scores)`` with the lengths ``sizes``;
+        ``at_hand`` has the scores of the most frequent words."""
+        self.languages, self.words, self.grams, self.at_hand = languages, words, grams, at_hand
+        self.sizes = sorted(sizes, reverse=True)
 
     def score_words(self, words: DataFrame) -> DataFrame:
-        """``(word, scores)`` of distinct ``words(word)``; zeros where the model knows no n-gram of the
-        word either. Runs a job for the words and one for each length of n-grams that is needed."""
+        """``words``, distinct by ``word``, with ``scores``; zeros where the model knows no n-gram of the word
+        either. Runs a job for the words and one for each length of n-grams that is needed."""
         looked_up = cut_lineage(words.join(self.words, "word", "left"))
-        scored, rest = looked_up.where("scores IS NOT NULL"), looked_up.where("scores IS NULL").select("word")
-        for size, table in self.grams.items():
+        scored, rest = looked_up.where("scores IS NOT NULL"), looked_up.where("scores IS NULL").drop("scores")
+        for size in self.sizes:
             if rest.isEmpty():
                 return scored
             mean = [F.round(F.avg(F.col("scores")[i])).cast("long") for i in range(len(self.languages))]
-            found = _grams(rest, size).join(table, "gram").groupBy("word").agg(F.array(*mean).alias("scores"))
-            looked_up = cut_lineage(rest.join(found, "word", "left"))
-            scored, rest = scored.union(looked_up.where("scores IS NOT NULL")), looked_up.where("scores IS NULL").select("word")
+            own = rest.select("word", F.col("word").alias("of"))
+            found = _grams(own, size).join(self.grams.where(F.col("size") == size).drop("size"), "gram").groupBy("of").agg(F.array(*mean).alias("scores"))
+            looked_up = cut_lineage(rest.join(found.withColumnRenamed("of", "word"), "word", "left"))
+            scored, rest = scored.union(looked_up.where("scores IS NOT NULL")), looked_up.where("scores IS NULL").drop("scores")
         return scored.union(rest.withColumn("scores", F.array_repeat(F.lit(0).cast("long"), len(self.languages))))
 
     def score(self, word: str) -> tuple[float, ...]:
@@ -135,28 +140,35 @@ class LanguageModel:
         return tuple(x / UNIT for x in known)
 
 
-def fit_languages(documents: DataFrame, words: int = WORDS_PER_LANGUAGE, smoothing: float = SMOOTHING) -> LanguageModel:
+def fit_languages(documents: DataFrame, words: int | None = None, smoothing: float = SMOOTHING) -> LanguageModel:
     """Learn from all rows of ``documents(lang, text)`` with a language and a text.
 
-    The scores of the ``words`` most frequent words of each language come to the driver, those of all
-    words and n-grams stay in Spark. Runs jobs; counts and scores are stored.
+    The scores of the ``words`` most frequent words of each language come to the driver, by default an equal
+    part of ``WORDS_AT_HAND``; those of all words and n-grams stay in Spark. Runs jobs; the counts of
+    words and the scores of n-grams are stored.
     """
-    counts = cut_lineage(word_counts(documents))
-    totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    languages = sorted(totals)
-    wide = _wide(counts, "word", languages)
-    scores = _scored(wide, [totals[x] for x in languages], smoothing)
-    grams = {}
-    of_grams = cut_lineage(gram_counts(counts))
-    by_size: dict[int, dict[str, int]] = {}
-    for r in of_grams.groupBy("size", "lang").agg(F.sum("n").alias("n")).collect():
-        by_size.setdefault(r["size"], {})[r["lang"]] = r["n"]
-    for size, of_size in by_size.items():
-        table = _wide(of_grams.where(F.col("size") == size), "gram", languages)
-        grams[size] = _scored(table, [of_size.get(x, 0) for x in languages], smoothing).drop("n")
-    of_any = [_frequent(wide, i, words) for i in range(len(languages))]
-    at_hand = {r["word"]: r["scores"] for r in scores.where(F.greatest(F.lit(False), F.lit(False), *of_any)).select("word", "scores").collect()}
-    return LanguageModel(languages, scores.drop("n"), grams, at_hand)
+    # A row for each language.
+    told = documents.where("lang IS NOT NULL AND text IS NOT NULL").groupBy("lang").count().collect()
+    languages = sorted(r["lang"] for r in told)
+    wide = cut_lineage(word_counts(documents, languages))
+    every = range(len(languages))
+    # What the words give of each length: 0 for the words themselves, else n-grams.
+    sizes = range(LONGEST_GRAM + 1)
+    held = {size: F.greatest(F.lit(0), F.char_length("word") + 3 - size) if size else F.lit(1) for size in sizes}
+    of_all = wide.agg(*(F.coalesce(F.sum(F.col("n")[i] * held[size]), F.lit(0)).alias(f"t{size}_{i}") for size in sizes for i in every), F.count("*").alias("rows")).first()
+    totals = {size: [of_all[f"t{size}_{i}"] for i in every] for size in sizes}
+    if not of_all["rows"]:
+        languages, every = [], range(0)
+    if not languages:
+        nothing = F.array().cast("array<long>").alias("scores")
+        return LanguageModel([], wide.select("word", nothing), wide.select(F.lit(0).alias("size"), F.col("word").alias("gram"), nothing), [], {})
+    of_words = F.col("n"), totals[0], smoothing
+    scores = wide.select("word", _scores(*of_words).alias("scores"))
+    by_size = [F.coalesce(*(F.when(F.col("size") == size, F.lit(totals[size][i])) for size in sizes[1:])) for i in every]
+    grams = cut_lineage(gram_counts(wide, len(languages)).select("size", "gram", _scores(F.col("n"), by_size, smoothing).alias("scores")))
+    frequent = wide.where(_frequent(wide, WORDS_AT_HAND // len(languages) if words is None else words, len(languages)))
+    at_hand = {r["word"]: r["scores"] for r in frequent.select("word", _scores(*of_words).alias("scores")).collect()}
+    return LanguageModel(languages, scores, grams, [size for size in sizes[1:] if any(totals[size])], at_hand)
 
 
 def _counted(documents: DataFrame, model: LanguageModel) -> DataFrame:
@@ -206,8 +218,9 @@ def predict_languages(documents: DataFrame, model: LanguageModel) -> DataFrame:
     counted = cut_lineage(_counted(documents, model))
     pairs = F.arrays_zip(F.split("rare", " ").alias("word"), F.split("times", " ").alias("n"))
     rare = counted.where("rare <> ''").select("row", F.inline(pairs)).withColumn("n", F.col("n").cast("long"))
-    scores = model.score_words(rare.select("word").distinct())
-    added = rare.join(scores, "word").groupBy("row").agg(*(F.sum(F.col("n") * F.col("scores")[i]).alias(f"s{i}") for i in width))
+    # A word that many documents have and no training document does is no word at hand: its rows are many.
+    scores = model.score_words(rare.groupBy("word").agg(F.count("*").alias("documents")))
+    added = join_per_key(rare, scores, "word", "documents").groupBy("row").agg(*(F.sum(F.col("n") * F.col("scores")[i]).alias(f"s{i}") for i in width))
     total = counted.drop("rare", "times").join(added, "row", "left")
     total = total.select("doc_id", *((F.col("base")[i] + F.coalesce(f"s{i}", F.lit(0))).alias(f"s{i}") for i in width))
     best = F.array_max(F.array(*(f"s{i}" for i in width)))

@@ -95,8 +95,10 @@ def test_every_training_word_and_gram_counts(documents):
     names = sorted(set(langs[:40]))
     words = {x: Counter(w for t, y in zip(texts[:40], langs) if x == y for w in t.split()) for x in names}
     tables = {0: words} | {k: {x: sum((Counter({g: c * n for g, c in Counter(grams(w, k)).items()}) for w, n in words[x].items()), Counter()) for x in names} for k in range(1, 5)}
-    size = {k: len(set().union(*t.values())) for k, t in tables.items()}
-    log = lambda k, name: [math.log((tables[k][x][name] + 0.5) / (tables[k][x].total() + 0.5 * size[k])) for x in names]
+
+    def log(k, name):
+        shares = [tables[k][x][name] / tables[k][x].total() for x in names]
+        return [math.log((share + 0.1 * np.mean(shares)) / 1.1) for share in shares]
 
     def score(w):
         if any(w in words[x] for x in names):
@@ -106,6 +108,7 @@ def test_every_training_word_and_gram_counts(documents):
                 return list(np.mean(found, 0))
         return [0.0] * len(names)
 
+    assert score("xyz") != score("the")
     model = language.fit_languages(df.where("doc_id < 40"), words=1)
     got = {x["doc_id"]: x for x in language.predict_languages(df, model).collect()}
     assert len(model.at_hand) <= 3 and len(got) == 60
@@ -113,3 +116,37 @@ def test_every_training_word_and_gram_counts(documents):
         total = np.sum([score(w) for w in text.split()], 0)
         assert got[i]["lang_pred"] == names[total.argmax()]
         assert abs(got[i]["score"] - 1 / np.exp(total - total.max()).sum()) < 1e-6
+
+
+def test_signs_for_numbers_are_no_letters(documents):
+    df = documents(["½ ² ①", "Ⅷ x²y", "the house", "12 ٣ 三"]).drop("lang").selectExpr("*", "if(doc_id = 2, 'en', null) AS lang")
+    got = {x["doc_id"]: x["lang_pred"] for x in language.predict_languages(df, language.fit_languages(df)).collect()}
+    assert got == {0: "und", 1: "en", 2: "en", 3: "en"}
+    assert language.words_of("½a½b²".encode()) == ["a", "b"] and language.words_of(b"") == []
+
+
+def test_a_small_language_takes_nothing_from_others(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    few = ["Быстрая лиса прыгает через ленивую собаку.", "Сегодня хорошая погода в городе.", "Мы читаем книгу у реки."]
+    russian = spark.createDataFrame([(-1 - i, t, "ru") for i, t in enumerate(few)], "doc_id long, text string, lang string")
+    model = language.fit_languages(docs.where("lang IS NOT NULL").unionByName(russian))
+    cuts = [(i, " ".join(r["text"].split()[7:10])) for i, r in enumerate(docs.where("lang = 'en' AND length(text) > 200").collect())]
+    cuts += [(100_000, "my keyboard crashed yesterday"), (100_001, "hello world"), (100_002, "лиса читает")]
+    got = {x["doc_id"]: x["lang_pred"] for x in language.predict_languages(spark.createDataFrame(cuts, "doc_id long, text string"), model).collect()}
+    assert got.pop(100_002) == "ru" and "ru" not in got.values() and len(got) > 200
+
+
+def test_equal_scores_go_to_the_first_language(documents):
+    df = documents(["same words here"] * 4).drop("lang").selectExpr("*", "if(doc_id % 2 = 0, 'fr', 'de') AS lang")
+    rows = language.predict_languages(df, language.fit_languages(df)).collect()
+    assert {(x["lang_pred"], x["score"]) for x in rows} == {("de", 0.5)}
+
+
+def test_word_in_most_documents_but_not_in_training(documents, monkeypatch):
+    from actionlens.operators import hot_keys
+
+    monkeypatch.setattr(hot_keys.join_per_key, "__defaults__", (10,))
+    df = documents([f"house thouse w{i % 7}x" for i in range(300)]).drop("lang").withColumnRenamed("keep", "lang").selectExpr("* EXCEPT (lang)", "if(doc_id < 2, 'en', if(doc_id < 4, 'fr', null)) AS lang")
+    df = df.selectExpr("* EXCEPT (text)", "if(doc_id < 2, 'the house', if(doc_id < 4, 'la maison', text)) AS text")
+    rows = language.predict_languages(df, language.fit_languages(df.where("doc_id < 4"), words=0)).collect()
+    assert len(rows) == 300 and {x["lang_pred"] for x in rows if x["doc_id"] >= 4} == {"en"}

@@ -7,9 +7,12 @@
    count, and a hash that a single segment of all documents has is left out: its windows occur once.
 3. A shard concatenates its strings, sorts their suffixes by Larsson-Sadakane refinement, and gets common
    prefixes by Kasai's method. Neighbours in the suffix array that share ``LENGTH`` bytes are the same
-   window. A hash with more text than one shard may hold is cut into several sorted shards, which
+   window. A hash with more text than one shard may hold is cut into a few sorted shards, which
    are merged pairwise by binary search of one shard's windows among the other's.
-4. Repeated windows go back to the documents as byte ranges; their union is removed.
+4. A hash with more text than that, such as that of a line in very many documents, says too little. Its
+   segments are cut anew by the smallest hash of longer strings, in the end of whole windows, and most
+   of them turn out to be alone with it. So the work stays in proportion to the text.
+5. Repeated windows go back to the documents as byte ranges; their union is removed.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.hot_keys import join_per_key
 from ..session import cut_lineage, scratch_folder
 from .flat import Substrings, steps, texts_of
 
@@ -30,8 +34,9 @@ LENGTH = 400
 GRAM = 48
 # Windows of one segment at most, so that a text of one repeated letter is cut too.
 MAX_WINDOWS = 2048
-# Bytes of strings in one shard.
+# Bytes of strings in one shard, and the most shards of one hash.
 SHARD_BYTES = 2 << 20
+MOST_PIECES = 6
 
 # Text cut into segments at a time; a dozen arrays of eight bytes a byte are held.
 STEP_BYTES = 1 << 20
@@ -53,8 +58,8 @@ def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def segments(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> dict[str, np.ndarray]:
-    """Segments of all texts: row, first byte in the row, windows, smallest hash, whether a window has
-    its smallest hash twice (only such a segment can hold a window twice), and a 128-bit digest."""
+    """Segments of all texts: row, first byte in the row, windows, smallest hash, whether the segment can hold
+    a window twice, and a 128-bit digest."""
     names = ("row", "start", "windows", "key", "again", "d1", "d2")
     counts = np.maximum(np.diff(offsets) - length + 1, 0)
     if not counts.any():
@@ -83,7 +88,9 @@ def segments(data: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram:
         sizes = np.diff(np.append(heads, len(rows)))
     begin, end = window[heads], window[heads] + sizes + length - 1
     other = Substrings(_SWAPPED[data])
-    found = (rows[heads], within[heads], sizes, lowest[heads], np.logical_or.reduceat(twice, heads), plain.hashes(begin, end), other.hashes(begin, end))
+    # Equal windows so far apart that no window between them has the hash twice take a segment of that size.
+    again = np.logical_or.reduceat(twice, heads) | (sizes > width)
+    found = (rows[heads], within[heads], sizes, lowest[heads], again, plain.hashes(begin, end), other.hashes(begin, end))
     return dict(zip(names, found))
 
 
@@ -248,6 +255,9 @@ def _stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+_SEGMENTS = "doc_id long, text_hash long, start long, windows long, key long, again boolean, d1 long, d2 long"
+
+
 def document_segments(documents: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """``(doc_id, text_hash, start, windows, key, again, d1, d2)`` of all segments."""
 
@@ -265,8 +275,7 @@ def document_segments(documents: DataFrame, length: int = LENGTH, gram: int = GR
                     names=["doc_id", "text_hash", "start", "windows", "key", "again", "d1", "d2"],
                 )
 
-    schema = "doc_id long, text_hash long, start long, windows long, key long, again boolean, d1 long, d2 long"
-    return _keyed(documents).mapInArrow(extract, schema)
+    return _keyed(documents).mapInArrow(extract, _SEGMENTS)
 
 
 def _keyed(documents: DataFrame) -> DataFrame:
@@ -386,41 +395,92 @@ def shared_segments(found: DataFrame) -> DataFrame:
     return found.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(stream, found.schema)
 
 
+def _finer_segments(documents: DataFrame, coarse: DataFrame, length: int, gram: int) -> DataFrame:
+    """The windows of the ``coarse`` segments as segments by the smallest hash of longer strings."""
+    plans = coarse.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("start", "windows")).alias("plan"))
+
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor()
+        names = ["start", "windows", "key", "again", "d1", "d2"]
+        for batch in batches:
+            texts, plan = batch.column("packed"), batch.column("plan")
+            for i in range(batch.num_rows):
+                text = unpack.decompress(texts[i].as_py())
+                starts, windows = (plan[i].values.field(n).to_numpy() for n in ("start", "windows"))
+                # Some stretches at a time; windows that overlap two stretches are in one of them only.
+                ends = np.cumsum(windows + length - 1)
+                for low in np.unique(np.searchsorted(ends, np.arange(0, ends[-1], STEP_BYTES), "right")):
+                    high = np.searchsorted(ends, ends[low] - windows[low] + STEP_BYTES, "right") + 1
+                    stretches = [text[a : a + w + length - 1] for a, w in zip(starts[low:high].tolist(), windows[low:high].tolist())]
+                    offsets = np.concatenate([[0], np.cumsum([len(x) for x in stretches])])
+                    found = segments(np.frombuffer(b"".join(stretches), np.uint8), offsets, length, gram)
+                    out = [starts[low:high][found["row"]] + found["start"], found["windows"], found["key"].view(np.int64), found["again"].astype(bool), found["d1"].view(np.int64), found["d2"].view(np.int64)]
+                    ids = [pa.array([batch.column(c)[i].as_py()] * len(found["row"]), pa.int64()) for c in ("doc_id", "text_hash")]
+                    yield pa.RecordBatch.from_arrays([*ids, *map(pa.array, out)], names=["doc_id", "text_hash", *names])
+
+    joined = _packed(documents).alias("d").join(plans.alias("p"), F.expr(_SAME_TEXT))
+    return joined.select("d.doc_id", "d.text_hash", "d.packed", "p.plan").mapInArrow(extract, _SEGMENTS)
+
+
 def repeated_ranges(documents: DataFrame, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """``(doc_id, text_hash, ranges)``: for every text that shares a string of ``length`` bytes with
     itself or another, the byte ranges ``array<struct<a, b>>`` that such strings cover, overlapping
-    and in no order. Runs jobs; segments and shared strings are stored."""
-    found = cut_lineage(shared_segments(_stored(document_segments(documents, length, gram))))
-    size = F.col("at.windows") + length - 1
-    strings = cut_lineage(
-        found.groupBy("key", "d1", "d2")
-        .agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "text_hash", "start", "windows")).alias("at"))
-        .withColumn("size", size)
-    )
-    total = strings.agg(F.sum("size")).first()[0] or 0
-    shards = max(1, -(-total // shard_bytes))
-    # A key with more text than a shard may hold has shards of its own, apart from the numbered ones.
-    large = strings.groupBy("key").agg(F.sum("size").alias("bytes")).where(F.col("bytes") > shard_bytes)
-    pieces = F.coalesce(F.ceil(F.col("bytes") / shard_bytes), F.lit(1)).cast("long")
-    wanted = strings.join(large, "key", "left").select("key", "d1", "d2", "n", "at.*", pieces.alias("pieces")).withColumn(
-        "shard", F.when(F.col("pieces") > 1, F.col("key")).otherwise(F.pmod("key", F.lit(shards)))
-    )
-    cut = _strings(documents, wanted, length).withColumn("piece", F.pmod(F.col("d1"), F.col("pieces")))
-    pairs = F.expr(
-        "transform(sequence(bigint(0), pieces - 1), x -> struct(least(piece, x) AS piece_a, greatest(piece, x) AS piece_b))"
-    )
-    dealt = cut.withColumn("pair", F.explode(pairs)).select("*", "pair.*").drop("pair")
-    own = (F.col("pieces") > 1).alias("own")
-    marked = cut_lineage(dealt.groupBy("shard", own, "piece_a", "piece_b").applyInArrow(_search(length), _RANGES))
-    # A string's digest names it; its key is a function of it.
-    spans = found.select("doc_id", "text_hash", "start", "d1", "d2").join(marked.drop("key"), ["d1", "d2"]).select(
-        "doc_id",
-        "text_hash",
-        F.struct((F.col("start") + F.col("first")).alias("a"), (F.col("start") + F.col("end") - 1 + length).alias("b")).alias("span"),
-    )
+    and in no order. Runs jobs; segments and shared strings are stored, once more for each longer
+    string that some hashes need."""
+    found = document_segments(documents, length, gram)
+    spans = None
+    for finer in (max(gram, (gram + length) // 3), length, None):
+        found = cut_lineage(shared_segments(_stored(found)))
+        size = F.col("at.windows") + length - 1
+        strings = cut_lineage(
+            found.groupBy("key", "d1", "d2")
+            .agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "text_hash", "start", "windows")).alias("at"))
+            .withColumn("size", size)
+        )
+        total = strings.agg(F.sum("size")).first()[0] or 0
+        shards = max(1, -(-total // shard_bytes))
+        # A key with more text than a shard may hold has shards of its own, apart from the numbered ones.
+        large = strings.groupBy("key").agg(F.sum("size").alias("bytes"), F.sum("n").alias("rows")).where(F.col("bytes") > shard_bytes)
+        # Whole windows of one key are equal: no key is large by then.
+        large = cut_lineage(large.select("key", "rows", F.ceil(F.col("bytes") / shard_bytes).cast("long").alias("pieces")))
+        few = F.coalesce("pieces", F.lit(1).cast("long")).alias("pieces")
+        coarse = large.where(F.lit(finer is not None) & (F.col("pieces") > MOST_PIECES))
+        any_coarse = not coarse.isEmpty()
+        if any_coarse:
+            strings = _of_keys(strings, coarse, keep=False)
+        wanted = join_per_key(strings, large, "key", "rows").select("key", "d1", "d2", "n", "at.*", few).withColumn(
+            "shard", F.when(F.col("pieces") > 1, F.col("key")).otherwise(F.pmod("key", F.lit(shards)))
+        )
+        cut = _strings(documents, wanted, length).withColumn("piece", F.pmod(F.col("d1"), F.col("pieces")))
+        pairs = F.expr(
+            "transform(sequence(bigint(0), pieces - 1), x -> struct(least(piece, x) AS piece_a, greatest(piece, x) AS piece_b))"
+        )
+        dealt = cut.withColumn("pair", F.explode(pairs)).select("*", "pair.*").drop("pair")
+        own = (F.col("pieces") > 1).alias("own")
+        marked = dealt.groupBy("shard", own, "piece_a", "piece_b").applyInArrow(_search(length), _RANGES)
+        # A string's digest names it; its key is a function of it. Its marks are no more than its windows.
+        digest = F.struct("d1", "d2").alias("digest")
+        marks = marked.groupBy(digest).agg(F.collect_list(F.struct("first", "end")).alias("marks"))
+        times = strings.groupBy(digest).agg(F.sum("n").alias("rows"))
+        seen = found.select("doc_id", "text_hash", "start", digest)
+        of_size = join_per_key(seen, marks.join(times, "digest"), "digest", "rows").where("marks IS NOT NULL").select("doc_id", "text_hash", "start", F.explode("marks").alias("mark")).select(
+            "doc_id",
+            "text_hash",
+            F.struct((F.col("start") + F.col("mark.first")).alias("a"), (F.col("start") + F.col("mark.end") - 1 + length).alias("b")).alias("span"),
+        )
+        spans = of_size if spans is None else spans.unionByName(of_size)
+        if not any_coarse:
+            break
+        found = _finer_segments(documents, _of_keys(found, coarse, keep=True), length, finer)
     return spans.groupBy("doc_id", "text_hash").agg(F.collect_list("span").alias("ranges"))
 
 
+def _of_keys(rows: DataFrame, keys: DataFrame, keep: bool) -> DataFrame:
+    """The rows whose key is one of ``keys(key, rows)``, or is none."""
+    marked = join_per_key(rows, keys.select("key", "rows", F.lit(True).alias("met")), "key", "rows")
+    return marked.where(F.col("met").isNotNull() if keep else F.col("met").isNull()).drop("met")
+
+
 def _remove(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[int, int, bytes]:
     """Removed bytes, maximal removed runs, and what is left."""
     order = np.argsort(starts)
@@ -436,7 +496,8 @@ def _remove(text: bytes, starts: np.ndarray, ends: np.ndarray) -> tuple[int, int
 
 
 def repeat_digests(documents: DataFrame, ranges: DataFrame) -> DataFrame:
-    """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)`` for every row; a null text is empty.
+    """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_kept, touched)`` for every row; a null text is
+    empty. ``n_kept`` has the bytes that are left, ``touched`` tells whether any are gone.
 
     The removed ranges can cut a character, so what is left is bytes and not always text.
     """
@@ -460,11 +521,13 @@ def repeat_digests(documents: DataFrame, ranges: DataFrame) -> DataFrame:
                         batch.column("doc_id").slice(low, high - low),
                         *(pa.array([x[k] for x in out], pa.int64()) for k in range(3)),
                         pa.array([x[3] for x in out]),
+                        pa.array([x[0] - x[1] for x in out], pa.int64()),
+                        pa.array([x[1] > 0 for x in out], pa.bool_()),
                     ],
-                    names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+                    names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_kept", "touched"],
                 )
 
     joined = _packed(documents).alias("d").join(ranges.alias("p"), F.expr(_SAME_TEXT), "left")
     return joined.select("d.doc_id", "d.packed", "p.ranges").mapInArrow(
-        digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+        digest, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_kept long, touched boolean"
     )

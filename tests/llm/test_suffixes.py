@@ -21,8 +21,10 @@ def brute(texts, length):
     return out
 
 
-@pytest.mark.parametrize("shard_bytes", [1 << 20, 400])
-def test_against_brute_force(documents, shard_bytes):
+@pytest.mark.parametrize("shard_bytes, most_pieces", [(1 << 20, 6), (400, 1000), (400, 2), (1, 0)])
+def test_against_brute_force(documents, shard_bytes, most_pieces, monkeypatch):
+    """One shard; shards of one hash merged; hashes that are cut anew; all of them cut down to windows."""
+    monkeypatch.setattr(suffixes, "MOST_PIECES", most_pieces)
     r = random.Random(5)
     base = ["".join(r.choice("abcdé ") for _ in range(300)) for _ in range(5)]
     own = lambda: "".join(r.choice("fgh") for _ in range(r.randint(0, 40)))
@@ -30,9 +32,29 @@ def test_against_brute_force(documents, shard_bytes):
     for _ in range(120):
         a = r.randint(0, 200)
         texts.append(own() + r.choice(base)[a : a + r.randint(5, 100)] + own() + r.choice(base)[: r.randint(0, 60)])
+    # A period of as many bytes as a window has hashes.
+    texts += [("".join(r.choice("mnopq") for _ in range(23)) * 3)[:60]]
     df = documents(texts + texts[5:9])
     rows = suffixes.repeat_digests(df, suffixes.repeated_ranges(df, 30, 8, shard_bytes)).orderBy("doc_id").collect()
-    assert [tuple(x)[1:] for x in rows] == brute([(t or "").encode() for t in texts + texts[5:9]], 30)
+    assert [tuple(x)[1:5] for x in rows] == brute([(t or "").encode() for t in texts + texts[5:9]], 30)
+
+
+def test_a_line_in_all_documents(documents, monkeypatch):
+    """Text under one hash without a repeat: pieces of it are not compared with each other."""
+    monkeypatch.setattr(suffixes, "MOST_PIECES", 2)
+    r = random.Random(8)
+    line = "".join(r.choice("abcdef ") for _ in range(30))
+    own = lambda n: "".join(r.choice("ghijkl ") for _ in range(n))
+    shared = own(60)
+    texts = [own(50) + line + own(50) + (shared if i % 100 == 0 else "") for i in range(400)]
+    searched = []
+    strings = suffixes._strings
+    monkeypatch.setattr(suffixes, "_strings", lambda d, wanted, n: searched.append(wanted.count()) or strings(d, wanted, n))
+    df = documents(texts)
+    rows = suffixes.repeat_digests(df, suffixes.repeated_ranges(df, 40, 8, 1000)).orderBy("doc_id").collect()
+    assert [tuple(x)[1:5] for x in rows] == brute([t.encode() for t in texts], 40)
+    assert [x["touched"] for x in rows] == [i % 100 == 0 for i in range(400)]
+    assert all(x["n_kept"] == x["n_bytes"] - x["n_removed"] for x in rows) and sum(searched) < 400
 
 
 def test_suffix_array_and_common_prefixes():

@@ -1,25 +1,24 @@
 """Two-sample bootstrap of a difference, with replicas as a data dimension.
 
 One replica draws the same number of values with replacement from each group, pairs them by
-position and applies a statistic to the differences. Three ways to get there:
+position and applies a statistic to the differences. Ways to get there:
 
 ``resample``  mean only. Draws from the collapsed ``(value, n)`` rows: a multinomial count per
               distinct value, split over value parts. Same distribution as drawing rows one by
               one, but the work grows with distinct values, and zero revenue is one of them.
-``poisson``   mean only. An independent Poisson weight per row and replica; native expressions,
-              one shuffle of ``replicas x 2`` rows per task. An approximation whose number of
-              draws varies around the wanted one. Groups that differ by more than 20 times in size are
-              drawn as by ``resample``, which has no such approximation.
-``paired``    any statistic. Draws row positions and joins them to the sorted values.
+``poisson``   mean only. An independent Poisson weight per row and replica, added up in states of
+              ``replicas x 2`` numbers a task. An approximation whose number of draws varies around
+              the wanted one.
+``order``     median or another quantile. Draws order statistics in place of pairs.
+``vector``    any Python function of the vector of differences. Draws whole replicas where it is applied.
+``paired``    any aggregate. Draws row positions and joins them to the sorted values.
 
 All randomness is a function of the seed and the data, never of the partitioning.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -27,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.significance import normal_two_sided_p
+from .replica_state import collapsed, quantiles_drawn, vectors_drawn, weighted_means
 from .ranks import (
     MAX_BROADCAST_ROWS,
     VALUES_PER_TASK,
@@ -37,7 +37,7 @@ from .ranks import (
     with_rows_before,
 )
 
-METHODS = ("resample", "poisson", "paired")
+METHODS = ("resample", "poisson", "order", "vector", "paired")
 
 # Distinct values per task of the multinomial draw, and drawn counts held at a time.
 VALUES_PER_PART = 10_000
@@ -54,9 +54,6 @@ MAX_TASKS = 10_000
 # Rows written by one step of turning a repeated value into positions.
 POSITIONS_PER_CHUNK = 8_192
 
-# Above this many draws per row a weight takes too many comparisons; such groups go through ``resample``.
-MAX_POISSON_RATE = 20.0
-
 _UNIFORM_BITS = 52
 
 
@@ -67,19 +64,6 @@ def uniform(*parts: Column | int | str) -> Column:
     return (F.conv(digits, 16, 10).cast("double") + 0.5) / F.lit(float(2**_UNIFORM_BITS))
 
 
-def poisson_thresholds(rate: float) -> list[float]:
-    """Cumulative probabilities of Poisson(rate), up to the resolution of ``uniform``."""
-    if rate > MAX_POISSON_RATE:
-        raise ValueError(f"{rate:.1f} draws per row: use method='resample'")
-    probability, total, k, out = math.exp(-rate), 0.0, 0, []
-    while k < rate or probability > 2.0**-_UNIFORM_BITS:
-        total += probability
-        out.append(total)
-        k += 1
-        probability *= rate / k
-    return out
-
-
 def _group_sizes(known: DataFrame, group: str, labels: tuple[str, str]) -> dict[str, int]:
     """Rows of each of the two groups; two rows come to the driver."""
     counted = known.groupBy(group).agg(F.count("*").alias("n")).collect()
@@ -99,36 +83,48 @@ def bootstrap_replicas(
     labels: tuple[str, str],
     replicas: int = 1000,
     method: str = "resample",
-    statistic: str | Callable[[Column], Column] = "mean",
+    statistic: str | float | Callable = "mean",
     draws: str = "max",
     seed: int = 0,
-    key: str | None = None,
 ) -> DataFrame:
     """``(replica, stat)``: the statistic of first minus second group, once per replica.
 
     ``draws='max'`` draws as many values from each group as the larger one has; ``'own'`` draws
-    the size of the group (not for ``paired``). ``poisson`` needs ``key``, a unique row key.
-    A callable ``statistic`` builds an aggregate column from the column of differences. Rows without
-    a value (NULL or NaN) are left out.
+    the size of the group (for ``resample`` and ``poisson``). Statistics are ``'mean'``, ``'median'``, a
+    probability for its quantile, or a callable: for ``paired`` it builds an aggregate column from the column
+    of differences, for ``vector`` it turns an array of differences into a number. Rows without a value
+    (NULL or NaN) are left out. ``order`` becomes ``paired`` and ``vector`` is refused where the groups have too
+    many distinct values to be sent to every task.
     """
     if method not in METHODS:
         raise ValueError(f"method is one of {METHODS}")
-    if method != "paired" and statistic != "mean":
-        raise ValueError("only method='paired' takes a statistic other than the mean")
+    probability = 0.5 if statistic == "median" else statistic
+    fits = {
+        "order": isinstance(probability, float) and 0 <= probability <= 1,
+        "vector": callable(statistic),
+        "paired": statistic == "mean" or callable(statistic) or isinstance(probability, float) and 0 <= probability <= 1,
+    }
+    if not fits.get(method, statistic == "mean"):
+        raise ValueError(f"method={method!r} does not take the statistic {statistic!r}")
+    if method in fits and draws != "max":
+        raise ValueError("pairs need the same number of draws from both groups")
     known = df.filter(F.col(group).isin(*labels)).dropna(subset=[value])
     sizes = _group_sizes(known, group, labels)
     drawn = _draw_counts(sizes, draws)
     if method == "poisson":
-        if key is None:
-            raise ValueError("method='poisson' needs the key of a row")
-        if any(drawn[label] > MAX_POISSON_RATE * sizes[label] > 0 for label in labels):
-            return _resample_replicas(known, group, value, labels, replicas, sizes, drawn, seed)
-        return _poisson_replicas(known, group, value, labels, replicas, sizes, drawn, seed, key)
-    if method == "paired":
-        if draws != "max":
-            raise ValueError("pairs need the same number of draws from both groups")
-        return _paired_replicas(known, group, value, labels, replicas, sizes, drawn, seed, statistic)
-    return _resample_replicas(known, group, value, labels, replicas, sizes, drawn, seed)
+        rates = {label: drawn[label] / sizes[label] if sizes[label] else 1.0 for label in labels}
+        return _difference(weighted_means(known, group, value, labels, replicas, rates, seed), group, labels)
+    if method == "resample":
+        return _resample_replicas(known, group, value, labels, replicas, sizes, drawn, seed)
+    both = collapsed(known, group, value, labels) if method in ("order", "vector") else None
+    pairs = drawn[labels[0]]
+    if method == "order" and both is not None:
+        return quantiles_drawn(known, both, replicas, pairs, probability, seed)
+    if method == "vector":
+        if both is None:
+            raise ValueError("too many distinct values; give the statistic as an aggregate column to method='paired'")
+        return vectors_drawn(known, both, replicas, pairs, statistic, seed)
+    return _paired_replicas(known, group, value, labels, replicas, sizes, drawn, seed, statistic)
 
 
 def _difference(means: DataFrame, group: str, labels: tuple[str, str]) -> DataFrame:
@@ -137,27 +133,6 @@ def _difference(means: DataFrame, group: str, labels: tuple[str, str]) -> DataFr
     return means.groupBy("replica").agg((of(labels[0]) - of(labels[1])).alias("stat"))
 
 
-def _poisson_replicas(df, group, value, labels, replicas, sizes, drawn, seed, key) -> DataFrame:
-    draw = uniform(seed, F.col(key), F.col("replica"))
-    weight = F.lit(0)
-    for label in labels:
-        rate = drawn[label] / sizes[label] if sizes[label] else 1.0
-        steps = [F.when(F.col("u") >= t, 1).otherwise(0) for t in poisson_thresholds(rate)]
-        weight = F.when(F.col(group) == label, reduce(lambda a, b: a + b, steps)).otherwise(weight)
-    n_tasks = min(MAX_TASKS, -(-replicas * sum(sizes.values()) // DRAWS_PER_TASK))
-    rows = df.select(group, F.col(value).cast("double").alias("x"), key)
-    if n_tasks > 1:
-        rows = rows.repartition(n_tasks, key)
-    means = (
-        rows.withColumn("replica", F.explode(F.sequence(F.lit(0), F.lit(replicas - 1))))
-        .withColumn("u", draw)
-        .withColumn("w", weight.cast("long"))
-        .groupBy("replica", group)
-        .agg(F.try_divide(F.sum(F.col("w") * F.col("x")), F.sum("w").cast("double")).alias("mean"))
-    )
-    return _difference(means, group, labels)
-
-
 def _resample_replicas(df, group, value, labels, replicas, sizes, drawn, seed) -> DataFrame:
     counts = stored_value_counts(df, [group], value)
     n_parts = max(1, -(-counts.count() // VALUES_PER_PART))
@@ -255,8 +230,9 @@ def _paired_replicas(df, group, value, labels, replicas, sizes, drawn, seed, sta
     pairs = grid.select("replica", (F.col(f"x_{labels[0]}") - F.col(f"x_{labels[1]}")).alias("diff"))
     if statistic == "mean":
         return pairs.groupBy("replica").agg(F.avg("diff").alias("stat"))
-    if statistic == "median":
-        return quantiles(pairs, ["replica"], "diff", [0.5], VALUES_PER_TASK).select(
+    if statistic == "median" or isinstance(statistic, float):
+        probability = 0.5 if statistic == "median" else statistic
+        return quantiles(pairs, ["replica"], "diff", [probability], VALUES_PER_TASK).select(
             "replica", F.col("quantiles")[0].alias("stat")
         )
     return pairs.groupBy("replica").agg(statistic(F.col("diff")).alias("stat"))

@@ -5,9 +5,11 @@ Ratios and means are rounded to a fixed scale where the order of a floating-poin
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 from datetime import date
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +22,7 @@ from actionlens.functions import (
     whole_days,
     year_month_text,
 )
-from actionlens.operators import audit, distribution, first_seen, rank_test, resample
+from actionlens.operators import audit, distribution, first_seen, rank_test, replica_state, resample
 from actionlens.session import scratch_folder
 from actionlens.plans import daily, experiment, ingame, retention, slots, units
 from actionlens.sources import fixtures, readers
@@ -443,34 +445,43 @@ def bootstrap_ab_cut(spark, sf_dir):
 
 @register
 def bootstrap_ab_paired(spark, sf_dir):
-    """Few replicas, for the methods' sake."""
-    return _rounded_test(_ab_pairs(spark, sf_dir, replicas=50))
+    """An experiment that lasts as long as the log."""
+    return _rounded_test(_ab_pairs(spark, sf_dir, fixtures.experiment(spark, sf_dir, first=None)))
 
 
-def _beside_closed_form(replicas: DataFrame, table: DataFrame, group: str, value: str, labels) -> DataFrame:
+def _beside_closed_form(replicas: DataFrame, table: DataFrame, group: str, value: str, labels, draws: str = "max") -> DataFrame:
     """Mean and sigma of drawn replicas beside what the draws must give: the difference of means, and
-    the root of the summed population variances over the number of draws. ``*_fits`` tells whether they
-    are within five standard errors."""
+    the root of the summed population variances over the number of draws. Draws of the own size are by Poisson
+    weights, whose sum varies: sigma is off by a share of two rows of the smaller group at most."""
     of = lambda f, label: f(F.when(F.col(group) == label, F.col(value)))
     a, b = labels
-    draws = F.greatest(of(F.count, a), of(F.count, b))
+    larger = F.greatest(of(F.count, a), of(F.count, b))
+    size = {label: larger if draws == "max" else of(F.count, label) for label in labels}
     expected = table.agg(
         (of(F.avg, a) - of(F.avg, b)).alias("expected_mean"),
-        F.sqrt((of(F.var_pop, a) + of(F.var_pop, b)) / draws).alias("expected_sigma"),
+        F.sqrt(of(F.var_pop, a) / size[a] + of(F.var_pop, b) / size[b]).alias("expected_sigma"),
+        (F.lit(0.0) if draws == "max" else 2 / F.least(*size.values())).alias("slack"),
     )
-    drawn = replicas.agg(F.count("stat").alias("replicas"), F.avg("stat").alias("mean"), F.stddev_pop("stat").alias("sigma"))
+    return _beside(replicas, expected)
+
+
+def _beside(replicas: DataFrame, expected: DataFrame) -> DataFrame:
+    """Replicas beside the one row of ``expected(expected_mean, expected_sigma, slack)``. ``*_fits`` tells
+    whether mean and sigma are within five standard errors, and ``slack`` times sigma."""
+    drawn = replicas.agg(F.count("*").alias("replicas"), F.avg("stat").alias("mean"), F.stddev_pop("stat").alias("sigma"))
     # Both are one row; they become one by an aggregate over their union.
     both = drawn.unionByName(expected, allowMissingColumns=True)
-    names = ("replicas", "mean", "sigma", "expected_mean", "expected_sigma")
+    names = ("replicas", "mean", "sigma", "expected_mean", "expected_sigma", "slack")
     row = both.agg(*[F.max(c).alias(c) for c in names])
     error = F.col("expected_sigma") / F.sqrt("replicas")
+    slack = F.col("expected_sigma") * F.col("slack")
     return rounded(
         row.select(
             "replicas",
             "expected_mean",
             "expected_sigma",
             (F.abs(F.col("mean") - F.col("expected_mean")) <= 5 * error).alias("mean_fits"),
-            (F.abs(F.col("sigma") - F.col("expected_sigma")) <= 5 * error).alias("sigma_fits"),
+            (F.abs(F.col("sigma") - F.col("expected_sigma")) <= 5 * error + slack).alias("sigma_fits"),
         ),
         "expected_mean",
         "expected_sigma",
@@ -485,24 +496,53 @@ def bootstrap_ab_multinomial(spark, sf_dir):
     return _beside_closed_form(replicas, table, "testgroup", "revenue", GROUPS)
 
 
+def _beside_order_statistic(spark, sf_dir, probability: float) -> DataFrame:
+    """Replicas of a quantile of the differences beside the closed form: a replica is at or below the
+    quantile of all pairs of users if enough of its draws are, whose number is binomial. ``share_fits`` tells
+    whether as many replicas are as must be, within five standard errors and the step of one draw."""
+    table = _experiment(spark, sf_dir)
+    replicas = resample.bootstrap_replicas(table, "testgroup", "revenue", GROUPS, replicas=AB_REPLICAS, method="order", statistic=probability, seed=7)
+    both = replica_state.collapsed(table, "testgroup", "revenue", GROUPS)
+    quantile = float(both.difference_quantiles(np.array([probability]))[0])
+    share, draws = both.share_up_to(quantile), int(max(both.first_up_to[-1], both.second_up_to[-1]))
+    z = (draws * share - draws * probability) / math.sqrt(max(draws * share * (1 - share), 1e-12))
+    expected = 0.5 * (1 + math.erf(z / math.sqrt(2)))
+    slack = 2.5 / math.sqrt(AB_REPLICAS) + 1 / math.sqrt(draws)
+    found = replicas.agg(F.count("stat").alias("replicas"), F.avg((F.col("stat") <= quantile).cast("double")).alias("found"))
+    return found.select(
+        "replicas",
+        F.round(F.lit(quantile), 6).alias("pair_quantile"),
+        F.round(F.lit(share), 6).alias("pair_share"),
+        (F.abs(F.col("found") - expected) <= slack).alias("share_fits"),
+    )
+
+
 @register
 def bootstrap_ab_median(spark, sf_dir):
+    return _beside_order_statistic(spark, sf_dir, 0.5)
+
+
+@register
+def bootstrap_ab_quantile(spark, sf_dir):
+    return _beside_order_statistic(spark, sf_dir, 0.9)
+
+
+@register
+def bootstrap_ab_statistic(spark, sf_dir):
+    """A statistic in Python: the share of pairs in which the first user spent more."""
+    table = _experiment(spark, sf_dir)
     replicas = resample.bootstrap_replicas(
-        _experiment(spark, sf_dir),
-        "testgroup",
-        "revenue",
-        GROUPS,
-        replicas=50,
-        method="paired",
-        statistic="median",
-        seed=7,
+        table, "testgroup", "revenue", GROUPS, replicas=AB_REPLICAS, method="vector", statistic=lambda d: (d > 0).mean(), seed=7
     )
-    return rounded(replicas, "stat", scale=5)
+    both = replica_state.collapsed(table, "testgroup", "revenue", GROUPS)
+    more, draws = 1 - both.share_up_to(0.0), int(max(both.first_up_to[-1], both.second_up_to[-1]))
+    return _beside(replicas, spark.range(1).select(F.lit(more).alias("expected_mean"), F.lit(math.sqrt(more * (1 - more) / draws)).alias("expected_sigma"), F.lit(0.0).alias("slack")))
 
 
 @register
 def bootstrap_ab_poisson(spark, sf_dir):
-    return _rounded_test(_ab_pairs(spark, sf_dir, replicas=50, method="poisson", draws="own", key="user_id"))
+    replicas = _ab_pairs(spark, sf_dir, method="poisson", draws="own")
+    return _beside_closed_form(replicas, _experiment(spark, sf_dir), "testgroup", "revenue", GROUPS, "own")
 
 
 def _unit_test(spark, sf_dir, max_tenure, **options):
@@ -531,8 +571,10 @@ def bootstrap_unit_rates_multinomial(spark, sf_dir):
 
 @register
 def bootstrap_unit_rates_poisson(spark, sf_dir):
-    options = {"replicas": 20, "method": "poisson", "draws": "own", "key": "dwarf_id", "seed": 3}
-    return rounded(_unit_test(spark, sf_dir, None, **options), "stat")
+    rates = units.unit_rates(_units(spark, sf_dir), COHORTS)
+    options = {"replicas": UNIT_REPLICAS, "method": "poisson", "draws": "own", "seed": 3}
+    replicas = resample.bootstrap_replicas(rates, "cohort", "rate", GENERATIONS, **options)
+    return _beside_closed_form(replicas, rates, "cohort", "rate", GENERATIONS, "own")
 
 
 @register

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from actionlens.operators.resample import poisson_thresholds
 
 ACTIONS_CTE = """
 feed AS (
@@ -501,22 +500,6 @@ def _uniform(text: str) -> str:
     return f"((('0x' || substr(md5({text}), 1, 13))::BIGINT + 0.5) / 4503599627370496.0::DOUBLE)"
 
 
-def _poisson_replicas(table: str, group: str, value: str, key: str, labels: tuple[str, str], replicas: int, seed: int) -> str:
-    """Body of a Poisson bootstrap; one draw per row on average."""
-    weight = " + ".join(f"(u >= {t!r}::DOUBLE)::BIGINT" for t in poisson_thresholds(1.0))
-    return f"""
-drawn AS (
-  SELECT {group} AS g, CAST({value} AS DOUBLE) AS x, replica,
-         {_uniform(f"'{seed}|' || CAST({key} AS VARCHAR) || '|' || CAST(replica AS VARCHAR)")} AS u
-  FROM {table}, (SELECT CAST(range AS INTEGER) AS replica FROM range({replicas})) WHERE {value} IS NOT NULL),
-weighted AS (SELECT g, x, replica, {weight} AS w FROM drawn),
-means AS (SELECT replica, g, sum(w * x) / sum(w) AS mean FROM weighted GROUP BY replica, g),
-replicas AS (
-  SELECT replica, max(mean) FILTER (g = '{labels[0]}') - max(mean) FILTER (g = '{labels[1]}') AS stat
-  FROM means GROUP BY replica)
-"""
-
-
 def _paired_replicas(replicas: int, seed: int, statistic: str, labels: tuple[str, str] = ("a", "b")) -> str:
     first, second = labels
     sizes = "(SELECT count(*) FROM experiment WHERE testgroup = '{}')"
@@ -556,13 +539,15 @@ FROM test
 TEST_ROW = _test_row(8)
 
 
-def _closed_form(replicas: int, table: str, group: str, value: str, labels: tuple[str, str]) -> str:
+def _closed_form(replicas: int, table: str, group: str, value: str, labels: tuple[str, str], draws: str = "max") -> str:
     """What drawn replicas must give."""
     of = lambda f, label: f"{f}({value}) FILTER ({group} = '{label}')"
     a, b = labels
+    larger = f"greatest({of('count', a)}, {of('count', b)})"
+    size = {x: larger if draws == "max" else of("count", x) for x in labels}
     return f"""
 SELECT CAST({replicas} AS BIGINT) AS replicas, round({of('avg', a)} - {of('avg', b)}, 6) AS expected_mean,
-       round(sqrt(({of('var_pop', a)} + {of('var_pop', b)}) / greatest({of('count', a)}, {of('count', b)})), 6) AS expected_sigma,
+       round(sqrt({of('var_pop', a)} / {size[a]} + {of('var_pop', b)} / {size[b]}), 6) AS expected_sigma,
        true AS mean_fits, true AS sigma_fits
 FROM {table}
 """
@@ -582,6 +567,25 @@ experiment AS (SELECT cohort AS testgroup, rate AS revenue FROM rates WHERE rate
 
 AB_REPLICAS = f"WITH {EXPERIMENT_CTE}, {_paired_replicas(10_000, 7, 'avg')}"
 
+ALL_DAYS_CTE = EXPERIMENT_CTE.replace(" AND ts >= TIMESTAMP '2024-01-28 00:00:00'", "")
+
+# Every pair of users of the two groups, pairs of equal values counted.
+PAIRS_CTE = f"""{EXPERIMENT_CTE},
+spent AS (SELECT testgroup, revenue, count(*) AS n FROM experiment GROUP BY testgroup, revenue),
+pairs AS (
+  SELECT a.revenue - b.revenue AS difference, CAST(a.n * b.n AS DOUBLE) AS n
+  FROM spent a JOIN spent b ON a.testgroup = 'a' AND b.testgroup = 'b')"""
+
+
+def _pair_quantile(probability: float) -> str:
+    return f"""
+WITH {PAIRS_CTE}, up_to AS (
+  SELECT difference, sum(sum(n)) OVER (ORDER BY difference) / sum(sum(n)) OVER () AS share FROM pairs GROUP BY difference)
+SELECT CAST(10000 AS BIGINT) AS replicas, round(min(difference), 6) AS pair_quantile, round(min(share), 6) AS pair_share, true AS share_fits
+FROM up_to WHERE share >= {probability} - 1e-15
+"""
+
+
 BOOTSTRAP = {
     "bootstrap_ab": f"{AB_REPLICAS} {TEST_ROW}",
     "bootstrap_ab_cut": f"""
@@ -598,17 +602,19 @@ WITH {UNITS_CTE}, rates AS ({_rates()}) {_closed_form(2000, 'rates', 'cohort', '
 {AB_REPLICAS}, drawn AS (SELECT 'all' AS "all", round(stat, 8) AS stat FROM replicas),
 {_histogram('drawn', '"all"', 'stat', 50, 8)}
 """,
-    "bootstrap_ab_paired": f"WITH {EXPERIMENT_CTE}, {_paired_replicas(50, 7, 'avg')} {TEST_ROW}",
-    "bootstrap_ab_median": f"""
-WITH {EXPERIMENT_CTE}, {_paired_replicas(50, 7, 'median')} SELECT replica, round(stat, 5) AS stat FROM replicas
-""",
-    "bootstrap_ab_poisson": f"""
-WITH {EXPERIMENT_CTE}, {_poisson_replicas('experiment', 'testgroup', 'revenue', 'user_id', ('a', 'b'), 50, 7)} {TEST_ROW}
+    "bootstrap_ab_paired": f"WITH {ALL_DAYS_CTE}, {_paired_replicas(10_000, 7, 'avg')} {TEST_ROW}",
+    "bootstrap_ab_median": _pair_quantile(0.5),
+    "bootstrap_ab_quantile": _pair_quantile(0.9),
+    "bootstrap_ab_statistic": f"""
+WITH {PAIRS_CTE}, more AS (SELECT CAST(sum(n) FILTER (difference > 0) AS DOUBLE) / sum(n) AS p FROM pairs)
+SELECT CAST(10000 AS BIGINT) AS replicas, round(p, 6) AS expected_mean,
+       round(sqrt(p * (1 - p) / (SELECT max(rows) FROM (SELECT count(*) AS rows FROM experiment GROUP BY testgroup))), 6) AS expected_sigma,
+       true AS mean_fits, true AS sigma_fits
+FROM more
 """,
+    "bootstrap_ab_poisson": f"WITH {EXPERIMENT_CTE} {_closed_form(10_000, 'experiment', 'testgroup', 'revenue', ('a', 'b'), 'own')}",
     "bootstrap_unit_rates_poisson": f"""
-WITH {UNITS_CTE}, rates AS ({_rates()}),
-{_poisson_replicas('rates', 'cohort', 'rate', 'dwarf_id', ('2014-01-01', '2015-01-01'), 20, 3)}
-SELECT replica, round(stat, 6) AS stat FROM replicas
+WITH {UNITS_CTE}, rates AS ({_rates()}) {_closed_form(2000, 'rates', 'cohort', 'rate', GENERATIONS, 'own')}
 """,
 }
 

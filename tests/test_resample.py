@@ -2,11 +2,12 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from actionlens.operators import resample
+from actionlens.operators import replica_state, resample
 
-from .conftest import rows_of
+from .conftest import plan_of, rows_of
 
 LABELS = ("a", "b")
+STATISTICS = {"order": 0.9, "vector": np.ptp}
 
 
 def reference(a, b, replicas, statistic=np.mean, seed=0):
@@ -34,9 +35,9 @@ def stats(df):
     return np.array([r["stat"] for r in df.orderBy("replica").collect()])
 
 
-@pytest.mark.parametrize("method, replicas", [("resample", 3000), ("poisson", 1500), ("paired", 400)])
+@pytest.mark.parametrize("method, replicas", [("resample", 3000), ("poisson", 1500), ("vector", 2000), ("paired", 400)])
 def test_distribution_equals_the_scheme(table, groups, method, replicas):
-    got = stats(resample.bootstrap_replicas(table, "g", "v", LABELS, replicas=replicas, method=method, key="id"))
+    got = stats(resample.bootstrap_replicas(table, "g", "v", LABELS, replicas=replicas, method=method, statistic=np.mean if method == "vector" else "mean"))
     want = reference(*groups, 4000)
     assert len(got) == replicas
     # Standard error of a mean and of a sigma estimated from the replicas, five times.
@@ -50,14 +51,56 @@ def test_own_size_draws_widen_the_smaller_group(table, groups):
     assert got.std() == pytest.approx(np.sqrt(a.var() / len(a) + b.var() / len(b)), rel=0.08)
 
 
-def test_median_of_paired_differences(table, groups):
+@pytest.mark.parametrize("method, statistic, replicas", [("paired", "median", 200), ("order", "median", 2000), ("order", 0.9, 2000), ("order", 0.03, 2000), ("vector", 0.9, 2000)])
+def test_quantiles_of_paired_differences(table, groups, method, statistic, replicas):
     payers = table.filter("v > 0")
-    got = stats(
-        resample.bootstrap_replicas(payers, "g", "v", LABELS, replicas=200, method="paired", statistic="median")
-    )
-    want = reference(*[v[v > 0] for v in groups], 2000, np.median)
-    assert want.std() > 0
-    assert abs(got.mean() - want.mean()) < 5 * want.std() / np.sqrt(200)
+    of = np.median if statistic == "median" else lambda d: np.quantile(d, statistic)
+    asked = of if method == "vector" else statistic
+    got = stats(resample.bootstrap_replicas(payers, "g", "v", LABELS, replicas=replicas, method=method, statistic=asked))
+    want = reference(*[v[v > 0] for v in groups], 2000, of)
+    assert want.std() > 0 and len(got) == replicas
+    assert abs(got.mean() - want.mean()) < 5 * want.std() / np.sqrt(min(replicas, 2000) / 2)
+    assert abs(got.std() / want.std() - 1) < 5 / np.sqrt(replicas)
+    # The whole distribution, not only its first two moments.
+    grid = np.quantile(want, [0.1, 0.25, 0.5, 0.75, 0.9])
+    assert np.abs((got[:, None] <= grid).mean(0) - (want[:, None] <= grid).mean(0)).max() < 5 * np.sqrt(0.5 / min(replicas, 2000))
+
+
+@pytest.mark.parametrize("at_once", [1, 7, 1000])
+def test_quantiles_of_all_pairs(at_once, monkeypatch):
+    monkeypatch.setattr(replica_state, "DIFFERENCES_AT_ONCE", at_once)
+    rng = np.random.default_rng(2)
+    for k in range(30):
+        a, b = (np.round(rng.normal(0, 3, rng.integers(1, 40)), rng.integers(0, 3)) for _ in "ab")
+        (x, nx), (y, ny) = (np.unique(v, return_counts=True) for v in (a, b))
+        both = replica_state.Collapsed({"a": x, "b": y}, {"a": nx, "b": ny}, LABELS)
+        every = np.sort((a[:, None] - b).ravel())
+        shares = np.sort(np.concatenate([rng.random(20), [1.0, 0.5, 1 / len(every)]]))
+        want = every[np.ceil(shares * len(every) - 1e-9).astype(int) - 1]
+        assert both.difference_quantiles(shares) == pytest.approx(want)
+        for d in rng.choice(every, 5):
+            assert both.share_up_to(d + 1e-9) == pytest.approx((every <= d + 1e-9).mean())
+
+
+def test_poisson_state_does_not_grow_with_rows(spark):
+    """One state of two numbers a replica and task, whatever the number of rows."""
+    few = spark.range(2_000).selectExpr("IF(id % 2 = 0, 'a', 'b') AS g", "cast(id % 10 AS double) AS v")
+    many = spark.range(200_000).selectExpr("IF(id % 2 = 0, 'a', 'b') AS g", "cast(id % 10 AS double) AS v")
+    sigma = {}
+    for name, df in (("few", few), ("many", many)):
+        replicas = resample.bootstrap_replicas(df, "g", "v", LABELS, replicas=3000, method="poisson")
+        assert "Generate" not in plan_of(replicas) and "explode" not in plan_of(replicas)
+        sigma[name] = stats(replicas).std()
+    assert sigma["few"] == pytest.approx(10 * sigma["many"], rel=0.1)
+    assert sigma["many"] == pytest.approx(np.sqrt(2 * np.arange(0, 10, 2).var() / 100_000), rel=0.1)
+
+
+def test_too_many_values_for_every_task(table, monkeypatch):
+    exact = stats(resample.bootstrap_replicas(table, "g", "v", LABELS, replicas=20, method="paired", statistic="median"))
+    monkeypatch.setattr(replica_state, "MAX_VALUES", 10)
+    assert stats(resample.bootstrap_replicas(table, "g", "v", LABELS, replicas=20, method="order", statistic="median")) == pytest.approx(exact)
+    with pytest.raises(ValueError):
+        resample.bootstrap_replicas(table, "g", "v", LABELS, replicas=20, method="vector", statistic=np.mean)
 
 
 def test_any_aggregate_as_statistic(table, groups):
@@ -71,12 +114,10 @@ def test_any_aggregate_as_statistic(table, groups):
 
 @pytest.mark.parametrize("method", resample.METHODS)
 def test_same_seed_same_replicas_on_any_partitioning(table, method):
-    runs = [
-        stats(resample.bootstrap_replicas(table.repartition(n, F.rand(n)), "g", "v", LABELS, replicas=40, method=method, key="id", seed=5))
-        for n in (1, 4, 32)
-    ]
+    options = {"replicas": 40, "method": method, "statistic": STATISTICS.get(method, "mean")}
+    runs = [stats(resample.bootstrap_replicas(table.repartition(n, F.rand(n)), "g", "v", LABELS, seed=5, **options)) for n in (1, 4, 32)]
     assert runs[0] == pytest.approx(runs[1], rel=1e-9) and runs[0] == pytest.approx(runs[2], rel=1e-9)
-    other = stats(resample.bootstrap_replicas(table, "g", "v", LABELS, replicas=40, method=method, key="id", seed=6))
+    other = stats(resample.bootstrap_replicas(table, "g", "v", LABELS, seed=6, **options))
     assert not np.allclose(runs[0], other)
 
 
@@ -115,7 +156,9 @@ def test_equal_constants_have_no_p_value(spark):
 
 def test_missing_group_gives_no_statistic(spark):
     df = spark.createDataFrame([(1, "a", 2.0)], "id long, g string, v double")
-    assert resample.bootstrap_test(df, "g", "v", LABELS, replicas=5).first()["mean"] is None
+    for method in resample.METHODS:
+        options = {"method": method, "statistic": STATISTICS.get(method, "mean")}
+        assert resample.bootstrap_test(df, "g", "v", LABELS, replicas=5, **options).first()["mean"] is None
 
 
 def test_interval_contains_a_known_difference(spark):
@@ -127,26 +170,18 @@ def test_interval_contains_a_known_difference(spark):
     assert got["ci_low"] < 2 < got["ci_high"] and got["p_value"] < 1e-6
 
 
-def test_poisson_thresholds():
-    t = resample.poisson_thresholds(1.0)
-    assert t[:3] == pytest.approx([0.36787944, 0.73575888, 0.91969860], abs=1e-8)
-    assert t == sorted(t) and t[-1] == pytest.approx(1.0, abs=1e-14)
-    with pytest.raises(ValueError):
-        resample.poisson_thresholds(500.0)
-
-
 def test_poisson_of_groups_of_very_different_size(spark):
-    rows = [(i, "a", float(i % 7)) for i in range(900)] + [(1000 + i, "b", 1.0) for i in range(9)]
+    rows = [(i, "a", float(i % 7)) for i in range(900)] + [(1000 + i, "b", float(i)) for i in range(9)]
     df = spark.createDataFrame(rows, "id long, g string, v double")
-    options = {"replicas": 200, "seed": 3}
-    poisson = resample.bootstrap_replicas(df, "g", "v", LABELS, method="poisson", key="id", **options)
-    exact = resample.bootstrap_replicas(df, "g", "v", LABELS, method="resample", **options)
-    assert sorted(map(tuple, poisson.collect())) == sorted(map(tuple, exact.collect()))
+    got = stats(resample.bootstrap_replicas(df, "g", "v", LABELS, replicas=2000, method="poisson"))
+    want = reference(np.arange(900) % 7.0, np.arange(9.0), 2000)
+    assert abs(got.mean() - want.mean()) < 5 * want.std() / np.sqrt(1000) and got.std() == pytest.approx(want.std(), rel=0.1)
 
 
 @pytest.mark.parametrize(
     "options",
-    [{"method": "jackknife"}, {"statistic": "median"}, {"draws": "half"}, {"method": "poisson"}, {"method": "paired", "draws": "own"}],
+    [{"method": "jackknife"}, {"statistic": "median"}, {"draws": "half"}, {"method": "poisson", "statistic": "median"}, {"method": "paired", "draws": "own"},
+     {"method": "order", "statistic": 1.5}, {"method": "order"}, {"method": "vector"}, {"method": "vector", "statistic": np.mean, "draws": "own"}],
 )
 def test_wrong_options_are_refused(table, options):
     with pytest.raises(ValueError):
@@ -156,7 +191,7 @@ def test_wrong_options_are_refused(table, options):
 @pytest.mark.parametrize("method", resample.METHODS)
 def test_missing_values_are_left_out(spark, table, method):
     holes = spark.createDataFrame([(9001, "a", None), (9002, "b", float("nan"))], "id long, g string, v double")
-    options = {"replicas": 30, "method": method, "key": "id"}
+    options = {"replicas": 30, "method": method, "statistic": STATISTICS.get(method, "mean")}
     with_holes = stats(resample.bootstrap_replicas(table.unionByName(holes), "g", "v", LABELS, **options))
     assert with_holes == pytest.approx(stats(resample.bootstrap_replicas(table, "g", "v", LABELS, **options)))
 

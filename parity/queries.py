@@ -22,9 +22,9 @@ from actionlens.functions import (
     whole_days,
     year_month_text,
 )
-from actionlens.operators import audit, distribution, first_seen, rank_test, replica_state, resample
+from actionlens.operators import audit, distinct, distribution, first_seen, rank_test, replica_state, resample
 from actionlens.session import scratch_folder
-from actionlens.plans import daily, experiment, ingame, retention, slots, units
+from actionlens.plans import audience, daily, experiment, ingame, retention, slots, units
 from actionlens.sources import fixtures, readers
 from actionlens.streaming import slot_monitor
 
@@ -129,14 +129,28 @@ def label_new_actions(spark, sf_dir):
 
 @register
 def conditional_distinct(spark, sf_dir):
-    return (
-        _feed(spark, sf_dir)
-        .groupBy(day_of("time").alias("date"))
-        .agg(
-            F.count_distinct("user_id").alias("users"),
-            F.count_distinct(F.when(F.col("action") == "like", F.col("user_id"))).alias("likers"),
-        )
-    )
+    conditions = {"users": None, "likers": F.col("action") == "like"}
+    return distinct.distinct_by_condition(_feed(spark, sf_dir), [day_of("time").alias("date")], "user_id", conditions)
+
+
+@register
+def distinct_users_28_days(spark, sf_dir):
+    """Windows of 1, 7 and 28 days for each day, from states that were stored in three runs."""
+    actions, folder = _actions(spark, sf_dir), scratch_folder(spark)
+    first, last = date(2024, 1, 1), date(2024, 1, 31)
+    audience.publish_audience_days(actions, first, date(2024, 1, 10), folder)
+    audience.publish_audience_days(actions, date(2024, 1, 11), date(2024, 1, 20), folder, previous=date(2024, 1, 10))
+    # The last run repeats a day.
+    states = audience.publish_audience_days(actions, date(2024, 1, 20), last, folder, previous=date(2024, 1, 20))
+    return audience.audience_series(states, first, last)
+
+
+@register
+def distinct_users_of_two_weeks(spark, sf_dir):
+    """Users of the first week who are back in the third."""
+    actions, folder = _actions(spark, sf_dir), scratch_folder(spark)
+    states = audience.publish_audience_days(actions, date(2024, 1, 1), date(2024, 1, 31), folder)
+    return distinct.distinct_in_both(states, (date(2024, 1, 1), date(2024, 1, 7)), (date(2024, 1, 15), date(2024, 1, 21)))
 
 
 @register

@@ -13,6 +13,16 @@ actions AS (
   SELECT user_id, ts AS time, 'mess' AS action FROM events WHERE event_type = 'purchase')
 """
 
+# Users of each day by what they did.
+SEEN_CTE = """
+seen AS (
+  SELECT DISTINCT day, user_id, segment FROM (
+    SELECT CAST(time AS DATE) AS day, user_id,
+           unnest(['users', CASE action WHEN 'view' THEN 'viewers' WHEN 'like' THEN 'likers' WHEN 'mess' THEN 'writers' END]) AS segment
+    FROM actions WHERE user_id IS NOT NULL)
+  WHERE segment IS NOT NULL)
+"""
+
 ORDERS_CTE = """
 regs AS (
   SELECT o_custkey AS uid, CAST(floor(epoch(min(o_orderdate))) AS BIGINT) AS reg_ts
@@ -134,6 +144,21 @@ WITH {ACTIONS_CTE}
 SELECT CAST(time AS DATE) AS date, count(DISTINCT user_id) AS users,
        count(DISTINCT user_id) FILTER (action = 'like') AS likers
 FROM feed GROUP BY 1
+""",
+    "distinct_users_28_days": f"""
+WITH {ACTIONS_CTE}, {SEEN_CTE},
+ends AS (SELECT CAST(unnest(range(DATE '2024-01-01', DATE '2024-02-01', INTERVAL 1 DAY)) AS DATE) AS date)
+SELECT date, segment, count(DISTINCT user_id) FILTER (day = date) AS users_1,
+       count(DISTINCT user_id) FILTER (day > date - 7) AS users_7, count(DISTINCT user_id) AS users_28
+FROM ends JOIN seen ON day BETWEEN date - 27 AND date
+GROUP BY date, segment
+""",
+    "distinct_users_of_two_weeks": f"""
+WITH {ACTIONS_CTE}, {SEEN_CTE},
+both_weeks AS (
+  SELECT segment, user_id FROM seen WHERE day BETWEEN DATE '2024-01-01' AND DATE '2024-01-07'
+  INTERSECT SELECT segment, user_id FROM seen WHERE day BETWEEN DATE '2024-01-15' AND DATE '2024-01-21')
+SELECT segment, count(*) AS users FROM both_weeks GROUP BY segment
 """,
     "sql_query": f"""
 WITH {ACTIONS_CTE}

@@ -21,13 +21,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.hot_keys import join_per_key
+from ..operators.hot_keys import MIN_HOT_ROWS, join_per_key
 from ..session import cut_lineage
 from .flat import steps, texts_of
 
 UNKNOWN = "und"
-# Words whose scores every task has at hand, the same number for each language; all others are joined.
-WORDS_AT_HAND = 160_000
+# Scores that every task has at hand: those of the most frequent words, the same number of words for each
+# language, one score a language for each word. All other words are joined.
+SCORES_AT_HAND = 1_600_000
 LONGEST_GRAM = 4
 # Weight of the mean frequency in all languages beside a language's own.
 SMOOTHING = 0.1
@@ -111,10 +112,10 @@ def _frequent(wide: DataFrame, most: int, languages: int) -> Column:
 class LanguageModel:
     """Log frequencies by language: a row for each word and n-gram of the training documents."""
 
-    def __init__(self, languages: list[str], words: DataFrame, grams: DataFrame, sizes: list[int], at_hand: dict[str, list[int]]):
+    def __init__(self, languages: list[str], words: DataFrame, grams: DataFrame, sizes: list[int], at_hand: list[str], table: np.ndarray):
         """``words`` is ``(word, scores)``, ``grams`` is ``(size, gram, scores)`` with the lengths ``sizes``;
-        ``at_hand`` has the scores of the most frequent words."""
-        self.languages, self.words, self.grams, self.at_hand = languages, words, grams, at_hand
+        ``at_hand`` are the most frequent words, ``table`` has their scores."""
+        self.languages, self.words, self.grams, self.at_hand, self.table = languages, words, grams, at_hand, table
         self.sizes = sorted(sizes, reverse=True)
 
     def score_words(self, words: DataFrame) -> DataFrame:
@@ -134,8 +135,9 @@ class LanguageModel:
 
     def score(self, word: str) -> tuple[float, ...]:
         """Scores of one word. May run jobs."""
-        known = self.at_hand.get(word)
-        if known is None:
+        if word in self.at_hand:
+            known = self.table[self.at_hand.index(word)].tolist()
+        else:
             known = self.score_words(self.words.sparkSession.createDataFrame([(word,)], "word string")).first()["scores"]
         return tuple(x / UNIT for x in known)
 
@@ -144,7 +146,7 @@ def fit_languages(documents: DataFrame, words: int | None = None, smoothing: flo
     """Learn from all rows of ``documents(lang, text)`` with a language and a text.
 
     The scores of the ``words`` most frequent words of each language come to the driver, by default an equal
-    part of ``WORDS_AT_HAND``; those of all words and n-grams stay in Spark. Runs jobs; the counts of
+    part of ``SCORES_AT_HAND``; those of all words and n-grams stay in Spark. Runs jobs; the counts of
     words and the scores of n-grams are stored.
     """
     # A row for each language.
@@ -161,27 +163,26 @@ def fit_languages(documents: DataFrame, words: int | None = None, smoothing: flo
         languages, every = [], range(0)
     if not languages:
         nothing = F.array().cast("array<long>").alias("scores")
-        return LanguageModel([], wide.select("word", nothing), wide.select(F.lit(0).alias("size"), F.col("word").alias("gram"), nothing), [], {})
+        return LanguageModel([], wide.select("word", nothing), wide.select(F.lit(0).alias("size"), F.col("word").alias("gram"), nothing), [], [], np.empty((0, 0), np.int64))
     of_words = F.col("n"), totals[0], smoothing
     scores = wide.select("word", _scores(*of_words).alias("scores"))
     by_size = [F.coalesce(*(F.when(F.col("size") == size, F.lit(totals[size][i])) for size in sizes[1:])) for i in every]
     grams = cut_lineage(gram_counts(wide, len(languages)).select("size", "gram", _scores(F.col("n"), by_size, smoothing).alias("scores")))
-    frequent = wide.where(_frequent(wide, WORDS_AT_HAND // len(languages) if words is None else words, len(languages)))
-    at_hand = {r["word"]: r["scores"] for r in frequent.select("word", _scores(*of_words).alias("scores")).collect()}
-    return LanguageModel(languages, scores, grams, [size for size in sizes[1:] if any(totals[size])], at_hand)
+    most = SCORES_AT_HAND // len(languages) ** 2 if words is None else words
+    frequent = wide.where(_frequent(wide, most, len(languages))).select("word", _scores(*of_words).alias("scores")).toArrow().combine_chunks()
+    table = np.concatenate([np.empty(0, np.int64), *(c.flatten().to_numpy() for c in frequent["scores"].chunks)]).astype(np.int64).reshape(-1, len(languages))
+    return LanguageModel(languages, scores, grams, [size for size in sizes[1:] if any(totals[size])], frequent["word"].to_pylist(), table)
 
 
 def _counted(documents: DataFrame, model: LanguageModel) -> DataFrame:
     """``(row, doc_id, base, rare, times)``: the summed scores of the words at hand, null if the text has no
     word at all, and the other words with how often each occurs, separated by spaces."""
-    width = len(model.languages)
-    names = list(model.at_hand)
-    table = np.array([model.at_hand[w] for w in names], np.int64).reshape(len(names), width)
-    shared = documents.sparkSession.sparkContext.broadcast((names, table))
+    # Words are letters only.
+    shared = documents.sparkSession.sparkContext.broadcast((" ".join(model.at_hand), model.table))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, table = shared.value
-        place = {word: i for i, word in enumerate(names)}
+        place = {word: i for i, word in enumerate(names.split())}
         for batch in batches:
             for low, high, data, offsets in steps(batch.column("text")):
                 base, rare, times = [], [], []
@@ -218,9 +219,11 @@ def predict_languages(documents: DataFrame, model: LanguageModel) -> DataFrame:
     counted = cut_lineage(_counted(documents, model))
     pairs = F.arrays_zip(F.split("rare", " ").alias("word"), F.split("times", " ").alias("n"))
     rare = counted.where("rare <> ''").select("row", F.inline(pairs)).withColumn("n", F.col("n").cast("long"))
-    # A word that many documents have and no training document does is no word at hand: its rows are many.
     scores = model.score_words(rare.groupBy("word").agg(F.count("*").alias("documents")))
-    added = join_per_key(rare, scores, "word", "documents").groupBy("row").agg(*(F.sum(F.col("n") * F.col("scores")[i]).alias(f"s{i}") for i in width))
+    # A word that many documents have and no training document does is no word at hand: its rows are many.
+    most = scores.agg(F.max("documents")).first()[0] or 0
+    scored = join_per_key(rare, scores, "word", "documents") if most > MIN_HOT_ROWS else rare.join(scores, "word")
+    added = scored.groupBy("row").agg(*(F.sum(F.col("n") * F.col("scores")[i]).alias(f"s{i}") for i in width))
     total = counted.drop("rare", "times").join(added, "row", "left")
     total = total.select("doc_id", *((F.col("base")[i] + F.coalesce(f"s{i}", F.lit(0))).alias(f"s{i}") for i in width))
     best = F.array_max(F.array(*(f"s{i}" for i in width)))

@@ -146,6 +146,7 @@ def test_word_in_most_documents_but_not_in_training(documents, monkeypatch):
     from actionlens.operators import hot_keys
 
     monkeypatch.setattr(hot_keys.join_per_key, "__defaults__", (10,))
+    monkeypatch.setattr(language, "MIN_HOT_ROWS", 10)
     df = documents([f"house thouse w{i % 7}x" for i in range(300)]).drop("lang").withColumnRenamed("keep", "lang").selectExpr("* EXCEPT (lang)", "if(doc_id < 2, 'en', if(doc_id < 4, 'fr', null)) AS lang")
     df = df.selectExpr("* EXCEPT (text)", "if(doc_id < 2, 'the house', if(doc_id < 4, 'la maison', text)) AS text")
     rows = language.predict_languages(df, language.fit_languages(df.where("doc_id < 4"), words=0)).collect()

@@ -44,15 +44,20 @@ STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def live_buckets(feed: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Streaming counterpart of ``bucket_metrics``: one row per closed bucket.
+def live_buckets(feed: DataFrame, lateness: str = LATENESS, keep_event_time: bool = False) -> DataFrame:
+    """Streaming counterpart of ``bucket_metrics``: one row per closed bucket, with the instant ``closed`` that
+    the watermark follows if ``keep_event_time`` is set.
 
     ``feed`` is a stream of ``(user_id, time, action)``. Exact distinct users take two chained
     aggregates: the first keeps a row per open bucket and user, the second a row per open bucket,
     so the state holds the users active within about two buckets. The watermark needs an instant,
     so times pass through it as seconds since 1970; buckets begin and end on whole seconds.
+
+    Rows of a column ``beat``, if there is one, only tell the time: they move the watermark on and make no bucket.
     """
     known = F.col("user_id").isNotNull()
+    beats = "beat" in feed.columns
+    real = [F.count_if(~F.col("beat")).alias("rows")] if beats else []
     per_user = (
         feed.withColumn("time", F.timestamp_seconds(timestamp_to_epoch("time")))
         .withWatermark("time", lateness)
@@ -61,6 +66,7 @@ def live_buckets(feed: DataFrame, lateness: str = LATENESS) -> DataFrame:
             F.count("action").alias("n"),
             F.count_if(known & (F.col("action") == ACTION_VIEW)).alias("views"),
             F.count_if(known & (F.col("action") == ACTION_LIKE)).alias("likes"),
+            *real,
         )
     )
     per_bucket = (
@@ -71,8 +77,11 @@ def live_buckets(feed: DataFrame, lateness: str = LATENESS) -> DataFrame:
             F.sum("n").alias("actions"),
             F.sum("views").alias("views"),
             F.sum("likes").alias("likes"),
+            *([F.sum("rows").alias("rows")] if beats else []),
         )
     )
+    if beats:
+        per_bucket = per_bucket.filter("rows > 0")
     return per_bucket.select(
         epoch_to_timestamp(F.unix_seconds("bucket.start")).alias("time"),
         "activ_users",
@@ -80,6 +89,7 @@ def live_buckets(feed: DataFrame, lateness: str = LATENESS) -> DataFrame:
         "views",
         "likes",
         ratio("likes", "views").alias("ctr"),
+        *([F.window_time("bucket").alias("closed")] if keep_event_time else []),
     )
 
 
@@ -99,7 +109,7 @@ def verdicts_for(buckets: DataFrame, closed: DataFrame, lookback_days: int = LOO
     return add_verdict(banded).filter(F.col("time") == F.col("closed_at")).drop("closed_at")
 
 
-def _merge(rows: DataFrame, path: str, keys: list[str], first: date, last: date) -> DataFrame:
+def merge_rows(rows: DataFrame, path: str, keys: list[str], first: date, last: date) -> DataFrame:
     """Put ``rows`` of the days ``first`` to ``last`` in place of stored rows with the same ``keys``; returns
     the stored table. Only these days, at most 96 buckets each, are read and written again."""
     keyed = rows.withColumn("day", day_of("time"))
@@ -125,11 +135,11 @@ def store_buckets(
         if first is None:
             return
         days = first.date(), last.date()
-        stored = _merge(closed, buckets_path, ["time"], *days)
+        stored = merge_rows(closed, buckets_path, ["time"], *days)
         oldest = days[0] - timedelta(days=lookback_days)
         recent = stored.filter(F.col("day").between(oldest, days[1])).drop("day")
         alerts = alert_records(verdicts_for(recent, closed, lookback_days, z), lookback_days)
-        _merge(alerts, alerts_path, ["metric", "time"], *days)
+        merge_rows(alerts, alerts_path, ["metric", "time"], *days)
     finally:
         closed.unpersist()
 
@@ -169,14 +179,18 @@ def run_monitor(
     def store(closed: DataFrame, batch_id: int) -> None:
         store_buckets(closed, buckets_path, alerts_path, lookback_days, z)
 
+    return start_stream(live_buckets(feed), store, checkpoint, state_partitions, trigger)
+
+
+def start_stream(rows: DataFrame, store, checkpoint: str, state_partitions: int | None, trigger: dict) -> StreamingQuery:
+    """Start a stateful stream with its state in RocksDB, whose batches ``store`` takes."""
     writer = (
-        live_buckets(feed)
-        .writeStream.outputMode("append")
+        rows.writeStream.outputMode("append")
         .option("checkpointLocation", checkpoint)
         .foreachBatch(store)
         .trigger(**(trigger or {"processingTime": BUCKET}))
     )
-    settings = feed.sparkSession.conf
+    settings = rows.sparkSession.conf
     wanted = {STATE_PARTITIONS: state_partitions or settings.get(STATE_PARTITIONS), STATE_STORE: ROCKSDB}
     of_session = {name: settings.get(name) for name in wanted}
     try:

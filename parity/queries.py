@@ -26,7 +26,7 @@ from actionlens.operators import audit, distinct, distribution, first_seen, rank
 from actionlens.session import scratch_folder
 from actionlens.plans import audience, daily, experiment, ingame, retention, slots, units
 from actionlens.sources import fixtures, readers
-from actionlens.streaming import slot_monitor
+from actionlens.streaming import keyed_monitor, slot_monitor
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -241,6 +241,20 @@ def live_slot_alerts(spark, sf_dir):
     return rounded(spark.read.parquet(alerts).drop("day"), "value", "mean", "deviation")
 
 
+@register
+def keyed_slot_alerts(spark, sf_dir):
+    """The same alerts from the detector's own state."""
+    alerts = keyed_monitor.replay_detector(spark, sf_dir)
+    return rounded(alerts.filter(~F.col("message").startswith("No action")), "value", "mean", "deviation")
+
+
+@register
+def silent_slots(spark, sf_dir):
+    """Alarms for slots without any action."""
+    alerts = keyed_monitor.replay_detector(spark, sf_dir)
+    return rounded(alerts.filter(F.col("message").startswith("No action")), "value", "mean", "deviation")
+
+
 # Retention
 
 

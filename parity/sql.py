@@ -249,6 +249,20 @@ ALERT_MESSAGE = """CASE WHEN status = 'none' THEN printf('metric %s: no anomaly'
 SLOT_BANDS = _bands("series", "time", "metric", "2.576")
 LATEST = "time = (SELECT max(time) FROM series)"
 
+LIVE_ALERTS = f"""
+WITH {ACTIONS_CTE}, {BUCKETS_CTE},
+closed AS (
+  SELECT * FROM buckets
+  WHERE time + INTERVAL '15 minutes' <= (SELECT max(time) - INTERVAL '15 minutes' FROM feed)),
+series AS (
+  SELECT c.time AS closed_at, b.*
+  FROM closed c JOIN closed b
+    ON b.time <= c.time AND b.time > c.time - INTERVAL '14 days'
+   AND CAST(b.time AS TIME) = CAST(c.time AS TIME)),
+{_bands("series", "closed_at, time", "closed_at, metric", "2.576")}
+SELECT {ALERT_COLUMNS}, {ALERT_MESSAGE} FROM verdicts WHERE time = closed_at
+"""
+
 SLOTS = {
     "bucket15": f"""
 WITH {ACTIONS_CTE}
@@ -287,18 +301,28 @@ WITH {ACTIONS_CTE}, {BUCKETS_CTE}
 SELECT * FROM buckets
 WHERE time + INTERVAL '15 minutes' <= (SELECT max(time) - INTERVAL '15 minutes' FROM feed)
 """,
-    "live_slot_alerts": f"""
+    "live_slot_alerts": LIVE_ALERTS,
+    "keyed_slot_alerts": LIVE_ALERTS,
+    "silent_slots": f"""
 WITH {ACTIONS_CTE}, {BUCKETS_CTE},
-closed AS (
-  SELECT * FROM buckets
-  WHERE time + INTERVAL '15 minutes' <= (SELECT max(time) - INTERVAL '15 minutes' FROM feed)),
-series AS (
-  SELECT c.time AS closed_at, b.*
-  FROM closed c JOIN closed b
-    ON b.time <= c.time AND b.time > c.time - INTERVAL '14 days'
-   AND CAST(b.time AS TIME) = CAST(c.time AS TIME)),
-{_bands("series", "closed_at, time", "closed_at, metric", "2.576")}
-SELECT {ALERT_COLUMNS}, {ALERT_MESSAGE} FROM verdicts WHERE time = closed_at
+clock AS (SELECT date_trunc('second', max(time)) - INTERVAL '15 minutes' AS watermark FROM feed),
+closed AS (SELECT * FROM buckets WHERE time + INTERVAL '15 minutes' <= (SELECT watermark FROM clock)),
+days AS (SELECT unnest(range(CAST(min(time) AS DATE), CAST(max(time) AS DATE) + 2, INTERVAL 1 DAY)) AS day FROM closed),
+expected AS (
+  SELECT DISTINCT d.day + (c.time - CAST(CAST(c.time AS DATE) AS TIMESTAMP)) AS time
+  FROM days d, closed c),
+silent AS (
+  SELECT time FROM expected
+  WHERE time NOT IN (SELECT time FROM closed) AND time + INTERVAL '30 minutes' <= (SELECT watermark FROM clock)),
+before AS (
+  SELECT s.time, b.activ_users, b.views, b.likes, b.ctr
+  FROM silent s JOIN closed b ON b.time < s.time AND b.time > s.time - INTERVAL '14 days' AND CAST(b.time AS TIME) = CAST(s.time AS TIME)),
+means AS (
+  SELECT time, unnest(['activ_users', 'views', 'likes', 'ctr']) AS metric, unnest([avg(activ_users), avg(views), avg(likes), avg(ctr)]) AS mean
+  FROM before GROUP BY time HAVING count(*) >= 3)
+SELECT metric, time, 'low' AS status, CAST(0 AS DOUBLE) AS value, round(mean, 6) AS mean, CAST(NULL AS DOUBLE) AS deviation,
+       printf('No action at all\nMetric: %s at %s\nmean of the days before: %.2f', metric, strftime(time, '%Y-%m-%d %H:%M:%S'), round(mean, 2)) AS message
+FROM means
 """,
 }
 

@@ -1,9 +1,11 @@
 """Quality rules under weak supervision.
 
-Rules look at counts of a whole text and vote good, vote bad or abstain. How far each rule can be
-trusted is not given but estimated: expectation-maximisation over the vote patterns of all documents
-(at most 3 to the number of rules, whatever the number of documents) fits how often every rule votes
-each way on good and on bad documents. A document is kept by its posterior probability to be good.
+Rules look at counts of a whole text and vote good, vote bad, or abstain in between and where the
+script gives them no meaning. How far each vote can be trusted is not given but estimated, by
+expectation-maximisation over the vote patterns of all documents (at most 3 to the number of rules,
+whatever the number of documents): there are good documents and some kinds of junk, and for each of
+them the model holds its share and how often every rule that votes votes bad. A document is kept by its
+posterior probability to be good, so one bad vote can be outvoted by good ones.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ MIN_WORDS = 20
 REPEAT_WINDOW = 8
 REPEAT_PERCENT = 30
 
-# Frequent function words of four languages. Their absence says nothing about a text in any other.
+# Frequent function words of four languages.
 FUNCTION_WORDS = (
     "the of and to in is that for it with as was on be at by this are from or an "
     "de la le et les des en un une du que qui pour dans par sur "
@@ -43,9 +45,13 @@ _LETTER[97:123] = True
 _LONG_ENDS = [int.from_bytes(c.encode(), "big") for c in "।॥。！？…።။។"]
 _SHORT_ENDS = [int.from_bytes(c.encode(), "big") for c in "؟۔։"]
 
+# First and last code points of scripts that are written without blanks between words: Thai and Lao,
+# Myanmar, Khmer, Chinese and Japanese. All of them take three bytes.
+UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0xA4CF), (0xF900, 0xFAFF))
+
 COUNTS = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-    "n_bars", "n_bangs", "n_upper", "n_letters", "n_function_words", "n_lines", "n_ended_lines",
+    "n_bars", "n_bangs", "n_upper", "n_letters", "n_function_words", "n_lines", "n_ended_lines", "n_unspaced",
 )
 
 
@@ -71,6 +77,13 @@ def text_counts(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
         "n_upper": of_bytes(_UPPER[data]),
         "n_letters": of_bytes(_LETTER[data]),
     }
+    leads = np.flatnonzero((data >= 0xE0) & (data < 0xF0))
+    leads = leads[leads + 2 < len(data)]
+    codes = (data[leads].astype(np.int64) & 0xF) << 12 | (data[leads + 1].astype(np.int64) & 0x3F) << 6 | data[leads + 2] & 0x3F
+    unspaced = np.zeros(len(leads), bool)
+    for low, high in UNSPACED:
+        unspaced |= (codes >= low) & (codes <= high)
+    counts["n_unspaced"] = count(rows_at(offsets, leads[unspaced]))
     plain = Substrings(data)
     # Words covered by a window of words that occurs again in the same text.
     covered = np.zeros(len(starts) + 1, np.int64)
@@ -135,71 +148,116 @@ def with_counts(documents: DataFrame, columns: list[str]) -> DataFrame:
     ).mapInArrow(extract, schema)
 
 
-def _bad(bad: Column) -> Column:
-    """A rule for one kind of junk: its absence says nothing about the other kinds."""
-    return F.when(bad, BAD).otherwise(ABSTAIN)
+def _vote(bad: Column, good: Column) -> Column:
+    """Bad, good, or neither; a share of nothing is null and abstains."""
+    return F.when(bad, BAD).when(good, GOOD).otherwise(ABSTAIN)
 
 
 def votes() -> dict[str, Column]:
-    """The rules. Shares are of words, letters or lines; a share of nothing is null and abstains."""
-    words, lines = F.nullif("n_words", F.lit(0)), F.nullif("n_lines", F.lit(0))
-    capitals = F.when(F.col("n_letters") >= 20, F.col("n_upper") / F.col("n_letters"))
-    function_words = F.when(F.col("n_words") >= MIN_WORDS, F.col("n_function_words") / words)
-    ended = F.when(F.col("n_words") >= MIN_WORDS, F.col("n_ended_lines") / lines)
-    length = F.col("word_chars") / words
-    of_junk = {
-        "symbols": _bad((F.col("n_symbols") - F.col("n_bars")) / words > 0.3),
-        "bars": _bad(F.col("n_bars") / words > 0.2),
-        "bangs": _bad(F.col("n_bangs") / words > 0.3),
-        "capitals": _bad(capitals > 0.4),
-        "word_length": _bad(~length.between(2, 20)),
-        "repeated_words": _bad(F.col("n_repeat_words") / words > 0.2),
-        "repeated_lines": _bad((F.col("n_dup_lines") >= 3) & (F.col("n_dup_lines") / lines > 0.3)),
-        "ended_lines": _bad(ended < 0.1),
+    """The rules. Shares are of words, characters, letters or lines."""
+    words, lines, chars = (F.nullif(c, F.lit(0)) for c in ("n_words", "n_lines", "word_chars"))
+    # Words and sentence ends mean little where words are not set apart; capitals and the listed function words are
+    # those of Latin script.
+    spaced = F.col("n_unspaced") / chars < 0.2
+    latin = F.col("n_letters") / chars > 0.5
+    capitals = F.when(latin & (F.col("n_letters") >= 20), F.col("n_upper") / F.col("n_letters"))
+    length = F.when(spaced, F.col("word_chars") / words)
+    enough = F.col("n_words") >= MIN_WORDS
+    ended = F.when(spaced & enough, F.col("n_ended_lines") / lines)
+    function_words = F.when(latin & enough, F.col("n_function_words") / words)
+    symbols = (F.col("n_symbols") - F.col("n_bars")) / words
+    bars, bangs, repeated = (F.col(c) / words for c in ("n_bars", "n_bangs", "n_repeat_words"))
+    same_lines = F.col("n_dup_lines") / lines
+    return {
+        "symbols": _vote(symbols > 0.3, symbols < 0.1),
+        "bars": _vote(bars > 0.2, bars < 0.05),
+        "bangs": _vote(bangs > 0.3, bangs < 0.1),
+        "capitals": _vote(capitals > 0.4, capitals < 0.2),
+        "word_length": _vote(~length.between(2, 20), length.between(3, 12)),
+        "repeated_words": _vote(repeated > 0.2, repeated < 0.05),
+        "repeated_lines": _vote((F.col("n_dup_lines") >= 3) & (same_lines > 0.3), same_lines < 0.1),
+        "ended_lines": _vote(ended < 0.1, ended > 0.5),
+        "function_words": _vote(function_words < 0.03, function_words > 0.1),
     }
-    # A text without function words may be in a language that is not listed: that is no evidence by itself,
-    # and only backs a rule that has found junk.
-    backed = (function_words < 0.01) & (F.least(*of_junk.values()) == BAD)
-    return of_junk | {"function_words": F.when(function_words > 0.1, GOOD).when(backed, BAD).otherwise(ABSTAIN)}
+
+
+# Kinds of junk, by the rules that are meant to notice them.
+KINDS = {
+    "symbols": ("symbols",),
+    "menus": ("bars",),
+    "shouting": ("bangs", "capitals"),
+    "repetition": ("repeated_words", "repeated_lines"),
+    "fragments": ("ended_lines", "word_length"),
+}
+# What is assumed beforehand: shares of each kind, and how often a rule that votes votes bad on good documents, on its
+# own kind of junk, and on other kinds. A text can be in a language whose function words are not listed.
+KIND_SHARE, BAD_ON_GOOD, BAD_ON_OWN, BAD_ON_OTHER = 0.02, 0.02, 0.9, 0.1
+FUNCTION_WORDS_ON_GOOD, FUNCTION_WORDS_ON_JUNK = 0.1, 0.5
+
+
+def assumptions() -> tuple[dict[str, float], dict[str, dict[str, float]]]:
+    """Share of each class, ``good`` first, and by class how often each rule that votes votes bad."""
+    shares = {"good": 1 - KIND_SHARE * len(KINDS)} | dict.fromkeys(KINDS, KIND_SHARE)
+    rates = {}
+    for kind, own in ({"good": ()} | KINDS).items():
+        other = BAD_ON_GOOD if kind == "good" else BAD_ON_OTHER
+        rates[kind] = {rule: BAD_ON_OWN if rule in own else other for rule in votes()}
+        rates[kind]["function_words"] = FUNCTION_WORDS_ON_GOOD if kind == "good" else FUNCTION_WORDS_ON_JUNK
+    return shares, rates
 
 
 @dataclass(frozen=True)
 class RuleModel:
-    """Accuracy of each rule: how often it is right when it votes."""
+    """``shares`` of good documents and of each kind of junk, and ``rates``: by class, how often each rule votes
+    bad if it votes."""
+
+    shares: dict[str, float]
+    rates: dict[str, dict[str, float]]
 
-    accuracy: dict[str, float]
+    def _evidence(self, kind: str) -> Column:
+        total = F.lit(math.log(self.shares[kind]))
+        for rule, rate in self.rates[kind].items():
+            total = total + F.when(F.col(rule) == BAD, math.log(rate)).when(F.col(rule) == GOOD, math.log(1 - rate)).otherwise(0.0)
+        return total
 
     def posterior(self) -> Column:
-        """Probability to be good; a half where every rule abstains."""
-        odds = F.lit(0.0)
-        for name, vote in votes().items():
-            odds = odds + vote * math.log(self.accuracy[name] / (1 - self.accuracy[name]))
-        return 1 / (1 + F.exp(-odds))
+        """Probability to be good, from the rules' votes in columns of their names."""
+        good = self._evidence("good")
+        odds = [F.exp(self._evidence(kind) - good) for kind in self.shares if kind != "good"]
+        return 1 / sum(odds, F.lit(1.0))
+
+
+def with_votes(counted: DataFrame) -> DataFrame:
+    return counted.select("*", *(vote.alias(rule) for rule, vote in votes().items()))
 
 
-def fit_rules(
-    counted: DataFrame, rounds: int = 200, prior_accuracy: float = 0.9, prior_weight: float = 0.002, bounds=(0.6, 0.99)
-) -> RuleModel:
-    """Estimate the rules' accuracies on all rows of ``counted`` by expectation-maximisation.
+def fit_rules(counted: DataFrame, rounds: int = 500, prior_weight: float = 0.05) -> RuleModel:
+    """Estimate shares and rates by expectation-maximisation over all rows of ``counted`` that the fixed thresholds
+    let pass, for the others are not judged by votes.
 
-    Both classes are equally likely beforehand, and abstaining says nothing. A share of
-    ``prior_weight`` imagined votes is right with ``prior_accuracy``, so that a rule that hardly ever
-    votes keeps its intended meaning; empty input gives just that. Runs a job.
+    A share of ``prior_weight`` imagined documents is as assumed beforehand, so that classes keep their
+    meaning and a rule that hardly ever votes keeps its rate; empty input gives the assumptions. Runs a job.
     """
-    rules = votes()
-    patterns = counted.select(*(v.alias(n) for n, v in rules.items())).groupBy(*rules).count().collect()
+    rules = list(votes())
+    patterns = with_votes(counted.where(~_failed())).groupBy(*rules).count().collect()
     table = np.array([[r[n] for n in rules] for r in patterns], float).reshape(-1, len(rules))
     weight = np.array([r["count"] for r in patterns], float)
+    bad, voted = (table == BAD).astype(float), (table != ABSTAIN).astype(float)
+    shares, rates = assumptions()
+    share = before_share = np.array(list(shares.values()))
+    rate = before_rate = np.array([[rates[kind][rule] for rule in rules] for kind in shares])
     imagined = max(weight.sum(), 1.0) * prior_weight
-    accuracy = np.full(len(rules), prior_accuracy)
     for _ in range(rounds):
-        good = 1 / (1 + np.exp(-(table @ np.log(accuracy / (1 - accuracy)))))
-        right = (weight[:, None] * np.where(table > 0, good[:, None], 1 - good[:, None]) * (table != 0)).sum(0)
-        voted = (weight[:, None] * (table != 0)).sum(0)
-        before, accuracy = accuracy, np.clip((right + imagined * prior_accuracy) / (voted + imagined), *bounds)
-        if np.abs(accuracy - before).max() < 1e-9:
+        evidence = np.log(share) + bad @ np.log(rate).T + (voted - bad) @ np.log(1 - rate).T
+        belongs = np.exp(evidence - evidence.max(1, initial=-np.inf, keepdims=True))
+        belongs *= (weight / belongs.sum(1))[:, None]
+        assumed = imagined * before_share[:, None]
+        last_share, last_rate = share, rate
+        rate = (belongs.T @ bad + assumed * before_rate) / (belongs.T @ voted + assumed)
+        share = (belongs.sum(0) + imagined * before_share) / (weight.sum() + imagined)
+        if max(np.abs(rate - last_rate).max(), np.abs(share - last_share).max()) < 1e-10:
             break
-    return RuleModel(dict(zip(rules, accuracy.tolist())))
+    return RuleModel(dict(zip(shares, share.tolist())), {kind: dict(zip(rules, row.tolist())) for kind, row in zip(shares, rate)})
 
 
 def _failed() -> Column:
@@ -214,12 +272,13 @@ def judge_documents(documents: DataFrame) -> DataFrame:
     """
     counted = cut_lineage(with_counts(documents, ["doc_id"]))
     model = fit_rules(counted)
-    return counted.select(
+    judged = with_votes(counted).withColumn("posterior", model.posterior())
+    return judged.select(
         F.col("c0").cast("long").alias("doc_id"),
         *COUNTS,
         _failed().alias("base_failed"),
-        model.posterior().alias("posterior"),
-        (~_failed() & (model.posterior() >= 0.5)).alias("kept"),
+        "posterior",
+        (~_failed() & (F.col("posterior") >= 0.5)).alias("kept"),
     )
 
 
@@ -227,5 +286,5 @@ def keep_good(documents: DataFrame) -> DataFrame:
     """The rows of ``documents`` that are kept, with their columns. Texts are counted twice, once to
     fit the rules, rather than joined. Runs a job."""
     model = fit_rules(with_counts(documents, []))
-    counted = with_counts(documents, documents.columns).where(~_failed() & (model.posterior() >= 0.5))
+    counted = with_votes(with_counts(documents, documents.columns).where(~_failed())).where(model.posterior() >= 0.5)
     return counted.select(*(F.col(f"c{i}").alias(c) for i, c in enumerate(documents.columns)))

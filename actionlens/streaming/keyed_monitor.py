@@ -168,7 +168,8 @@ def silence_records(verdicts: DataFrame) -> DataFrame:
     """``(metric, time, status, value, mean, deviation, message)`` of verdicts, silent slots in words of their own."""
     records = alert_records(verdicts.filter(~F.col("silent")))
     silent = verdicts.filter("silent")
-    message = F.format_string("No action at all\nMetric: %s at %s\nmean of the days before: %.2f", "metric", F.col("time").cast("string"), "mean")
+    mean = F.when(F.col("mean").isNull(), "n/a").otherwise(F.format_string("%.2f", "mean"))
+    message = F.format_string("No action at all\nMetric: %s at %s\nmean of the days before: %s", "metric", F.col("time").cast("string"), mean)
     return records.unionByName(silent.select("metric", "time", "status", "value", "mean", "deviation", message.alias("message")))
 
 

@@ -321,7 +321,8 @@ means AS (
   SELECT time, unnest(['activ_users', 'views', 'likes', 'ctr']) AS metric, unnest([avg(activ_users), avg(views), avg(likes), avg(ctr)]) AS mean
   FROM before GROUP BY time HAVING count(*) >= 3)
 SELECT metric, time, 'low' AS status, CAST(0 AS DOUBLE) AS value, round(mean, 6) AS mean, CAST(NULL AS DOUBLE) AS deviation,
-       printf('No action at all\nMetric: %s at %s\nmean of the days before: %.2f', metric, strftime(time, '%Y-%m-%d %H:%M:%S'), round(mean, 2)) AS message
+       printf('No action at all\nMetric: %s at %s\nmean of the days before: %s', metric, strftime(time, '%Y-%m-%d %H:%M:%S'),
+              coalesce(printf('%.2f', round(mean, 2)), 'n/a')) AS message
 FROM means
 """,
 }

@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.hot_keys import join_per_key
 from ..session import cut_lineage
 from .flat import LOWER, Substrings, mix, steps, word_spans
 from .links import components
@@ -34,8 +35,9 @@ BANDS, BAND_ROWS = 64, 5
 BINS = BANDS * BAND_ROWS
 BLOCK = 256
 
-# Shingles are 48-bit numbers, so that a row number fits above them when a step is sorted.
-_HASH_BITS = 48
+# Pairs with one document that are confirmed in one task.
+PAIRS_PER_SALT = 2048
+# Rows of a step, so that a row number takes two bytes, which are sorted fast.
 _ROWS = 1 << 16
 _EMPTY = np.uint64(np.iinfo(np.uint64).max)
 _FACTORS = mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
@@ -44,7 +46,8 @@ _BORROW = np.random.default_rng(320).integers(0, BINS, (_TRIES, BINS))
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingles of all texts in one sorted array, and the offsets of each text's part."""
+    """Distinct 64-bit shingle hashes of at most 65,536 texts, ascending in each text, and the offsets of each
+    text's part. A null text is empty; an empty one, or one without words, has no shingle."""
     n = len(offsets) - 1
     lowered = LOWER[data]
     starts, ends, rows = word_spans(lowered, offsets)
@@ -68,18 +71,19 @@ def shingles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
         one[has] += words[first[short[has]] + k] * _FACTORS[k]
     keys.append(one + counts[short].astype(np.uint64) * _FACTORS[63])
     owners.append(short)
-    hashed = mix(np.concatenate(keys)) >> np.uint64(64 - _HASH_BITS)
-    tagged = np.sort((np.concatenate(owners).astype(np.uint64) << np.uint64(_HASH_BITS)) | hashed)
-    tagged = tagged[np.append(True, tagged[1:] != tagged[:-1])] if len(tagged) else tagged
-    bounds = np.searchsorted(tagged, np.arange(n + 1, dtype=np.uint64) << np.uint64(_HASH_BITS))
-    return tagged & np.uint64((1 << _HASH_BITS) - 1), bounds
+    hashed, owner = mix(np.concatenate(keys)), np.concatenate(owners).astype(np.uint16)
+    order = np.argsort(hashed)
+    order = order[np.argsort(owner[order], kind="stable")]
+    hashed, owner = hashed[order], owner[order]
+    new = np.append(True, (hashed[1:] != hashed[:-1]) | (owner[1:] != owner[:-1])) if len(hashed) else np.empty(0, bool)
+    return hashed[new], np.searchsorted(owner[new], np.arange(n + 1), "left")
 
 
 def signatures(hashed: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """One value for each text and bin, empty bins filled."""
     n = len(bounds) - 1
     rows = np.repeat(np.arange(n), np.diff(bounds))
-    bins = ((hashed >> np.uint64(16)) * np.uint64(BINS) >> np.uint64(32)).astype(np.int64)
+    bins = ((hashed >> np.uint64(32)) * np.uint64(BINS) >> np.uint64(32)).astype(np.int64)
     cell = rows * BINS + bins
     lowest = np.flatnonzero(np.append(True, cell[1:] != cell[:-1])) if len(cell) else np.empty(0, np.int64)
     table = np.full(n * BINS, _EMPTY)
@@ -115,7 +119,8 @@ def _bounded(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarra
 
 
 def document_bands(documents: DataFrame) -> DataFrame:
-    """``(doc_id, n_shingles, d1, d2, bands)``; ``d1`` and ``d2`` are a digest of the set."""
+    """``(doc_id, n_shingles, d1, d2, bands)``; ``d1`` and ``d2`` are a digest of the set. A null or empty text
+    has no shingles and bands that mean nothing; a null id stays null; repeated rows get equal rows."""
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -154,7 +159,7 @@ def document_sets(documents: DataFrame) -> DataFrame:
 
 
 def shared_buckets(bands: DataFrame) -> DataFrame:
-    """The rows of ``bands(band, doc)`` whose bucket has several documents. They are sorted by band and
+    """The rows of ``bands(band, doc)``, both known, whose bucket has several documents; an empty table gives none. They are sorted by band and
     document over ranges, and streamed. A row whose neighbour is in another partition is given too;
     it can be alone in its bucket."""
 
@@ -183,12 +188,26 @@ def shared_buckets(bands: DataFrame) -> DataFrame:
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``(a, b)`` whose full sets are similar enough."""
+    """Pairs ``(a, b)`` whose full sets are similar enough. ``pairs`` should be stored.
+
+    A document with very many pairs, such as the centre of a large group, has its set repeated, and its
+    pairs are dealt to the repeats.
+    """
     one = sets.select(F.col("doc_id").alias("a"), F.col("shingle_set").alias("set_a"))
     two = sets.select(F.col("doc_id").alias("b"), F.col("shingle_set").alias("set_b"))
     both = F.size(F.array_intersect("set_a", "set_b"))
     union = F.size("set_a") + F.size("set_b") - both
-    return pairs.join(two, "b").join(one, "a").where(100 * both >= percent * union).select("a", "b")
+    loads = cut_lineage(
+        pairs.groupBy("a").agg(F.count("*").alias("rows")).where(F.col("rows") > PAIRS_PER_SALT)
+        .withColumn("salts", F.expr(f"(rows + {PAIRS_PER_SALT - 1}) div {PAIRS_PER_SALT}"))
+    )
+    on = ["a"]
+    if not loads.isEmpty():
+        salts = F.coalesce("salts", F.lit(1))
+        pairs = join_per_key(pairs, loads, "a", "rows").withColumn("salt", F.pmod(F.xxhash64("b"), salts)).drop("salts")
+        one = one.join(loads.drop("rows"), "a", "left").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), salts - 1))).drop("salts")
+        on = ["a", "salt"]
+    return pairs.join(two, "b").join(one, on).where(100 * both >= percent * union).select("a", "b")
 
 
 def _possible(a: str, b: str, percent: int) -> str:
@@ -200,16 +219,15 @@ def _central_stars(buckets: DataFrame) -> DataFrame:
     """Edges ``(a, b)`` from the centre of every bucket to its other rows. The centre is the document
     that shares the most bucket places with others: the original of edited copies is in larger buckets
     than a copy, and nearer to them."""
-    shared = cut_lineage(
-        buckets.join(buckets.groupBy("band").agg(F.count("*").alias("places")).where("places > 1"), "band")
-    )
+    places = buckets.groupBy("band").agg(F.count("*").alias("places")).where("places > 1")
+    shared = cut_lineage(join_per_key(buckets, places.withColumn("rows", F.col("places")), "band", "rows").where("places IS NOT NULL"))
     central = shared.groupBy("doc").agg(F.sum("places").alias("score"))
     centres = (
         shared.join(central, "doc")
         .groupBy("band")
-        .agg(F.max_by("doc", F.struct("score", -F.col("doc"))).alias("centre"))
+        .agg(F.max_by("doc", F.struct("score", -F.col("doc"))).alias("centre"), F.max("places").alias("rows"))
     )
-    edges = shared.join(centres, "band").where("doc <> centre")
+    edges = join_per_key(shared, centres, "band", "rows").where("doc <> centre")
     return edges.select(F.col("centre").alias("a"), F.col("doc").alias("b")).distinct()
 
 
@@ -234,7 +252,8 @@ def _pairs_across(sets: DataFrame, percent: int) -> DataFrame:
     often = cut_lineage(each.groupBy("shingle").agg(F.count("*").alias("often")).where("often > 1"))
     first = F.expr(f"n - (({percent} * n + 99) div 100) + 1 - (n - size(common))")
     prefixes = cut_lineage(
-        each.join(often, "shingle")
+        join_per_key(each, often.withColumn("rows", F.col("often")), "shingle", "rows")
+        .where("often IS NOT NULL")
         .groupBy("doc", "component", "n", "text")
         .agg(F.sort_array(F.collect_list(F.struct("often", "shingle"))).alias("common"))
         .select("doc", "component", "n", (F.col("n") - F.size("common")).alias("own"), F.posexplode(F.slice("common", F.lit(1), F.greatest(F.lit(0), first.cast("int")))).alias("at", "rare"))
@@ -243,7 +262,8 @@ def _pairs_across(sets: DataFrame, percent: int) -> DataFrame:
     )
     mixed = prefixes.groupBy("shingle").agg(F.min("component").alias("least"), F.max("component").alias("most"), F.count("*").alias("rows")).where("least < most")
     placed = (
-        prefixes.join(mixed.select("shingle", "rows"), "shingle")
+        join_per_key(prefixes, mixed.select("shingle", "rows", F.col("rows").alias("held")), "shingle", "held")
+        .where("rows IS NOT NULL")
         .withColumn("last", F.expr(f"(rows - 1) div {BLOCK}"))
         .withColumn("block", F.expr("pmod(xxhash64(doc, n), last + 1)"))
     )
@@ -320,6 +340,7 @@ def _with_components(table: DataFrame, by_id: DataFrame, named: DataFrame) -> Da
 
 
 def keep_first_copies(documents: DataFrame, percent: int = SIMILAR_PERCENT) -> DataFrame:
-    """The rows of ``documents`` that stay, one document of each group of near-duplicates."""
+    """The rows of ``documents`` that stay, one document of each group of near-duplicates. Rows without an id, and those
+    whose text is null, empty or without words, stay; all rows of an id that goes go."""
     dropped = near_duplicates(documents, percent).where("NOT kept").select(F.col("doc_id").alias("gone")).distinct()
     return documents.join(dropped, documents["doc_id"].cast("long") == dropped["gone"], "left_anti")

@@ -54,6 +54,32 @@ def test_passage_in_all(documents):
     check(documents([" ".join(f"w{r.randint(0, 10**6)}" for _ in range(r.randint(0, 40))) + " " + passage for _ in range(150)]))
 
 
+def test_centre_of_many_copies(documents, monkeypatch):
+    """Pairs of one document, rows of one bucket and of one shingle are dealt to several tasks."""
+    from actionlens.operators import hot_keys
+
+    monkeypatch.setattr(near_dedup, "PAIRS_PER_SALT", 10)
+    monkeypatch.setattr(hot_keys.join_per_key, "__defaults__", (20,))
+    dealt = []
+    confirmed = near_dedup._confirmed
+    monkeypatch.setattr(near_dedup, "_confirmed", lambda pairs, sets, percent: dealt.append(pairs.count()) or confirmed(pairs, sets, percent))
+    r = random.Random(9)
+    base = [f"w{r.randint(0, 10**6)}" for _ in range(80)]
+    texts = [" ".join(base[:i % 70] + [f"own{i}"] + base[i % 70 + 1 :]) for i in range(180)] + [" ".join(base)] * 5
+    check(documents(texts + [" ".join(f"w{r.randint(0, 10**6)}" for _ in range(50)) for _ in range(10)]))
+    assert dealt[0] > 100
+
+
+def test_shingles_have_64_bits():
+    import numpy as np
+
+    text = " ".join(map(str, range(5000))).encode()
+    data, offsets = np.frombuffer(text + b"a b c d e f", np.uint8), np.array([0, 0, len(text), len(text) + 11])
+    hashed, bounds = near_dedup.shingles(data, offsets)
+    assert np.diff(bounds).tolist() == [0, 4996, 2] and (np.diff(hashed[: bounds[2]].astype(float)) > 0).all()
+    assert (hashed >> np.uint64(60)).max() == 15 and len(np.unique(hashed & np.uint64(0xFFFF))) > 4000
+
+
 def test_odd_rows(odd, no_documents):
     check(odd)
     assert near_dedup.near_duplicates(no_documents).count() == 0

@@ -40,15 +40,10 @@ _SEED = 6
 
 
 def usable(vectors: DataFrame, key: str = "vec_id", column: str = "embedding") -> DataFrame:
-    """``(vec_id, vector)``: rows with an id and a finite, non-zero vector without nulls.
-
-    All must have one length; of several lengths the most frequent one takes part, the smaller of ties.
-    """
+    """``(vec_id, vector)``: rows with an id and a finite, non-zero vector without nulls, of any length."""
     doubles = vectors.select(F.col(key).cast("long").alias("vec_id"), F.col(column).cast("array<double>").alias("vector"))
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    good = doubles.where(F.col("vec_id").isNotNull() & F.col("vector").isNotNull()).where(finite).where(F.exists("vector", lambda x: x != 0))
-    lengths = good.groupBy(F.size("vector").alias("length")).agg(F.count("*").alias("rows")).orderBy(F.col("rows").desc(), "length").limit(1).collect()
-    return good.where(F.size("vector") == (lengths[0]["length"] if lengths else 0))
+    return doubles.where(F.col("vec_id").isNotNull() & F.col("vector").isNotNull()).where(finite).where(F.exists("vector", lambda x: x != 0))
 
 
 def _unit(matrix: np.ndarray) -> np.ndarray:
@@ -250,7 +245,18 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, nearest: int = NE
 
 
 def search_table(vectors: DataFrame, every: int = 50) -> DataFrame:
-    """Queries are the rows whose id is divisible by ``every``, once for each id."""
+    """Queries are the rows whose id is divisible by ``every``, once for each id and length of vector.
+
+    A cosine needs two vectors of one length, so each length is searched by itself, in jobs of its own.
+    """
     good = usable(vectors)
-    queries = good.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("vector").alias("vector"))
-    return nearest_neighbours(good, queries)
+    size = F.size("vector")
+    # A row for each length.
+    lengths = sorted(r["size"] for r in good.groupBy(size.alias("size")).count().collect())
+    found = None
+    for length in lengths or [0]:
+        mine = good.where(size == length) if len(lengths) > 1 else good
+        queries = mine.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+        part = nearest_neighbours(mine, queries)
+        found = part if found is None else found.unionByName(part)
+    return found

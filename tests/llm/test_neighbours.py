@@ -46,6 +46,21 @@ def test_odd_vectors(spark):
     assert neighbours.search_table(table(spark, rows[2:4])).count() == 0
 
 
+def test_each_length_is_searched(spark):
+    random = np.random.default_rng(8)
+    rows = [(i, random.standard_normal(2 + i % 3).tolist(), 0) for i in range(240)] + [(150, [1.0, 2.0], 0), (150, [1.0, 2.0], 0), (50, [5.0] * 7, 0)]
+    got = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in neighbours.search_table(table(spark, rows)).collect())
+    want = []
+    for length in range(2, 8):
+        mine = [(i, np.array(v, np.float32).astype(float)) for i, v, _ in rows if len(v) == length]
+        # Of rows that repeat an id, the smallest vector asks.
+        asks = {i: min((v.tolist() for j, v in mine if j == i)) for i, _ in mine if i % 50 == 0}
+        for q, v in ((q, np.array(v)) for q, v in asks.items()):
+            near = sorted((-round(float(v @ w / np.sqrt(v @ v) / np.sqrt(w @ w)), 12), i) for i, w in mine if i != q)[:5]
+            want += [(q, k + 1, i) for k, (_, i) in enumerate(near)]
+    assert got == sorted(want) and {q for q, _, _ in got} == {0, 50, 100, 150, 200}
+
+
 def test_every_query_finds_five(spark):
     # Two vectors far from one large group: the list that they are in holds fewer rows than are wanted.
     random = np.random.default_rng(3)

@@ -15,13 +15,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .flat import steps
 
 TAPS, FILTERS = 5, 16
 # A chunk is four blocks long and begins three blocks after the last one.
 BLOCK, CHUNK_BLOCKS, CHUNK_STEP = 64, 4, 3
 # Labelled rows that the network learns from.
-TRAINING_ROWS = 3000
+TRAINING_ROWS, TRAINING_BYTES = 3000, 24 << 20
 STEP_BYTES = 1 << 20
 
 
@@ -158,8 +159,18 @@ def training_sample(documents: DataFrame, labels: DataFrame, label: str, rows: i
 
 
 def fit_quality(documents: DataFrame, labels: DataFrame, label: str = "quality", rows: int = TRAINING_ROWS) -> ByteNetwork:
-    """A network fitted on the driver to the bounded sample. Runs a job."""
-    sample = sorted((r["picked"], r["text"].encode(), r["label"]) for r in training_sample(documents, labels, label, rows).collect())
+    """A network fitted on the driver to the sample, which is bounded in rows and in bytes: of the rows in the order
+    of their hashes, those whose texts fit into ``TRAINING_BYTES`` together with the ones taken before. A text that
+    does not fit is passed over as a whole. Runs jobs; the sample is stored."""
+    stored = cut_lineage(training_sample(documents, labels, label, rows))
+    sizes = stored.select(F.xxhash64("picked").alias("place"), "picked", F.octet_length("text").alias("size")).collect()
+    taken, total = [], 0
+    for _, picked, size in sorted(map(tuple, sizes)):
+        if total + size <= TRAINING_BYTES:
+            taken.append(picked)
+            total += size
+    chosen = stored if len(taken) == len(sizes) else stored.where(F.col("picked").isin(taken))
+    sample = sorted((r["picked"], r["text"].encode(), r["label"]) for r in chosen.collect())
     return ByteNetwork().fit([x[1] for x in sample], np.array([x[2] for x in sample], np.float32))
 
 

@@ -49,6 +49,57 @@ def test_gradient():
         assert abs((up - down) / (2 * step) - g[at]) < 0.1 * abs(g[at]) + 1e-4
 
 
+def test_sample_is_bounded_in_bytes(documents, spark, monkeypatch):
+    df = documents(["short text " * (1 + i % 5) for i in range(60)] + ["x" * 5000])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(61)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(byte_network, "TRAINING_BYTES", 700)
+    monkeypatch.setattr(byte_network.ByteNetwork, "fit", lambda self, texts, labels: seen.append(texts) or self)
+    byte_network.fit_quality(df, labels)
+    byte_network.fit_quality(df.repartition(7), labels)
+    # Whole texts, in an order of their own; the one that never fits is passed over.
+    assert seen[0] == seen[1] and 600 < sum(map(len, seen[0])) <= 700 and all(t.startswith(b"short text ") for t in seen[0])
+
+
+def plain_probability(network, text):
+    """One place, filter and chunk at a time."""
+    taps, block = byte_network.TAPS, byte_network.BLOCK
+    blocks = (len(text) + taps - 1) // block + 1
+    padded = text + bytes(blocks * block + taps - len(text))
+    chunks = []
+    first = 0
+    while True:
+        end = min(first + byte_network.CHUNK_BLOCKS, blocks)
+        tops = []
+        for f in range(byte_network.FILTERS):
+            outputs = []
+            for place in range(first * block, end * block):
+                beyond = place >= blocks * block - taps + 1
+                outputs.append(0.0 if beyond else sum(float(network.filters[k, padded[place + k], f]) for k in range(taps)))
+            tops.append(max(0.0, max(outputs) + float(network.offset[f])))
+        chunks.append(tops)
+        if end == blocks:
+            break
+        first += byte_network.CHUNK_STEP
+    mean = [sum(c[f] for c in chunks) / len(chunks) for f in range(byte_network.FILTERS)]
+    most = [max(c[f] for c in chunks) for f in range(byte_network.FILTERS)]
+    logit = float(network.bias[0]) + sum(float(w) * x for w, x in zip(network.weights, mean + most))
+    return 1 / (1 + math.exp(-logit))
+
+
+def test_forward_pass_like_a_plain_loop():
+    """Filters over every place of overlapping chunks, the largest outputs of the text, one logistic unit."""
+    network = byte_network.ByteNetwork()
+    random = np.random.default_rng(3)
+    network.weights += random.standard_normal(network.weights.shape).astype(np.float32)
+    texts = [random.integers(0, 256, n).astype(np.uint8).tobytes() for n in (0, 1, 4, 5, 300, 2000)]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    got = network.probabilities(np.frombuffer(b"".join(texts), np.uint8), offsets)
+    again = [network.probabilities(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[0] for t in texts]
+    assert np.allclose(got, again, atol=1e-6)
+    assert np.allclose(got, [plain_probability(network, t) for t in texts], atol=1e-4)
+
+
 def test_network_odd_rows(odd, no_documents, spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     rows = byte_network.held_out_quality(odd, none).collect()

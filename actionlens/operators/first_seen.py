@@ -40,3 +40,14 @@ def merge_first_seen(known: DataFrame, new_actions: DataFrame) -> DataFrame:
         .groupBy("user_id")
         .agg(F.min("first_time").alias("first_time"))
     )
+
+
+def merge_into_buckets(known: DataFrame, new_actions: DataFrame) -> DataFrame:
+    """``merge_first_seen`` for a stored table that is laid out in buckets by user.
+
+    A join by user in place of a union: the stored side is read where it is, and only the users of the new
+    actions are sent to its buckets. The result lies in the same buckets.
+    """
+    new = first_seen(new_actions).withColumnRenamed("first_time", "new_time")
+    merged = known.select("user_id", "first_time").join(new, "user_id", "full_outer")
+    return merged.select("user_id", F.least("first_time", "new_time").alias("first_time"))

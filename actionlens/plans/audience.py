@@ -15,6 +15,7 @@ from ..functions.columns import ACTION_LIKE, ACTION_MESSAGE, ACTION_VIEW, day_of
 from ..operators.distinct import bitmap_states, rolling_distinct
 from ..operators.numbering import extend_numbers
 from ..sources import sinks
+from ..sources.versions import commit_version, read_version
 from .daily import in_days
 
 # Windows of the audience report, in days.
@@ -36,10 +37,10 @@ def publish_audience_days(actions: DataFrame, first: date, last: date, folder: s
     """
     spark = actions.sparkSession
     of_days = actions.filter(in_days("time", first, last))
-    known = spark.read.parquet(f"{folder}/numbers/as_of={previous.isoformat()}") if previous else None
+    known = read_version(spark, f"{folder}/numbers/as_of={previous.isoformat()}") if previous else None
     path = f"{folder}/numbers/as_of={last.isoformat()}"
-    extend_numbers(known, of_days, "user_id").write.mode("overwrite").parquet(path)
-    states = bitmap_states(of_days, day_of("time"), "user_id", segments(), spark.read.parquet(path))
+    commit_version(extend_numbers(known, of_days, "user_id"), path)
+    states = bitmap_states(of_days, day_of("time"), "user_id", segments(), read_version(spark, path))
     sinks.write_partitions(states, f"{folder}/states", "day")
     return stored_states(spark, folder)
 

@@ -23,6 +23,9 @@ from ..functions.columns import (
     timestamp_to_epoch,
     whole_days_from_seconds,
 )
+from ..operators.passages import day_passages, step_counts
+from ..operators.ranks import MAX_BROADCAST_ROWS
+from ..session import cut_lineage
 from .daily import in_days
 from .retention import user_day_numbers
 
@@ -75,30 +78,25 @@ def _per_segment_and_day(exposed: DataFrame, days: tuple[int, ...]) -> DataFrame
     )
 
 
-def activity_gaps(actions: DataFrame) -> DataFrame:
-    """``(user_id, second, gap)``: time from each active second of a user to the next one.
+def exposed_seconds(actions: DataFrame, exposed: DataFrame) -> DataFrame:
+    """``(user_id, second, exposed_at, segment)``: the seconds in which exposed users were active.
 
-    Seconds are gathered per user and day, at most 86,400 of them, with copies dropped on the map
-    side. The last second of a day is linked to the next active day over one row per day.
+    Users who were not exposed go before anything is gathered. A few exposed users are sent to the actions;
+    many are met by their distinct seconds, so that the rows of a user are bounded by time.
     """
-    per_day = (
-        actions.filter(F.col("user_id").isNotNull() & F.col("time").isNotNull())
-        .groupBy("user_id", day_of("time").alias("day"))
-        .agg(F.array_sort(F.collect_set(timestamp_to_epoch("time"))).alias("seconds"))
-    )
-    next_day = Window.partitionBy("user_id").orderBy("day")
-    # Only the first second of a day goes into the window; the arrays stay whole beside it.
-    linked = per_day.withColumn("following", F.lead(F.col("seconds")[0]).over(next_day))
-    with_next = F.concat(F.col("seconds"), F.array("following"))
-    steps = F.transform(
-        F.col("seconds"),
-        lambda s, i: F.struct(s.alias("second"), (F.get("with_next", i + 1) - s).alias("gap")),
-    )
-    return (
-        linked.withColumn("with_next", with_next)
-        .select("user_id", F.inline(steps))
-        .filter(F.col("gap").isNotNull())
-    )
+    known = actions.filter(F.col("user_id").isNotNull() & F.col("time").isNotNull()).select("user_id", timestamp_to_epoch("time").alias("second"))
+    exposed = cut_lineage(exposed.select("user_id", "exposed_at", "segment"))
+    if exposed.count() <= MAX_BROADCAST_ROWS:
+        return known.join(F.broadcast(exposed), "user_id").distinct()
+    return known.distinct().join(exposed, "user_id")
+
+
+def user_sessions(seconds: DataFrame, keys: list[str], second: Column, session_gap: int = SESSION_GAP_SECONDS) -> DataFrame:
+    """``(*keys, session, first_second, last_second)``: stretches of seconds no more than ``session_gap`` apart, by a
+    session window, on a table or on a stream. ``seconds`` are whole ones; on a stream ``second`` is the column with
+    the watermark."""
+    window = F.session_window(second, f"{session_gap * 1000 + 500} milliseconds")
+    return seconds.groupBy(*keys, window.alias("session")).agg(F.min("second").alias("first_second"), F.max("second").alias("last_second"))
 
 
 def event_activity_by_day(
@@ -111,16 +109,28 @@ def event_activity_by_day(
 
     Activity time is the sum of pauses of at most ``session_gap`` between a user's actions, booked
     on the day in which the pause starts. The denominator is everyone exposed.
+
+    Sessions within a day since exposure hold its pauses; the pause that goes on into a later day is
+    added to the day's last session.
     """
     day_number = whole_days_from_seconds(F.col("second") - F.col("exposed_at"))
+    # The days asked for, and those in which a pause that begins there can end.
+    last = max(days) + 1 + session_gap // DAY_SECONDS
+    seconds = exposed_seconds(actions, exposed).withColumn("day_number", day_number).filter(F.col("day_number").between(min(days), last))
+    keys = ["user_id", "segment", "day_number"]
+    sessions = user_sessions(seconds.withColumn("instant", F.timestamp_seconds("second")), keys, F.col("instant"), session_gap)
+    per_user = sessions.groupBy(*keys).agg(
+        F.sum(F.col("last_second") - F.col("first_second")).alias("inside"),
+        F.min("first_second").alias("first_second"),
+        F.max("last_second").alias("last_second"),
+    )
+    # A row for each day of a user.
+    pause = F.lead("first_second").over(Window.partitionBy("user_id", "segment").orderBy("day_number")) - F.col("last_second")
     per_day = (
-        activity_gaps(actions)
-        .filter(F.col("gap") <= session_gap)
-        .join(exposed, "user_id")
-        .withColumn("day_number", day_number)
+        per_user.withColumn("over", F.when(pause <= session_gap, pause).otherwise(0))
         .filter(F.col("day_number").isin(*days))
         .groupBy("segment", "day_number")
-        .agg(F.sum("gap").alias("seconds"))
+        .agg(F.sum(F.col("inside") + F.col("over")).alias("seconds"))
     )
     return (
         _per_segment_and_day(exposed, days)
@@ -219,25 +229,15 @@ def event_participation(exposed: DataFrame) -> DataFrame:
     ).withColumn("share", ratio("participants", "exposed"))
 
 
-def event_funnel(actions: DataFrame, steps: list[tuple[str, Column]]) -> DataFrame:
-    """``(step_number, step, users, share_of_first, drop_off)`` for ordered steps.
+def funnel_days(actions: DataFrame, steps: list[tuple[str, Column]]) -> DataFrame:
+    """``(user, day, passage)``: what each day of a user does to the funnel, to be stored and put together for any
+    window of days."""
+    return day_passages(actions, "user_id", day_of("time"), timestamp_to_epoch("time"), [condition for _, condition in steps])
 
-    A user passes step k with the first row of that step at or after the second in which the user passed
-    step k-1; what else happened in between does not matter. Rows collapse to the seconds in which a
-    user took any step. One window per step then looks for its first fitting second, all over the
-    same users in the same order: one shuffle and one sort.
-    """
-    at = timestamp_to_epoch("time")
-    taken = [F.bool_or(F.coalesce(condition, F.lit(False))).alias(f"is{i}") for i, (_, condition) in enumerate(steps)]
-    seconds = actions.filter(F.col("user_id").isNotNull()).groupBy("user_id", at.alias("second")).agg(*taken)
-    whole = Window.partitionBy("user_id").orderBy("second").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    passed = seconds.filter(" OR ".join(f"is{i}" for i in range(len(steps))))
-    for i in range(len(steps)):
-        fits = F.col(f"is{i}") & (F.col("second") >= F.col(f"t{i - 1}")) if i else F.col("is0")
-        passed = passed.withColumn(f"t{i}", F.min(F.when(fits, F.col("second"))).over(whole))
-    firsts = passed.groupBy("user_id").agg(*[F.first(f"t{i}").alias(f"t{i}") for i in range(len(steps))])
-    flags = [F.count(f"t{i}").alias(f"n{i}") for i in range(len(steps))]
-    counted = firsts.agg(*flags)
+
+def funnel_of_days(passages: DataFrame, steps: list[str]) -> DataFrame:
+    """``(step_number, step, users, share_of_first, drop_off)`` of the days in ``passages``."""
+    counted = step_counts(passages, len(steps))
     rows = F.array(
         *[
             F.struct(
@@ -247,12 +247,22 @@ def event_funnel(actions: DataFrame, steps: list[tuple[str, Column]]) -> DataFra
                 ratio(f"n{i}", "n0").alias("share_of_first"),
                 (F.col(f"n{max(i - 1, 0)}") - F.col(f"n{i}")).alias("drop_off"),
             )
-            for i, (name, _) in enumerate(steps)
+            for i, name in enumerate(steps)
         ]
     )
     return counted.select(F.inline(rows))
 
 
+def event_funnel(actions: DataFrame, steps: list[tuple[str, Column]]) -> DataFrame:
+    """``(step_number, step, users, share_of_first, drop_off)`` for ordered steps.
+
+    A user passes step k with the first row of that step at or after the second in which the user passed
+    step k-1; what else happened in between does not matter. A user's seconds meet by day; then a row for each
+    day of the user is enough, however many actions the user has.
+    """
+    return funnel_of_days(funnel_days(actions, steps), [name for name, _ in steps])
+
+
 def choice_share(choices: DataFrame, column: str) -> DataFrame:
     """``(choice, n, share)`` of a chosen prize."""
     counts = (

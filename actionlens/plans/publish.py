@@ -7,31 +7,60 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.first_seen import first_seen, merge_first_seen
+from ..operators.first_seen import first_seen, merge_first_seen, merge_into_buckets
 from ..session import cut_lineage
 from ..sources import sinks
+from ..sources.bucketed import open_bucketed, write_bucketed
+from ..sources.schemas import FIRST_SEEN
+from ..sources.versions import commit_version, read_version
 from . import daily, slots
 
+# Buckets of the first-seen table; some 100 MB each for a billion users.
+BUCKETS = 256
+
 
 def publish_first_seen(actions: DataFrame, as_of: date, folder: str, previous: date | None = None) -> DataFrame:
     """Store first-seen of all users before ``as_of`` as the version ``as_of`` of ``folder`` and return it.
 
     With ``previous``, the day of an earlier version, only the actions since then are read and merged into
-    that version; without, the whole history. A version is a folder of its own, so the earlier one stays as
-    it is until the new one is complete, and a rerun writes the same version again.
+    that version; without, the whole history. Earlier days stay as they are, and a rerun takes the place of
+    the day's rows in one step, once it is complete.
     """
     before = actions.filter(F.col("time") < daily.midnight(as_of))
     if previous is None:
         users = first_seen(before)
     else:
-        known = actions.sparkSession.read.parquet(f"{folder}/as_of={previous.isoformat()}")
+        known = read_first_seen(actions.sparkSession, folder, previous)
         users = merge_first_seen(known, before.filter(F.col("time") >= daily.midnight(previous)))
-    path = f"{folder}/as_of={as_of.isoformat()}"
-    users.write.mode("overwrite").parquet(path)
-    return actions.sparkSession.read.parquet(path)
+    commit_version(users, f"{folder}/as_of={as_of.isoformat()}")
+    return read_first_seen(actions.sparkSession, folder, as_of)
+
+
+def read_first_seen(spark: SparkSession, folder: str, as_of: date) -> DataFrame:
+    """The first-seen table as ``publish_first_seen`` has stored it for a day."""
+    return read_version(spark, f"{folder}/as_of={as_of.isoformat()}")
+
+
+def publish_first_seen_buckets(
+    actions: DataFrame, as_of: date, folder: str, table: str, previous: date | None = None, buckets: int = BUCKETS
+) -> DataFrame:
+    """``publish_first_seen`` with versions in buckets by user, as the tables ``<table>_<yyyymmdd>`` of the catalog.
+
+    Bringing a version up to date sends the users of the days since then to the buckets and moves nothing else.
+    All versions have the same number of buckets. A version is written once; a rerun for the same day needs a
+    folder and name of its own.
+    """
+    spark = actions.sparkSession
+    before = actions.filter(F.col("time") < daily.midnight(as_of))
+    if previous is None:
+        users = first_seen(before)
+    else:
+        known = open_bucketed(spark, f"{folder}/as_of={previous.isoformat()}", f"{table}_{previous:%Y%m%d}", FIRST_SEEN, "user_id", buckets)
+        users = merge_into_buckets(known, before.filter(F.col("time") >= daily.midnight(previous)))
+    return write_bucketed(users, f"{folder}/as_of={as_of.isoformat()}", f"{table}_{as_of:%Y%m%d}", "user_id", buckets)
 
 
 def publish_app_report(

@@ -22,7 +22,7 @@ from ..functions.columns import (
 )
 
 
-def _epoch(day: date) -> int:
+def epoch_of(day: date) -> int:
     return int(datetime(day.year, day.month, day.day, tzinfo=timezone.utc).timestamp())
 
 
@@ -94,7 +94,7 @@ def retention_cohorts(
     ``first_cohort`` keeps cohorts from that month on.
     """
     if first_cohort is not None:
-        registrations = registrations.filter(F.col("reg_ts") >= _epoch(first_cohort.replace(day=1)))
+        registrations = registrations.filter(F.col("reg_ts") >= epoch_of(first_cohort.replace(day=1)))
     numbered = user_day_numbers(registrations, sessions, horizon)
     return _shares(numbered, month_of(epoch_to_timestamp("reg_ts")))
 
@@ -115,7 +115,7 @@ def retention_range(
 
     Only sessions that can fall inside the horizon are read from storage.
     """
-    low, high = _epoch(registered_from), _epoch(registered_to)
+    low, high = epoch_of(registered_from), epoch_of(registered_to)
     reg_ts, auth_ts = F.col("reg_ts"), F.col("auth_ts")
     in_range = (reg_ts >= low) & (reg_ts <= high if inclusive_instant else reg_ts < high)
     reachable = (auth_ts >= low) & (auth_ts <= high + (horizon + 1) * DAY_SECONDS)

@@ -12,6 +12,13 @@ FEED_ACTIONS = T.StructType(
     ]
 )
 
+FIRST_SEEN = T.StructType(
+    [
+        T.StructField("user_id", T.LongType()),
+        T.StructField("first_time", T.TimestampNTZType()),
+    ]
+)
+
 MESSAGE_ACTIONS = T.StructType(
     [
         T.StructField("user_id", T.LongType()),

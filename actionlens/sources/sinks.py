@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import slot_seconds_of
+from .versions import commit_version, current_version, read_version
 
 
 def write_partitions(df: DataFrame, path: str, *by: str) -> None:
@@ -25,9 +26,24 @@ def write_partitions(df: DataFrame, path: str, *by: str) -> None:
 
 
 def write_report(report: DataFrame, path: str, as_of: date) -> None:
-    """Reports and their text by the day they were made for. A rerun replaces that day's folder, also when
-    it has no rows any more."""
-    report.write.mode("overwrite").parquet(f"{path}/as_of={as_of.isoformat()}")
+    """Reports and their text by the day they were made for, read with ``read_report``. A rerun replaces that day's rows,
+    also when there are none any more.
+
+    A report has a few rows a day. All days make a new version of the table, which readers see as a whole once it
+    is complete.
+    """
+    spark = report.sparkSession
+    of_day = report.withColumn("as_of", F.lit(as_of))
+    if current_version(spark, path) is not None:
+        others = read_version(spark, path).filter(F.col("as_of") != F.lit(as_of))
+        of_day = others.unionByName(of_day, allowMissingColumns=True)
+    commit_version(of_day.coalesce(1), path)
+
+
+def read_report(spark: SparkSession, path: str, as_of: date | None = None) -> DataFrame:
+    """The stored reports, with ``as_of``, of all days or of one."""
+    stored = read_version(spark, path)
+    return stored if as_of is None else stored.filter(F.col("as_of") == F.lit(as_of))
 
 
 def write_alerts(alerts: DataFrame, path: str, run: datetime | None = None) -> None:

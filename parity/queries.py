@@ -22,9 +22,9 @@ from actionlens.functions import (
     whole_days,
     year_month_text,
 )
-from actionlens.operators import audit, distinct, distribution, first_seen, rank_test, replica_state, resample
-from actionlens.session import scratch_folder
-from actionlens.plans import audience, daily, experiment, ingame, retention, slots, units
+from actionlens.operators import audit, distinct, distribution, first_seen, profile, rank_test, replica_state, resample, value_sketches
+from actionlens.session import cut_lineage, scratch_folder
+from actionlens.plans import activity_bits, audience, daily, experiment, ingame, publish, retention, slots, units
 from actionlens.sources import fixtures, readers
 from actionlens.streaming import keyed_monitor, slot_monitor
 
@@ -119,6 +119,17 @@ def first_seen_users(spark, sf_dir):
     return first_seen.first_seen(_actions(spark, sf_dir))
 
 
+@register
+def first_seen_bucketed(spark, sf_dir):
+    """The maintained table in buckets by user, brought up to date twice."""
+    actions, folder = _actions(spark, sf_dir), scratch_folder(spark)
+    table, previous = f"first_seen_{folder.rpartition('/')[2]}", None
+    for as_of in (date(2024, 1, 3), date(2024, 1, 10), date(2024, 2, 1)):
+        users = publish.publish_first_seen_buckets(actions, as_of, folder, table, previous, buckets=8)
+        previous = as_of
+    return users
+
+
 @register
 def label_new_actions(spark, sf_dir):
     labelled = daily.label_new(_actions(spark, sf_dir))
@@ -271,6 +282,23 @@ def retention_overall(spark, sf_dir):
     return retention.retention_overall(*_events_input(spark, sf_dir))
 
 
+def _bits_of_two_runs(registrations, sessions, border: date) -> DataFrame:
+    """The activity state of the sessions before a day, then of the others."""
+    at = F.lit(retention.epoch_of(border))
+    before = activity_bits.activity_bits(registrations, sessions.filter(F.col("auth_ts") < at))
+    return activity_bits.merge_bits(cut_lineage(before), activity_bits.activity_bits(registrations, sessions.filter(F.col("auth_ts") >= at)))
+
+
+@register
+def retention_overall_bits(spark, sf_dir):
+    return activity_bits.retention_curve(_bits_of_two_runs(*_events_input(spark, sf_dir), date(2024, 1, 20)))
+
+
+@register
+def retention_cohorts_bits(spark, sf_dir):
+    return activity_bits.cohort_curves(_bits_of_two_runs(*_orders_input(spark, sf_dir), date(1996, 1, 1)), HORIZON)
+
+
 @register
 def retention_overall_sparse(spark, sf_dir):
     return retention.retention_overall(*_orders_input(spark, sf_dir))
@@ -669,8 +697,32 @@ def audit_types(spark, sf_dir):
 
 @register
 def audit_duplicates(spark, sf_dir):
-    # Without the key columns the table has copies.
-    return audit.duplicate_rows(_units(spark, sf_dir).select("hired_date", "reported_date", "hammer_date"))
+    """Over all columns. Every third unit is delivered a second time, so that there are copies."""
+    reports = _units(spark, sf_dir)
+    return audit.duplicate_rows(reports.unionByName(reports.filter("dwarf_id % 3 = 0")))
+
+
+def _profiled(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Reports and their profile, from states of two halves."""
+    reports = _units(spark, sf_dir)
+    twice = reports.unionByName(reports.filter("dwarf_id % 3 = 0"))
+    halves = [profile.profile_state(twice.filter(F.col("reported_date") < F.lit(date(1996, 1, 1))), ["dwarf_id"]), profile.profile_state(twice.filter(F.col("reported_date") >= F.lit(date(1996, 1, 1))), ["dwarf_id"])]
+    return twice, profile.merge_states(*halves)
+
+
+@register
+def audit_profile(spark, sf_dir):
+    """Rows, duplicates and uniqueness of the key from one state."""
+    state = cut_lineage(_profiled(spark, sf_dir)[1])
+    counted, unique = profile.duplicates_of(state), profile.uniqueness_of(state)
+    # Both are one row.
+    return counted.join(F.broadcast(unique), counted["rows"] == unique["n_rows"]).drop("n_rows")
+
+
+@register
+def audit_profile_columns(spark, sf_dir):
+    events = fixtures.events(spark, sf_dir)
+    return profile.profile(events)[0]
 
 
 @register
@@ -786,6 +838,35 @@ def event_funnel(spark, sf_dir):
     return ingame.event_funnel(_event_actions(spark, sf_dir), steps)
 
 
+@register
+def event_funnel_days(spark, sf_dir):
+    """The same funnel from stored days, for the days of one week."""
+    steps = {name: F.col("event_type") == name for name in ("view", "click", "purchase")}
+    days = cut_lineage(ingame.funnel_days(_event_actions(spark, sf_dir), list(steps.items())))
+    week = days.filter(F.col("day").between(F.lit(date(2024, 1, 8)), F.lit(date(2024, 1, 14))))
+    return ingame.funnel_of_days(week, list(steps))
+
+
+@register
+def revenue_box_of_days(spark, sf_dir):
+    """Boxes of amounts from sketches by day, for a span of days. ``q<p>_fits`` tells whether the rank of the sketched
+    quantile is off by no more than stated; a tie covers a range of ranks."""
+    first, last = date(2024, 1, 5), date(2024, 1, 25)
+    events = fixtures.events(spark, sf_dir)
+    boxes = value_sketches.box_of_days(cut_lineage(value_sketches.day_sketches(events, "event_type", day_of("ts"), "value")), first, last)
+    in_span = events.filter(daily.in_days("ts", first, last) & F.col("value").isNotNull() & ~F.isnan("value"))
+    ranks = in_span.select(F.col("event_type").alias("group"), "value").join(F.broadcast(boxes), "group").groupBy("group", "n", "low", "high").agg(
+        *(F.count_if(F.col("value") < F.col(q)).alias(f"below_{q}") for q in ("q25", "q50", "q75")),
+        *(F.count_if(F.col("value") <= F.col(q)).alias(f"up_to_{q}") for q in ("q25", "q50", "q75")),
+    )
+    slack = value_sketches.RANK_ERROR * F.col("n") + 1
+    fits = [
+        ((F.col(f"below_{q}") - slack <= F.col("n") * p) & (F.col(f"up_to_{q}") + slack >= F.col("n") * p)).alias(f"{q}_fits")
+        for q, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))
+    ]
+    return ranks.select(F.col("group").alias("event_type"), "n", "low", "high", *fits)
+
+
 @register
 def choice_share(spark, sf_dir):
     return ingame.choice_share(_event_actions(spark, sf_dir), "event_type")

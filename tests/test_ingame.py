@@ -34,21 +34,6 @@ def test_exposed_and_segments(actions):
     assert first[4] - first[1] == 0
 
 
-def test_gaps_equal_brute_force(spark):
-    rng = random.Random(2)
-    start = 1_704_067_200
-    rows = [(u, start + int(rng.random() * 4 * 86_400)) for u in range(4) for _ in range(80)]
-    rows += [(0, start + 86_399), (0, start + 86_400), (0, start + 86_400)]
-    df = spark.createDataFrame(rows, "user_id long, s long").select(
-        "user_id", F.timestamp_add("SECOND", F.col("s"), F.expr("timestamp_ntz'1970-01-01 00:00:00'")).alias("time")
-    )
-    want = set()
-    for u in range(4):
-        seconds = sorted({s for v, s in rows if v == u})
-        want |= {(u, a, b - a) for a, b in zip(seconds, seconds[1:])}
-    assert set(rows_of(g.activity_gaps(df))) == want
-
-
 def test_activity_counts_everyone_exposed(actions):
     log = actions(
         (1, "2024-01-01 10:00:00", "view"),

@@ -69,9 +69,9 @@ def test_reports_and_alerts(spark, tmp_path, actions):
         report = daily.feed_report(log, as_of)
         sinks.write_report(report, f"{tmp_path}/report", as_of)
         sinks.write_report(daily.feed_report_text(report), f"{tmp_path}/text", as_of)
-    got = rows_of(spark.read.parquet(f"{tmp_path}/report").select("as_of", "date", "dau"))
+    got = rows_of(sinks.read_report(spark, f"{tmp_path}/report").select("as_of", "date", "dau"))
     assert got == [(date(2024, 1, 2), date(2024, 1, 1), 1), (date(2024, 1, 3), date(2024, 1, 2), 1)]
-    assert spark.read.parquet(f"{tmp_path}/text").count() == 2
+    assert sinks.read_report(spark, f"{tmp_path}/text").count() == 2
 
     log = actions(*[(u, f"2024-01-{d:02d} 12:00:00", "view") for d in range(1, 5) for u in range(d)], (0, "2024-01-04 12:15:00", "view"))
     sinks.write_alerts(slots.alert_records(slots.slot_anomalies(log)), f"{tmp_path}/alerts")

@@ -1,4 +1,5 @@
 import hashlib
+import math
 import random
 import re
 
@@ -63,3 +64,79 @@ def test_keys_in_paths_and_without_digits(documents):
 def test_no_python_on_the_way(documents):
     plan = secrets.scan_texts(documents(["x"]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def plain_battery(token):
+    """Encoding and p-values of one token, step by step."""
+    encoding = next((e for e, (_, letters) in secrets.ENCODINGS.items() if re.fullmatch(letters, token)), None)
+    if encoding is None:
+        return None
+    alphabet = secrets.ENCODINGS[encoding][0]
+    n, k = len(token), len(alphabet)
+    codes = [alphabet.index(c) for c in token]
+    chi = sum((codes.count(c) - n / k) ** 2 / (n / k) for c in range(k))
+    upper = lambda z: math.erfc(z / math.sqrt(2)) / 2
+    p_uniform = upper((chi - (k - 1)) / math.sqrt(2 * (k - 1) * (n - 1) / n))
+    high = [c >= k / 2 for c in codes]
+    runs = 1 + sum(a != b for a, b in zip(high, high[1:]))
+    both = 2 * sum(high) * (n - sum(high))
+    variance = both * (both - n) / (n * n * (n - 1))
+    p_runs = 2 * upper(abs(runs - both / n - 1) / math.sqrt(variance)) if variance > 0 else 0.0
+    mean = sum(codes) / n
+    spread = sum((c - mean) ** 2 for c in codes)
+    lagged = sum((a - mean) * (b - mean) for a, b in zip(codes, codes[1:]))
+    p_serial = 2 * upper(abs(lagged / spread + 1 / n) * math.sqrt(n)) if spread > 0 else 0.0
+    half = -sum(math.log(max(p, 1e-300)) for p in (p_uniform, p_runs, p_serial))
+    p = math.exp(-half) * (1 + half + half * half / 2)
+    if encoding in secrets.ONE_CASE and not re.search("[0-9]", token):
+        p = min(1.0, 2 * min(p, (1 - sum(c.isdigit() for c in alphabet) / k) ** n))
+    return encoding, p_uniform, p_runs, p_serial, p
+
+
+def some_tokens(r, count):
+    letters = ["0123456789abcdef", "ABCDEF0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "abcXYZ019+/", "abcXYZ-_9", "aab", "a"]
+    out = []
+    for _ in range(count):
+        chosen, n = r.choice(letters), r.randint(20, 90)
+        token = "".join(r.choice(chosen) for _ in range(n))
+        out.append("".join(sorted(token)) if r.random() < 0.2 else token)
+    return out
+
+
+def test_battery_like_plain_arithmetic(spark):
+    tokens = some_tokens(random.Random(12), 300) + ["-" * 20, "a+b-" * 9, "0" * 25]
+    got = {x["token"]: x for x in secrets.battery(spark.createDataFrame([(t,) for t in tokens], "token string")).collect()}
+    for token in tokens:
+        want = plain_battery(token)
+        assert (want is None) == (token not in got)
+        if want:
+            assert got[token]["encoding"] == want[0]
+            for name, x in zip(("p_uniform", "p_runs", "p_serial", "p"), want[1:]):
+                assert abs(got[token][name] - x) <= 1e-9 + 1e-6 * x
+
+
+def test_random_spans_like_a_plain_step_up_rule(documents):
+    r = random.Random(13)
+    tokens = some_tokens(r, 250)
+    df = documents([f"x {t} y" for t in tokens])
+    got = {x["doc_id"]: "random" in x["spans"] for x in secrets.find_secrets(df).collect()}
+    strata = {}
+    for i, token in enumerate(tokens):
+        scored = plain_battery(token)
+        if scored:
+            bin_of = min(30_000, math.floor(-math.log10(max(scored[4], 1e-300)) / 0.01))
+            key = scored[0], bool(re.search("[0-9]", token)), math.floor(math.log2(len(token)))
+            strata.setdefault(key, []).append((bin_of, i))
+    want = dict.fromkeys(range(len(tokens)), False)
+    for members in strata.values():
+        # The step-up rule, every p as large as its bin allows.
+        rejected = 0
+        ordered = sorted(members, reverse=True)
+        for rank in range(1, len(ordered) + 1):
+            last_of_bin = rank == len(ordered) or ordered[rank][0] != ordered[rank - 1][0]
+            if last_of_bin and 10 ** (-0.01 * ordered[rank - 1][0]) <= 0.05 * rank / len(ordered):
+                rejected = rank
+        for _, i in ordered[rejected:]:
+            want[i] = True
+    fits = [i for i, t in enumerate(tokens) if plain_battery(t)]
+    assert [got[i] for i in fits] == [want[i] for i in fits] and 20 < sum(want.values()) < 230

@@ -54,7 +54,7 @@ def source_targets(totals: DataFrame, weights=WEIGHTS, max_repeats: int = MAX_RE
     Targets share the words of all sources by weight. A target above ``max_repeats`` times its
     source is held there and the excess is shared by the others: ordered by cap per weight, the
     capped sources come first, and the level of the rest follows from running sums. One row per
-    source, so its windows are small.
+    source, so its windows are small: one task holds all sources, which is meant for thousands of them.
     """
     everything = Window.partitionBy(F.lit(0))
     numbered = totals.withColumn(
@@ -96,7 +96,7 @@ def _with_blocks(targets: DataFrame, block_words: int) -> DataFrame:
 def schedule(targets: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``(source_no, turn, block, words, whole)``: the ``turn``-th slot of the source, the block
     it takes, the words it takes of that block and whether that is all of the block. ``at`` gives
-    the order of the mix. ``targets`` has one row per source and should be stored."""
+    the order of the mix. ``targets`` has one row per source and should be stored; one task holds these rows."""
     spark = targets.sparkSession
     blocked = _with_blocks(targets, block_words)
     total = blocked.agg(F.coalesce(F.sum("slots"), F.lit(0))).first()[0]
@@ -198,7 +198,9 @@ def mix_documents(
 
 def apply_mix(documents: DataFrame, mix: DataFrame) -> DataFrame:
     """``documents`` as the mix takes them: a row for every whole pass over a document. Only the
-    document in which a source's last pass ends is taken in part; it is given if at least half is."""
+    document in which a source's last pass ends is taken in part; it is given if at least half is. A null id
+    is an id like any other; rows of equal id and text share their passes evenly. Null texts, and others without
+    words, are not in the mix."""
     counted = mix.groupBy("doc_id", "text_hash").agg(
         F.sum(F.floor(F.col("taken") / F.greatest(F.col("size"), F.lit(1)) + 0.5)).alias("passes"), F.count("*").alias("rows")
     )

@@ -466,10 +466,20 @@ def box_payers_cut(spark, sf_dir):
 
 @register
 def mann_whitney_ab(spark, sf_dir):
-    test = rank_test.mann_whitney(_experiment(spark, sf_dir), "testgroup", "revenue", GROUPS)
+    return _rank_test(_experiment(spark, sf_dir))
+
+
+def _rank_test(table: DataFrame) -> DataFrame:
+    test = rank_test.mann_whitney(table, "testgroup", "revenue", GROUPS)
     return rounded(rounded(test, "sigma_u", "z"), "p_value", scale=8)
 
 
+@register
+def mann_whitney_all_days(spark, sf_dir):
+    """An experiment that lasts as long as the log."""
+    return _rank_test(fixtures.experiment(spark, sf_dir, first=None))
+
+
 # Bootstrap
 
 

@@ -60,6 +60,9 @@ experiment AS (
 """
 
 
+ALL_DAYS_CTE = EXPERIMENT_CTE.replace(" AND ts >= TIMESTAMP '2024-01-28 00:00:00'", "")
+
+
 def _two_sided_p(z: str) -> str:
     """Complementary error function of |z| over the root of two, by the series of the error function."""
     x = f"least(abs({z}) / sqrt(2), 6)"
@@ -498,13 +501,34 @@ FROM marked GROUP BY testgroup, q25, q50, q75
 """
 
 
+RANK_TEST = f"""
+WITH {EXPERIMENT_CTE},
+ranked AS (
+  SELECT testgroup, revenue,
+         rank() OVER (ORDER BY revenue) + (count(*) OVER (PARTITION BY revenue) - 1) / 2.0 AS r,
+         count(*) OVER (PARTITION BY revenue) AS t
+  FROM experiment),
+sums AS (
+  SELECT CAST(count(*) FILTER (testgroup = 'a') AS DOUBLE) AS n1, CAST(count(*) FILTER (testgroup = 'b') AS DOUBLE) AS n2,
+         CAST(sum(r) FILTER (testgroup = 'a') AS DOUBLE) AS rank_sum, CAST(sum(t * t - 1) AS DOUBLE) AS ties
+  FROM ranked),
+stat AS (
+  SELECT *, rank_sum - n1 * (n1 + 1) / 2 AS u, n1 * n2 / 2 AS mean_u,
+         sqrt(n1 * n2 / 12 * (n1 + n2 + 1 - ties / ((n1 + n2) * (n1 + n2 - 1)))) AS sigma_u
+  FROM sums)
+SELECT CAST(n1 AS BIGINT) AS n_first, CAST(n2 AS BIGINT) AS n_second, rank_sum, u, mean_u,
+       round(sigma_u, 6) AS sigma_u, round(greatest(abs(u - mean_u) - 0.5, 0) / sigma_u, 6) AS z,
+       round({_two_sided_p('(greatest(abs(u - mean_u) - 0.5, 0) / sigma_u)')}, 8) AS p_value
+FROM stat
+"""
+
 EXPERIMENT = {
     "ab_summary": f"""
 WITH {EXPERIMENT_CTE}
 SELECT testgroup, users, payers, conversion, round(arppu, 6) AS arppu, round(arpu, 6) AS arpu FROM ({AB_SUMMARY})
 """,
     "ab_summary_all_days": f"""
-WITH {EXPERIMENT_CTE.replace(" AND ts >= TIMESTAMP '2024-01-28 00:00:00'", "")}
+WITH {ALL_DAYS_CTE}
 SELECT testgroup, users, payers, round(conversion, 6) AS conversion, round(arppu, 6) AS arppu, round(arpu, 6) AS arpu
 FROM ({AB_SUMMARY})
 """,
@@ -524,26 +548,8 @@ WITH {EXPERIMENT_CTE}, payers AS (SELECT * FROM experiment WHERE revenue > 0),
 """,
     "box_payers": _box("true"),
     "box_payers_cut": _box("revenue < 200"),
-    "mann_whitney_ab": f"""
-WITH {EXPERIMENT_CTE},
-ranked AS (
-  SELECT testgroup, revenue,
-         rank() OVER (ORDER BY revenue) + (count(*) OVER (PARTITION BY revenue) - 1) / 2.0 AS r,
-         count(*) OVER (PARTITION BY revenue) AS t
-  FROM experiment),
-sums AS (
-  SELECT CAST(count(*) FILTER (testgroup = 'a') AS DOUBLE) AS n1, CAST(count(*) FILTER (testgroup = 'b') AS DOUBLE) AS n2,
-         CAST(sum(r) FILTER (testgroup = 'a') AS DOUBLE) AS rank_sum, CAST(sum(t * t - 1) AS DOUBLE) AS ties
-  FROM ranked),
-stat AS (
-  SELECT *, rank_sum - n1 * (n1 + 1) / 2 AS u, n1 * n2 / 2 AS mean_u,
-         sqrt(n1 * n2 / 12 * (n1 + n2 + 1 - ties / ((n1 + n2) * (n1 + n2 - 1)))) AS sigma_u
-  FROM sums)
-SELECT CAST(n1 AS BIGINT) AS n_first, CAST(n2 AS BIGINT) AS n_second, rank_sum, u, mean_u,
-       round(sigma_u, 6) AS sigma_u, round(greatest(abs(u - mean_u) - 0.5, 0) / sigma_u, 6) AS z,
-       round({_two_sided_p('(greatest(abs(u - mean_u) - 0.5, 0) / sigma_u)')}, 8) AS p_value
-FROM stat
-""",
+    "mann_whitney_ab": RANK_TEST,
+    "mann_whitney_all_days": RANK_TEST.replace(EXPERIMENT_CTE, ALL_DAYS_CTE),
 }
 
 # Bootstrap
@@ -620,8 +626,6 @@ experiment AS (SELECT cohort AS testgroup, rate AS revenue FROM rates WHERE rate
 
 AB_REPLICAS = f"WITH {EXPERIMENT_CTE}, {_paired_replicas(10_000, 7, 'avg')}"
 
-ALL_DAYS_CTE = EXPERIMENT_CTE.replace(" AND ts >= TIMESTAMP '2024-01-28 00:00:00'", "")
-
 # Every pair of users of the two groups, pairs of equal values counted.
 PAIRS_CTE = f"""{EXPERIMENT_CTE},
 spent AS (SELECT testgroup, revenue, count(*) AS n FROM experiment GROUP BY testgroup, revenue),

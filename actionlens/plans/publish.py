@@ -69,14 +69,18 @@ def publish_app_report(
     folder: str,
     known_first_seen: DataFrame | None = None,
     previous: date | None = None,
+    table: str | None = None,
 ) -> None:
     """App KPIs of the last seven days to ``<folder>/app_series``, yesterday's text to
     ``<folder>/app_text``.
 
     New users come from the table that ``publish_first_seen`` keeps in ``<folder>/first_seen``, brought up to
-    ``as_of`` from its version ``previous``, unless ``known_first_seen`` is given.
+    ``as_of`` from its version ``previous``, unless ``known_first_seen`` is given. With ``table``, the name of its
+    versions in the catalog, it is kept in buckets.
     """
-    if known_first_seen is None:
+    if known_first_seen is None and table is not None:
+        known_first_seen = publish_first_seen_buckets(actions, as_of, f"{folder}/first_seen", table, previous)
+    elif known_first_seen is None:
         known_first_seen = publish_first_seen(actions, as_of, f"{folder}/first_seen", previous)
     series = cut_lineage(daily.app_series(actions, as_of, known_first_seen=known_first_seen))
     yesterday = series.filter(F.col("date") == F.lit(as_of - timedelta(days=1)))

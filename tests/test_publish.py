@@ -64,6 +64,16 @@ def test_first_seen_is_kept(spark, tmp_path):
     assert rows_of(stored) == rows_of(daily.app_series(actions, date(2024, 1, 6)))
 
 
+def test_report_from_first_seen_in_buckets(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(publish.publish_first_seen_buckets, "__defaults__", (None, 4))
+    actions = readers.all_actions(fixtures.feed(spark, SF), fixtures.messages(spark, SF))
+    table = f"seen_{tmp_path.name.replace('-', '_')}"
+    for previous, as_of in ((None, date(2024, 1, 4)), (date(2024, 1, 4), date(2024, 1, 6))):
+        publish.publish_app_report(actions, as_of, str(tmp_path), previous=previous, table=table)
+    stored = sinks.read_report(spark, f"{tmp_path}/app_series", date(2024, 1, 6)).drop("as_of")
+    assert rows_of(stored) == rows_of(daily.app_series(actions, date(2024, 1, 6)))
+
+
 def test_series_ends_with_its_day(spark):
     series = slots.slot_series(fixtures.feed(spark, SF), date(2024, 1, 20))
     assert series.count() > 0 and series.agg(F.max("time")).first()[0].date() <= date(2024, 1, 20)

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import slot_seconds_of
-from .versions import commit_version, current_version, read_version
+from ..session import cut_lineage
+from .versions import commit_version, current_version, folders, read_version
 
 
 def write_partitions(df: DataFrame, path: str, *by: str) -> None:
@@ -47,17 +48,35 @@ def read_report(spark: SparkSession, path: str, as_of: date | None = None) -> Da
 
 
 def write_alerts(alerts: DataFrame, path: str, run: datetime | None = None) -> None:
-    """Alert records by day and slot, so that the runs of one day do not replace each other.
+    """Alert records by day and slot, so that the runs of one day do not replace each other; read with
+    ``read_alerts``.
 
-    With ``run``, the start of the slot the alerts are about, that slot's folder is replaced, also when
-    there are no alerts any more.
+    With ``run``, the start of the slot the alerts are about, that slot's records are replaced, also when
+    there are no alerts any more. Each day that is touched gets a new version, which readers see as a whole.
     """
+    spark = alerts.sparkSession
+    keyed = cut_lineage(alerts.withColumns({"day": F.to_date("time"), "slot": slot_seconds_of("time")}))
     if run is None:
-        keyed = alerts.withColumns({"day": F.to_date("time"), "slot": slot_seconds_of("time")})
-        write_partitions(keyed, path, "day", "slot")
-        return
-    slot = run.hour * 3600 + run.minute // 15 * 900
-    alerts.write.mode("overwrite").parquet(f"{path}/day={run.date().isoformat()}/slot={slot}")
+        # A row for each slot that the alerts are about.
+        touched = [(r["day"], r["slot"]) for r in keyed.select("day", "slot").distinct().collect()]
+    else:
+        touched = [(run.date(), run.hour * 3600 + run.minute // 15 * 900)]
+    for day in sorted({day for day, _ in touched}):
+        slots = [slot for other, slot in touched if other == day]
+        folder = f"{path}/day={day.isoformat()}"
+        rows = keyed.filter((F.col("day") == F.lit(day)) & F.col("slot").isin(slots))
+        if current_version(spark, folder) is not None:
+            rows = read_version(spark, folder).filter(~F.col("slot").isin(slots)).unionByName(rows)
+        commit_version(rows.coalesce(1), folder)
+
+
+def read_alerts(spark: SparkSession, path: str, first: date | None = None, last: date | None = None) -> DataFrame:
+    """Stored alerts with ``day`` and ``slot``, of all days or of those from ``first`` to ``last``."""
+    days = [name.removeprefix("day=") for name in folders(spark, path) if name.startswith("day=")]
+    wanted = [d for d in sorted(days) if (first is None or d >= first.isoformat()) and (last is None or d <= last.isoformat())]
+    if not wanted:
+        raise FileNotFoundError(f"{path} has no alerts of these days")
+    return spark.read.parquet(*(f"{path}/day={d}/{current_version(spark, f'{path}/day={d}')}" for d in wanted))
 
 
 def write_actions(df: DataFrame, path: str) -> None:

@@ -22,6 +22,12 @@ def _files(spark: SparkSession, path: str):
     return target.getFileSystem(context._jsc.hadoopConfiguration()), target
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in ``path``; none if there is no such folder."""
+    files, target = _files(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(target) if s.isDirectory()] if files.exists(target) else []
+
+
 def current_version(spark: SparkSession, path: str) -> str | None:
     """Name of the version that readers of ``path`` follow."""
     files, pointer = _files(spark, f"{path}/{POINTER}")

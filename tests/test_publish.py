@@ -35,17 +35,17 @@ def test_alerts_of_one_day_stay_apart(spark, tmp_path):
     for _ in range(2):
         alerts = publish.publish_alerts(feed, path, date(2024, 1, 30))
     assert rows_of(alerts) == rows_of(slots.alert_records(slots.slot_anomalies(feed)))
-    stored = spark.read.parquet(path)
+    stored = sinks.read_alerts(spark, path)
     assert stored.count() == 8 and stored.select("slot").distinct().count() == 2
 
 
 def test_a_rerun_without_rows_clears_its_day(spark, tmp_path):
-    report = spark.createDataFrame([(1,)], "x long")
+    report = spark.createDataFrame([(1, datetime(2024, 1, 31, 10, 15))], "x long, time timestamp_ntz")
     for path, write in (
         (f"{tmp_path}/r", lambda df: sinks.write_report(df, f"{tmp_path}/r", AS_OF)),
         (f"{tmp_path}/a", lambda df: sinks.write_alerts(df, f"{tmp_path}/a", datetime(2024, 1, 31, 10, 20))),
     ):
-        read = (lambda: sinks.read_report(spark, path)) if path.endswith("/r") else (lambda: spark.read.schema("x long").parquet(path))
+        read = lambda: (sinks.read_report if path.endswith("/r") else sinks.read_alerts)(spark, path)
         write(report)
         assert read().count() == 1
         write(report.limit(0))

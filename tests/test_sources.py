@@ -75,7 +75,7 @@ def test_reports_and_alerts(spark, tmp_path, actions):
 
     log = actions(*[(u, f"2024-01-{d:02d} 12:00:00", "view") for d in range(1, 5) for u in range(d)], (0, "2024-01-04 12:15:00", "view"))
     sinks.write_alerts(slots.alert_records(slots.slot_anomalies(log)), f"{tmp_path}/alerts")
-    assert spark.read.parquet(f"{tmp_path}/alerts").filter("day = '2024-01-04'").count() == 4
+    assert sinks.read_alerts(spark, f"{tmp_path}/alerts").filter("day = '2024-01-04'").count() == 4
 
 
 def test_days_are_pruned(spark, tmp_path, actions):

@@ -28,7 +28,7 @@ from .flat import steps, texts_of
 UNKNOWN = "und"
 # Scores that every task has at hand: those of the most frequent words, the same number of words for each
 # language, one score a language for each word. All other words are joined.
-SCORES_AT_HAND = 1_600_000
+SCORES_AT_HAND = 800_000
 LONGEST_GRAM = 4
 # Weight of the mean frequency in all languages beside a language's own.
 SMOOTHING = 0.1

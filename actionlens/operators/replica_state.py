@@ -8,6 +8,8 @@
                     random numbers a replica take the place of M pairs.
 ``vectors_drawn``   Any function of the vector of paired differences. Every task draws whole replicas from
                     the collapsed values; nothing is shuffled.
+``pairs_looked_up`` Mean or quantile of pairs whose positions are given. Whole replicas lie in one task,
+                    which looks positions up in the collapsed values; nothing is shuffled.
 
 Draws depend on the seed and on values or replica numbers, never on the partitioning.
 """
@@ -15,6 +17,7 @@ Draws depend on the seed and on values or replica numbers, never on the partitio
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -121,13 +124,18 @@ class Collapsed:
 
     def drawn(self, random: np.random.Generator, draws: int) -> np.ndarray:
         """Differences of ``draws`` pairs."""
-        out = []
-        for values, up_to in ((self.first, self.first_up_to), (self.second, self.second_up_to)):
-            if up_to[-1] <= MAX_EXPANDED:
-                out.append(np.repeat(values, np.diff(up_to))[random.integers(0, up_to[-1], draws)])
-            else:
-                out.append(values[np.searchsorted(up_to, random.integers(0, up_to[-1], draws), "right") - 1])
-        return out[0] - out[1]
+        first, second = self.lookups()
+        return first(random.integers(0, self.first_up_to[-1], draws)) - second(random.integers(0, self.second_up_to[-1], draws))
+
+    def lookups(self) -> list[Callable[[np.ndarray], np.ndarray]]:
+        """For each group, from positions among its rows in ascending order to their values."""
+        return [_lookup(self.first, self.first_up_to), _lookup(self.second, self.second_up_to)]
+
+
+def _lookup(values: np.ndarray, up_to: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
+    if up_to[-1] <= MAX_EXPANDED:
+        return np.repeat(values, np.diff(up_to)).__getitem__
+    return lambda positions: values[np.searchsorted(up_to, positions, "right") - 1]
 
 
 def collapsed(df: DataFrame, group: str, value: str, labels: tuple[str, str]) -> Collapsed | None:
@@ -191,3 +199,33 @@ def vectors_drawn(df: DataFrame, both: Collapsed, replicas: int, draws: int, sta
         return [float(statistic(both.drawn(_generator(seed, number), draws))) for number in numbers]
 
     return _per_replica(df, both, replicas, statistics)
+
+
+def pieces_by_replica(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple]:
+    """``(replica, *arrays)`` for each run of rows of one replica in a batch."""
+    for batch in batches:
+        replica, *arrays = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("replica", *columns))
+        starts = np.flatnonzero(np.diff(replica, prepend=-1))
+        for start, end in zip(starts, [*starts[1:], len(replica)]):
+            yield int(replica[start]), *(a[start:end] for a in arrays)
+
+
+def pairs_looked_up(drawn: DataFrame, both: Collapsed, probability: float | None) -> DataFrame:
+    """``(replica, stat)``: the mean, or the interpolated quantile, of the differences of each replica.
+    ``drawn`` is ``(replica, first, second)`` with positions of both groups, the draws of a replica in a row."""
+    shared = drawn.sparkSession.sparkContext.broadcast(both)
+
+    def statistic(pieces: list[tuple]) -> float:
+        if probability is None:
+            return sum(total for total, _ in pieces) / sum(n for _, n in pieces)
+        return float(np.quantile(np.concatenate(pieces), probability))
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, second = shared.value.lookups()
+        pieces = pieces_by_replica(batches, "first", "second")
+        for replica, of_replica in groupby(pieces, key=lambda piece: piece[0]):
+            differences = (first(a) - second(b) for _, a, b in of_replica)
+            stat = statistic([(d.sum(), len(d)) if probability is None else d for d in differences])
+            yield pa.RecordBatch.from_arrays([pa.array([replica]), pa.array([stat])], names=["replica", "stat"])
+
+    return drawn.mapInArrow(look_up, "replica long, stat double")

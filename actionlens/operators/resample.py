@@ -11,7 +11,9 @@ position and applies a statistic to the differences. Ways to get there:
               the wanted one.
 ``order``     median or another quantile. Draws order statistics in place of pairs.
 ``vector``    any Python function of the vector of differences. Draws whole replicas where it is applied.
-``paired``    any aggregate. Draws row positions and joins them to the sorted values.
+``paired``    any aggregate. Draws row positions that SQL can draw too. Means and quantiles look them up
+              in the collapsed values where they are applied; other aggregates, and values too many
+              for that, are joined to the sorted values.
 
 All randomness is a function of the seed and the data, never of the partitioning.
 """
@@ -22,11 +24,11 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.significance import normal_two_sided_p
-from .replica_state import collapsed, quantiles_drawn, vectors_drawn, weighted_means
+from .replica_state import MAX_VECTOR, collapsed, pairs_looked_up, quantiles_drawn, vectors_drawn, weighted_means
 from .ranks import (
     MAX_BROADCAST_ROWS,
     VALUES_PER_TASK,
@@ -51,6 +53,9 @@ SHARES_AT_ONCE = 20_000_000
 DRAWS_PER_TASK = 1_000_000
 MAX_TASKS = 10_000
 
+# Numbers of draws written by one step.
+DRAWS_PER_CHUNK = 8_192
+
 # Rows written by one step of turning a repeated value into positions.
 POSITIONS_PER_CHUNK = 8_192
 
@@ -124,6 +129,11 @@ def bootstrap_replicas(
         if both is None:
             raise ValueError("too many distinct values; give the statistic as an aggregate column to method='paired'")
         return vectors_drawn(known, both, replicas, pairs, statistic, seed)
+    if method == "paired" and not callable(statistic):
+        both = collapsed(known, group, value, labels)
+        if both is not None and all(sizes.values()) and (statistic == "mean" or pairs <= MAX_VECTOR):
+            positions = _positions_drawn(known.sparkSession, replicas, pairs, labels, sizes, seed)
+            return pairs_looked_up(positions, both, None if statistic == "mean" else probability)
     return _paired_replicas(known, group, value, labels, replicas, sizes, drawn, seed, statistic)
 
 
@@ -212,6 +222,22 @@ def value_positions(df: DataFrame, group: str, value: str) -> DataFrame:
     )
 
 
+def _position(label: str, seed: int, replica: Column, i: Column, size: int) -> Column:
+    """The row of its group that a draw takes."""
+    return F.least(F.floor(uniform(seed, label, replica, i) * size), F.lit(size - 1))
+
+
+def _positions_drawn(spark: SparkSession, replicas: int, n_pairs: int, labels: tuple[str, str], sizes: dict[str, int], seed: int) -> DataFrame:
+    """``(replica, first, second)``: the positions of each draw, whole replicas in one task and their draws in a row."""
+    tasks = min(MAX_TASKS, replicas, max(1, -(-replicas * n_pairs // DRAWS_PER_TASK)))
+    long = lambda n: F.lit(n).cast("long")
+    start = F.explode(F.sequence(long(0), long(n_pairs - 1), long(DRAWS_PER_CHUNK)))
+    i = F.explode(F.sequence("start", F.least(F.col("start") + DRAWS_PER_CHUNK, long(n_pairs)) - 1))
+    grid = spark.range(0, replicas, 1, tasks).select(F.col("id").alias("replica"), start.alias("start")).select("replica", i.alias("i"))
+    first, second = (_position(label, seed, F.col("replica"), F.col("i"), sizes[label]) for label in labels)
+    return grid.select("replica", first.alias("first"), second.alias("second"))
+
+
 def _paired_replicas(df, group, value, labels, replicas, sizes, drawn, seed, statistic) -> DataFrame:
     n_pairs = drawn[labels[0]]
     positions = value_positions(df, group, value)
@@ -221,8 +247,7 @@ def _paired_replicas(df, group, value, labels, replicas, sizes, drawn, seed, sta
         F.floor(F.col("id") / max(n_pairs, 1)).alias("replica"), (F.col("id") % max(n_pairs, 1)).alias("i")
     )
     for label in labels:
-        u = uniform(seed, label, F.col("replica"), F.col("i"))
-        at = F.least(F.floor(u * sizes[label]), F.lit(sizes[label] - 1)).alias("position")
+        at = _position(label, seed, F.col("replica"), F.col("i"), sizes[label]).alias("position")
         values = positions.filter(F.col(group) == label).select("position", F.col("value").alias(f"x_{label}"))
         # A small group has few positions, each drawn very often: it is broadcast, never shuffled to.
         values = F.broadcast(values) if sizes[label] <= MAX_BROADCAST_ROWS else values

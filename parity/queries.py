@@ -585,7 +585,8 @@ def _beside_order_statistic(spark, sf_dir, probability: float) -> DataFrame:
 
 @register
 def bootstrap_ab_median(spark, sf_dir):
-    return _beside_order_statistic(spark, sf_dir, 0.5)
+    """The median of the paired differences of every replica."""
+    return rounded(_ab_pairs(spark, sf_dir, statistic="median"), "stat", scale=5)
 
 
 @register

@@ -660,7 +660,9 @@ WITH {UNITS_CTE}, rates AS ({_rates()}) {_closed_form(2000, 'rates', 'cohort', '
 {_histogram('drawn', '"all"', 'stat', 50, 8)}
 """,
     "bootstrap_ab_paired": f"WITH {ALL_DAYS_CTE}, {_paired_replicas(10_000, 7, 'avg')} {TEST_ROW}",
-    "bootstrap_ab_median": _pair_quantile(0.5),
+    "bootstrap_ab_median": f"""
+WITH {EXPERIMENT_CTE}, {_paired_replicas(10_000, 7, 'median')} SELECT replica, round(stat, 5) AS stat FROM replicas
+""",
     "bootstrap_ab_quantile": _pair_quantile(0.9),
     "bootstrap_ab_statistic": f"""
 WITH {PAIRS_CTE}, more AS (SELECT CAST(sum(n) FILTER (difference > 0) AS DOUBLE) / sum(n) AS p FROM pairs)

@@ -37,3 +37,10 @@ def test_entry(spark):
     df = entry_point.entry(spark)
     assert df.count() == 7 and df.columns[:3] == ["date", "dau", "new_users"]
     assert set(entry_point.oracle_sql()) <= set(entry_point.queries())
+
+
+def test_medians_are_those_of_drawn_pairs(spark, tables):
+    """One median a replica at the study's number of replicas, not a closed form beside them."""
+    assert "md5" in SQL["bootstrap_ab_median"]
+    df = QUERIES["bootstrap_ab_median"](spark, SF)
+    assert df.columns == ["replica", "stat"] and df.count() == 10_000

@@ -210,3 +210,20 @@ def test_few_replicas_per_block(table, groups, monkeypatch):
     got = stats(resample.bootstrap_replicas(table, "g", "v", LABELS, replicas=600))
     want = reference(*groups, 4000)
     assert len(got) == 600 and abs(got.mean() - want.mean()) < 5 * want.std() / np.sqrt(600)
+
+
+@pytest.mark.parametrize("statistic", ["mean", "median", 0.9])
+def test_pairs_looked_up_equal_pairs_joined(table, monkeypatch, statistic):
+    """The same draws, without a shuffle of draws; also where a value is searched among the collapsed ones."""
+    options = {"replicas": 30, "method": "paired", "statistic": statistic, "seed": 4}
+    monkeypatch.setattr(resample, "DRAWS_PER_CHUNK", 64)
+    replicas = resample.bootstrap_replicas(table, "g", "v", LABELS, **options)
+    assert "Join" not in plan_of(replicas) and "Exchange" not in plan_of(replicas)
+    looked_up = stats(replicas)
+    monkeypatch.setattr(replica_state, "MAX_EXPANDED", 0)
+    both = replica_state.collapsed(table, "g", "v", LABELS)
+    for values, up_to in ((both.first, both.first_up_to), (both.second, both.second_up_to)):
+        positions = np.arange(up_to[-1])
+        assert (replica_state._lookup(values, up_to)(positions) == np.repeat(values, np.diff(up_to))).all()
+    monkeypatch.setattr(replica_state, "MAX_VALUES", 10)
+    assert looked_up == pytest.approx(stats(resample.bootstrap_replicas(table, "g", "v", LABELS, **options)))

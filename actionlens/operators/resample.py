@@ -8,7 +8,7 @@ position and applies a statistic to the differences. Ways to get there:
               one, but the work grows with distinct values, and zero revenue is one of them.
 ``poisson``   mean only. An independent Poisson weight per row and replica, added up in states of
               ``replicas x 2`` numbers a task. An approximation whose number of draws varies around
-              the wanted one.
+              the wanted one. With the ``key`` of a row, its weights are ones that SQL can draw too.
 ``order``     median or another quantile. Draws order statistics in place of pairs.
 ``vector``    any Python function of the vector of differences. Draws whole replicas where it is applied.
 ``paired``    any aggregate. Draws row positions that SQL can draw too. Means and quantiles look them up
@@ -20,7 +20,9 @@ All randomness is a function of the seed and the data, never of the partitioning
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -28,6 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.significance import normal_two_sided_p
+from ..session import cut_lineage
 from .replica_state import MAX_VECTOR, collapsed, pairs_looked_up, quantiles_drawn, vectors_drawn, weighted_means
 from .ranks import (
     MAX_BROADCAST_ROWS,
@@ -56,6 +59,10 @@ MAX_TASKS = 10_000
 # Numbers of draws written by one step.
 DRAWS_PER_CHUNK = 8_192
 
+# Weights by key that one task draws, and the most draws per row that are drawn by steps of their distribution.
+WEIGHTS_PER_TASK = 4_000_000
+MAX_POISSON_RATE = 20.0
+
 # Rows written by one step of turning a repeated value into positions.
 POSITIONS_PER_CHUNK = 8_192
 
@@ -69,6 +76,19 @@ def uniform(*parts: Column | int | str) -> Column:
     return (F.conv(digits, 16, 10).cast("double") + 0.5) / F.lit(float(2**_UNIFORM_BITS))
 
 
+def poisson_thresholds(rate: float) -> list[float]:
+    """Cumulative probabilities of Poisson(rate), up to the resolution of ``uniform``."""
+    if rate > MAX_POISSON_RATE:
+        raise ValueError(f"{rate:.1f} draws per row: leave out the key or use method='resample'")
+    probability, total, k, out = math.exp(-rate), 0.0, 0, []
+    while k < rate or probability > 2.0**-_UNIFORM_BITS:
+        total += probability
+        out.append(total)
+        k += 1
+        probability *= rate / k
+    return out
+
+
 def _group_sizes(known: DataFrame, group: str, labels: tuple[str, str]) -> dict[str, int]:
     """Rows of each of the two groups; two rows come to the driver."""
     counted = known.groupBy(group).agg(F.count("*").alias("n")).collect()
@@ -91,6 +111,7 @@ def bootstrap_replicas(
     statistic: str | float | Callable = "mean",
     draws: str = "max",
     seed: int = 0,
+    key: str | None = None,
 ) -> DataFrame:
     """``(replica, stat)``: the statistic of first minus second group, once per replica.
 
@@ -98,7 +119,7 @@ def bootstrap_replicas(
     the size of the group (for ``resample`` and ``poisson``). Statistics are ``'mean'``, ``'median'``, a
     probability for its quantile, or a callable: for ``paired`` it builds an aggregate column from the column
     of differences, for ``vector`` it turns an array of differences into a number. Rows without a value
-    (NULL or NaN) are left out. ``order`` becomes ``paired`` and ``vector`` is refused where the groups have too
+    (NULL or NaN) are left out. ``key`` is a unique row key for ``poisson``. ``order`` becomes ``paired`` and ``vector`` is refused where the groups have too
     many distinct values to be sent to every task.
     """
     if method not in METHODS:
@@ -111,6 +132,8 @@ def bootstrap_replicas(
     }
     if not fits.get(method, statistic == "mean"):
         raise ValueError(f"method={method!r} does not take the statistic {statistic!r}")
+    if key is not None and method != "poisson":
+        raise ValueError("only method='poisson' takes the key of a row")
     if method in fits and draws != "max":
         raise ValueError("pairs need the same number of draws from both groups")
     known = df.filter(F.col(group).isin(*labels)).dropna(subset=[value])
@@ -118,7 +141,9 @@ def bootstrap_replicas(
     drawn = _draw_counts(sizes, draws)
     if method == "poisson":
         rates = {label: drawn[label] / sizes[label] if sizes[label] else 1.0 for label in labels}
-        return _difference(weighted_means(known, group, value, labels, replicas, rates, seed), group, labels)
+        by = weighted_means if key is None else _means_by_key
+        keyed = {} if key is None else {"key": key}
+        return _difference(by(known, group, value, labels, replicas, rates, seed, **keyed), group, labels)
     if method == "resample":
         return _resample_replicas(known, group, value, labels, replicas, sizes, drawn, seed)
     both = collapsed(known, group, value, labels) if method in ("order", "vector") else None
@@ -143,6 +168,27 @@ def _difference(means: DataFrame, group: str, labels: tuple[str, str]) -> DataFr
     return means.groupBy("replica").agg((of(labels[0]) - of(labels[1])).alias("stat"))
 
 
+def _means_by_key(df, group, value, labels, replicas, rates, seed, key) -> DataFrame:
+    """``(replica, <group>, mean)`` under Poisson weights that are a function of seed, key and replica. Weights are
+    added up where they are drawn: a task sends two numbers per replica and group."""
+    weight = F.lit(0)
+    for label in labels:
+        steps = [F.when(F.col("u") >= t, 1).otherwise(0) for t in poisson_thresholds(rates[label])]
+        weight = F.when(F.col(group) == label, reduce(lambda a, b: a + b, steps)).otherwise(weight)
+    rows = cut_lineage(df.select(group, F.col(value).cast("double").alias("x"), F.col(key).alias("key")))
+    tasks = min(MAX_TASKS, max(1, -(-rows.count() * replicas // WEIGHTS_PER_TASK)))
+    numbers = F.sequence(F.lit(0).cast("long"), F.lit(replicas - 1).cast("long"))
+    return (
+        rows.repartition(tasks, "key")
+        .withColumn("replica", F.explode(numbers))
+        .withColumn("u", uniform(seed, F.col("key"), F.col("replica")))
+        .withColumn("w", weight.cast("long"))
+        .groupBy("replica", group)
+        .agg(F.sum(F.col("w") * F.col("x")).alias("total"), F.sum("w").alias("weight"))
+        .select("replica", group, F.try_divide("total", F.col("weight").cast("double")).alias("mean"))
+    )
+
+
 def _resample_replicas(df, group, value, labels, replicas, sizes, drawn, seed) -> DataFrame:
     counts = stored_value_counts(df, [group], value)
     n_parts = max(1, -(-counts.count() // VALUES_PER_PART))

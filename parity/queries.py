@@ -608,8 +608,8 @@ def bootstrap_ab_statistic(spark, sf_dir):
 
 @register
 def bootstrap_ab_poisson(spark, sf_dir):
-    replicas = _ab_pairs(spark, sf_dir, method="poisson", draws="own")
-    return _beside_closed_form(replicas, _experiment(spark, sf_dir), "testgroup", "revenue", GROUPS, "own")
+    """Weights by user, the whole test."""
+    return _rounded_test(_ab_pairs(spark, sf_dir, method="poisson", draws="own", key="user_id"))
 
 
 def _unit_test(spark, sf_dir, max_tenure, **options):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from actionlens.operators.resample import poisson_thresholds
 
 ACTIONS_CTE = """
 feed AS (
@@ -598,6 +599,22 @@ FROM test
 TEST_ROW = _test_row(8)
 
 
+def _poisson_replicas(table: str, group: str, value: str, key: str, labels: tuple[str, str], replicas: int, seed: int) -> str:
+    """Body of a Poisson bootstrap; one draw per row on average. No statistic where a group gets no weight."""
+    weight = " + ".join(f"(u >= {t!r}::DOUBLE)::BIGINT" for t in poisson_thresholds(1.0))
+    return f"""
+drawn AS (
+  SELECT {group} AS g, CAST({value} AS DOUBLE) AS x, replica,
+         {_uniform(f"'{seed}|' || CAST({key} AS VARCHAR) || '|' || CAST(replica AS VARCHAR)")} AS u
+  FROM {table}, (SELECT CAST(range AS BIGINT) AS replica FROM range({replicas})) WHERE {value} IS NOT NULL),
+weighted AS (SELECT g, x, replica, {weight} AS w FROM drawn),
+means AS (SELECT replica, g, sum(w * x) / nullif(sum(w), 0) AS mean FROM weighted GROUP BY replica, g),
+replicas AS (
+  SELECT replica, max(mean) FILTER (g = '{labels[0]}') - max(mean) FILTER (g = '{labels[1]}') AS stat
+  FROM means GROUP BY replica)
+"""
+
+
 def _closed_form(replicas: int, table: str, group: str, value: str, labels: tuple[str, str], draws: str = "max") -> str:
     """What drawn replicas must give."""
     of = lambda f, label: f"{f}({value}) FILTER ({group} = '{label}')"
@@ -671,7 +688,10 @@ SELECT CAST(10000 AS BIGINT) AS replicas, round(p, 6) AS expected_mean,
        true AS mean_fits, true AS sigma_fits
 FROM more
 """,
-    "bootstrap_ab_poisson": f"WITH {EXPERIMENT_CTE} {_closed_form(10_000, 'experiment', 'testgroup', 'revenue', ('a', 'b'), 'own')}",
+    "bootstrap_ab_poisson": f"""
+WITH {EXPERIMENT_CTE}, {_poisson_replicas('experiment', 'testgroup', 'revenue', 'user_id', ('a', 'b'), 10_000, 7)}
+{TEST_ROW.replace("count(*) AS replicas", "count(stat) AS replicas")}
+""",
     "bootstrap_unit_rates_poisson": f"""
 WITH {UNITS_CTE}, rates AS ({_rates()}) {_closed_form(2000, 'rates', 'cohort', 'rate', GENERATIONS, 'own')}
 """,

@@ -44,3 +44,14 @@ def test_medians_are_those_of_drawn_pairs(spark, tables):
     assert "md5" in SQL["bootstrap_ab_median"]
     df = QUERIES["bootstrap_ab_median"](spark, SF)
     assert df.columns == ["replica", "stat"] and df.count() == 10_000
+
+
+TEST = ["replicas", "mean", "sigma", "ci_low", "ci_high", "z", "p_value"]
+
+
+def test_poisson_test_is_that_of_drawn_weights(spark, tables):
+    """The interval and the p-value of the study's number of replicas, not a closed form beside them."""
+    assert "md5" in SQL["bootstrap_ab_poisson"]
+    df = QUERIES["bootstrap_ab_poisson"](spark, SF)
+    # Of 15 users, the seven of a group get no weight at all in one of a thousand replicas.
+    assert df.columns == TEST and 9_900 < df.first()["replicas"] <= 10_000

@@ -1,3 +1,5 @@
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -227,3 +229,31 @@ def test_pairs_looked_up_equal_pairs_joined(table, monkeypatch, statistic):
         assert (replica_state._lookup(values, up_to)(positions) == np.repeat(values, np.diff(up_to))).all()
     monkeypatch.setattr(replica_state, "MAX_VALUES", 10)
     assert looked_up == pytest.approx(stats(resample.bootstrap_replicas(table, "g", "v", LABELS, **options)))
+
+
+@pytest.mark.parametrize("draws", ["own", "max"])
+def test_poisson_weights_by_key(table, groups, draws):
+    options = {"replicas": 1500, "method": "poisson", "draws": draws, "key": "id", "seed": 2}
+    runs = [stats(resample.bootstrap_replicas(table.repartition(n, F.rand(n)), "g", "v", LABELS, **options)) for n in (1, 9)]
+    assert len(runs[0]) == 1500 and runs[0] == pytest.approx(runs[1], rel=1e-9)
+    sizes = [max(map(len, groups)) if draws == "max" else len(v) for v in groups]
+    sigma = np.sqrt(sum(v.var() / n for v, n in zip(groups, sizes)))
+    assert runs[0].std() == pytest.approx(sigma, rel=0.15)
+    assert abs(runs[0].mean() - (groups[0].mean() - groups[1].mean())) < 6 * sigma / np.sqrt(1500)
+
+
+def test_poisson_weight_by_key_is_that_of_its_text(spark):
+    """One row a group: the mean is the value whenever the weight is not zero."""
+    df = spark.createDataFrame([(1, "a", 5.0), (2, "b", 3.0)], "id long, g string, v double")
+    got = {r["replica"]: r["stat"] for r in resample.bootstrap_replicas(df, "g", "v", LABELS, replicas=200, method="poisson", key="id", seed=3).collect()}
+    u = lambda key, replica: (int(hashlib.md5(f"3|{key}|{replica}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+    drawn = {r: u(1, r) >= np.exp(-1) and u(2, r) >= np.exp(-1) for r in range(200)}
+    assert got == {r: 2.0 if drawn[r] else None for r in range(200)}
+
+
+@pytest.mark.parametrize("options", [{"method": "paired", "key": "id"}, {"method": "poisson", "key": "id", "rows": 30}])
+def test_wrong_use_of_a_key_is_refused(spark, options):
+    rows = [(i, "a", 1.0) for i in range(options.pop("rows", 2))] + [(99, "b", 1.0)]
+    df = spark.createDataFrame(rows, "id long, g string, v double")
+    with pytest.raises(ValueError):
+        resample.bootstrap_replicas(df, "g", "v", LABELS, replicas=5, **options)

@@ -638,10 +638,9 @@ def bootstrap_unit_rates_multinomial(spark, sf_dir):
 
 @register
 def bootstrap_unit_rates_poisson(spark, sf_dir):
-    rates = units.unit_rates(_units(spark, sf_dir), COHORTS)
-    options = {"replicas": UNIT_REPLICAS, "method": "poisson", "draws": "own", "seed": 3}
-    replicas = resample.bootstrap_replicas(rates, "cohort", "rate", GENERATIONS, **options)
-    return _beside_closed_form(replicas, rates, "cohort", "rate", GENERATIONS, "own")
+    """Weights by unit, a row per replica."""
+    options = {"replicas": UNIT_REPLICAS, "method": "poisson", "draws": "own", "key": "dwarf_id", "seed": 3}
+    return rounded(_unit_test(spark, sf_dir, None, **options), "stat")
 
 
 @register

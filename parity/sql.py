@@ -693,7 +693,9 @@ WITH {EXPERIMENT_CTE}, {_poisson_replicas('experiment', 'testgroup', 'revenue',
 {TEST_ROW.replace("count(*) AS replicas", "count(stat) AS replicas")}
 """,
     "bootstrap_unit_rates_poisson": f"""
-WITH {UNITS_CTE}, rates AS ({_rates()}) {_closed_form(2000, 'rates', 'cohort', 'rate', GENERATIONS, 'own')}
+WITH {UNITS_CTE}, rates AS ({_rates()}),
+{_poisson_replicas('rates', 'cohort', 'rate', 'dwarf_id', GENERATIONS, 2000, 3)}
+SELECT replica, round(stat, 6) AS stat FROM replicas
 """,
 }
 

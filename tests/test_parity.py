@@ -55,3 +55,10 @@ def test_poisson_test_is_that_of_drawn_weights(spark, tables):
     df = QUERIES["bootstrap_ab_poisson"](spark, SF)
     # Of 15 users, the seven of a group get no weight at all in one of a thousand replicas.
     assert df.columns == TEST and 9_900 < df.first()["replicas"] <= 10_000
+
+
+def test_poisson_replicas_of_rates_are_drawn(spark, tables):
+    """A row for each of the study's replicas, not a closed form beside them."""
+    assert "md5" in SQL["bootstrap_unit_rates_poisson"]
+    df = QUERIES["bootstrap_unit_rates_poisson"](spark, SF)
+    assert df.columns == ["replica", "stat"] and df.count() == 2_000

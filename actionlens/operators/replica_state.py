@@ -10,6 +10,9 @@
                     the collapsed values; nothing is shuffled.
 ``pairs_looked_up`` Mean or quantile of pairs whose positions are given. Whole replicas lie in one task,
                     which looks positions up in the collapsed values; nothing is shuffled.
+``totals_dealt``    Sums over such draws where values are too many to be sent to every task. The task that
+                    draws a replica packs its draws by ranges of positions, in a byte or two each, and
+                    they are sent to where the values of the range are.
 
 Draws depend on the seed and on values or replica numbers, never on the partitioning.
 """
@@ -17,9 +20,10 @@ Draws depend on the seed and on values or replica numbers, never on the partitio
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from itertools import groupby
+from itertools import chain, groupby
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,6 +42,11 @@ DIFFERENCES_AT_ONCE = 2_000_000
 # Pairs of one replica that a task may hold as a vector, and rows of a group up to which it holds them all.
 MAX_VECTOR = 1 << 26
 MAX_EXPANDED = 1 << 22
+# Positions of one range, draws that a task packs at a time, and draws that are held beside one range.
+POSITIONS_PER_RANGE = 1 << 16
+PACKED_AT_ONCE = 1 << 22
+DRAWS_PER_RANGE = 1 << 24
+MAX_RANGE_TASKS = 10_000
 
 
 def _generator(*key: int) -> np.random.Generator:
@@ -229,3 +238,71 @@ def pairs_looked_up(drawn: DataFrame, both: Collapsed, probability: float | None
             yield pa.RecordBatch.from_arrays([pa.array([replica]), pa.array([stat])], names=["replica", "stat"])
 
     return drawn.mapInArrow(look_up, "replica long, stat double")
+
+
+def _packed(positions: np.ndarray, width: int) -> Iterator[tuple[int, str, bytes]]:
+    """``(range, form, bytes)`` of drawn positions: times drawn for each position of the range in a number of
+    one or four bytes, or, of few draws, the position within the range of each."""
+    numbers, offsets = np.divmod(np.sort(positions), width)
+    starts = np.flatnonzero(np.diff(numbers, prepend=-1))
+    for start, end in zip(starts, [*starts[1:], len(numbers)]):
+        of_range = offsets[start:end]
+        if 2 * len(of_range) <= of_range[-1]:
+            form, packed = "offsets", of_range.astype("<u2")
+        else:
+            times = np.bincount(of_range)
+            form = "<u1" if times.max() < 256 else "<u4"
+            packed = times.astype(form)
+        yield int(numbers[start]), form, packed.tobytes()
+
+
+def _total(values: np.ndarray, form: str, packed: bytes) -> float:
+    if form == "offsets":
+        return float(values[np.frombuffer(packed, "<u2")].sum())
+    times = np.frombuffer(packed, form)
+    return float(times @ values[: len(times)])
+
+
+def totals_dealt(drawn: DataFrame, values: DataFrame, group: str, labels: tuple[str, str], sizes: dict[str, int], draws: int, replicas: int) -> DataFrame:
+    """``(replica, <group>, total)``: the sum of the drawn values. ``drawn`` as for ``pairs_looked_up``, ``draws`` to
+    a replica; ``values`` is ``(<group>, position, value)``."""
+    width = POSITIONS_PER_RANGE
+    # Replicas whose draws from one range are held at a time, for each group.
+    blocks = {x: max(1, min(REPLICAS_PER_TASK, DRAWS_PER_RANGE * -(-sizes[x] // width) // draws)) for x in labels}
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for replica, of_replica in groupby(pieces_by_replica(batches, "first", "second"), key=lambda piece: piece[0]):
+            held, n = [], 0
+            for _, *piece in chain(of_replica, [(replica, None, None)]):
+                if piece[0] is not None:
+                    held.append(piece)
+                    n += len(piece[0])
+                if held and (piece[0] is None or n >= PACKED_AT_ONCE):
+                    for label, positions in zip(labels, zip(*held)):
+                        numbers, forms, packed = zip(*_packed(np.concatenate(positions), width))
+                        k = len(numbers)
+                        columns = [[label] * k, numbers, [replica // blocks[label]] * k, [replica] * k, forms, packed]
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[group, "range", "block", "replica", "form", "packed"])
+                    held, n = [], 0
+
+    def add_up(values: pd.DataFrame, draws: pd.DataFrame) -> pd.DataFrame:
+        x = values.sort_values("position")["value"].to_numpy()
+        totals = [_total(x, form, packed) for form, packed in zip(draws["form"], draws["packed"])]
+        return draws[["replica", group]].assign(total=np.array(totals, float))
+
+    kind = values.schema[group].dataType.simpleString()
+    first_last, second_last = (F.lit((replicas - 1) // blocks[x]).cast("long") for x in labels)
+    numbers = F.sequence(F.lit(0).cast("long"), F.when(F.col(group) == labels[0], first_last).otherwise(second_last))
+    ranges = F.floor(F.col("position") / width).alias("range")
+    repeated = values.select(group, ranges, "position", "value", F.explode(numbers).alias("block"))
+    packed = drawn.mapInArrow(pack, f"{group} {kind}, range long, block long, replica long, form string, packed binary")
+    # Few keys but much to add: a stated number of tasks keeps adaptive execution from merging them by size.
+    keys = sum(-(-sizes[x] // width) * -(-replicas // blocks[x]) for x in labels)
+    by = (min(MAX_RANGE_TASKS, keys), group, "range", "block")
+    totals = (
+        repeated.repartition(*by)
+        .groupBy(*by[1:])
+        .cogroup(packed.repartition(*by).groupBy(*by[1:]))
+        .applyInPandas(add_up, f"replica long, {group} {kind}, total double")
+    )
+    return totals.groupBy("replica", group).agg(F.sum("total").alias("total"))

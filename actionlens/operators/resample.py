@@ -12,8 +12,9 @@ position and applies a statistic to the differences. Ways to get there:
 ``order``     median or another quantile. Draws order statistics in place of pairs.
 ``vector``    any Python function of the vector of differences. Draws whole replicas where it is applied.
 ``paired``    any aggregate. Draws row positions that SQL can draw too. Means and quantiles look them up
-              in the collapsed values where they are applied; other aggregates, and values too many
-              for that, are joined to the sorted values.
+              in the collapsed values where they are applied. Of values too many for that, means send
+              the draws of a replica, packed, to the ranges of positions they fall in; other aggregates
+              and quantiles join every draw to the sorted values.
 
 All randomness is a function of the seed and the data, never of the partitioning.
 """
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ..functions.significance import normal_two_sided_p
 from ..session import cut_lineage
-from .replica_state import MAX_VECTOR, collapsed, pairs_looked_up, quantiles_drawn, vectors_drawn, weighted_means
+from .replica_state import MAX_VECTOR, collapsed, pairs_looked_up, quantiles_drawn, totals_dealt, vectors_drawn, weighted_means
 from .ranks import (
     MAX_BROADCAST_ROWS,
     VALUES_PER_TASK,
@@ -154,11 +155,15 @@ def bootstrap_replicas(
         if both is None:
             raise ValueError("too many distinct values; give the statistic as an aggregate column to method='paired'")
         return vectors_drawn(known, both, replicas, pairs, statistic, seed)
-    if method == "paired" and not callable(statistic):
+    if method == "paired" and not callable(statistic) and all(sizes.values()):
         both = collapsed(known, group, value, labels)
-        if both is not None and all(sizes.values()) and (statistic == "mean" or pairs <= MAX_VECTOR):
-            positions = _positions_drawn(known.sparkSession, replicas, pairs, labels, sizes, seed)
+        positions = _positions_drawn(known.sparkSession, replicas, pairs, labels, sizes, seed)
+        if both is not None and (statistic == "mean" or pairs <= MAX_VECTOR):
             return pairs_looked_up(positions, both, None if statistic == "mean" else probability)
+        if statistic == "mean":
+            totals = totals_dealt(positions, value_positions(known, group, value), group, labels, sizes, pairs, replicas)
+            means = totals.select("replica", group, (F.col("total") / pairs).alias("mean"))
+            return _difference(means, group, labels)
     return _paired_replicas(known, group, value, labels, replicas, sizes, drawn, seed, statistic)
 
 

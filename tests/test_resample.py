@@ -257,3 +257,29 @@ def test_wrong_use_of_a_key_is_refused(spark, options):
     df = spark.createDataFrame(rows, "id long, g string, v double")
     with pytest.raises(ValueError):
         resample.bootstrap_replicas(df, "g", "v", LABELS, replicas=5, **options)
+
+
+@pytest.mark.parametrize("at_once, per_range, held", [(1 << 22, 1 << 16, 1 << 24), (50, 16, 200), (700, 3, 1)])
+def test_totals_dealt_equal_pairs_looked_up(table, monkeypatch, at_once, per_range, held):
+    """Means of values too many for every task: draws are packed by ranges, never a row each in a shuffle."""
+    options = {"replicas": 30, "method": "paired", "seed": 4}
+    looked_up = stats(resample.bootstrap_replicas(table, "g", "v", LABELS, **options))
+    monkeypatch.setattr(resample, "DRAWS_PER_CHUNK", 64)
+    monkeypatch.setattr(replica_state, "MAX_VALUES", 10)
+    monkeypatch.setattr(replica_state, "PACKED_AT_ONCE", at_once)
+    monkeypatch.setattr(replica_state, "POSITIONS_PER_RANGE", per_range)
+    monkeypatch.setattr(replica_state, "DRAWS_PER_RANGE", held)
+    replicas = resample.bootstrap_replicas(table, "g", "v", LABELS, **options)
+    assert "MapInArrow" in plan_of(replicas) and "Join" not in plan_of(replicas).split("MapInArrow")[-1]
+    assert stats(replicas) == pytest.approx(looked_up)
+
+
+@pytest.mark.parametrize("n, size", [(1, 5), (1000, 5), (1000, 200_000), (300_000, 200_000), (70_000, 66_000)])
+def test_packed_draws_keep_their_sum(n, size):
+    rng = np.random.default_rng(n)
+    positions, values = rng.integers(0, size, n), rng.normal(0, 1, size)
+    width = replica_state.POSITIONS_PER_RANGE
+    packed = list(replica_state._packed(positions, width))
+    got = sum(replica_state._total(values[k * width : (k + 1) * width], form, b) for k, form, b in packed)
+    assert got == pytest.approx(values[positions].sum())
+    assert sum(len(b) for *_, b in packed) <= 2 * n + 4 * width * (n > 255 * size)

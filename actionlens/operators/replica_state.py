@@ -8,26 +8,30 @@
                     random numbers a replica take the place of M pairs.
 ``vectors_drawn``   Any function of the vector of paired differences. Every task draws whole replicas from
                     the collapsed values; nothing is shuffled.
-``pairs_looked_up`` Mean or quantile of pairs whose positions are given. Whole replicas lie in one task,
-                    which looks positions up in the collapsed values; nothing is shuffled.
+``PairedDraws``     Pairs of positions that SQL can draw too, made a few ten thousand at a time where they are used.
+``pairs_looked_up`` Mean or quantile of such pairs. Whole replicas lie in one task, which looks positions up
+                    in the collapsed values; nothing is shuffled.
 ``totals_dealt``    Sums over such draws where values are too many to be sent to every task. The task that
-                    draws a replica packs its draws by ranges of positions, in a byte or two each, and
-                    they are sent to where the values of the range are.
+                    draws a replica counts how often it takes each position, and sends the counts, a byte or
+                    two each, by ranges of positions to where the values of the range are.
 
 Draws depend on the seed and on values or replica numbers, never on the partitioning.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from itertools import chain, groupby
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
+from itertools import groupby, islice
+from operator import itemgetter
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.digests import uniforms
 from ..session import cut_lineage
 from .ranks import value_counts
 
@@ -42,11 +46,15 @@ DIFFERENCES_AT_ONCE = 2_000_000
 # Pairs of one replica that a task may hold as a vector, and rows of a group up to which it holds them all.
 MAX_VECTOR = 1 << 26
 MAX_EXPANDED = 1 << 22
-# Positions of one range, draws that a task packs at a time, and draws that are held beside one range.
+# Positions of one range, positions of a group up to which a task counts its draws of each, draws that it packs at
+# a time beyond that, and draws that are held beside one range.
 POSITIONS_PER_RANGE = 1 << 16
+MAX_COUNTED = 1 << 26
 PACKED_AT_ONCE = 1 << 22
 DRAWS_PER_RANGE = 1 << 24
 MAX_RANGE_TASKS = 10_000
+# Draws of a position on average up to which counts of one byte are tried first.
+DRAWS_PER_BYTE = 16
 
 
 def _generator(*key: int) -> np.random.Generator:
@@ -143,14 +151,18 @@ class Collapsed:
 
 def _lookup(values: np.ndarray, up_to: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
     if up_to[-1] <= MAX_EXPANDED:
-        return np.repeat(values, np.diff(up_to)).__getitem__
+        return np.repeat(values, np.diff(up_to)).take
     return lambda positions: values[np.searchsorted(up_to, positions, "right") - 1]
 
 
 def collapsed(df: DataFrame, group: str, value: str, labels: tuple[str, str]) -> Collapsed | None:
     """The collapsed values of both groups on the driver, or None if they are more than ``MAX_VALUES``.
     A group may be empty."""
-    counts = cut_lineage(value_counts(df, [group], value))
+    return collapsed_counts(cut_lineage(value_counts(df, [group], value)), group, labels)
+
+
+def collapsed_counts(counts: DataFrame, group: str, labels: tuple[str, str]) -> Collapsed | None:
+    """``collapsed`` from stored value counts."""
     if counts.count() > MAX_VALUES:
         return None
     table = counts.toArrow()
@@ -210,50 +222,100 @@ def vectors_drawn(df: DataFrame, both: Collapsed, replicas: int, draws: int, sta
     return _per_replica(df, both, replicas, statistics)
 
 
-def pieces_by_replica(batches: Iterator[pa.RecordBatch], *columns: str) -> Iterator[tuple]:
-    """``(replica, *arrays)`` for each run of rows of one replica in a batch."""
-    for batch in batches:
-        replica, *arrays = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("replica", *columns))
-        starts = np.flatnonzero(np.diff(replica, prepend=-1))
-        for start, end in zip(starts, [*starts[1:], len(replica)]):
-            yield int(replica[start]), *(a[start:end] for a in arrays)
+@dataclass(frozen=True)
+class PairedDraws:
+    """``pairs`` draws with replacement from each of two groups, for each replica; ``at_once`` are made at a time."""
+
+    seed: int
+    labels: tuple[str, str]
+    sizes: tuple[int, int]
+    pairs: int
+    at_once: int
+
+    def positions(self, replicas: Iterable[int]) -> Iterator[tuple[list[int], list[np.ndarray]]]:
+        """For both groups, the positions by replica and draw: of whole replicas, as many as are made at a time, or
+        of one replica, the first draws first."""
+        for _, of_length in groupby(replicas, key=lambda replica: len(str(replica))):
+            while numbers := list(islice(of_length, max(1, self.at_once // self.pairs))):
+                for start in range(0, self.pairs, self.at_once):
+                    stop = min(start + self.at_once, self.pairs)
+                    yield numbers, [self._positions(label, numbers, start, stop, n) for label, n in zip(self.labels, self.sizes)]
 
+    def _positions(self, label: str, replicas: list[int], start: int, stop: int, size: int) -> np.ndarray:
+        drawn = (uniforms([f"{self.seed}|{label}|{replica}|" for replica in replicas], start, stop) * size).astype(np.int64)
+        return np.minimum(drawn, size - 1, out=drawn)
 
-def pairs_looked_up(drawn: DataFrame, both: Collapsed, probability: float | None) -> DataFrame:
-    """``(replica, stat)``: the mean, or the interpolated quantile, of the differences of each replica.
-    ``drawn`` is ``(replica, first, second)`` with positions of both groups, the draws of a replica in a row."""
-    shared = drawn.sparkSession.sparkContext.broadcast(both)
 
-    def statistic(pieces: list[tuple]) -> float:
-        if probability is None:
-            return sum(total for total, _ in pieces) / sum(n for _, n in pieces)
-        return float(np.quantile(np.concatenate(pieces), probability))
+def _replicas(spark: SparkSession, replicas: int, tasks: int) -> DataFrame:
+    return spark.range(0, replicas, 1, tasks).withColumnRenamed("id", "replica")
+
+
+def pairs_looked_up(spark: SparkSession, draws: PairedDraws, both: Collapsed, replicas: int, tasks: int, probability: float | None) -> DataFrame:
+    """``(replica, stat)``: the mean, or the interpolated quantile, of the differences of each replica."""
+    shared = spark.sparkContext.broadcast(both)
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, second = shared.value.lookups()
-        pieces = pieces_by_replica(batches, "first", "second")
-        for replica, of_replica in groupby(pieces, key=lambda piece: piece[0]):
-            differences = (first(a) - second(b) for _, a, b in of_replica)
-            stat = statistic([(d.sum(), len(d)) if probability is None else d for d in differences])
-            yield pa.RecordBatch.from_arrays([pa.array([replica]), pa.array([stat])], names=["replica", "stat"])
+        for batch in batches:
+            for numbers, pieces in groupby(draws.positions(batch.column("replica").to_pylist()), key=itemgetter(0)):
+                differences = (first(a) - second(b) for _, (a, b) in pieces)
+                if probability is None:
+                    found = sum(d.sum(axis=1) for d in differences) / draws.pairs
+                else:
+                    found = np.quantile(np.concatenate(list(differences), axis=1), probability, axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(found)], names=["replica", "stat"])
 
-    return drawn.mapInArrow(look_up, "replica long, stat double")
+    return _replicas(spark, replicas, tasks).mapInArrow(look_up, "replica long, stat double")
+
+
+def _counts_of(times: np.ndarray) -> tuple[str, bytes]:
+    form = "<u1" if times.max() < 1 << 8 else "<u4" if times.max() < 1 << 32 else "<u8"
+    return form, times.astype(form).tobytes()
 
 
 def _packed(positions: np.ndarray, width: int) -> Iterator[tuple[int, str, bytes]]:
     """``(range, form, bytes)`` of drawn positions: times drawn for each position of the range in a number of
-    one or four bytes, or, of few draws, the position within the range of each."""
+    one byte or more, or, of few draws, the position within the range of each."""
     numbers, offsets = np.divmod(np.sort(positions), width)
     starts = np.flatnonzero(np.diff(numbers, prepend=-1))
     for start, end in zip(starts, [*starts[1:], len(numbers)]):
         of_range = offsets[start:end]
         if 2 * len(of_range) <= of_range[-1]:
-            form, packed = "offsets", of_range.astype("<u2")
+            yield int(numbers[start]), "offsets", of_range.astype("<u2").tobytes()
         else:
-            times = np.bincount(of_range)
-            form = "<u1" if times.max() < 256 else "<u4"
-            packed = times.astype(form)
-        yield int(numbers[start]), form, packed.tobytes()
+            yield int(numbers[start]), *_counts_of(np.bincount(of_range))
+
+
+def _counted(draws: PairedDraws, replica: int) -> list[np.ndarray]:
+    """How often a replica draws each position of both groups."""
+    few = all(draws.pairs <= DRAWS_PER_BYTE * n for n in draws.sizes)
+    for kind in (np.uint8, np.uint64) if few else (np.uint64,):
+        times = [np.zeros(n, kind) for n in draws.sizes]
+        for _, piece in draws.positions([replica]):
+            for counts, positions in zip(times, piece):
+                np.add.at(counts, positions[0], kind(1))
+        # A count that went over its byte is missing in the sum.
+        if all(int(counts.sum(dtype=np.int64)) == draws.pairs for counts in times):
+            break
+    return times
+
+
+def _packed_replica(draws: PairedDraws, replica: int, width: int) -> Iterator[tuple[str, list[tuple[int, str, bytes]]]]:
+    """The label of a group and ``(range, form, bytes)`` of its draws, in one or more steps."""
+    if max(draws.sizes) <= MAX_COUNTED:
+        for label, times in zip(draws.labels, _counted(draws, replica)):
+            ranges = (times[start : start + width] for start in range(0, len(times), width))
+            yield label, [(k, *_counts_of(counts)) for k, counts in enumerate(ranges) if counts.any()]
+        return
+    held, n, left = [], 0, draws.pairs
+    for _, (first, second) in draws.positions([replica]):
+        held.append((first[0], second[0]))
+        n += first.size
+        left -= first.size
+        if n >= PACKED_AT_ONCE or not left:
+            for label, positions in zip(draws.labels, zip(*held)):
+                yield label, list(_packed(np.concatenate(positions), width))
+            held, n = [], 0
 
 
 def _total(values: np.ndarray, form: str, packed: bytes) -> float:
@@ -263,41 +325,44 @@ def _total(values: np.ndarray, form: str, packed: bytes) -> float:
     return float(times @ values[: len(times)])
 
 
-def totals_dealt(drawn: DataFrame, values: DataFrame, group: str, labels: tuple[str, str], sizes: dict[str, int], draws: int, replicas: int) -> DataFrame:
-    """``(replica, <group>, total)``: the sum of the drawn values. ``drawn`` as for ``pairs_looked_up``, ``draws`` to
-    a replica; ``values`` is ``(<group>, position, value)``."""
-    width = POSITIONS_PER_RANGE
+def totals_dealt(values: DataFrame, draws: PairedDraws, group: str, replicas: int, tasks: int) -> DataFrame:
+    """``(replica, <group>, total)``: the sum of the drawn values. ``values`` is ``(<group>, position, value)``."""
+    width, labels = POSITIONS_PER_RANGE, draws.labels
+    ranges = {x: -(-n // width) for x, n in zip(labels, draws.sizes)}
     # Replicas whose draws from one range are held at a time, for each group.
-    blocks = {x: max(1, min(REPLICAS_PER_TASK, DRAWS_PER_RANGE * -(-sizes[x] // width) // draws)) for x in labels}
+    blocks = {x: max(1, min(REPLICAS_PER_TASK, DRAWS_PER_RANGE * n // draws.pairs)) for x, n in ranges.items()}
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for replica, of_replica in groupby(pieces_by_replica(batches, "first", "second"), key=lambda piece: piece[0]):
-            held, n = [], 0
-            for _, *piece in chain(of_replica, [(replica, None, None)]):
-                if piece[0] is not None:
-                    held.append(piece)
-                    n += len(piece[0])
-                if held and (piece[0] is None or n >= PACKED_AT_ONCE):
-                    for label, positions in zip(labels, zip(*held)):
-                        numbers, forms, packed = zip(*_packed(np.concatenate(positions), width))
-                        k = len(numbers)
-                        columns = [[label] * k, numbers, [replica // blocks[label]] * k, [replica] * k, forms, packed]
-                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[group, "range", "block", "replica", "form", "packed"])
-                    held, n = [], 0
+        for batch in batches:
+            for replica in batch.column("replica").to_pylist():
+                for label, packed in _packed_replica(draws, replica, width):
+                    numbers, forms, parts = zip(*packed)
+                    k = len(numbers)
+                    columns = [[label] * k, numbers, [replica // blocks[label]] * k, [replica] * k, forms, parts]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[group, "range", "block", "replica", "form", "packed"])
+
+    def in_order(values: pd.DataFrame) -> pd.DataFrame:
+        x = values.sort_values("position")["value"].to_numpy()
+        return values[[group, "range"]].iloc[:1].assign(held=[x.astype("<f8").tobytes()])
 
     def add_up(values: pd.DataFrame, draws: pd.DataFrame) -> pd.DataFrame:
-        x = values.sort_values("position")["value"].to_numpy()
+        x = np.frombuffer(values["held"].iloc[0], "<f8")
         totals = [_total(x, form, packed) for form, packed in zip(draws["form"], draws["packed"])]
         return draws[["replica", group]].assign(total=np.array(totals, float))
 
     kind = values.schema[group].dataType.simpleString()
     first_last, second_last = (F.lit((replicas - 1) // blocks[x]).cast("long") for x in labels)
     numbers = F.sequence(F.lit(0).cast("long"), F.when(F.col(group) == labels[0], first_last).otherwise(second_last))
-    ranges = F.floor(F.col("position") / width).alias("range")
-    repeated = values.select(group, ranges, "position", "value", F.explode(numbers).alias("block"))
-    packed = drawn.mapInArrow(pack, f"{group} {kind}, range long, block long, replica long, form string, packed binary")
+    ranged = values.select(group, F.floor(F.col("position") / width).alias("range"), "position", "value")
     # Few keys but much to add: a stated number of tasks keeps adaptive execution from merging them by size.
-    keys = sum(-(-sizes[x] // width) * -(-replicas // blocks[x]) for x in labels)
+    packed_values = (
+        ranged.repartition(min(MAX_RANGE_TASKS, sum(ranges.values())), group, "range")
+        .groupBy(group, "range")
+        .applyInPandas(in_order, f"{group} {kind}, range long, held binary")
+    )
+    repeated = packed_values.select(group, "range", "held", F.explode(numbers).alias("block"))
+    packed = _replicas(values.sparkSession, replicas, tasks).mapInArrow(pack, f"{group} {kind}, range long, block long, replica long, form string, packed binary")
+    keys = sum(n * -(-replicas // blocks[x]) for x, n in ranges.items())
     by = (min(MAX_RANGE_TASKS, keys), group, "range", "block")
     totals = (
         repeated.repartition(*by)

@@ -11,9 +11,9 @@ position and applies a statistic to the differences. Ways to get there:
               the wanted one. With the ``key`` of a row, its weights are ones that SQL can draw too.
 ``order``     median or another quantile. Draws order statistics in place of pairs.
 ``vector``    any Python function of the vector of differences. Draws whole replicas where it is applied.
-``paired``    any aggregate. Draws row positions that SQL can draw too. Means and quantiles look them up
-              in the collapsed values where they are applied. Of values too many for that, means send
-              the draws of a replica, packed, to the ranges of positions they fall in; other aggregates
+``paired``    any aggregate. Draws row positions that SQL can draw too. Means and quantiles draw them many
+              at a time and look them up in the collapsed values. Of values too many for that, means send
+              how often a replica takes each position to the ranges of the values; other aggregates
               and quantiles join every draw to the sorted values.
 
 All randomness is a function of the seed and the data, never of the partitioning.
@@ -27,12 +27,13 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.digests import UNIFORM_BITS
 from ..functions.significance import normal_two_sided_p
 from ..session import cut_lineage
-from .replica_state import MAX_VECTOR, collapsed, pairs_looked_up, quantiles_drawn, totals_dealt, vectors_drawn, weighted_means
+from .replica_state import MAX_VECTOR, PairedDraws, collapsed_counts, pairs_looked_up, quantiles_drawn, totals_dealt, vectors_drawn, weighted_means
 from .ranks import (
     MAX_BROADCAST_ROWS,
     VALUES_PER_TASK,
@@ -57,8 +58,8 @@ SHARES_AT_ONCE = 20_000_000
 DRAWS_PER_TASK = 1_000_000
 MAX_TASKS = 10_000
 
-# Numbers of draws written by one step.
-DRAWS_PER_CHUNK = 8_192
+# Draws of a group that one step makes: what it holds of them fits the cache of a core.
+DRAWS_PER_CHUNK = 32_768
 
 # Weights by key that one task draws, and the most draws per row that are drawn by steps of their distribution.
 WEIGHTS_PER_TASK = 4_000_000
@@ -67,14 +68,12 @@ MAX_POISSON_RATE = 20.0
 # Rows written by one step of turning a repeated value into positions.
 POSITIONS_PER_CHUNK = 8_192
 
-_UNIFORM_BITS = 52
-
 
 def uniform(*parts: Column | int | str) -> Column:
     """A number in (0, 1) from the text of ``parts``, 52 bits of it."""
     texts = [p.cast("string") if isinstance(p, Column) else F.lit(str(p)) for p in parts]
-    digits = F.substring(F.md5(F.concat_ws("|", *texts)), 1, _UNIFORM_BITS // 4)
-    return (F.conv(digits, 16, 10).cast("double") + 0.5) / F.lit(float(2**_UNIFORM_BITS))
+    digits = F.substring(F.md5(F.concat_ws("|", *texts)), 1, UNIFORM_BITS // 4)
+    return (F.conv(digits, 16, 10).cast("double") + 0.5) / F.lit(float(2**UNIFORM_BITS))
 
 
 def poisson_thresholds(rate: float) -> list[float]:
@@ -82,7 +81,7 @@ def poisson_thresholds(rate: float) -> list[float]:
     if rate > MAX_POISSON_RATE:
         raise ValueError(f"{rate:.1f} draws per row: leave out the key or use method='resample'")
     probability, total, k, out = math.exp(-rate), 0.0, 0, []
-    while k < rate or probability > 2.0**-_UNIFORM_BITS:
+    while k < rate or probability > 2.0**-UNIFORM_BITS:
         total += probability
         out.append(total)
         k += 1
@@ -90,9 +89,9 @@ def poisson_thresholds(rate: float) -> list[float]:
     return out
 
 
-def _group_sizes(known: DataFrame, group: str, labels: tuple[str, str]) -> dict[str, int]:
-    """Rows of each of the two groups; two rows come to the driver."""
-    counted = known.groupBy(group).agg(F.count("*").alias("n")).collect()
+def _group_sizes(known: DataFrame, group: str, labels: tuple[str, str], rows: Column | None = None) -> dict[str, int]:
+    """Rows of each of the two groups, or the sum of ``rows``; two rows come to the driver."""
+    counted = known.groupBy(group).agg((F.count("*") if rows is None else F.sum(rows)).alias("n")).collect()
     return {label: 0 for label in labels} | {r[0]: r[1] for r in counted}
 
 
@@ -138,7 +137,9 @@ def bootstrap_replicas(
     if method in fits and draws != "max":
         raise ValueError("pairs need the same number of draws from both groups")
     known = df.filter(F.col(group).isin(*labels)).dropna(subset=[value])
-    sizes = _group_sizes(known, group, labels)
+    # Ways that need the collapsed values read the data once, for them alone.
+    counts = stored_value_counts(known, [group], value) if method in fits else None
+    sizes = _group_sizes(known, group, labels) if counts is None else _group_sizes(counts, group, labels, F.col("n"))
     drawn = _draw_counts(sizes, draws)
     if method == "poisson":
         rates = {label: drawn[label] / sizes[label] if sizes[label] else 1.0 for label in labels}
@@ -147,7 +148,7 @@ def bootstrap_replicas(
         return _difference(by(known, group, value, labels, replicas, rates, seed, **keyed), group, labels)
     if method == "resample":
         return _resample_replicas(known, group, value, labels, replicas, sizes, drawn, seed)
-    both = collapsed(known, group, value, labels) if method in ("order", "vector") else None
+    both = None if callable(statistic) and method == "paired" else collapsed_counts(counts, group, labels)
     pairs = drawn[labels[0]]
     if method == "order" and both is not None:
         return quantiles_drawn(known, both, replicas, pairs, probability, seed)
@@ -156,15 +157,15 @@ def bootstrap_replicas(
             raise ValueError("too many distinct values; give the statistic as an aggregate column to method='paired'")
         return vectors_drawn(known, both, replicas, pairs, statistic, seed)
     if method == "paired" and not callable(statistic) and all(sizes.values()):
-        both = collapsed(known, group, value, labels)
-        positions = _positions_drawn(known.sparkSession, replicas, pairs, labels, sizes, seed)
+        paired = PairedDraws(seed, labels, tuple(sizes[x] for x in labels), pairs, DRAWS_PER_CHUNK)
+        tasks = min(MAX_TASKS, replicas, max(1, -(-replicas * pairs // DRAWS_PER_TASK)))
         if both is not None and (statistic == "mean" or pairs <= MAX_VECTOR):
-            return pairs_looked_up(positions, both, None if statistic == "mean" else probability)
+            return pairs_looked_up(known.sparkSession, paired, both, replicas, tasks, None if statistic == "mean" else probability)
         if statistic == "mean":
-            totals = totals_dealt(positions, value_positions(known, group, value), group, labels, sizes, pairs, replicas)
+            totals = totals_dealt(_positions_of(counts, group), paired, group, replicas, tasks)
             means = totals.select("replica", group, (F.col("total") / pairs).alias("mean"))
             return _difference(means, group, labels)
-    return _paired_replicas(known, group, value, labels, replicas, sizes, drawn, seed, statistic)
+    return _paired_replicas(_positions_of(counts, group), group, labels, replicas, sizes, drawn, seed, statistic)
 
 
 def _difference(means: DataFrame, group: str, labels: tuple[str, str]) -> DataFrame:
@@ -260,7 +261,12 @@ def value_positions(df: DataFrame, group: str, value: str) -> DataFrame:
     A value that occurs very often is cut into chunks of positions, which are spread over tasks
     before they are written out.
     """
-    ranged = with_ranges(stored_value_counts(df, [group], value))
+    return _positions_of(stored_value_counts(df, [group], value), group)
+
+
+def _positions_of(counts: DataFrame, group: str) -> DataFrame:
+    """``value_positions`` from stored value counts."""
+    ranged = with_ranges(counts)
     ranked = with_rows_before(ranged, range_offsets(ranged, [group]), [group])
     chunk = F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / POSITIONS_PER_CHUNK)))
     first = F.col("chunk") * POSITIONS_PER_CHUNK
@@ -278,21 +284,9 @@ def _position(label: str, seed: int, replica: Column, i: Column, size: int) -> C
     return F.least(F.floor(uniform(seed, label, replica, i) * size), F.lit(size - 1))
 
 
-def _positions_drawn(spark: SparkSession, replicas: int, n_pairs: int, labels: tuple[str, str], sizes: dict[str, int], seed: int) -> DataFrame:
-    """``(replica, first, second)``: the positions of each draw, whole replicas in one task and their draws in a row."""
-    tasks = min(MAX_TASKS, replicas, max(1, -(-replicas * n_pairs // DRAWS_PER_TASK)))
-    long = lambda n: F.lit(n).cast("long")
-    start = F.explode(F.sequence(long(0), long(n_pairs - 1), long(DRAWS_PER_CHUNK)))
-    i = F.explode(F.sequence("start", F.least(F.col("start") + DRAWS_PER_CHUNK, long(n_pairs)) - 1))
-    grid = spark.range(0, replicas, 1, tasks).select(F.col("id").alias("replica"), start.alias("start")).select("replica", i.alias("i"))
-    first, second = (_position(label, seed, F.col("replica"), F.col("i"), sizes[label]) for label in labels)
-    return grid.select("replica", first.alias("first"), second.alias("second"))
-
-
-def _paired_replicas(df, group, value, labels, replicas, sizes, drawn, seed, statistic) -> DataFrame:
+def _paired_replicas(positions, group, labels, replicas, sizes, drawn, seed, statistic) -> DataFrame:
     n_pairs = drawn[labels[0]]
-    positions = value_positions(df, group, value)
-    spark = df.sparkSession
+    spark = positions.sparkSession
     rows = replicas * n_pairs
     grid = spark.range(0, rows, 1, min(MAX_TASKS, max(1, -(-rows // DRAWS_PER_TASK)))).select(
         F.floor(F.col("id") / max(n_pairs, 1)).alias("replica"), (F.col("id") % max(n_pairs, 1)).alias("i")

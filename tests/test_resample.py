@@ -283,3 +283,48 @@ def test_packed_draws_keep_their_sum(n, size):
     got = sum(replica_state._total(values[k * width : (k + 1) * width], form, b) for k, form, b in packed)
     assert got == pytest.approx(values[positions].sum())
     assert sum(len(b) for *_, b in packed) <= 2 * n + 4 * width * (n > 255 * size)
+
+
+def drawn_by_text(groups, replicas, pairs, seed):
+    """The mean of each replica, one digest a draw."""
+    u = lambda label, replica, i: (int(hashlib.md5(f"{seed}|{label}|{replica}|{i}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+    mean = lambda label, v, replica: np.mean([v[int(u(label, replica, i) * len(v))] for i in range(pairs)])
+    first, second = (np.sort(v) for v in groups)
+    return [mean("a", first, r) - mean("b", second, r) for r in range(replicas)]
+
+
+@pytest.mark.parametrize("values, counted, at_once", [(1_000, True, 64), (1_000, True, 1_300), (10, True, 64), (10, False, 64)])
+def test_pairs_are_drawn_many_at_a_time(table, groups, monkeypatch, values, counted, at_once):
+    """The draws of the texts, without a row or a call for each; the data are read once."""
+    rows = table.sparkSession.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            rows.add(batch.num_rows)
+            yield batch
+
+    monkeypatch.setattr(resample, "DRAWS_PER_CHUNK", at_once)
+    monkeypatch.setattr(replica_state, "MAX_VALUES", values)
+    if not counted:
+        monkeypatch.setattr(replica_state, "MAX_COUNTED", 0)
+    monkeypatch.setattr(replica_state, "PACKED_AT_ONCE", 100)
+    monkeypatch.setattr(replica_state, "POSITIONS_PER_RANGE", 16)
+    read = table.mapInArrow(seen, table.schema)
+    replicas = resample.bootstrap_replicas(read, "g", "v", LABELS, replicas=12, method="paired", seed=4)
+    assert "md5" not in plan_of(replicas)
+    assert stats(replicas) == pytest.approx(drawn_by_text(groups, 12, 300, 4))
+    assert rows.value == 420
+
+
+def test_counts_that_a_byte_does_not_hold(monkeypatch):
+    draws = replica_state.PairedDraws(1, LABELS, (2, 50_000), 40_000, 1_000)
+    first, second = (np.concatenate(p, axis=1)[0] for p in zip(*(pair for _, pair in draws.positions([3]))))
+    for per_byte in (16, 1 << 30):
+        monkeypatch.setattr(replica_state, "DRAWS_PER_BYTE", per_byte)
+        times = replica_state._counted(draws, 3)
+        assert (times[0] == np.bincount(first, minlength=2)).all() and (times[1] == np.bincount(second, minlength=50_000)).all()
+        packed = dict(replica_state._packed_replica(draws, 3, 1 << 14))
+        for label, positions, n in (("a", first, 2), ("b", second, 50_000)):
+            values = np.arange(n) + 0.5
+            got = sum(replica_state._total(values[k << 14 : (k + 1) << 14], form, b) for k, form, b in packed[label])
+            assert got == pytest.approx(values[positions].sum())
